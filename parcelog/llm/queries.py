@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelog.llm import frames, packing, simhash
+from parcelog.llm import decontaminate, frames, packing, simhash
 
 
 def _tokenizer(name: str = "word_bpe_49k.json") -> str:
@@ -27,9 +27,13 @@ def op6_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.token_files(spark, _table(spark, sf_dir, "documents"), _tokenizer())
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op6_token_id_files, op8_simhash_components)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op6_token_id_files, op7_benchmark_decontamination, op8_simhash_components)}
 ORACLE_SQL: dict[str, str] = {}
