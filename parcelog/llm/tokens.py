@@ -10,27 +10,28 @@ always come from it.
 from __future__ import annotations
 
 import os
-import re
 import unicodedata
+from itertools import chain, filterfalse
 
 import numpy as np
 
-#: Most entries that a worker remembers of words, and of stems; what comes later is looked up anew in each batch.
-MEMO_WORDS = 500_000
+#: Most entries that a worker remembers of words, of stems of letters, and of other parts; what comes later is looked up anew in each batch.
+MEMO_WORDS = 900_000
 MEMO_STEMS = 700_000
+MEMO_OTHERS = 50_000
 #: Missing words given to the library in one string, apart from each other by a sentinel word.
 JOINED = 128
 SENTINEL = "dog"
 
-#: Letters (ASCII or not) and then ASCII punctuation without the apostrophe.
-STOPPED = re.compile(rb"([a-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)")
+#: ASCII punctuation without the apostrophe, which may begin a contraction (a fixed value).
+PUNCTUATION = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
 _encoders: dict[str, WordEncoder] = {}
 
 
 def _one_pre_token(stem: str) -> bool:
     """True if the normalised stem is letters only, so that punctuation after it starts a new pre-token."""
-    return stem.isascii() or unicodedata.normalize("NFC", stem).lower().isalpha()
+    return unicodedata.normalize("NFC", stem).lower().isalpha()
 
 
 class Memo(dict):
@@ -57,6 +58,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.words = Memo(MEMO_WORDS)
         self.stems = Memo(MEMO_STEMS)
+        self.others = Memo(MEMO_OTHERS)
         ids = self.tokenizer.encode(SENTINEL, add_special_tokens=False).ids
         self.sentinel = ids[0] if len(ids) == 1 else None
         vocabulary = self.tokenizer.get_vocab()
@@ -82,27 +84,31 @@ class WordEncoder:
 
     def _learn(self, words: set[bytes]) -> None:
         """Put words into the memo: as stem and punctuation where they part there, else whole."""
-        stems, found = self.stems, {}
-        parts = {w: m.groups() for w in words if (m := STOPPED.fullmatch(w)) and (m[1] in stems or _one_pre_token(m[1].decode()))}
-        for letters, new in ((True, {a for a, _ in parts.values()}), (False, {b for _, b in parts.values() if b} | (words - parts.keys()))):
-            fresh = sorted(w for w in new if w not in stems)
-            stems.add(dict(zip(fresh, self._library(fresh, letters), strict=True)))
+        stems, others, parted, found = self.stems, self.others, {}, {}
         for w in words:
-            if w in parts:
-                a, b = parts[w]
-                found[w] = stems[a] + stems[b] if b else stems[a]
-            else:
-                found[w] = stems[w]
+            stem = w.rstrip(PUNCTUATION)
+            if stem.isalpha() or stem in stems or (not stem.isascii() and _one_pre_token(stem.decode())):
+                parted[w] = stem
+        whole = [w for w in words if w not in parted]
+        letters = {s for s in parted.values() if s not in stems}
+        stops = {w[len(s) :] for w, s in parted.items() if len(s) < len(w)}
+        for kind, memo, new in ((True, stems, letters), (False, others, {*whole, *stops})):
+            fresh = sorted(w for w in new if w not in memo)
+            memo.add(dict(zip(fresh, self._library(fresh, kind), strict=True)))
+        for w, stem in parted.items():
+            found[w] = stems[stem] if len(stem) == len(w) else stems[stem] + others[w[len(stem) :]]
+        for w in whole:
+            found[w] = others[w]
         self.words.add(found)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every whole text; null counts as empty."""
         split = [(t or "").encode().lower().split() for t in texts]
-        if missing := {w for w in set().union(*split) if w not in self.words}:
+        if missing := set(filterfalse(self.words.__contains__, chain.from_iterable(split))):
             self._learn(missing)
         get = self.words.__getitem__
         out = [b"".join(map(get, words)) for words in split]
-        self.words.extra, self.stems.extra = {}, {}
+        self.words.extra, self.stems.extra, self.others.extra = {}, {}, {}
         return out
 
 

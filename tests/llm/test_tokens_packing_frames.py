@@ -25,6 +25,11 @@ def test_word_memo_equals_library(text):
     assert np.frombuffer(encoder(PATH).encode([text])[0], "<u4").tolist() == ids_of(text)
 
 
+def test_memo_keeps_contractions_whole():
+    texts = ["dog' 20.2", "dog', 20.2, é’ é’,", "dog'," * 3, "don't", "don't."]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder(PATH).encode(texts[:1]) + encoder(PATH).encode(texts)] == [ids_of(t) for t in texts[:1] + texts]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 40), st.integers(1, 30), min_size=1), st.just(40))
 def test_plan_is_gapless_and_whole(counts, capacity):
