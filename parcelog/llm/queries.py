@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelog.llm import decontaminate, frames, packing, simhash
+from parcelog.llm import decontaminate, frames, packing, quality, simhash
 
 
 def _tokenizer(name: str = "word_bpe_49k.json") -> str:
@@ -35,5 +35,9 @@ def op8_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op6_token_id_files, op7_benchmark_decontamination, op8_simhash_components)}
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op6_token_id_files, op7_benchmark_decontamination, op8_simhash_components, op9_quality_classifier)}
 ORACLE_SQL: dict[str, str] = {}
