@@ -40,3 +40,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Let tasks hand texts to Python few at a time: whole texts can be long, and a batch lies in memory several times."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= rows:
+        spark.conf.set(key, str(rows))
