@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelog.llm import decontaminate, frames, packing, quality, simhash
+from parcelog.llm import decontaminate, frames, packing, quality, secrets, simhash
 
 
 def _tokenizer(name: str = "word_bpe_49k.json") -> str:
@@ -23,6 +23,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, _table(spark, sf_dir, "documents"), _tokenizer())
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents"))
+
+
 def op6_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.token_files(spark, _table(spark, sf_dir, "documents"), _tokenizer())
 
@@ -39,5 +43,5 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op6_token_id_files, op7_benchmark_decontamination, op8_simhash_components, op9_quality_classifier)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_secret_scan, op6_token_id_files, op7_benchmark_decontamination, op8_simhash_components, op9_quality_classifier)}
 ORACLE_SQL: dict[str, str] = {}
