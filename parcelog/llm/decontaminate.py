@@ -29,6 +29,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from parcelog.storage import small_batches
+
 Q = 8
 BUDGET = 0.08
 WINDOW = 240
@@ -179,6 +181,7 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int,
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with one more column ``leaks_``: an array of (item_id, edits, start, end), places in bytes of the normalised text."""
+    small_batches(docs.sparkSession)
     context = docs.sparkSession.sparkContext
 
     def search(items: list[tuple[int, bytes]]):

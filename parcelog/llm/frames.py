@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelog.llm.tokens import encoder
-from parcelog.storage import scratch_path
+from parcelog.storage import scratch_path, small_batches
 
 SKIPPABLE = 0x184D2A5E
 SEEKABLE = 0x8F92EAB1
@@ -127,6 +127,7 @@ def open_uri(uri: str):
 
 def write_token_files(docs: DataFrame, directory: str, tokenizer_path: str, end_id: int = 1) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into shards below ``directory``; returns the manifest, written there too."""
+    small_batches(docs.sparkSession)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

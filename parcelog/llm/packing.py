@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from parcelog.llm.tokens import encoder
-from parcelog.storage import materialize
+from parcelog.storage import materialize, small_batches
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
@@ -80,6 +80,7 @@ def plan_bins(counts: dict[int, int], capacity: int) -> np.ndarray:
 
 def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """Pieces of each document's ids: doc_id, piece, start, length, ids_crc32."""
+    small_batches(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(tokenizer_path).encode, np.array([end_id], dtype="<u4").tobytes()

@@ -28,6 +28,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from parcelog.storage import small_batches
+
 CHUNK = 512
 LEVEL = 3
 DICTIONARY_BYTES = 112 << 10
@@ -75,6 +77,7 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 
 def _differences(df: DataFrame, model: Model) -> DataFrame:
     """``df`` with the column ``difference``."""
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)  # two dictionaries of fixed size
 
     def sizes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

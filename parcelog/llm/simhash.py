@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from parcelog.operators.components import connected_components
-from parcelog.storage import materialize
+from parcelog.storage import materialize, small_batches
 
 SHINGLE_WORDS, SEED, MOST_BITS = 4, 42, 4
 #: First bit and width of each segment.
@@ -198,6 +198,7 @@ def _links(fps: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``fp`` (the fingerprint's bits as a signed long) beside doc_id and the text's hash."""
+    small_batches(docs.sparkSession)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
