@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelog.llm import decontaminate, frames, packing, quality, secrets, simhash
+from parcelog.llm import decontaminate, frames, packing, quality, secrets, simhash, warc
 
 
 def _tokenizer(name: str = "word_bpe_49k.json") -> str:
@@ -43,5 +43,9 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_secret_scan, op6_token_id_files, op7_benchmark_decontamination, op8_simhash_components, op9_quality_classifier)}
+def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(spark, _table(spark, sf_dir, "pages"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_secret_scan, op6_token_id_files, op7_benchmark_decontamination, op8_simhash_components, op9_quality_classifier, op10_warc_archives)}
 ORACLE_SQL: dict[str, str] = {}
