@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelog.llm import decontaminate, frames, packing, perplexity, quality, secrets, simhash, warc
+from parcelog.llm import decontaminate, edit_counts, frames, licenses, packing, perplexity, quality, secrets, simhash, warc
 
 
 def _tokenizer(name: str = "word_bpe_49k.json") -> str:
@@ -31,6 +31,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.rules(_table(spark, sf_dir, "documents"))
 
 
+def op4_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_counts.masked_counts(_table(spark, sf_dir, "documents"), _tokenizer())
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(_table(spark, sf_dir, "documents"))
+
+
 def op6_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.token_files(spark, _table(spark, sf_dir, "documents"), _tokenizer())
 
@@ -51,5 +59,5 @@ def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark, _table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_secret_scan, op3_quality_rules, op6_token_id_files, op7_benchmark_decontamination, op8_simhash_components, op9_quality_classifier, op10_warc_archives)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_secret_scan, op3_quality_rules, op4_edit_aware_counts, op5_license_scan, op6_token_id_files, op7_benchmark_decontamination, op8_simhash_components, op9_quality_classifier, op10_warc_archives)}
 ORACLE_SQL: dict[str, str] = {}

@@ -44,7 +44,7 @@ BACKOFF = 10.0
 SPAN = "struct<start:int,kind:int,end:int>"
 
 
-def _matches(text: Column, pattern: str, value_group: int) -> Column:
+def matches(text: Column, pattern: str, value_group: int) -> Column:
     """Array of (start, end, value) of all matches: their texts, and the gaps that a split leaves, give the places."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = whole if value_group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group))
@@ -63,7 +63,7 @@ def _matches(text: Column, pattern: str, value_group: int) -> Column:
 
 def _base(text: Column, kind: int) -> Column:
     name, pattern, group, least = BASE[kind]
-    found = _matches(text, HEX_RUN if name == "hex" else pattern, group)
+    found = matches(text, HEX_RUN if name == "hex" else pattern, group)
     return F.filter(found, lambda m: F.length(m["value"]) >= least)
 
 
@@ -119,7 +119,7 @@ def spans(docs: DataFrame, model: list[float], threshold: float = THRESHOLD) ->
     weights = F.split(F.lit(",".join(f"{x:.5f}" for x in model)), ",").cast("array<double>")  # folded to one literal
     text = F.coalesce("text", F.lit(""))
     found = docs.withColumn("base_", F.concat(*[_of_kind(_base(text, k), k) for k in range(len(BASE))]))
-    runs = F.filter(_matches(text, f"{RUN}{{{LEAST_RUN},}}+", 0), lambda m: ~F.exists("base_", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+    runs = F.filter(matches(text, f"{RUN}{{{LEAST_RUN},}}+", 0), lambda m: ~F.exists("base_", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
     random = F.filter(runs, lambda m: _ratio(m["value"], weights) >= threshold)
     return found.withColumn("secret_spans", F.array_sort(F.concat("base_", _of_kind(random, len(BASE)))).cast(f"array<{SPAN}>")).drop("base_")
 
