@@ -23,8 +23,9 @@ def scan_registry(spark: SparkSession, name: str, path: str, schema: str, patter
 
 def scan_json_docs(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(documents, broken ones) of one JSON document a file; the id is the parent folder's name."""
-    own = spark.read.json(path, schema=f"{schema}, broken_ string", multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="broken_", recursiveFileLookup=True, pathGlobFilter="*.json")
-    own = own.withColumn("doc_id", F.regexp_extract("_metadata.file_path", r"/([^/]+)/[^/]+$", 1))
+    own = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
+    parsed = F.from_json("value", f"{schema}, broken_ string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken_"})
+    own = own.select(F.regexp_extract("_metadata.file_path", r"/([^/]+)/[^/]+$", 1).alias("doc_id"), parsed.alias("d")).select("doc_id", "d.*")
     return own.filter("broken_ is null").drop("broken_"), own.filter("broken_ is not null").select("doc_id", "broken_")
 
 
