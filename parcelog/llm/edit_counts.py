@@ -22,7 +22,7 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from parcelog.llm.secrets import matches
 from parcelog.llm.tokens import encoder
@@ -132,11 +132,17 @@ def with_counts(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """``docs`` with the struct ``counts``; reads text, edits and, where there are such columns, leaf_lengths and leaf_counts."""
     small_batches(docs.sparkSession)
 
-    def count(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+    own = docs.withColumn("edits", F.col("edits").cast(EDITS))
+    kind = pa.struct([*[(k, pa.int64()) for k in ("n_edits", "n_tokens_before", "n_tokens", "n_chars_encoded")], ("leaf_lengths", pa.list_(pa.int32())), ("leaf_counts", pa.list_(pa.int32()))])
+    schema = T.StructType([*own.schema.fields, T.StructField("counts", T._parse_datatype_string(COUNTS))])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path).encode
-        for columns in batches:
+        for batch in batches:
             out = []
-            for text, edits, lengths, counts in zip(*(c.to_pylist() for c in columns), strict=True):
+            nothing = [None] * batch.num_rows
+            state = [batch.column(k).to_pylist() if k in batch.schema.names else nothing for k in ("leaf_lengths", "leaf_counts")]
+            for text, edits, lengths, counts in zip(batch.column("text").to_pylist(), batch.column("edits").to_pylist(), *state, strict=True):
                 tree = EditTree(text or "", encode, lengths, counts)
                 before = tree.n_tokens
                 edits = sorted(edits or [], key=lambda e: (e["start"], e["end"]), reverse=True)
@@ -146,24 +152,19 @@ def with_counts(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                     tree.edit(e["start"], e["end"], e["text"] or "")
                 own = [(len(x), tree.counts.sums[tree.counts.n + k]) for k, x in enumerate(tree.leaves) if x]
                 out.append({"n_edits": len(edits), "n_tokens_before": before, "n_tokens": tree.n_tokens, "n_chars_encoded": tree.encoded, "leaf_lengths": [a for a, _ in own], "leaf_counts": [b for _, b in own]})
-            kind = pa.struct([*[(k, pa.int64()) for k in ("n_edits", "n_tokens_before", "n_tokens", "n_chars_encoded")], ("leaf_lengths", pa.list_(pa.int32())), ("leaf_counts", pa.list_(pa.int32()))])
-            yield pa.array(out, kind)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], names=[*batch.schema.names, "counts"])
 
-    state = [F.col(c) if c in docs.columns else F.lit(None).cast("array<int>") for c in ("leaf_lengths", "leaf_counts")]
-    return docs.withColumn("counts", F.arrow_udf(count, COUNTS).asNondeterministic()("text", F.col("edits").cast(EDITS), *state))
+    return own.mapInArrow(count, schema)
 
 
 def mask_edits(docs: DataFrame) -> DataFrame:
     """``docs`` with the column ``edits``: masks for personal data, of overlapping ones the first kind's."""
-    edits = F.array().cast(EDITS)
-    for pattern, mask in MASKS:
-        edits = _and(edits, matches(F.coalesce("text", F.lit("")), pattern, 0), mask)
-    return docs.withColumn("edits", edits)
-
-
-def _and(edits, found, mask: str):
-    free = F.filter(found, lambda m: ~F.exists(edits, lambda e: (e["start"] < m["end"]) & (m["start"] < e["end"])))
-    return F.concat(edits, F.transform(free, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.lit(mask).alias("text"))))
+    out = docs.withColumn("edits", F.array().cast(EDITS))
+    for pattern, mask in MASKS:  # a column at a time, so that matches are found once and not for each comparison
+        free = F.filter(matches(F.coalesce("text", F.lit("")), pattern, 0), lambda m: ~F.exists("edits", lambda e: (e["start"] < m["end"]) & (m["start"] < e["end"])))
+        new = F.transform(free, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.lit(mask).alias("text")))  # noqa: B023
+        out = out.withColumn("edits", F.concat("edits", new))
+    return out
 
 
 def masked_counts(docs: DataFrame, tokenizer_path: str) -> DataFrame:

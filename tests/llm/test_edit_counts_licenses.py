@@ -9,6 +9,7 @@ from tokenizers import Tokenizer
 
 from parcelog.llm import edit_counts as e, licenses as li
 from parcelog.llm.tokens import encoder
+from parcelog.storage import scratch_path
 from tests.llm.util import ODD, docs
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -61,7 +62,12 @@ def test_masked_counts(spark):
         assert "@mail" not in text and "1234567890" not in text
     again = spark.createDataFrame([(r.doc_id, r.text, [(0, 0, "new ")], [len(r.text or "")] if r.text else [], [7] if r.text else []) for r in edited], f"doc_id long, text string, edits {e.EDITS}, leaf_lengths array<int>, leaf_counts array<int>")
     assert all(r.counts.n_tokens_before == (7 if r.text else 0) for r in e.with_counts(again, PATH).collect())  # the state is taken, not counted anew
-    assert e.masked_counts(table, PATH).count() == len(rows) and e.masked_counts(docs(spark, []), PATH).count() == 0
+    full = e.masked_counts(table, PATH).collect()
+    assert Counter((r.doc_id, r.n_tokens) for r in full) == Counter((r.doc_id, r.counts.n_tokens) for r in edited)
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(path := scratch_path(spark, "edited"))
+    stored = e.masked_counts(spark.read.parquet(path), PATH).collect()  # plans over files differ from those over local rows
+    assert Counter(map(tuple, stored)) == Counter(map(tuple, full))
+    assert e.masked_counts(docs(spark, []), PATH).count() == 0
 
 
 def test_overlapping_edits_are_refused(spark):
