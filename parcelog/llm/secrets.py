@@ -7,8 +7,9 @@ random strings and one of ordinary identifiers; runs whose mean log-likelihood r
 character reaches ``THRESHOLD`` and that touch no base span are added as ``markov``.
 
 The models are trained on labelled samples from all rows: the values that base patterns
-found are samples of random strings, the other runs of eight or more such characters
-samples of identifiers; each different sample counts once. Both models back off to the
+found are samples of random strings; runs of eight or more such characters that hold no such value
+and stand in two or more different texts are samples of identifiers, as random strings
+that no pattern labels seldom repeat. Each different sample counts once. Both models back off to the
 frequencies of single characters, these smoothed by one, so that without samples
 nothing is told apart.
 Only the counts of character pairs, at most 68 * 68 a class, reach the driver; scoring
@@ -81,9 +82,12 @@ def samples(docs: DataFrame) -> DataFrame:
     values = docs.filter(text.isNotNull()).select(
         F.concat(*[_long(F.regexp_extract_all(text, F.lit(HEX_RUN if n == "hex" else p), F.lit(g)), least) for n, p, g, least in BASE]).alias("secrets"),
         F.regexp_extract_all(text, F.lit(f"{RUN}{{{LEAST_SAMPLE},}}+"), F.lit(0)).alias("runs"),
+        F.xxhash64("text").alias("of"),
     )
     secret = values.select(F.explode("secrets").alias("value")).filter(F.length("value") >= LEAST_SAMPLE).distinct()
-    runs = values.select(F.explode("runs").alias("value")).distinct()
+    own = F.filter("runs", lambda r: ~F.exists("secrets", lambda s: F.contains(r, s)))
+    # In two texts at least: the first and last text differ.
+    runs = values.select(F.explode(own).alias("value"), "of").groupBy("value").agg(F.min("of").alias("first"), F.max("of").alias("last")).filter("first < last").select("value")
     return secret.withColumn("secret", F.lit(True)).union(runs.join(secret, "value", "left_anti").withColumn("secret", F.lit(False)))
 
 

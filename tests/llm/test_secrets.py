@@ -67,3 +67,19 @@ def test_redact(spark):
     assert all(r.n_chars == len(r.text or "") for r in masked)
     clean = sorted((str(t) for _, t in rows if not brute(t)))
     assert len(set(clean) & {str(r.text) for r in masked}) >= 0.95 * len(set(clean))
+
+
+def corpus(unlabelled):
+    """Texts of repeated words and labelled secrets, and as many different unlabelled random strings as asked."""
+    r = random.Random(11)
+    rows, _ = texts()
+    key = lambda: base64.b64encode(r.randbytes(30)).decode()
+    rows += [(3000 + i, " ".join(f"api_key: {key()}" for _ in range(5))) for i in range(40)]
+    return rows + [(4000 + i, " ".join(key() for _ in range(10))) for i in range(unlabelled // 10)]
+
+
+def test_unlabelled_random_strings_do_not_train_identifiers(spark):
+    r = random.Random(12)
+    bare = [(9000 + i, f"see {base64.b64encode(r.randbytes(30)).decode()} there") for i in range(50)]
+    found = {x.doc_id: x.spans for x in secrets.scan(docs(spark, corpus(2000) + bare)).collect()}
+    assert sum(found[9000 + i] == "markov:4:44" for i in range(50)) >= 48
