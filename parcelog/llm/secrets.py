@@ -2,9 +2,10 @@
 
 Base kinds are found by patterns, leftmost and non-overlapping within a kind, whole
 texts, places in code points. Beside them, every run of 20 or more characters that
-secrets are written in is scored by two first-order character Markov models, one of
-random strings and one of ordinary identifiers; runs whose mean log-likelihood ratio a
-character reaches ``THRESHOLD`` and that touch no base span are added as ``markov``.
+secrets are written in, less the base spans in it, is scored by two first-order character
+Markov models, one of random strings and one of ordinary identifiers; runs whose mean
+log-likelihood ratio a character reaches ``THRESHOLD``, and else the best-scoring parts of
+20 or more characters that reach it, are added as ``markov``.
 
 The models are trained on labelled samples from all rows: the values that base patterns
 found are samples of random strings; runs of eight or more such characters that hold no such value
@@ -43,6 +44,9 @@ THRESHOLD = 0.9
 #: Weight, in counts, of the single characters' frequencies behind each character's followers.
 BACKOFF = 10.0
 SPAN = "struct<start:int,kind:int,end:int>"
+PARTS, PLACES = "array<struct<start:int,end:int,value:string>>", "array<struct<start:int,end:int>>"
+#: A part of a run ends where its sum of ratios has fallen so far (natural logarithms).
+DROP = 8.0
 
 
 def matches(text: Column, pattern: str, value_group: int) -> Column:
@@ -109,13 +113,51 @@ def train(labelled: DataFrame) -> list[float]:
     return [a - b for a, b in zip(logs(counts[True]), logs(counts[False]), strict=True)]
 
 
-def _ratio(value: Column, weights: Column) -> Column:
-    """Mean log-likelihood ratio of a run, a pair of characters."""
-    n = len(ALPHABET)
-    codes = F.transform(F.filter(F.split(value, ""), lambda c: c != ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
-    start = F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("sum"))
-    step = lambda s, c: F.struct(c.alias("last"), F.when(s["last"] < 0, F.lit(0.0)).otherwise(s["sum"] + F.element_at(weights, s["last"] * n + c + 1)).alias("sum"))
-    return F.aggregate(codes, start, step, lambda s: s["sum"]) / (F.length(value) - 1)
+def _outside(run: Column, base: Column) -> Column:
+    """(start, end, value) of what base spans leave of a run, where that is long enough."""
+    touching = F.array_sort(F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"])))
+    nothing = F.array().cast(PARTS)
+
+    def piece(start: Column, end: Column) -> Column:
+        value = F.substring(run["value"], start - run["start"] + 1, end - start)
+        return F.when(end - start >= LEAST_RUN, F.array(F.struct(start.alias("start"), end.alias("end"), value.alias("value")))).otherwise(nothing)
+
+    step = lambda s, b: F.struct(F.greatest(s["at"], b["end"]).alias("at"), F.concat(s["out"], piece(s["at"], b["start"])).alias("out"))
+    cut = F.aggregate(touching, F.struct(run["start"].alias("at"), nothing.alias("out")), step, lambda s: F.concat(s["out"], piece(s["at"], run["end"])))
+    return F.when(F.size(touching) > 0, cut).otherwise(F.array(run))
+
+
+def _random(run: Column, weights: Column, threshold: float) -> Column:
+    """(start, end) of the random parts of a run: the whole if its mean ratio a pair suffices, else its best-scoring parts.
+
+    Parts are those of the greatest sum of ratios less half the threshold; a part ends for good
+    where the sum is used up or falls ``DROP`` below its greatest.
+    """
+    n, shift = len(ALPHABET), max(threshold, 0.0) / 2
+    codes = F.transform(F.filter(F.split(run["value"], ""), lambda c: c != ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    nothing = F.array().cast(PLACES)
+
+    def state(last: Column, at: Column, total: Column, start: Column, sum_: Column, best: Column, end: Column, out: Column) -> Column:
+        return F.struct(last.alias("last"), at.alias("at"), total.alias("total"), start.alias("start"), sum_.alias("sum"), best.alias("best"), end.alias("end"), out.alias("out"))
+
+    def with_best(s: Column) -> Column:
+        pairs = s["end"] - s["start"] - 1
+        enough = (pairs + 1 >= LEAST_RUN) & (s["best"] + shift * pairs >= threshold * pairs)
+        return F.when(enough, F.concat(s["out"], F.array(F.struct((run["start"] + s["start"]).alias("start"), (run["start"] + s["end"]).alias("end"))))).otherwise(s["out"])
+
+    def step(s: Column, c: Column) -> Column:
+        weight = F.when(s["last"] < 0, F.lit(0.0)).otherwise(F.element_at(weights, s["last"] * n + c + 1))
+        now = s["sum"] + weight - shift
+        total, after = s["total"] + weight, s["at"] + 1
+        over, better = (now <= 0) | (s["best"] - now > DROP), now > s["best"]
+        ended = state(c, after, total, s["at"], F.lit(0.0), F.lit(0.0), after, with_best(s))
+        longer = state(c, after, total, s["start"], now, now, after, s["out"])
+        same = state(c, after, total, s["start"], now, s["best"], s["end"], s["out"])
+        return F.when(over, ended).when(better, longer).otherwise(same)
+
+    zero, nil = F.lit(0), F.lit(0.0)
+    whole = F.array(F.struct(run["start"].alias("start"), run["end"].alias("end")))
+    return F.aggregate(codes, state(F.lit(-1), zero, nil, zero, nil, nil, zero, nothing), step, lambda s: F.when(s["total"] >= threshold * (s["at"] - 1), whole).otherwise(with_best(s)))
 
 
 def spans(docs: DataFrame, model: list[float], threshold: float = THRESHOLD) -> DataFrame:
@@ -123,8 +165,8 @@ def spans(docs: DataFrame, model: list[float], threshold: float = THRESHOLD) ->
     weights = F.split(F.lit(",".join(f"{x:.5f}" for x in model)), ",").cast("array<double>")  # folded to one literal
     text = F.coalesce("text", F.lit(""))
     found = docs.withColumn("base_", F.concat(*[_of_kind(_base(text, k), k) for k in range(len(BASE))]))
-    runs = F.filter(matches(text, f"{RUN}{{{LEAST_RUN},}}+", 0), lambda m: ~F.exists("base_", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    random = F.filter(runs, lambda m: _ratio(m["value"], weights) >= threshold)
+    runs = F.flatten(F.transform(matches(text, f"{RUN}{{{LEAST_RUN},}}+", 0), lambda m: _outside(m, F.col("base_"))))
+    random = F.flatten(F.transform(runs, lambda m: _random(m, weights, threshold)))
     return found.withColumn("secret_spans", F.array_sort(F.concat("base_", _of_kind(random, len(BASE)))).cast(f"array<{SPAN}>")).drop("base_")
 
 

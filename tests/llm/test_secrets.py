@@ -83,3 +83,20 @@ def test_unlabelled_random_strings_do_not_train_identifiers(spark):
     bare = [(9000 + i, f"see {base64.b64encode(r.randbytes(30)).decode()} there") for i in range(50)]
     found = {x.doc_id: x.spans for x in secrets.scan(docs(spark, corpus(2000) + bare)).collect()}
     assert sum(found[9000 + i] == "markov:4:44" for i in range(50)) >= 48
+
+
+def test_parts_of_runs(spark):
+    r = random.Random(13)
+    key = lambda n: "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    head = "configuration_of_the_server/documentation/establishment-of-counter.values/"
+    keys = [(key(40), key(40)) for _ in range(30)]
+    rows = [(9000 + i, f"see {head}{a} there") for i, (a, _) in enumerate(keys)]
+    rows += [(9100 + i, f"é AKIA{'Q7' * 8}/{a}") for i, (a, _) in enumerate(keys)]
+    rows += [(9200 + i, f"{head}{a}/{head}{b}") for i, (a, b) in enumerate(keys)]
+    rows += [(9300, f"see {head} there {head * 3}")]
+    found = {x.doc_id: [tuple(map(int, s.split(":")[1:])) for s in x.spans.split(",") if s.startswith("markov")] for x in secrets.scan(docs(spark, corpus(0) + rows)).collect()}
+    covered = lambda spans, start: sum(max(0, min(z, start + 40) - max(a, start)) for a, z in spans) >= 36
+    assert sum(covered(found[9000 + i], 4 + len(head)) for i in range(30)) >= 25
+    assert sum(covered(found[9100 + i], 23) for i in range(30)) >= 25
+    assert sum(covered(found[9200 + i], len(head)) and covered(found[9200 + i], 41 + 2 * len(head)) for i in range(30)) >= 25
+    assert found[9300] == [] and all(z - a <= 60 for k in (9000, 9200) for i in range(30) for a, z in found[k + i])
