@@ -72,3 +72,27 @@ def test_leaks_and_drop(spark):
     block = d.Block([(k, d.normalise(t)) for k, t in items], d.BUDGET)
     assert sorted(kept, key=str) == sorted((i for i, t in rows if not list(block.search(d.normalise(t)))), key=str)
     assert d.leaks(docs(spark, rows), table.limit(0)).count() == 0 and d.leaks(docs(spark, []), table).count() == 0
+
+
+def test_windows_of_items_of_middle_length():
+    rng = np.random.default_rng(3)
+    for n in (241, 300, 350, 360, 361, 420, 500):
+        item = " ".join(word(rng) for _ in range(200)).encode()[:n].rstrip().ljust(n, b"x")
+        block = d.Block([(1, item)], d.BUDGET)
+        for part in (item, item[: d.WINDOW], item[-d.WINDOW :]):
+            assert [k for k, *_ in block.search(b"some words " + part + b" more words")] == [0]
+        assert not list(block.search(b"some words " + item[: d.WINDOW // 2] + b" more words"))
+
+
+def test_short_items_with_edits():
+    rng = np.random.default_rng(5)
+    for n in range(16, 40):
+        item = " ".join(word(rng) for _ in range(20)).encode()[:n].rstrip().ljust(n, b"x")
+        most = int(d.BUDGET * n)
+        block = d.Block([(1, item)], d.BUDGET)
+        for k in range(n):
+            other = item[:k] + b"0" + item[k + 1 :]
+            assert [e for _, e, *_ in block.search(b"words " + other + b" words")] == [1]
+        spread = bytearray(item)
+        spread[:: n // (most + 1)] = b"0" * len(spread[:: n // (most + 1)])
+        assert not list(block.search(bytes(spread)))
