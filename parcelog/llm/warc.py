@@ -220,7 +220,7 @@ def records_of(source) -> Iterator[tuple[dict[str, str], dict[str, str], bytes]]
     archive = ZipReader(source)
     begin, _ = archive.place(RECORDS)
     for line in archive.read(INDEX).decode().splitlines():
-        entry = json.loads(line[line.index("{") :])
+        entry = json.loads(line[line.rindex("{") :])
         source.seek(begin + entry["offset"])
         yield parse_record(gzip.decompress(source.read(entry["length"])))
 
@@ -231,7 +231,7 @@ def read_record(path: str, page_id: int) -> tuple[dict[str, str], dict[str, str]
     with fs.open_input_file(name) as source:
         archive = ZipReader(source)
         for line in archive.read(INDEX).decode().splitlines():
-            entry = json.loads(line[line.index("{") :])
+            entry = json.loads(line[line.rindex("{") :])
             if entry["page_id"] == page_id:
                 return parse_record(gzip.decompress(archive.read(RECORDS, entry["offset"], entry["length"])))
     return None

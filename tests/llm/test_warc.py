@@ -70,3 +70,11 @@ def test_offsets_beyond_four_gigabytes():
     entry = struct.pack("<IHHHHHHIIIHHHHHII", warc.CENTRAL, 45, 45, 0, 0, 0, 0, 0, warc.MOST32, warc.MOST32, 1, len(extra), 0, 0, 0, 0, warc.MOST32) + name + extra
     ((_, member),) = warc.ZipReader._directory(None, entry, 1)
     assert member["size"] == 5 << 32 and member["start"] == 6 << 32
+
+
+def test_urls_with_braces(spark, tmp_path):
+    rows = [(i, u, f"body {i} " * 40) for i, u in enumerate(["http://h/item/{id}", "{", "http://h/{\"offset\": 1} x", "http://h/ "])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sorted((tuple(x) for x in warc.archive_pages(spark, pages).collect()), key=str) == brute(rows)
+    (path,) = [x.path for x in warc.write_archives(pages.coalesce(1), f"file://{tmp_path}/w").collect()]
+    assert [warc.read_record(path, i)[2].decode() for i in range(4)] == [h for _, _, h in rows]
