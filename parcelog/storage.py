@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder; a private one only where the setting is absent."""
+    """The cluster's shared folder; a private one only where the setting is absent and all runs on one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         context = spark.sparkContext
         root = context.getCheckpointDir()
         if not root:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="parcelog-"))
             root = context.getCheckpointDir()
     return root.rstrip("/")
