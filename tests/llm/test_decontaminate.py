@@ -1,5 +1,8 @@
+import time
+
 import numpy as np
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from parcelog.llm import decontaminate as d
 from tests.llm.util import ODD, docs
@@ -96,3 +99,102 @@ def test_short_items_with_edits():
         spread = bytearray(item)
         spread[:: n // (most + 1)] = b"0" * len(spread[:: n // (most + 1)])
         assert not list(block.search(bytes(spread)))
+
+
+def fewest_edits(item, place):
+    """``brute`` a row at a time: insertions by a running minimum of value less column."""
+    b, row = np.frombuffer(place, np.uint8), np.zeros(len(place) + 1, np.int64)
+    steps = np.arange(len(row))
+    for a in item:
+        new = row + 1
+        new[1:] = np.minimum(new[1:], row[:-1] + (b != a))
+        row = np.minimum.accumulate(new - steps) + steps
+    return int(row.min())
+
+
+def edited(rng, text, edits):
+    out = list(text)
+    for k in sorted(rng.choice(len(out), edits, replace=False).tolist(), reverse=True):
+        kind = rng.integers(3)
+        out[k : k + (kind > 0)] = [] if kind == 1 else ["z"]
+    return "".join(out)
+
+
+def test_items_of_all_lengths_equal_brute_force():
+    """Whole items within their own budgets at every length; recall and precision are 1."""
+    rng = np.random.default_rng(17)
+    items = []
+    for n in (5, 5, 9, 13, 14, 15, 16, 30, 30, 100, 240, 241, 400, 3000):
+        items.append(" ".join(word(rng) for _ in range(n)).encode()[:n].rstrip().ljust(n, b"q"))
+    rows = [" ".join(word(rng) for _ in range(40)).encode() for _ in range(6)]
+    for item in items:
+        most = int(d.BUDGET * len(item))
+        for edits in {0, most, most + 1, 2 * most}:
+            rows.append(f"{word(rng)} {edited(rng, item.decode(), min(edits, len(item)))} {word(rng)}".encode())
+    whole, both = d.Block(list(enumerate(items)), d.BUDGET, window=None), d.Block(list(enumerate(items)), d.BUDGET)
+    hits = 0
+    for text in rows:
+        text = d.normalise(text.decode())
+        expected, parts = set(), set()
+        for k, item in enumerate(items):
+            if len(item) < d.LEAST:
+                found = f" {item.decode()} " in f" {text.decode()} "
+            else:
+                found = fewest_edits(item, text) <= int(d.BUDGET * len(item))
+            expected |= {k} if found else set()
+            windows = [item[a : a + 240] for a in sorted({*range(0, len(item) - 240, 120), len(item) - 240})] if len(item) > 240 else []
+            parts |= {k} if found or any(fewest_edits(w, text) <= int(d.BUDGET * 240) for w in windows) else set()
+        assert {k for k, *_ in whole.search(text)} == expected
+        got = list(both.search(text))
+        assert {k for k, *_ in got} == parts and {k for k, *_, all_ in got if all_} == expected
+        for k, edits, a, z, all_ in got:
+            if all_ and len(items[k]) >= d.LEAST:
+                assert edits == fewest_edits(items[k], text) == fewest_edits(items[k], text[a:z])
+        hits += len(expected)
+    assert hits >= 28  # each item at none and at its most edits
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.text("abc", min_size=1, max_size=150), st.text("abc", max_size=200)), min_size=1, max_size=12))
+def test_many_at_once_equal_one_by_one(pairs):
+    edits, ends = d.fewest_of_many([p.encode() for p, _ in pairs], [t.encode() for _, t in pairs])
+    assert list(zip(edits.tolist(), ends.tolist())) == [d.fewest(p.encode(), t.encode()) for p, t in pairs]
+
+
+def test_budgets_that_need_shorter_grams():
+    rng = np.random.default_rng(19)
+    for budget in (0.12, 0.2, 0.3):
+        items = [" ".join(word(rng) for _ in range(30)).encode()[:n].rstrip().ljust(n, b"q") for n in (20, 60, 150)]
+        block = d.Block(list(enumerate(items)), budget, window=None)
+        for item in items:
+            for edits in (0, int(budget * len(item)), int(budget * len(item)) + 3):
+                text = d.normalise(f"{word(rng)} {edited(rng, item.decode(), edits)} {word(rng)}")
+                assert {k for k, *_ in block.search(text)} == {k for k, x in enumerate(items) if fewest_edits(x, text) <= int(budget * len(x))}
+
+
+def test_items_with_a_common_prompt():
+    """Thousands of items begin alike and a text repeats that beginning: bounded memory, no quadratic work."""
+    rng = np.random.default_rng(23)
+    prompt = (" ".join(word(rng) for _ in range(20)).encode()[:79].rstrip() + b" ").ljust(80, b"q")
+    items = [prompt + " ".join(word(rng) for _ in range(9)).encode()[:40].rstrip().ljust(40, b"q") for _ in range(3000)]
+    block = d.Block(list(enumerate(items)), d.BUDGET)
+    parts = [prompt + " ".join(word(rng) for _ in range(9)).encode()[:40] for _ in range(107)]
+    parts[40] = items[77][:60] + b"zz" + items[77][62:]
+    text = b" ".join(parts)
+    assert len(text) > 12_800
+    began = time.time()
+    got = list(block.search(text))
+    assert time.time() - began < 20  # about 3 s on a free machine
+    assert (77, 2) in [(k, e) for k, e, *_ in got]
+    for k in rng.choice(3000, 25, replace=False).tolist():
+        assert (k in {g for g, *_ in got}) == (fewest_edits(items[k], text) <= int(d.BUDGET * len(items[k])))
+
+
+def test_clashing_names_and_many_blocks(spark):
+    items, rows = planted(9)
+    table = spark.createDataFrame(items, "item_id long, text string")
+    own = docs(spark, rows).withColumn("leaks_", F.lit("mine")).withColumn("item_id", F.lit(3))
+    kept = d.drop_leaks(own, table)
+    assert kept.columns == own.columns and {r.leaks_ for r in kept.collect()} == {"mine"}
+    few = d.drop_leaks(own, table, block_bytes=100)  # more blocks than a pass takes
+    assert {r.doc_id for r in few.collect()} == {r.doc_id for r in kept.collect()}
