@@ -9,10 +9,16 @@ and updates the sums above it; the rest of the text is never encoded again.
 ``leaf_lengths`` and ``leaf_counts`` of a document are its tree's state: they are kept as
 columns, and a later run takes them up instead of encoding the text.
 
-Defined cases: null and empty texts have no tokens; null edits are none; edits are done
-from the last to the first, so all places mean the text as it was, overlapping edits and
-places beyond the text raise an error; repeated rows and null ids are counted like
-others; an empty table gives no rows; other columns stay with their rows.
+Edits are done from the last to the first, so all places mean the text as it was; texts put
+in at one place stand there in the edits' order. Edits that overlap others or reach beyond
+the text are refused: by default with an error, as what follows would count another text
+than meant; with ``refuse="skip"`` those that overlap an earlier one (by place, then order)
+or reach beyond are left out and counted in ``n_refused``, and the job goes on.
+
+Defined cases: null and empty texts have no tokens; null edits, and edits with a null
+place, are none, a null replacement is the empty text; repeated rows and null ids are
+counted like others; an empty table gives no rows; other columns stay with their rows, but
+for one with the result's name, which the result replaces (``name`` chooses another).
 """
 
 from __future__ import annotations
@@ -22,17 +28,17 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from parcelog.llm.secrets import matches
+from parcelog.llm.spans import let, matches, pieces, sums_before
 from parcelog.llm.tokens import encoder
 from parcelog.storage import small_batches
 
 LEAF = 512
 EDITS = "array<struct<start:int,end:int,text:string>>"
-COUNTS = "struct<n_edits:long,n_tokens_before:long,n_tokens:long,n_chars_encoded:long,leaf_lengths:array<int>,leaf_counts:array<int>>"
+COUNTS = "struct<n_edits:long,n_refused:long,n_tokens_before:long,n_tokens:long,n_chars_encoded:long,leaf_lengths:array<int>,leaf_counts:array<int>>"
 #: Personal data that the sample edits mask: mail addresses, network addresses and long numbers (fixed values).
-MASKS = ((r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "<mail>"), (r"\b(?:[0-9]{1,3}\.){3}[0-9]{1,3}\b", "<address>"), (r"\b[0-9]{8,}\b", "<number>"))
+MASKS = ((r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "<mail>"), (r"\b(?:[0-9]{1,3}\.){3}[0-9]{1,3}\b", "<address>"), (r"\b[0-9]{8,}\b", "<number>"))
 
 _BORDER = re.compile(r"(?<=[^ \n\t\r])(?=[ \n\t\r])")
 
@@ -128,13 +134,28 @@ def cut(text: str) -> list[str]:
     return [*out, text[at:]] if at < len(text) else out
 
 
-def with_counts(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+def in_order(edits: list[dict | None] | None, length: int, strict: bool) -> tuple[list[dict], int]:
+    """Edits from the last to the first, and the number of those refused."""
+    known = [(e["start"], e["end"], i, e["text"] or "") for i, e in enumerate(edits or []) if e and e["start"] is not None and e["end"] is not None]
+    taken, free = [], 0
+    for start, end, _, text in sorted(known):
+        if free <= start <= end <= length:
+            taken.append((start, end, text))
+            free = end
+        elif strict:
+            raise ValueError("an edit reaches beyond its text" if not 0 <= start <= end <= length else "edits overlap")
+    return taken[::-1], len(known) - len(taken)
+
+
+def with_counts(docs: DataFrame, tokenizer_path: str, refuse: str = "error", name: str = "counts") -> DataFrame:
     """``docs`` with the struct ``counts``; reads text, edits and, where there are such columns, leaf_lengths and leaf_counts."""
+    if refuse not in ("error", "skip"):
+        raise ValueError("refuse is error or skip")
     small_batches(docs.sparkSession)
-
+    docs = docs.drop(*[c for c in docs.columns if c.lower() == name.lower()])
     own = docs.withColumn("edits", F.col("edits").cast(EDITS))
-    kind = pa.struct([*[(k, pa.int64()) for k in ("n_edits", "n_tokens_before", "n_tokens", "n_chars_encoded")], ("leaf_lengths", pa.list_(pa.int32())), ("leaf_counts", pa.list_(pa.int32()))])
-    schema = T.StructType([*own.schema.fields, T.StructField("counts", T._parse_datatype_string(COUNTS))])
+    kind = pa.struct([*[(k, pa.int64()) for k in ("n_edits", "n_refused", "n_tokens_before", "n_tokens", "n_chars_encoded")], ("leaf_lengths", pa.list_(pa.int32())), ("leaf_counts", pa.list_(pa.int32()))])
+    schema = T.StructType([*own.schema.fields, T.StructField(name, T._parse_datatype_string(COUNTS))])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path).encode
@@ -145,26 +166,30 @@ def with_counts(docs: DataFrame, tokenizer_path: str) -> DataFrame:
             for text, edits, lengths, counts in zip(batch.column("text").to_pylist(), batch.column("edits").to_pylist(), *state, strict=True):
                 tree = EditTree(text or "", encode, lengths, counts)
                 before = tree.n_tokens
-                edits = sorted(edits or [], key=lambda e: (e["start"], e["end"]), reverse=True)
-                if any(a["start"] < b["end"] for a, b in zip(edits, edits[1:], strict=False)):
-                    raise ValueError("edits overlap")
-                for e in edits:
-                    tree.edit(e["start"], e["end"], e["text"] or "")
+                edits, refused = in_order(edits, len(text or ""), refuse == "error")
+                for start, end, new in edits:
+                    tree.edit(start, end, new)
                 own = [(len(x), tree.counts.sums[tree.counts.n + k]) for k, x in enumerate(tree.leaves) if x]
-                out.append({"n_edits": len(edits), "n_tokens_before": before, "n_tokens": tree.n_tokens, "n_chars_encoded": tree.encoded, "leaf_lengths": [a for a, _ in own], "leaf_counts": [b for _, b in own]})
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], names=[*batch.schema.names, "counts"])
+                out.append({"n_edits": len(edits), "n_refused": refused, "n_tokens_before": before, "n_tokens": tree.n_tokens, "n_chars_encoded": tree.encoded, "leaf_lengths": [a for a, _ in own], "leaf_counts": [b for _, b in own]})
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], names=[*batch.schema.names, name])
 
     return own.mapInArrow(count, schema)
 
 
 def mask_edits(docs: DataFrame) -> DataFrame:
     """``docs`` with the column ``edits``: masks for personal data, of overlapping ones the first kind's."""
-    out = docs.withColumn("edits", F.array().cast(EDITS))
-    for pattern, mask in MASKS:  # a column at a time, so that matches are found once and not for each comparison
-        free = F.filter(matches(F.coalesce("text", F.lit("")), pattern, 0), lambda m: ~F.exists("edits", lambda e: (e["start"] < m["end"]) & (m["start"] < e["end"])))
-        new = F.transform(free, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.lit(mask).alias("text")))  # noqa: B023
-        out = out.withColumn("edits", F.concat("edits", new))
-    return out
+
+    def extended(piece: Column, edits: Column, kinds: tuple[tuple[str, str], ...]) -> Column:
+        if not kinds:
+            return edits
+        pattern, mask = kinds[0]
+        free = F.filter(matches(piece, pattern), lambda m: ~F.exists(edits, lambda e: (e["start"] < m["end"]) & (m["start"] < e["end"])))
+        new = F.transform(free, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.lit(mask).alias("text")))
+        return let(F.concat(edits, new), lambda found: extended(piece, found, kinds[1:]))
+
+    cut = pieces(F.coalesce("text", F.lit("")), r"\s")
+    moved = lambda t, at: F.transform(extended(t, F.array().cast(EDITS), MASKS), lambda e: F.struct((at + e["start"]).alias("start"), (at + e["end"]).alias("end"), e["text"].alias("text")))
+    return docs.withColumn("edits", let(cut, lambda own: F.flatten(F.zip_with(own, sums_before(F.transform(own, F.length)), moved))).cast(EDITS))
 
 
 def masked_counts(docs: DataFrame, tokenizer_path: str) -> DataFrame:

@@ -28,6 +28,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from parcelog.llm.spans import MATCHES, let, matches, pieces, sums_before
+
 #: Kinds in their order, with pattern, the group whose length counts, and its least length (fixed values).
 BASE = (
     ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
@@ -39,60 +41,62 @@ HEX_RUN = r"(?<![0-9a-f])[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 RUN = r"[A-Za-z0-9+/_.=-]"
+#: Where no span of any kind reaches across: behind a character that is in none, behind a space away from : and =,
+#: behind a colon without a name before it, behind a quotation mark within a word.
+CUT = r"""[^A-Za-z0-9+/_.=\-"':\x20]|[^:=\x20]\x20(?=[^:=\x20])|[^\x20"':](?<!(?i:password|passwd|secret|token|key)):|[A-Za-z0-9+/_.-]["'](?=[A-Za-z0-9+/_.-])"""
 LEAST_RUN, LEAST_SAMPLE = 20, 8
 THRESHOLD = 0.9
 #: Weight, in counts, of the single characters' frequencies behind each character's followers.
 BACKOFF = 10.0
 SPAN = "struct<start:int,kind:int,end:int>"
-PARTS, PLACES = "array<struct<start:int,end:int,value:string>>", "array<struct<start:int,end:int>>"
+SPANS = f"array<{SPAN}>"
+PLACES = "array<struct<start:int,end:int>>"
 #: A part of a run ends where its sum of ratios has fallen so far (natural logarithms).
 DROP = 8.0
 
 
-def matches(text: Column, pattern: str, value_group: int) -> Column:
-    """Array of (start, end, value) of all matches: their texts, and the gaps that a split leaves, give the places."""
-    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    value = whole if value_group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group))
-    gaps = F.split(text, pattern, -1)
-    nothing = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    zero = F.struct(F.lit(0).alias("at"), nothing.alias("out"))
-
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["gap"])
-        end = start + F.length(x["whole"])
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value")))).alias("out"))
-
-    zipped = F.zip_with(F.arrays_zip(whole.alias("whole"), value.alias("value")), F.slice(gaps, 1, F.size(whole)), lambda a, g: F.struct(g.alias("gap"), a["whole"].alias("whole"), a["value"].alias("value")))
-    return F.when(F.size(whole) > 0, F.aggregate(zipped, zero, step, lambda s: s["out"])).otherwise(nothing)
+def _long(values: Column, least: int) -> Column:
+    return F.filter(values, lambda v: F.length(v) >= least)
 
 
-def _base(text: Column, kind: int) -> Column:
-    name, pattern, group, least = BASE[kind]
-    found = matches(text, HEX_RUN if name == "hex" else pattern, group)
-    return F.filter(found, lambda m: F.length(m["value"]) >= least)
+def _of_kind(found: Column, kind: int, first: Column | None = None) -> Column:
+    """Spans (start, kind, end) of matches, moved by ``first``."""
+    at = F.lit(0) if first is None else first
+    return F.transform(found, lambda m: F.struct((at + m["start"]).alias("start"), F.lit(kind).alias("kind"), (at + m["end"]).alias("end")))
 
 
-def _long(values: Column, least: int) -> Column:
-    return F.filter(values, lambda v: F.length(v) >= least)
+def _assigned(text: Column) -> Column:
+    """Spans of the first base kind in a piece of text."""
+    _, pattern, group, least = BASE[0]
+    found = F.filter(matches(text, pattern, group), lambda m: F.length(m["value"]) >= least)
+    return F.when(text.rlike(pattern), _of_kind(found, 0)).otherwise(F.array().cast(SPANS))
 
 
-def _of_kind(found: Column, kind: int) -> Column:
-    return F.transform(found, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end")))
+def _within(run: Column) -> Column:
+    """Spans of the other base kinds, which lie within long runs."""
+    kinds = [F.filter(matches(run["value"], HEX_RUN if name == "hex" else own), lambda m, n=n: m["end"] - m["start"] >= n) for name, own, _, n in BASE[1:]]
+    return F.concat(*[_of_kind(found, k, run["start"]) for k, found in enumerate(kinds, 1)]).cast(SPANS)
 
 
 def samples(docs: DataFrame) -> DataFrame:
     """Different labelled samples: ``value`` and ``secret`` (true for values that base patterns found)."""
     text = F.col("text")
-    values = docs.filter(text.isNotNull()).select(
-        F.concat(*[_long(F.regexp_extract_all(text, F.lit(HEX_RUN if n == "hex" else p), F.lit(g)), least) for n, p, g, least in BASE]).alias("secrets"),
-        F.regexp_extract_all(text, F.lit(f"{RUN}{{{LEAST_SAMPLE},}}+"), F.lit(0)).alias("runs"),
-        F.xxhash64("text").alias("of"),
-    )
-    secret = values.select(F.explode("secrets").alias("value")).filter(F.length("value") >= LEAST_SAMPLE).distinct()
-    own = F.filter("runs", lambda r: ~F.exists("secrets", lambda s: F.contains(r, s)))
-    # In two texts at least: the first and last text differ.
-    runs = values.select(F.explode(own).alias("value"), "of").groupBy("value").agg(F.min("of").alias("first"), F.max("of").alias("last")).filter("first < last").select("value")
-    return secret.withColumn("secret", F.lit(True)).union(runs.join(secret, "value", "left_anti").withColumn("secret", F.lit(False)))
+    _, assign, group, least = BASE[0]
+
+    def of_piece(piece: Column) -> Column:
+        assigned = F.when(piece.rlike(assign), _long(F.regexp_extract_all(piece, F.lit(assign), F.lit(group)), max(least, LEAST_SAMPLE))).otherwise(F.array().cast("array<string>"))
+        inner = lambda r: F.concat(*[_long(F.regexp_extract_all(r, F.lit(HEX_RUN if name == "hex" else own), F.lit(0)), n) for name, own, _, n in BASE[1:]])
+        labelled = lambda runs: F.concat(assigned, F.flatten(F.transform(_long(runs, LEAST_RUN), inner)))
+        own = lambda runs, secrets: F.when(F.size(secrets) > 0, F.filter(runs, lambda r: ~F.exists(secrets, lambda s: F.contains(r, s)))).otherwise(runs)
+        all_runs = F.regexp_extract_all(piece, F.lit(f"{RUN}{{{LEAST_SAMPLE},}}+"), F.lit(0))
+        return let(all_runs, lambda runs: let(labelled(runs), lambda secrets: F.struct(secrets.alias("secrets"), own(runs, secrets).alias("runs"))))
+
+    found = docs.filter(text.isNotNull()).select(F.xxhash64("text").alias("of"), F.transform(pieces(text, CUT), of_piece).alias("found"))
+    named = lambda part, secret: F.transform(F.array_distinct(F.flatten(F.col(f"found.{part}"))), lambda v: F.struct(v.alias("value"), F.lit(secret).alias("secret")))
+    rows = found.select("of", F.inline(F.concat(named("secrets", True), named("runs", False))))
+    # One shuffle by value; an identifier stands in two texts at least: the first and last text differ.
+    counted = rows.groupBy("value").agg(F.max("secret").alias("secret"), F.min("of").alias("first"), F.max("of").alias("last"))
+    return counted.filter("secret or first < last").select("value", "secret")
 
 
 def train(labelled: DataFrame) -> list[float]:
@@ -116,7 +120,7 @@ def train(labelled: DataFrame) -> list[float]:
 def _outside(run: Column, base: Column) -> Column:
     """(start, end, value) of what base spans leave of a run, where that is long enough."""
     touching = F.array_sort(F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"])))
-    nothing = F.array().cast(PARTS)
+    nothing = F.array().cast(MATCHES)
 
     def piece(start: Column, end: Column) -> Column:
         value = F.substring(run["value"], start - run["start"] + 1, end - start)
@@ -160,14 +164,34 @@ def _random(run: Column, weights: Column, threshold: float) -> Column:
     return F.aggregate(codes, state(F.lit(-1), zero, nil, zero, nil, nil, zero, nothing), step, lambda s: F.when(s["total"] >= threshold * (s["at"] - 1), whole).otherwise(with_best(s)))
 
 
+def _spans(text: Column, weights: Column, threshold: float) -> Column:
+    """Spans of a piece of text by start and kind, places within the piece."""
+
+    def in_run(run: Column, assigned: Column) -> Column:
+        def all_kinds(own: Column) -> Column:
+            random = F.flatten(F.transform(_outside(run, F.concat(own, assigned)), lambda m: _random(m, weights, threshold)))
+            return F.concat(own, _of_kind(random, len(BASE)).cast(SPANS))
+
+        return let(_within(run), all_kinds)
+
+    def with_runs(runs: Column, assigned: Column) -> Column:
+        return F.when(F.size(runs) > 0, F.array_sort(F.concat(assigned, F.flatten(F.transform(runs, lambda r: in_run(r, assigned)))))).otherwise(assigned)
+
+    return let(matches(text, f"{RUN}{{{LEAST_RUN},}}+"), lambda runs: let(_assigned(text), lambda assigned: with_runs(runs, assigned)))
+
+
+def in_pieces(docs: DataFrame, model: list[float], threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with ``secret_pieces``: the text's pieces as (text, start, spans), places of spans within the piece."""
+    weights = F.split(F.lit(",".join(f"{x:.5f}" for x in model)), ",").cast("array<double>")  # folded to one literal
+    cut = pieces(F.coalesce("text", F.lit("")), CUT)
+    placed = let(cut, lambda own: F.zip_with(own, sums_before(F.transform(own, F.length)), lambda t, at: F.struct(t.alias("text"), at.alias("start"), _spans(t, weights, threshold).cast(SPANS).alias("spans"))))
+    return docs.withColumn("secret_pieces", placed)
+
+
 def spans(docs: DataFrame, model: list[float], threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``secret_spans``: (start, kind, end) of all spans by start and kind, kinds numbered as in ``KINDS``."""
-    weights = F.split(F.lit(",".join(f"{x:.5f}" for x in model)), ",").cast("array<double>")  # folded to one literal
-    text = F.coalesce("text", F.lit(""))
-    found = docs.withColumn("base_", F.concat(*[_of_kind(_base(text, k), k) for k in range(len(BASE))]))
-    runs = F.flatten(F.transform(matches(text, f"{RUN}{{{LEAST_RUN},}}+", 0), lambda m: _outside(m, F.col("base_"))))
-    random = F.flatten(F.transform(runs, lambda m: _random(m, weights, threshold)))
-    return found.withColumn("secret_spans", F.array_sort(F.concat("base_", _of_kind(random, len(BASE)))).cast(f"array<{SPAN}>")).drop("base_")
+    moved = lambda p: F.transform(p["spans"], lambda s: F.struct((p["start"] + s["start"]).alias("start"), s["kind"].alias("kind"), (p["start"] + s["end"]).alias("end")))
+    return in_pieces(docs, model, threshold).withColumn("secret_spans", F.flatten(F.transform("secret_pieces", moved))).drop("secret_pieces")
 
 
 def _joined(found: Column) -> Column:
@@ -184,21 +208,28 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return found.select("doc_id", *[count(k).alias(f"n_{BASE[k][0]}") for k in range(len(BASE))], F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined(F.col("secret_spans")).alias("spans"))
 
 
-def redact(docs: DataFrame, mask: str = "[secret]", threshold: float = THRESHOLD) -> DataFrame:
-    """Documents with every span, overlapping ones as one, replaced by ``mask``; ``n_chars``, where there is one, counts anew.
-
-    Names that the scan needs (``base_``, ``secret_spans``) give way where ``docs`` has them.
-    """
-    own = {c: f"{c}_own" for c in docs.columns if c.lower() in ("base_", "secret_spans")}
-    found = spans(docs.withColumnsRenamed(own), train(samples(docs)), threshold)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+def _masked(piece: Column, mask: str) -> Column:
+    """The text of a piece with its spans, overlapping ones as one, replaced."""
+    text = piece["text"]
 
     def step(s: Column, x: Column) -> Column:
-        gap = F.substring(F.col("text"), s["at"] + 1, F.greatest(x["start"] - s["at"], F.lit(0)))
+        gap = F.substring(text, s["at"] + 1, F.greatest(x["start"] - s["at"], F.lit(0)))
         return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.when(x["start"] < s["at"], s["out"]).otherwise(F.concat(s["out"], gap, F.lit(mask))).alias("out"))
 
-    masked = F.aggregate("secret_spans", start, step, lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))))
-    found = found.withColumn("text", F.when(F.size("secret_spans") > 0, masked).otherwise(F.col("text")))
+    rest = lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text)))
+    return F.when(F.size(piece["spans"]) > 0, F.aggregate(piece["spans"], F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, rest)).otherwise(text)
+
+
+def redact(docs: DataFrame, mask: str = "[secret]", threshold: float = THRESHOLD) -> DataFrame:
+    """Documents with every span, overlapping ones as one, replaced by ``mask``; ``n_chars``, where there is one, counts anew.
+
+    The name that the scan needs (``secret_pieces``) gives way where ``docs`` has it.
+    """
+    own = {c: f"{c}_own" for c in docs.columns if c.lower() == "secret_pieces"}
+    found = in_pieces(docs.withColumnsRenamed(own), train(samples(docs)), threshold)
+    changed = F.exists("secret_pieces", lambda p: F.size(p["spans"]) > 0)
+    new = {"text": F.when(changed, F.array_join(F.transform("secret_pieces", lambda p: _masked(p, mask)), "")).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(F.size("secret_spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return found.drop("secret_spans").withColumnsRenamed({v: k for k, v in own.items()}).select(*docs.columns)
+        sizes = F.aggregate("secret_pieces", F.lit(0).cast("long"), lambda n, p: n + F.length(_masked(p, mask)))
+        new["n_chars"] = F.when(changed, sizes.cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return found.withColumns(new).drop("secret_pieces").withColumnsRenamed({v: k for k, v in own.items()}).select(*docs.columns)

@@ -135,3 +135,29 @@ def test_licenses(spark):
     known = li.Templates(li.TEMPLATES, 0.8)
     assert got == Counter((d, a, round(b, 9), c) for d, t in rows for a, b, c in known.scan(t))
     assert li.licenses(docs(spark, [])).count() == 0
+
+
+def test_edits_that_are_null_overlap_or_clash(spark):
+    kind = "doc_id long, text string, counts string, edits array<struct<start:int,end:int,text:string>>"
+    rows = [
+        (1, "some words here", "mine", [None, (None, 3, "x"), (0, None, "x"), (0, 4, None)]),
+        (2, "abcdef ghi", "mine", [(0, 3, "x"), (2, 4, "y"), (5, 99, "z"), (-1, 2, "q"), (7, 10, "W")]),
+        (3, "a b", "mine", [(1, 1, " first"), (1, 1, " second"), (1, 2, "_")]),
+        (4, None, None, None),
+        (5, None, None, [(0, 0, "new text")]),
+    ]
+    table = spark.createDataFrame(rows, kind)
+    got = {r.doc_id: r for r in e.with_counts(table, PATH, refuse="skip", name="own").collect()}
+    texts = {1: " words here", 2: "xdef W", 3: "a first second_b", 4: "", 5: "new text"}
+    assert {k: r.own.n_tokens for k, r in got.items()} == {k: count(t) for k, t in texts.items()}
+    assert [(r.own.n_edits, r.own.n_refused) for _, r in sorted(got.items())] == [(1, 0), (2, 3), (3, 0), (0, 0), (1, 0)]
+    assert got[1].counts == "mine"
+    assert "n_tokens" in e.with_counts(table, PATH, refuse="skip").schema["counts"].dataType.fieldNames()  # gives way to the result
+    with pytest.raises(Exception, match="beyond"):
+        e.with_counts(table.filter("doc_id = 2").withColumn("edits", F.slice("edits", 3, 1)), PATH).collect()
+
+
+def test_mail_masks_in_long_texts(spark):
+    text = "a@b.example.org," * 20_000 + "x" * 100_000 + " 12345678"
+    [row] = e.mask_edits(docs(spark, [(1, text)])).select("edits").collect()
+    assert len(row.edits) == 20_001 and text[row.edits[-1].start :] == "12345678"

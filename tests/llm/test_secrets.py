@@ -2,10 +2,11 @@ import base64
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
-from parcelog.llm import secrets
+from parcelog.llm import secrets, spans
 from tests.llm.util import ODD, docs
 
 ASSIGN = re.compile(r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD])|(?:[pP][aA][sS][sS][wW][dD])|(?:[sS][eE][cC][rR][eE][tT])|(?:[tT][oO][kK][eE][nN])|(?:[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -100,3 +101,39 @@ def test_parts_of_runs(spark):
     assert sum(covered(found[9100 + i], 23) for i in range(30)) >= 25
     assert sum(covered(found[9200 + i], len(head)) and covered(found[9200 + i], 41 + 2 * len(head)) for i in range(30)) >= 25
     assert found[9300] == [] and all(z - a <= 60 for k in (9000, 9200) for i in range(30) for a, z in found[k + i])
+
+
+def test_cuts_change_nothing(spark, monkeypatch):
+    """Texts cut at every place where that is allowed give the base spans of whole texts."""
+    r = random.Random(21)
+    bits = ["token", "Secret", "api_key", "key", "passwd", "=", ":", " ", "  ", '"', "'", ",", "\n", "é", "a1b2c3d4" * 3, "AKIA" + "Z9" * 9, "abcdefg", "x", "/", "_", "=="]
+    rows = [(i, "".join(r.choice(bits) for _ in range(r.randrange(1, 40)))) for i in range(3000)]
+    monkeypatch.setattr(spans, "PIECE", 1)
+    got = {x.doc_id: tuple(x)[1:5] for x in secrets.scan(docs(spark, rows)).collect()}
+    for d, t in rows:
+        b = brute(t)
+        assert got[d] == (*[sum(x[1] == k for x in b) for k in range(3)], hashlib.sha256(",".join(f"{n}:{s}:{e}" for s, _, e, n in b).encode()).hexdigest()), t
+    assert sum(any(v[:3]) for v in got.values()) > 1000
+
+
+def test_recall_and_false_alarms_at_the_default_threshold(spark):
+    """Unlabelled keys planted in prose are found, identifiers are left alone, with a model of the corpus itself."""
+    r = random.Random(31)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(r.choice(letters) for _ in range(r.choice([24, 32, 40]))) for _ in range(300)]
+    names = ["_".join(r.choice(["load", "configuration", "server", "statement", "queue", "by", "user", "counter", "index", "the", "establish", "document"]) for _ in range(4)) for _ in range(300)]
+    names = [n for n in names if len(n) >= 20]
+    found = {x.doc_id: x.spans for x in secrets.scan(docs(spark, corpus(500) + [(20_000 + i, f"see {k} there") for i, k in enumerate(keys)] + [(30_000 + i, f"see {n} there") for i, n in enumerate(names)])).collect()}
+    recall = sum(found[20_000 + i] == f"markov:4:{4 + len(k)}" for i, k in enumerate(keys)) / len(keys)
+    alarms = sum("markov" in found[30_000 + i] for i in range(len(names))) / len(names)
+    assert recall >= 0.97 and alarms <= 0.02, (recall, alarms)
+
+
+def test_long_text_of_many_runs(spark):
+    """Work grows with the text, not with the square of its spans."""
+    r = random.Random(41)
+    runs = [r.randbytes(16).hex()[:31] for _ in range(64_000)]
+    for text in (" ".join(runs), ":".join(runs)):
+        began = time.time()
+        [row] = secrets.scan(docs(spark, [(1, text)])).collect()
+        assert row.n_hex == 64_000 and row.spans.endswith(f":{len(text)}") and time.time() - began < 60
