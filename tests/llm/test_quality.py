@@ -1,7 +1,9 @@
+import math
 import zlib
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from parcelog.llm import quality
@@ -47,3 +49,31 @@ def test_curve_finds_the_odds():
     y = (rng.random(4000) < 1 / (1 + np.exp(-(3 * x)))).astype(float)
     slope, shift = quality._curve(x, y)
     assert slope == pytest.approx(3, abs=0.4) and shift == pytest.approx(0, abs=0.2)
+
+
+def test_scores_are_calibrated_on_held_out_rows(spark):
+    sf = SF.replace("0.01", "0.1")
+    documents, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    held = quality.scores(documents, labels).join(labels, "doc_id").filter("held_out").toPandas()
+    score, label = held["score"].to_numpy(), held["quality"].to_numpy()
+    of = np.minimum((score * 10).astype(int), 9)
+    error = sum((of == k).mean() * abs(score[of == k].mean() - label[of == k].mean()) for k in range(10) if (of == k).any())
+    assert len(held) > 1000 and error <= 0.02
+    assert (held["predicted"] == held["quality"]).mean() >= 0.975
+
+
+def test_scores_equal_brute_force(spark):
+    documents, labels = spark.read.parquet(f"{SF}/documents.parquet").limit(200), spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality.train(documents, labels)
+    for r in quality.score(documents, model).collect():
+        sizes = {}
+        for name, raw in (("good", model.good), ("bad", model.bad)):
+            data, known = (r.text or "").encode(), zstandard.ZstdCompressionDict(raw)
+            sizes[name] = 0
+            for a in range(0, len(data), 512):
+                packer = zstandard.ZstdCompressor(level=3, dict_data=known, write_content_size=False, write_dict_id=False, write_checksum=False)
+                sizes[name] += len(packer.compress(data[a : a + 512]))
+        x = (sizes["bad"] - sizes["good"]) / (sizes["bad"] + sizes["good"]) if sizes["good"] else 0.0
+        trust = len(r.text or "") / (len(r.text or "") + 100)
+        odds = model.slope * trust * x + model.length_slope * trust + model.shift
+        assert r.score == pytest.approx(1 / (1 + math.exp(-odds)), abs=1e-3)
