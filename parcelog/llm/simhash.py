@@ -5,9 +5,13 @@ fewer differing bits some two segments hold at most two (pigeonhole). For each t
 segments the perfect binary Golay code [23,12,7] decodes the pair as it is, and with
 each one bit of it flipped, to the indices of nearby codewords: each fingerprint gets
 about ten keys a pair. Two pairs at two bits or fewer have a pair between them at one
-bit from either, hence a common key. Tasks then verify the members of a key by Hamming
-distance and hand on a spanning forest of the links, never all pairs; keys with very
-many members are spread over blocks that meet two by two.
+bit from either, hence a common key. That holds for any function of a pair, so the number
+of fingerprints chooses how many of a pair's segments are decoded (``KEYS``): two give the
+fewest keys, of 24 bits, one gives keys of 34 bits, none gives the pairs themselves, so that
+a key's members by chance stay few at every size. Tasks then verify the members of a key by
+Hamming distance and hand on a spanning forest of the links, never all pairs; keys with very
+many members are spread over blocks that meet two by two. Joins of documents with their
+fingerprints leave the documents of the most frequent ones where they are.
 
 Equal fingerprints are one node. Defined cases: a null text is an empty one; texts
 without words have fingerprint zero and are linked like others; null ids get a row and
@@ -17,6 +21,7 @@ repeated rows stay; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations, repeat
 
@@ -25,6 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from parcelog.llm.hot import join_hot
 from parcelog.operators.components import connected_components
 from parcelog.storage import materialize, small_batches
 
@@ -33,6 +39,10 @@ SHINGLE_WORDS, SEED, MOST_BITS = 4, 42, 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Generator polynomial of the Golay code, x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 (a fixed value).
 GENERATOR = 0b101011100011
+#: Segments of a pair that are decoded, with the keys of a fingerprint and the bits of a key (all about).
+KEYS = ((2, 29, 24 - math.log2(29 / 3)), (1, 96, 34 - math.log2(96 / 3)), (0, 132, 43 - math.log2(132 / 3)))
+#: Comparisons that cost as much as a key that is sorted and sent.
+COMPARISONS = 200
 #: Members of a key that one task compares; keys with more are spread over blocks of this size.
 BLOCK = 4096
 
@@ -91,19 +101,26 @@ def codeword_index(v: np.ndarray) -> np.ndarray:
     return (v ^ LEADER[LOW[v & 0xFFF] ^ HIGH[v >> 12]]) >> 11
 
 
-def keys_of(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def decoded_for(n: int) -> int:
+    """How many of a pair's segments to decode for n fingerprints: what makes keys and their members' comparisons least."""
+    return min(KEYS, key=lambda k: k[1] * (1 + n / 2 ** k[2] / 2 / COMPARISONS))[0]
+
+
+def keys_of(fps: np.ndarray, decoded: int = 2) -> tuple[np.ndarray, np.ndarray]:
     """(row, key) for all keys of each fingerprint (unsigned), each key once a row."""
-    near = []
+    raw, near = [], []
     for first, width in SEGMENTS:
         v = (fps >> np.uint64(first) & np.uint64((1 << width) - 1)).astype(np.uint32)
         flips = np.concatenate([[0], 1 << np.arange(width)]).astype(np.uint32)
+        raw.append((v[:, None] ^ flips[None, :]).astype(np.int64))
         near.append(codeword_index(v[:, None] ^ flips[None, :]).astype(np.int64))
     rows, keys = [], []
     for p, (i, j) in enumerate(combinations(range(3), 2)):
-        k = np.sort(np.concatenate([near[i] << 12 | near[j][:, :1], near[i][:, :1] << 12 | near[j][:, 1:]], axis=1), axis=1)
+        a, b, width = near[i] if decoded == 2 else raw[i], near[j] if decoded else raw[j], 12 if decoded else 22
+        k = np.sort(np.concatenate([a << width | b[:, :1], a[:, :1] << width | b[:, 1:]], axis=1), axis=1)
         new = np.concatenate([np.ones((len(k), 1), bool), k[:, 1:] != k[:, :-1]], axis=1)
         rows.append(np.nonzero(new)[0])
-        keys.append(k[new] | p << 24)
+        keys.append(k[new] | p << 44)
     return np.concatenate(rows), np.concatenate(keys)
 
 
@@ -174,14 +191,14 @@ def _link(batches: Iterator[pa.RecordBatch], limit: int | None) -> Iterator[pa.R
         yield linked(np.concatenate(held))
 
 
-def _links(fps: DataFrame, block: int = BLOCK) -> DataFrame:
+def _links(fps: DataFrame, block: int = BLOCK, decoded: int = 2) -> DataFrame:
     """Links (u, v) between distinct fingerprints that keep their connections whole."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 4096):
                 own = batch.column(0).slice(lo, 4096).to_numpy()
-                rows, keys = keys_of(own.view(np.uint64))
+                rows, keys = keys_of(own.view(np.uint64), decoded)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(own[rows])], names=["key", "fp"])
 
     found = fps.select("fp").mapInArrow(keyed, "key long, fp long").repartition("key").sortWithinPartitions("key").mapInArrow(lambda b: _link(b, block), "hot boolean, u long, v long")
@@ -211,19 +228,36 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint, component_id of every document; then root (a node of its component) and text_hash."""
     own = materialize(fingerprints(docs), "fingerprints")
-    nodes = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = materialize(connected_components(_links(nodes)), "roots").withColumnRenamed("node", "fp")
-    linked = nodes.join(roots, "fp")
-    component = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_linked = linked.select("fp", "root").join(component, "root").select("fp", "root", "component_id")
-    of_all = nodes.join(of_linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
-    return own.join(of_all, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", F.lower(F.lpad(F.hex("root"), 16, "0")).alias("root"), "text_hash")
+    nodes = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "nodes")
+    n_docs, n_nodes = own.count(), nodes.count()
+    roots = materialize(connected_components(_links(nodes, decoded=decoded_for(n_nodes))), "roots").withColumnRenamed("node", "fp")
+    linked = materialize(nodes.withColumnRenamed("n", "n_docs").join(roots, "fp"), "linked")
+    component = materialize(linked.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n")), "components")
+    of_linked = join_hot(linked, component, "root", n_nodes).select("fp", "root", "component_id")
+    of_all = nodes.join(of_linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"), "n")
+    found = join_hot(own, materialize(of_all, "components-of-nodes"), "fp", n_docs)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", F.lower(F.lpad(F.hex("root"), 16, "0")).alias("root"), "text_hash")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component: that with the smallest id (a null id only if there is no other; ties by the text's hash)."""
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    kept = near_duplicates(docs).groupBy("root").agg(F.min(rank).alias("first")).select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"))
-    marked = docs.withColumn("text_hash_", F.xxhash64("text"))
-    same = marked["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & (marked["text_hash_"] == kept["kept_hash"])
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text_hash_"]).select(*docs.columns)
+    """One document of each component: that with the smallest id (a null id only if there is no other; ties by the text's hash).
+
+    The kept rows' keys meet the documents in one shuffle, by the key, which also tells rows that are repeated.
+    """
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash")
+    names = _free(docs, "none_", "id_", "hash_")
+    kept = near_duplicates(docs).groupBy("root").agg(F.min(rank).alias("first")).select(*[F.col(f"first.{c}").alias(n) for c, n in zip(("none", "id", "text_hash"), names, strict=True)])
+    own = F.col("doc_id").cast("long")
+    marked = docs.withColumns(dict(zip(names, (own.isNull(), F.coalesce(own, F.lit(0)), F.coalesce(F.xxhash64("text"), F.lit(0))), strict=True)))
+    return marked.join(kept, names, "left_semi").dropDuplicates(names).select(*docs.columns)
+
+
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """Names that ``docs`` doesn't have, made from those given."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        out.append(name)
+    return out

@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelog.llm.frames import open_uri
-from parcelog.storage import scratch_path, small_batches
+from parcelog.llm.hot import join_hot
+from parcelog.storage import materialize, scratch_path, small_batches
 
 LEAST_BYTES = 100
 RECORDS, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
@@ -165,9 +166,9 @@ def with_record_types(pages: DataFrame) -> DataFrame:
     """page_id, url, html, digest, n_bytes, record_type and refers_to."""
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     own = own.withColumns({"digest": F.sha2(F.col("html").cast("binary"), 256), "n_bytes": F.octet_length("html").cast("long")})
-    # Only payloads that occur more than once; html stays out of the grouping.
-    groups = own.filter(F.col("n_bytes") >= LEAST_BYTES).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1 and first is not null").select("digest", "first")
-    joined = own.join(groups, "digest", "left")
+    # Only payloads that occur more than once; html stays out of the grouping, and pages of frequent payloads stay where they are.
+    groups = own.filter(F.col("n_bytes") >= LEAST_BYTES).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1 and first is not null").select("digest", "first", "n")
+    joined = join_hot(own, materialize(groups, "payloads"), "digest", pages.count(), "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return joined.select("page_id", "url", F.when(revisit, F.lit("")).otherwise(F.col("html")).alias("html"), "digest", "n_bytes", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("first")).alias("refers_to"))
 

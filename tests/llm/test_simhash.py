@@ -4,6 +4,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from parcelog.llm import simhash
+from parcelog.llm.hot import join_hot
 from tests.llm.util import ODD, docs
 
 
@@ -122,3 +123,48 @@ def test_keep_one(spark):
     kept = simhash.keep_one(docs(spark, rows))
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(3, "A B c d e"), (9, "something else here now"), (None, "null only text x")], key=str)
+
+
+def test_keys_widen_with_the_number_of_fingerprints():
+    assert [simhash.decoded_for(10**k) for k in (3, 6, 8, 10, 14)] == [2, 2, 2, 1, 0]
+    rng = np.random.default_rng(6)
+    a = rng.integers(0, 2**64, 1500, dtype=np.uint64)
+    b = a.copy()
+    for i in range(len(a)):
+        for k in rng.choice(64, rng.integers(0, 5), replace=False):
+            b[i] ^= np.uint64(1) << np.uint64(k)
+    for decoded, most, _ in simhash.KEYS:
+        found = []
+        for fps in (a, b):
+            rows, keys = simhash.keys_of(fps, decoded)
+            assert len(np.unique(rows << 48 ^ keys)) == len(rows) <= len(fps) * most * 1.1 and keys.max() < 1 << 46
+            found.append(set(zip(rows.tolist(), keys.tolist())))
+        assert {i for i, _ in found[0] & found[1]} == set(range(len(a)))  # each link has a common key
+
+
+def test_components_with_wide_keys(spark):
+    rng = np.random.default_rng(7)
+    center = rng.integers(0, 2**63, 5, dtype=np.int64)
+    fps = np.unique(np.concatenate([c ^ (np.int64(1) << rng.integers(0, 60, 40)) ^ (np.int64(1) << rng.integers(0, 60, 40)) for c in center]))
+    table = spark.createDataFrame([(int(x),) for x in fps], "fp long")
+    found = [{r.node: r.root for r in simhash.connected_components(simhash._links(table, decoded=d)).collect()} for d in (2, 1, 0)]
+    assert found[0] == found[1] == found[2] and len(found[0]) > 150
+
+
+def test_keep_one_leaves_clashing_columns(spark):
+    table = docs(spark, [(1, "a b c d e"), (2, "a b c d e"), (2, "a b c d e"), (3, None), (4, "")])
+    for name in ("text_hash_", "none_", "ID_", "hash_", "root", "fp", "n", "component_id"):
+        table = table.withColumn(name, F.lit(f"my {name}"))
+    kept = simhash.keep_one(table)
+    assert kept.columns == table.columns
+    rows = kept.collect()
+    assert sorted(r.doc_id for r in rows) == [1, 3] and all(r[c] == f"my {c}" for r in rows for c in table.columns[5:])
+
+
+def test_join_hot(spark):
+    left = spark.createDataFrame([(k, i) for i, k in enumerate([1] * 3000 + list(range(2, 1500)) + [None])], "k long, i int")
+    right = left.filter("k % 2 = 1").groupBy("k").agg(F.count("*").alias("n"), F.max("i").alias("m"))
+    for how in ("inner", "left"):
+        got = join_hot(left, right, "k", left.count(), how)
+        expected = left.join(right.drop("n"), "k", how)
+        assert got.columns == ["k", "i", "m"] and sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
