@@ -36,7 +36,7 @@ def op4_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.licenses(_table(spark, sf_dir, "documents"))
+    return licenses.licenses(_table(spark, sf_dir, "documents"), licenses.TEMPLATES + licenses.MORE_TEMPLATES, windows=True)
 
 
 def op6_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:

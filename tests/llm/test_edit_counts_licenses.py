@@ -161,3 +161,73 @@ def test_mail_masks_in_long_texts(spark):
     text = "a@b.example.org," * 20_000 + "x" * 100_000 + " 12345678"
     [row] = e.mask_edits(docs(spark, [(1, text)])).select("edits").collect()
     assert len(row.edits) == 20_001 and text[row.edits[-1].start :] == "12345678"
+
+
+def brute_windows(text, templates, threshold):
+    """Every window that begins with a bigram of its template, without pruning: the coefficients of each licence's passages."""
+    words, passages = li.words_of(text or ""), []
+    for licence in {name for name, _ in templates}:
+        hits = []
+        for other in (li.bigrams(li.words_of(t)) for name, t in templates if name == licence):
+            size = other.total()
+            for a in range(len(words) - 1):
+                own = li.bigrams(words[a : a + size + 1])
+                common = (own & other).total()
+                if (words[a], words[a + 1]) in other and 2 * common / (own.total() + size) >= threshold:
+                    hits.append((a, min(a + size + 1, len(words)), common, 2 * common / (own.total() + size)))
+        while hits:  # one passage: all windows that hang together
+            group, grown = [hits.pop()], True
+            while grown:
+                near = [h for h in hits if any(h[0] < g[1] and g[0] < h[1] for g in group)]
+                grown = bool(near)
+                group += near
+                hits = [h for h in hits if h not in near]
+            passages.append((max(g[2] for g in group), max(g[3] for g in group), min(g[0] for g in group), max(g[1] for g in group), licence))
+    taken, found = [0] * len(words), {}
+    for common, dice, a, z, licence in sorted(passages, reverse=True):
+        if max(taken[a:z]) <= common:
+            taken[a:z] = [common] * (z - a)
+            found.setdefault(licence, []).append(dice)
+    return found
+
+
+def wrapped_texts():
+    r = random.Random(9)
+    texts = []
+    for k in range(60):
+        prose = lambda: " ".join(r.choice(["plain", "the", "license", "under", "of", "software", "prose", "and"]) for _ in range(r.randrange(5, 40)))
+        own = r.choice(li.TEMPLATES + li.MORE_TEMPLATES)[1].split()
+        for _ in range(r.randrange(0, 1 + len(own) // 10)):
+            own[r.randrange(len(own))] = "changed"
+        lines = [" ".join(own[a : a + 9]) for a in range(0, len(own), 9)]
+        texts.append(f"{prose()} " + ("\n" if k % 2 else "\n#\n# ").join(lines) + f" {prose()}")
+    return texts
+
+
+def test_windows_equal_brute_force():
+    every = li.TEMPLATES + li.MORE_TEMPLATES
+    windows, hits = li.Windows(every, 0.8), 0
+    for text in [*wrapped_texts(), *licence_texts()[:40], "", "one", "MIT License."]:
+        got = windows.find(li.words_of(text)) if text else {}
+        assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in brute_windows(text, every, 0.8).items()}, text
+        hits += bool(got)
+    assert hits > 60
+
+
+def test_wrapped_notices_are_found(spark):
+    gpl = li.TEMPLATES[7][1].split()
+    header = "".join(f"# {' '.join(gpl[a : a + 10])}\n" + "#\n" * (a == 40) for a in range(0, len(gpl), 10))
+    rows = [(1, header + "\nimport os\nprint(1)\n"), (2, "This thing is licensed under the Apache License,\nVersion 2.0. More is said elsewhere."), (3, "nothing here at all"), (4, None)]
+    got = {(r.doc_id, r.license) for r in li.licenses(docs(spark, rows), li.TEMPLATES + li.MORE_TEMPLATES, windows=True).collect()}
+    assert got == {(1, "GPL-3.0"), (2, "Apache-2.0")}
+
+
+def test_templates_from_files(spark, tmp_path):
+    r = random.Random(2)
+    full = [" ".join(r.choice(["you", "may", "not", "use", "the", "work", "except", "as", "licensor", "grants"]) + str(r.randrange(9)) for _ in range(1500)) for _ in range(2)]
+    for name, text in zip(("Long-1.0", "Long-2.0"), full):
+        (tmp_path / f"{name}.txt").write_text(text)
+    templates = li.read_templates(spark, str(tmp_path))
+    assert templates == tuple(zip(("Long-1.0", "Long-2.0"), full))
+    text = "before it\n" + full[1].replace(" ", "\n", 90) + "\nand after it"
+    assert [(x.doc_id, x.license) for x in li.licenses(docs(spark, [(1, text), (2, text[:200])]), templates, windows=True).collect()] == [(1, "Long-2.0")]
