@@ -11,6 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from parcelog.storage import materialize
+
 
 @dataclass(frozen=True)
 class Params:
@@ -37,10 +39,14 @@ def latest(obs: DataFrame, key: str = "listing_id") -> DataFrame:
     return latest_per_key(obs, key, F.col("region").isNotNull(), F.col("scraped_at"), F.col("obs_id"))
 
 
+def _profile() -> list[Column]:
+    order = F.struct("scraped_at", "obs_id")
+    return [F.min("scraped_at").alias("first_seen"), F.max("scraped_at").alias("last_seen"), F.min_by("price", order).alias("price_first"), F.max_by("price", order).alias("price_last"), F.min("price").alias("price_min"), F.max("price").alias("price_max"), F.count("*").alias("price_points")]
+
+
 def price_profile(obs: DataFrame, key: str = "listing_id") -> DataFrame:
     """Span, first, last, least and greatest price and number of sightings of each listing."""
-    order = F.struct("scraped_at", "obs_id")
-    return obs.groupBy(key).agg(F.min("scraped_at").alias("first_seen"), F.max("scraped_at").alias("last_seen"), F.min_by("price", order).alias("price_first"), F.max_by("price", order).alias("price_last"), F.min("price").alias("price_min"), F.max("price").alias("price_max"), F.count("*").alias("price_points"))
+    return obs.groupBy(key).agg(*_profile())
 
 
 def price_changes(obs: DataFrame, key: str = "listing_id") -> DataFrame:
@@ -75,9 +81,29 @@ def place_of(obs: DataFrame, key: str = "listing_id") -> DataFrame:
     return latest_per_key(obs.filter("region is not null"), key, F.col("municipality").isNotNull(), F.col("street").isNotNull(), F.col("scraped_at"), F.col("obs_id"))
 
 
+def listing_summary(obs: DataFrame, params: Params = Params(), key: str = "listing_id") -> DataFrame:
+    """All that later steps need of each listing in one aggregate over the log: ``state`` (the last full sighting, else
+    the last), ``place`` (the best located one; null without), the price profile, and ``days`` of the census window."""
+    order, full = F.struct("scraped_at", "obs_id"), F.col("region").isNotNull()
+    recent = F.col("scraped_at") >= F.date_sub(F.lit(params.as_of).cast("date"), params.census_days)
+    row = F.struct(*[c for c in obs.columns if c != key])
+    return obs.groupBy(key).agg(
+        F.max_by(row, F.struct(full.alias("full"), order)).alias("state"),
+        F.max_by(F.when(full, row), F.struct(full.alias("full"), F.col("municipality").isNotNull().alias("m"), F.col("street").isNotNull().alias("s"), order)).alias("place"),
+        *_profile(),
+        F.collect_set(F.when(recent, F.to_date("scraped_at"))).alias("days"),  # census_days + 1 at most
+    )
+
+
+def census_of(summary: DataFrame, *keys: str) -> DataFrame:
+    """Listings seen by region (and other fields of the place) and day."""
+    seen = summary.filter("place is not null").select(*[F.col(f"place.{k}").alias(k) for k in ("region", *keys)], F.explode("days").alias("d"))
+    return seen.groupBy("region", *keys, "d").agg(F.count("*").alias("n"))
+
+
 def region_day_census(obs: DataFrame, params: Params = Params()) -> DataFrame:
     """Listings seen by region and day."""
-    return presence(obs, params).join(place_of(obs).select("listing_id", "region"), "listing_id").groupBy("region", "d").agg(F.count("*").alias("n"))
+    return census_of(listing_summary(obs, params))
 
 
 def partition_max(df: DataFrame, keys: list[str], value: str, floor: float) -> DataFrame:
@@ -92,32 +118,42 @@ def closure_cutoff(census: DataFrame, params: Params = Params(), keys: tuple[str
     return good.withColumn("rn", rn).filter(F.col("rn") <= params.closure_days).groupBy(*keys).agg(F.min("d").alias("last_day"))
 
 
-def unit_identity(obs: DataFrame, params: Params = Params()) -> DataFrame:
-    """Physical unit of each listing: equal place, floor and area, a chain of like prices, and a slot among one seller's
-    listings at a time. Listings without place or area are their own unit."""
+def units_of(summary: DataFrame, params: Params = Params()) -> DataFrame:
+    """Physical unit of each located listing of a summary."""
     from parcelog.functions.text import surrogate_key
 
-    state = latest(obs).select("listing_id", F.coalesce("seller_id", -F.col("listing_id")).alias("seller"), "floor", "area")
-    span = state.join(price_profile(obs).select("listing_id", "first_seen", "last_seen", F.coalesce("price_last", F.lit(0)).alias("price")), "listing_id").join(place_of(obs).select("listing_id", "lat", "lon"), "listing_id")
-    span = span.filter("lat is not null and area is not null").withColumn("class_sk", surrogate_key(F.round("lat", 5), F.round("lon", 5), F.col("floor"), F.round("area", 1)))
+    span = summary.filter("place.lat is not null and state.area is not null").select(
+        "listing_id", F.coalesce("state.seller_id", -F.col("listing_id")).alias("seller"), "first_seen", "last_seen", F.coalesce("price_last", F.lit(0)).alias("price"),
+        surrogate_key(F.round("place.lat", 5), F.round("place.lon", 5), F.col("state.floor"), F.round("state.area", 1)).alias("class_sk"),
+    )
     seller = span.groupBy("class_sk", "seller").agg(F.percentile("price", F.lit(0.5)).alias("price"))
     group = gap_group(seller, ["class_sk"], "price", ["seller"], params.price_tolerance).drop("price")
     units = span.join(group, ["class_sk", "seller"]).withColumn("class_sk", surrogate_key(F.col("class_sk"), F.col("price_grp")))
     return sweep_slots(units, ["class_sk", "seller"], "listing_id", "first_seen", "last_seen").select("listing_id", "class_sk", "slot")
 
 
+def unit_identity(obs: DataFrame, params: Params = Params()) -> DataFrame:
+    """Physical unit of each listing: equal place, floor and area, a chain of like prices, and a slot among one seller's
+    listings at a time. Listings without place or area are their own unit."""
+    return units_of(listing_summary(obs, params), params)
+
+
 def fact_listing(obs: DataFrame, params: Params = Params()) -> DataFrame:
-    """A row for each located listing: state, place, price profile, unit, days on market and closure."""
+    """A row for each listing: state, place (null if never located), price profile, unit, days on market and closure.
+
+    The log is read and shuffled once, into a table of a row for each listing that all parts read.
+    """
     from parcelog.functions.text import surrogate_key
 
-    state = latest(obs).select("listing_id", "price", "floor", "floors", "area", "rooms", "is_new", "seller_id")
-    place = place_of(obs).select("listing_id", "region", "municipality", "street", "house", "lat", "lon")
-    cutoff = closure_cutoff(region_day_census(obs, params), params)
-    joined = state.join(price_profile(obs), "listing_id").join(place, "listing_id").join(unit_identity(obs, params), "listing_id", "left").join(F.broadcast(cutoff), "region", "left")  # a row for each region
+    summary = materialize(listing_summary(obs, params), "listing-summary")
+    cutoff = closure_cutoff(census_of(summary), params)
+    joined = summary.withColumn("region", F.col("place.region")).join(units_of(summary, params), "listing_id", "left").join(F.broadcast(cutoff), "region", "left")  # a row for each region
+    of = lambda name: F.col(f"place.{name}")
     return joined.select(
         "listing_id", surrogate_key(F.coalesce("class_sk", F.col("listing_id").cast("string")), F.col("slot")).alias("unit_sk"), F.col("slot").alias("unit_slot"),
-        surrogate_key(F.col("region"), F.col("municipality")).alias("geo_sk"), surrogate_key(F.col("street"), F.col("house"), F.col("lat"), F.col("lon")).alias("building_sk"),
-        "region", "municipality", "price", "area", "rooms", "floor", "is_new", "seller_id", "first_seen", "last_seen", "price_first", "price_last", "price_min", "price_max", "price_points",
+        surrogate_key(of("region"), of("municipality")).alias("geo_sk"), surrogate_key(of("street"), of("house"), of("lat"), of("lon")).alias("building_sk"),
+        "region", of("municipality").alias("municipality"), *[F.col(f"state.{k}").alias(k) for k in ("price", "area", "rooms", "floor", "is_new", "seller_id")],
+        "first_seen", "last_seen", "price_first", "price_last", "price_min", "price_max", "price_points",
         F.datediff(F.to_date("last_seen"), F.to_date("first_seen")).alias("days_on_market"), F.coalesce((F.to_date("last_seen") < F.col("last_day")).cast("int"), F.lit(0)).alias("event_closed"),
     )
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelog.operators.lifecycle import Params, latest, partition_max, place_of, presence, price_profile
+from parcelog.operators.lifecycle import Params, census_of, closure_cutoff, listing_summary
+from parcelog.storage import materialize
 
 
 def stg_sale(obs: DataFrame) -> DataFrame:
@@ -16,18 +17,12 @@ def stg_rent(obs: DataFrame) -> DataFrame:
     return obs.filter(F.col("deal_type").isin("rent_long", "rent_day"))
 
 
-def rent_census(rents: DataFrame, params: Params = Params()) -> DataFrame:
-    """Rented listings seen by region, deal type and day."""
-    place = place_of(rents).select("listing_id", "region", "deal_type")
-    return presence(rents, params).join(place, "listing_id").groupBy("region", "deal_type", "d").agg(F.count("*").alias("n"))
-
-
 def fact_rent(rents: DataFrame, params: Params = Params()) -> DataFrame:
-    """A row for each located rental: state, price profile, days and closure by region and deal type."""
-    good = partition_max(rent_census(rents, params), ["region", "deal_type"], "n", params.census_floor)
-    rn = F.row_number().over(Window.partitionBy("region", "deal_type").orderBy(F.desc("d")))
-    cutoff = good.withColumn("rn", rn).filter(F.col("rn") <= params.closure_days).groupBy("region", "deal_type").agg(F.min("d").alias("last_day"))
-    joined = latest(rents).select("listing_id", "deal_type", "price", "area").join(price_profile(rents), "listing_id").join(place_of(rents).select("listing_id", "region", "municipality"), "listing_id").join(cutoff, ["region", "deal_type"], "left")
+    """A row for each rental: state, place (null if never located), price profile, days and closure by region and deal type."""
+    summary = materialize(listing_summary(rents, params), "rent-summary")
+    cutoff = closure_cutoff(census_of(summary, "deal_type"), params, ("region", "deal_type"))
+    own = summary.select("listing_id", "state.deal_type", "place.region", "place.municipality", "state.price", "state.area", "price_first", "price_last", "price_points", "first_seen", "last_seen")
+    joined = own.join(F.broadcast(cutoff), ["region", "deal_type"], "left")  # a row for each region and deal type
     return joined.select("listing_id", "deal_type", "region", "municipality", "price", "area", "price_first", "price_last", "price_points", F.datediff(F.to_date("last_seen"), F.to_date("first_seen")).alias("days_on_market"), F.coalesce((F.to_date("last_seen") < F.col("last_day")).cast("int"), F.lit(0)).alias("event_closed"))
 
 

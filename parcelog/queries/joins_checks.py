@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from parcelog import adapters as a
 from parcelog.operators import checks as q, lifecycle as life, matching as m
-from parcelog.queries.lifecycles import _ALL, _FACT, _LATEST, O, S
+from parcelog.queries.lifecycles import ALL, FACT, NEWEST, O, S
 from parcelog.queries.registry import query, table
 
 c = F.col
@@ -21,8 +21,8 @@ on(a.spans, "interval_overlap_self_join", f"WITH {S} SELECT x.class, x.seller, x
 _SEG = "(VALUES ('ASIA', ['1', '2'], NULL), ('EUROPE', ['3'], true), ('ASIA', ['2'], false)) g(region, room_keys, wanted_new)"
 SEGMENTS = [("ASIA", ["1", "2"], None), ("EUROPE", ["3"], True), ("ASIA", ["2"], False)]
 on(a.listings, "segment_membership_join", f"WITH {L}, s AS (SELECT *, row_number() OVER () AS no FROM {_SEG}) SELECT listing_id, array_to_string(room_keys, ',') AS segment, wanted_new FROM listings l JOIN s ON s.region = l.region AND list_contains(room_keys, cast(rooms AS varchar)) AND (wanted_new IS NULL OR wanted_new = is_new)", lambda d: m.segment_members(d.withColumn("room_key", c("rooms").cast("string")), d.sparkSession.createDataFrame(SEGMENTS, "region string, room_keys array<string>, wanted_new boolean")).select("listing_id", F.array_join("room_keys", ",").alias("segment"), "wanted_new"))
-on(a.observations, "join_inner_using", f"WITH {O}, {_LATEST}, p AS (SELECT listing_id, count(*) AS n FROM obs GROUP BY 1) SELECT listing_id, n, price FROM latest JOIN p USING (listing_id)", lambda o: life.latest(o).select("listing_id", "price").join(o.groupBy("listing_id").agg(F.count("*").alias("n")), "listing_id"))
-on(a.observations, "join_left_chain", f"{_ALL} SELECT l.listing_id, g.region, u.slot, c.last_day FROM latest l LEFT JOIN geo g USING (listing_id) LEFT JOIN slots u USING (listing_id) LEFT JOIN cutoff c ON c.region = g.region", lambda o: life.latest(o).select("listing_id").join(life.place_of(o).select("listing_id", "region"), "listing_id", "left").join(life.unit_identity(o).select("listing_id", "slot"), "listing_id", "left").join(life.closure_cutoff(life.region_day_census(o)), "region", "left").select("listing_id", "region", "slot", "last_day"))
+on(a.observations, "join_inner_using", f"WITH {O}, {NEWEST}, p AS (SELECT listing_id, count(*) AS n FROM obs GROUP BY 1) SELECT listing_id, n, s.price AS price FROM newest JOIN p USING (listing_id)", lambda o: life.latest(o).select("listing_id", "price").join(o.groupBy("listing_id").agg(F.count("*").alias("n")), "listing_id"))
+on(a.observations, "join_left_chain", f"{ALL} SELECT listing_id, p.region AS region, slot, last_day FROM newest LEFT JOIN located USING (listing_id) LEFT JOIN slots USING (listing_id) LEFT JOIN closing ON closing.region = p.region", lambda o: life.latest(o).select("listing_id").join(life.place_of(o).select("listing_id", "region"), "listing_id", "left").join(life.unit_identity(o).select("listing_id", "slot"), "listing_id", "left").join(life.closure_cutoff(life.region_day_census(o)), "region", "left").select("listing_id", "region", "slot", "last_day"))
 query("SELECT o_orderkey, c_name, n_name, r_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey", "star_join")(lambda s, d: table(s, d, "orders").join(table(s, d, "customer"), c("o_custkey") == c("c_custkey")).join(table(s, d, "nation"), c("c_nationkey") == c("n_nationkey")).join(table(s, d, "region"), c("n_regionkey") == c("r_regionkey")).select("o_orderkey", "c_name", "n_name", "r_name"))
 on(a.spans, "join_composite", f"WITH {S}, p AS (SELECT class, seller, count(*) AS n FROM spans GROUP BY 1, 2) SELECT listing_id, n FROM spans JOIN p USING (class, seller)", lambda d: d.join(d.groupBy("class", "seller").agg(F.count("*").alias("n")), ["class", "seller"]).select("listing_id", "n"))
 _CARDS = "cards AS (SELECT obs_id, listing_id, price FROM obs WHERE scraped_at >= timestamp '2024-01-20'), state AS (SELECT * FROM obs WHERE scraped_at < timestamp '2024-01-20' AND listing_id % 4 <> 0 QUALIFY row_number() OVER (PARTITION BY listing_id ORDER BY scraped_at DESC, obs_id DESC) = 1)"
@@ -57,7 +57,7 @@ on(a.observations, "dq_fresh", f"WITH {O} SELECT max(scraped_at) AS newest FROM
 on(a.observations, "dq_rent_sanity", f"WITH {O}, r AS (SELECT * FROM obs WHERE deal_type LIKE 'rent%'), f AS (SELECT count(*) AS n, count(*) FILTER (WHERE (deal_type = 'rent_long' AND price < 3000) OR (deal_type = 'rent_day' AND price < 300)) AS bad FROM r) SELECT n, bad, cast(round(100.0 * bad / n, 2) AS double) AS pct FROM f WHERE n > 1000 AND bad > n * 0.02", lambda o: q.share(o.filter(c("deal_type").startswith("rent")), ((c("deal_type") == "rent_long") & (c("price") < 3000)) | ((c("deal_type") == "rent_day") & (c("price") < 300)), 0.02, 1000).withColumn("pct", c("pct").cast("double")))
 _RUNS = "SELECT o_orderkey AS run_id, o_orderdate AS finished_at, o_custkey AS plan_offers, cast(o_orderkey % 3 AS bigint) AS cards, cast(o_orderkey % 2 AS bigint) AS incomplete FROM orders"
 query(f"WITH r AS (SELECT cast(sum(cards) AS bigint) AS cards, max(plan_offers) AS plan_offers, cast(sum(incomplete) AS bigint) AS incomplete FROM ({_RUNS}) WHERE finished_at >= timestamp '2001-08-01' - INTERVAL 30 HOUR AND plan_offers > 0) SELECT *, cast(round(100.0 * cards / plan_offers, 1) AS double) AS pct FROM r WHERE cards < plan_offers * 0.6", "dq_coverage")(lambda s, d: q.coverage(table(s, d, "orders").selectExpr("o_orderkey as run_id", "o_orderdate as finished_at", "o_custkey as plan_offers", "o_orderkey % 3 as cards", "o_orderkey % 2 as incomplete"), F.expr("timestamp_ntz '2001-08-01' - interval 30 hours"), 0.6).withColumn("pct", c("pct").cast("double")))
-on(a.observations, "dq_seller_coverage", f"{_ALL}, {_FACT}, v AS (SELECT count(*) AS n, count(*) FILTER (WHERE seller_id IS NULL) AS bad FROM fact WHERE event_closed = 0) SELECT n, bad, cast(round(100.0 * bad / n, 2) AS double) AS pct FROM v WHERE n > 0 AND bad > n * 0.05", lambda o: q.share(life.fact_listing(o).filter("event_closed = 0"), c("seller_id").isNull(), 0.05, 0).withColumn("pct", c("pct").cast("double")))
+on(a.observations, "dq_seller_coverage", f"{ALL}, {FACT}, v AS (SELECT count(*) AS n, count(*) FILTER (WHERE seller_id IS NULL) AS bad FROM fact WHERE event_closed = 0) SELECT n, bad, cast(round(100.0 * bad / n, 2) AS double) AS pct FROM v WHERE n > 0 AND bad > n * 0.05", lambda o: q.share(life.fact_listing(o).filter("event_closed = 0"), c("seller_id").isNull(), 0.05, 0).withColumn("pct", c("pct").cast("double")))
 _OVER = f"p AS (SELECT DISTINCT x.class FROM spans x JOIN spans y ON x.class = y.class AND x.seller = y.seller AND x.listing_id < y.listing_id AND x.first_seen <= y.last_seen AND y.first_seen <= x.last_seen)"
 on(a.spans, "dq_slot_overlap", f"WITH {S}, {_OVER}, t AS (SELECT (SELECT count(*) FROM p) AS bad, (SELECT count(DISTINCT class) FROM spans) AS n) SELECT * FROM t WHERE bad > 0.01 * n", lambda d: m.overlapping_pairs(d, ["class", "seller"], "listing_id", "first_seen", "last_seen").select("class", F.lit(1).alias("bad")).distinct().join(d.select("class").distinct(), "class", "right").agg(F.count("bad").alias("bad"), F.count("*").alias("n")).filter("bad > 0.01 * n"))
 on(a.observations, "dq_runner", f"WITH {O} SELECT 'not_null' AS \"check\", count(*) FILTER (WHERE price IS NULL) AS n_violations, count(*) FILTER (WHERE price IS NULL) = 0 AS passed FROM obs UNION ALL SELECT 'unique', 0, true", lambda o: q.run_checks({"not_null": q.not_null(o, "price"), "unique": q.unique(o, "obs_id")}))

@@ -8,7 +8,7 @@ from parcelog import adapters as a
 from parcelog.functions.text import count_before
 from parcelog.operators import lifecycle as life, summaries as s
 from parcelog.plans import staging
-from parcelog.queries.lifecycles import _AGG, _ALL, _FACT, _GEO, _LATEST, _UNIT, _UNIT_SELECT, O
+from parcelog.queries.lifecycles import ALL, DAYS, FACT, HISTORY, LOCATED, NEWEST, UNIT, O, covered
 from parcelog.queries.registry import query, table
 from parcelog.sources import files
 from parcelog.storage import scratch_path
@@ -24,9 +24,20 @@ def log(name: str, sql: str, f) -> None:
 log("stg_sale", f"WITH {O} SELECT obs_id, listing_id, price FROM obs WHERE coalesce(deal_type, 'sale') = 'sale'", lambda o: staging.stg_sale(o).select("obs_id", "listing_id", "price"))
 log("stg_rent", f"WITH {O} SELECT obs_id, listing_id, price FROM obs WHERE deal_type IN ('rent_long', 'rent_day')", lambda o: staging.stg_rent(o).select("obs_id", "listing_id", "price"))
 _R = O.replace("obs AS (", "every AS (", 1) + ", obs AS (SELECT * FROM every WHERE deal_type LIKE 'rent%')"
-_CUT = f"seen AS (SELECT DISTINCT listing_id, cast(scraped_at AS date) AS d FROM obs WHERE scraped_at >= date '{a.AS_OF}' - 30), census AS (SELECT region, deal_type, d, count(*) AS n FROM seen JOIN geo USING (listing_id) GROUP BY 1, 2, 3), cutoff AS (SELECT region, deal_type, min(d) AS last_day FROM (SELECT *, row_number() OVER (PARTITION BY region, deal_type ORDER BY d DESC) AS rn FROM (SELECT *, max(n) OVER (PARTITION BY region, deal_type) AS mx FROM census) WHERE n >= 0.6 * mx) WHERE rn <= 5 GROUP BY 1, 2)"
-log("fact_rent", f"WITH {_R}, {_LATEST}, {_GEO}, {_AGG}, {_CUT} SELECT l.listing_id, l.deal_type, g.region, g.municipality, l.price, l.area, price_first, price_last, price_points, cast(date_diff('day', cast(first_seen AS date), cast(last_seen AS date)) AS int) AS days_on_market, coalesce(cast(cast(last_seen AS date) < last_day AS int), 0) AS event_closed FROM latest l JOIN agg USING (listing_id) JOIN geo g USING (listing_id) LEFT JOIN cutoff c ON c.region = g.region AND c.deal_type = l.deal_type", lambda o: staging.fact_rent(staging.stg_rent(o)))
-log("current_units", f"{_ALL}, {_FACT}, {_UNIT}, u AS ({_UNIT_SELECT}) SELECT unit_sk, listing_id, region, price, area, cast(round_even(price / area, 0) AS bigint) AS ppm2 FROM u WHERE live AND area BETWEEN 10 AND 400 AND price BETWEEN 300 AND 2000000000", lambda o: life.fact_unit(life.fact_listing(o)).filter("live and area between 10 and 400 and price between 300 and 2000000000").select("unit_sk", "listing_id", "region", "price", "area", F.rint(c("price") / c("area")).cast("bigint").alias("ppm2")))
+log(
+    "fact_rent",
+    f"""WITH {_R}, {NEWEST}, {LOCATED}, {HISTORY}, {DAYS}, {covered('p.region', 'p.deal_type')}
+    SELECT listing_id, s.deal_type AS deal_type, p.region AS region, p.municipality AS municipality, s.price AS price, s.area AS area, price_first, price_last, price_points,
+      cast(cast(last_seen AS date) - cast(first_seen AS date) AS int) AS days_on_market, CASE WHEN cast(last_seen AS date) < last_day THEN 1 ELSE 0 END AS event_closed
+    FROM newest JOIN history USING (listing_id) LEFT JOIN located USING (listing_id) LEFT JOIN closing ON closing.region = p.region AND closing.deal_type = s.deal_type""",
+    lambda o: staging.fact_rent(staging.stg_rent(o)),
+)
+log(
+    "current_units",
+    f"""{ALL}, {FACT}, {UNIT} SELECT unit_sk, listing_id, region, price, area, cast(round_even(price / area, 0) AS bigint) AS ppm2
+    FROM unit WHERE live AND area BETWEEN 10 AND 400 AND price BETWEEN 300 AND 2000000000""",
+    lambda o: life.fact_unit(life.fact_listing(o)).filter("live and area between 10 and 400 and price between 300 and 2000000000").select("unit_sk", "listing_id", "region", "price", "area", F.rint(c("price") / c("area")).cast("bigint").alias("ppm2")),
+)
 
 
 def _sample(spark, sf_dir):
