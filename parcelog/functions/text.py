@@ -82,15 +82,23 @@ def price_label(low: Column, high: Column) -> Column:
 
 
 def view_counts(text: Column) -> tuple[Column, Column]:
-    """All and today's views of "1 234 просмотров, 56 за сегодня"."""
-    total = filled(F.regexp_replace(F.regexp_extract(text, r"^([0-9 ]+)просмотр", 1), " ", "")).try_cast("int")
-    return total, filled(F.regexp_extract(text, r"([0-9]+) за сегодня", 1)).try_cast("int")
+    """All and today's views of "1 234 просмотра, 56 за сегодня": the number at the start, and the one between a comma and
+    the words for today; blanks and no-break spaces may stand in both."""
+    blank, number = r"\s\u00a0\u202f", r"([0-9\s\u00a0\u202f]+)"
+    digits = lambda pattern: filled(F.regexp_replace(F.regexp_extract(text, pattern, 1), "[^0-9]", "")).try_cast("int")
+    return digits(rf"^{number}"), digits(rf",{number}[{blank}]за сегодня")
 
 
-def completion_text(quarter: Column, year: Column, finish: Column) -> Column:
-    """ "3 кв. 2027" from quarter and year, else the year alone, else the given text."""
-    number = F.when(quarter == "first", "1").when(quarter == "second", "2").when(quarter == "third", "3").when(quarter == "fourth", "4")
-    return F.coalesce(F.concat(number, F.lit(" кв. "), year.cast("string")), year.cast("string"), finish)
+def completion_text(quarter: Column, year: Column, finish_quarter: Column, finish_year: Column, info: Column) -> Column:
+    """ "3 кв. 2027" from the deadline's quarter and year, else from the finish date's, else the given text. A year without
+    quarter stands alone; quarters are named or numbered, unknown ones stay as given; a year of zero is none."""
+
+    def text(q: Column, y: Column) -> Column:
+        own = y.cast("string")
+        return F.when(y != 0, F.coalesce(F.concat(filled(q), F.lit(" кв. "), own), own))
+
+    named = F.when(quarter == "first", "1").when(quarter == "second", "2").when(quarter == "third", "3").when(quarter == "fourth", "4").otherwise(quarter)
+    return F.coalesce(text(named, year), text(F.nullif(finish_quarter, F.lit("0")), finish_year), filled(info))
 
 
 def counts_text(counts: list[tuple[Column, str]]) -> Column:

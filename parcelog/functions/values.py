@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
+from parcelog.functions.text import district_name
+
 EARTH_KM = 6371.0
 
 
@@ -116,35 +120,76 @@ def embedded_json(html: Column, marker: str, schema: str) -> Column:
     return F.when(at > 0, F.from_json(F.substr(html, at + len(marker)), schema))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _given(text: Column) -> Column:
+    """Text that isn't empty."""
+    return F.when(text != "", text)
+
+
 def compact_stations(stations: Column) -> Column:
     """Stations with a name only; null if none is left."""
     named = F.filter(stations, lambda s: F.coalesce(s["name"], F.lit("")) != "")
     return F.when(F.size(named) > 0, named)
 
 
+def rows_json(items: Column, *fields: str) -> Column:
+    """JSON text ``[[name, minutes, ...], ...]`` of the named items' fields; null if no item has a name."""
+
+    def value(x: Column) -> Column:  # an array of one value, without its brackets; nulls are written
+        text = F.to_json(F.array(x), {"ignoreNullFields": "false"})
+        return F.substring(text, 2, F.length(text) - 2)
+
+    row = lambda s: F.concat(F.lit("["), F.concat_ws(",", *[F.coalesce(value(s[f]), F.lit("null")) for f in fields]), F.lit("]"))
+    return F.concat(F.lit("["), F.array_join(F.transform(compact_stations(items), row), ","), F.lit("]"))
+
+
 def price_history(changes: Column) -> Column:
-    """[{price, date}] of changes with a price; null if none has one."""
-    own = F.transform(F.filter(changes, lambda c: c["priceData"]["price"].isNotNull()), lambda c: F.struct(c["priceData"]["price"].alias("price"), c["changeTime"].alias("date")))
+    """[{price, date}] of changes with a price and a time, the date being the time's day; null if there is none."""
+    own = F.filter(changes, lambda c: c["priceData"]["price"].isNotNull() & (F.coalesce(c["changeTime"], F.lit("")) != ""))
+    own = F.transform(own, lambda c: F.struct(c["priceData"]["price"].alias("price"), F.substring(c["changeTime"], 1, 10).alias("date")))
     return F.when(F.size(own) > 0, own)
 
 
+#: Item types of small places, and words in the names of housing estates (fixed values).
+SMALL_PLACES = ("mikroraion", "microdistrict", "newobject", "settlement", "poselenie")
+ESTATE = "(?iu)жилой комплекс|жилой кв|квартал|микрорайон|мкр"
+
+
 def folded_address(items: Column) -> Column:
-    """Region, municipality, district, street and house from ordered typed address items.
+    """Region, municipality, district, microdistrict, street, house and house_id from ordered typed address items.
 
-    The first place is the region; a later place is the municipality, the last of several
-    counts; districts, streets and houses fill their own fields, the first district counts.
+    Items without any name don't count. The first location is the region, by its full name. The municipality is the last
+    ``okrug``, else the first later location that isn't an estate. The microdistrict is the first of: small places, later
+    locations that are estates, and other later locations once the municipality is known. Of districts (``raion``), streets
+    and houses the last counts.
     """
-    empty = F.lit(None).cast("string")
-    state = F.struct(*[empty.alias(k) for k in ("region", "municipality", "district", "street", "house")])
-
-    def step(s: Column, x: Column) -> Column:
-        kind, name = x["type"], x["name"]
+    name = lambda x: F.coalesce(_given(x["shortName"]), _given(x["fullName"]), _given(x["name"]))
+    named = F.transform(F.filter(items, lambda x: name(x).isNotNull()), lambda x: F.struct(x["type"].alias("type"), name(x).alias("name"), F.coalesce(_given(x["fullName"]), name(x)).alias("full"), x["id"].alias("id")))
+
+    def roles(own: Column) -> Column:
+        """Each item with its role: region, place, small, or its type."""
+        first = F.array_position(F.transform(own, lambda x: x["type"]), F.lit("location"))
+
+        def role(x: Column, i: Column) -> Column:
+            later = x["type"] == "location"
+            small = x["type"].isin(*SMALL_PLACES) | (later & x["name"].rlike(ESTATE))
+            return F.when(i + 1 == first, "region").when(small, "small").when(later, "place").otherwise(x["type"])
+
+        return F.transform(own, lambda x, i: F.struct(role(x, i).alias("role"), x["name"].alias("name"), x["full"].alias("full"), x["id"].alias("id")))
+
+    def fields(own: Column) -> Column:
+        at = lambda role: F.array_position(F.transform(own, lambda x: F.coalesce(x["role"], F.lit(""))), F.lit(role))
+        of = lambda role, k: F.try_element_at(F.filter(own, lambda x: x["role"] == role), F.lit(k))
+        # The first place names the municipality unless an okrug stands before it.
+        names = (at("okrug") == 0) | (at("okrug") > at("place"))
+        small = F.filter(own, lambda x, i: (x["role"] == "small") | ((x["role"] == "place") & ~(names & (i + 1 == at("place")))))
         return F.struct(
-            F.when((kind == "location") & s["region"].isNull(), name).otherwise(s["region"]).alias("region"),
-            F.when((kind == "location") & s["region"].isNotNull(), name).otherwise(s["municipality"]).alias("municipality"),
-            F.when((kind == "district") & s["district"].isNull(), name).otherwise(s["district"]).alias("district"),
-            F.when(kind == "street", name).otherwise(s["street"]).alias("street"),
-            F.when(kind == "house", name).otherwise(s["house"]).alias("house"),
-        )
-
-    return F.aggregate(items, state, step)
+            of("region", 1)["full"].alias("region"), F.coalesce(of("okrug", -1)["name"], of("place", 1)["name"]).alias("municipality"), district_name(of("raion", -1)["name"]).alias("district"),
+            F.try_element_at(small, F.lit(1))["name"].alias("microdistrict"), of("street", -1)["name"].alias("street"), of("house", -1)["name"].alias("house"), of("house", -1)["id"].alias("house_id"),
+        )
+
+    return _let(roles(F.coalesce(named, F.array().cast("array<struct<type:string,name:string,full:string,id:long>>"))), fields)

@@ -71,10 +71,24 @@ def align_schema(spark, sf_dir):
     return flats.align(own, {k: c(k) for k in own.columns}).select("price", c("rooms").cast("int"))
 
 
-#: Documents over events; the same text in both engines.
-_DOC = """concat('{"offer":{"id":', cast(event_id AS string), ',"category":"', CASE event_id % 3 WHEN 0 THEN 'dailyFlatRent' WHEN 1 THEN 'flatRent' ELSE 'flatSale' END, '","totalArea":"', cast(event_id % 90 AS string), ',5","roomsCount":', cast(user_id % 40 AS string), ',"floorNumber":', cast(user_id % 30 AS string),
-  ',"separateWcsCount":', cast(event_id % 2 AS string), ',"bargainTerms":{"price":', cast(CASE WHEN event_id % 7 = 0 THEN 0 ELSE event_id * 100 END AS string), '},"geo":{"coordinates":{"lat":', cast(40 + event_id % 5 AS string), ',"lng":37.5},"address":[{"type":"location","name":"A"},{"type":"location","name":"B', cast(event_id % 4 AS string), '"},{"type":"district","name":"D"},{"type":"street","name":"S"},{"type":"house","name":"', cast(event_id % 9 AS string), '"}],"undergrounds":[{"name":"","travelTime":1},{"name":"U","travelTime":', cast(event_id % 20 AS string), ',"travelType":"walk"}]},"building":{"floorsCount":20}},"priceChanges":[{"changeTime":"t1","priceData":{"price":', cast(event_id AS string), '}},{"changeTime":"t2","priceData":{}}]}')"""
-_SALE = "CASE event_id % 3 WHEN 0 THEN 'rent_day' WHEN 1 THEN 'rent_long' ELSE 'sale' END"
+#: Offer documents over events as JSON text, in the shape of a page's document and of the search interface.
+_PLACES = """CASE event_id % 4
+  WHEN 0 THEN '{"type":"location","name":"B0"},{"type":"location","shortName":"мкр Север"},{"type":"raion","name":"р-н Южный"}'
+  WHEN 1 THEN '{"type":"okrug","fullName":"O1"},{"type":"location","name":"B1"}'
+  WHEN 2 THEN '{"type":"location","name":"B2"},{"type":"okrug","shortName":"O2"}'
+  ELSE '{"type":"mikroraion","name":"M3"},{"type":"location","name":"B3"},{"type":"location","name":""}' END"""
+_OFFER = f"""concat('"id":', event_id, ',"category":"', CASE event_id % 3 WHEN 0 THEN 'dailyFlatRent' WHEN 1 THEN 'flatRent' ELSE 'flatSale' END,
+  '","dealType":"', CASE WHEN event_id % 3 < 2 THEN 'rent' ELSE 'sale' END, '","totalArea":"', event_id % 90, ',5","roomsCount":', user_id % 40, ',"floorNumber":', user_id % 30,
+  ',"separateWcsCount":', event_id % 2, ',"bargainTerms":{{"price":', CASE WHEN event_id % 7 = 0 THEN 0 ELSE event_id * 100 END,
+  '}},"geo":{{"coordinates":{{"lat":', 40 + event_id % 5, ',"lng":37.5}},"address":[{{"type":"location","name":"A","fullName":"A full"}},', {_PLACES},
+  ',{{"type":"street","name":"S"}},{{"type":"house","name":"', event_id % 9, '","id":', event_id, '}}],"undergrounds":[{{"name":"","travelTime":1}},{{"name":"U","travelTime":', event_id % 20,
+  ',"travelType":"walk"}},{{"name":"V"}}],"railways":[{{"name":"R","time":5,"travelType":"transport","distance":"', event_id % 8, '"}}],"highways":[{{"name":null,"distance":"9"}}]}},"building":{{"floorsCount":20',
+  CASE WHEN event_id % 6 = 0 THEN ',"demolishedInMoscowProgramm":true' ELSE '' END, '}}')"""
+_AGENT = """concat('{"accountType":"', CASE WHEN event_id % 4 = 0 THEN 'homeowner' ELSE 'agency' END, '","isAgent":', CASE WHEN event_id % 4 = 0 THEN 'false' ELSE 'true' END, '}')"""
+_STATS = """concat('{"totalViewsFormattedString":"', event_id % 50, ' просмотров, ', event_id % 5, ' за сегодня"}')"""
+_CHANGES = """concat('[{"changeTime":"2024-01-02T10:11:12","priceData":{"price":', event_id, '}},{"changeTime":"2024-01-03","priceData":{}},{"priceData":{"price":7}}]')"""
+_DOC = f"""concat('{{"offer":{{', {_OFFER}, '}},"agent":', {_AGENT}, ',"stats":', {_STATS}, ',"priceChanges":', {_CHANGES}, '}}')"""
+_API = f"""concat('{{', {_OFFER}, ',"user":', {_AGENT}, ',"statistic":', {_STATS}, ',"priceChanges":', {_CHANGES}, '}}')"""
 
 
 def documents(spark, sf_dir):
@@ -82,14 +96,42 @@ def documents(spark, sf_dir):
     return own.select("event_id", F.from_json("text", offers.DOCUMENT).alias("document"))
 
 
+def api_offers(spark, sf_dir):
+    own = table(spark, sf_dir, "events").select("event_id", F.expr(_API).alias("text"))
+    return own.select("event_id", F.from_json("text", offers.API_OFFER).alias("offer"))
+
+
 _AREA = "(event_id % 90 + 0.5::double)"
-_MAPPED = f"SELECT event_id, {_SALE} AS deal_type, event_id * 100 AS price, cast(floor(event_id * 100 / {_AREA}) AS bigint) AS price_per_m2, 'B' || event_id % 4 AS municipality, 'D' AS district, cast(event_id % 9 AS varchar) AS house, cast(user_id % 40 AS int) AS rooms, CASE WHEN event_id % 2 = 1 THEN '1 разд.' END AS bathrooms FROM events WHERE event_id % 7 <> 0"
-for _name in ("map_offer", "map_offer_api"):
-    query(_MAPPED, _name)(lambda s, d: offers.map_offers(documents(s, d)).select("event_id", "deal_type", "price", "price_per_m2", "municipality", "district", "house", "rooms", "bathrooms"))
-query("SELECT event_id, 'A' AS region, 'B' || event_id % 4 AS municipality, 'S' AS street FROM events", "geo_address_fold")(lambda s, d: documents(s, d).select("event_id", v.folded_address(c("document.offer.geo.address")).alias("a")).select("event_id", "a.region", "a.municipality", "a.street"))
-query("SELECT event_id, 1 AS n, 'U' AS name, cast(event_id % 20 AS int) AS minutes FROM events", "transit_arrays")(lambda s, d: documents(s, d).select("event_id", v.compact_stations(c("document.offer.geo.undergrounds")).alias("u")).select("event_id", F.size("u").alias("n"), c("u")[0]["name"].alias("name"), c("u")[0]["travelTime"].alias("minutes")))
-query("SELECT event_id, event_id AS price, 't1' AS date FROM events", "price_history_array")(lambda s, d: documents(s, d).select("event_id", F.explode(v.price_history(c("document.priceChanges"))).alias("h")).select("event_id", "h.price", "h.date"))
-query(f"WITH x AS (SELECT event_id, CASE WHEN event_id % 90 + 0.5 >= 5 THEN {_AREA} END AS total_area, CASE WHEN event_id % 5 > 0 THEN 40.0::double + event_id % 5 END AS lat, CASE WHEN event_id % 5 > 0 THEN 37.5::double END AS lon, cast(CASE WHEN user_id % 40 <= 30 THEN user_id % 40 END AS int) AS rooms, cast(user_id % 30 AS int) AS floor, cast(CASE WHEN user_id % 30 <= 20 THEN 20 END AS int) AS total_floors, event_id * 100 AS price FROM events WHERE event_id % 7 <> 0) SELECT *, cast(floor(price / total_area) AS bigint) AS price_per_m2 FROM x", "sanitize_rules")(lambda s, d: offers.sanitize(offers.map_offers(documents(s, d)).select("event_id", "total_area", "lat", "lon", "rooms", "floor", "total_floors", "price", "price_per_m2"), 2024))
+_PRICED = "FROM events WHERE event_id % 7 <> 0"
+_MUNICIPALITY = "['B0', 'O1', 'O2', 'B3'][event_id % 4 + 1]"
+_MAPPED = f"""event_id, ['rent_day', 'rent_long', 'sale'][event_id % 3 + 1] AS deal_type, event_id * 100 AS price, cast(floor(event_id * 100 / {_AREA}) AS bigint) AS price_per_m2,
+  'A full' AS region, {_MUNICIPALITY} AS municipality, CASE WHEN event_id % 4 = 0 THEN 'Южный' END AS district, ['мкр Север', 'B1', NULL, 'M3'][event_id % 4 + 1] AS microdistrict,
+  cast(event_id % 9 AS varchar) AS house, event_id AS house_id, cast(user_id % 40 AS int) AS rooms, CASE WHEN event_id % 2 = 1 THEN '1 разд.' END AS bathrooms,
+  '[["U",' || event_id % 20 || ',"walk"],["V",null,null]]' AS metro_stations, '[["R",5,"transport","' || event_id % 8 || '"]]' AS railways, cast(NULL AS varchar) AS highways,
+  CASE WHEN event_id % 4 = 0 THEN 'homeowner' ELSE 'agency' END AS seller_type, event_id % 4 <> 0 AS is_agent, cast(event_id % 50 AS int) AS views_total, cast(event_id % 5 AS int) AS views_today"""
+_MAPPED_COLUMNS = ["event_id", "deal_type", "price", "price_per_m2", "region", "municipality", "district", "microdistrict", "house", "house_id", "rooms", "bathrooms", "metro_stations", "railways", "highways", "seller_type", "is_agent", "views_total", "views_today"]
+query(f"SELECT {_MAPPED}, cast(NULL AS boolean) AS seller_is_owner, cast(NULL AS boolean) AS demolished_in_renovation {_PRICED}", "map_offer")(
+    lambda s, d: offers.map_offers(documents(s, d)).select(*_MAPPED_COLUMNS, "seller_is_owner", "demolished_in_renovation")
+)
+query(f"SELECT {_MAPPED}, event_id % 4 = 0 AS seller_is_owner, CASE WHEN event_id % 6 = 0 THEN true END AS demolished_in_renovation {_PRICED}", "map_offer_api")(
+    lambda s, d: offers.map_api_offers(api_offers(s, d)).select(*_MAPPED_COLUMNS, "seller_is_owner", "demolished_in_renovation")
+)
+query(f"SELECT event_id, 'A full' AS region, {_MUNICIPALITY} AS municipality, 'S' AS street FROM events", "geo_address_fold")(
+    lambda s, d: documents(s, d).select("event_id", v.folded_address(c("document.offer.geo.address")).alias("a")).select("event_id", "a.region", "a.municipality", "a.street")
+)
+query("""SELECT event_id, '[["U",' || event_id % 20 || ',"walk"],["V",null,null]]' AS metro, '[["R",5,"transport","' || event_id % 8 || '"]]' AS rail, cast(NULL AS varchar) AS road FROM events""", "transit_arrays")(
+    lambda s, d: documents(s, d).select("event_id", *[v.rows_json(c(f"document.offer.geo.{source}"), *fields).alias(k) for k, source, fields in (("metro", "undergrounds", ("name", "travelTime", "travelType")), ("rail", "railways", ("name", "time", "travelType", "distance")), ("road", "highways", ("name", "distance")))])
+)
+query("SELECT event_id, event_id AS price, '2024-01-02' AS date FROM events", "price_history_array")(
+    lambda s, d: documents(s, d).select("event_id", F.explode(v.price_history(c("document.priceChanges"))).alias("h")).select("event_id", "h.price", "h.date")
+)
+query(
+    f"""WITH x AS (SELECT event_id, CASE WHEN event_id % 90 + 0.5 >= 5 THEN {_AREA} END AS total_area, CASE WHEN event_id % 5 > 0 THEN 40.0::double + event_id % 5 END AS lat,
+      CASE WHEN event_id % 5 > 0 THEN 37.5::double END AS lon, cast(CASE WHEN user_id % 40 <= 30 THEN user_id % 40 END AS int) AS rooms, cast(user_id % 30 AS int) AS floor,
+      cast(CASE WHEN user_id % 30 <= 20 THEN 20 END AS int) AS total_floors, event_id * 100 AS price {_PRICED})
+    SELECT *, cast(floor(price / total_area) AS bigint) AS price_per_m2 FROM x""",
+    "sanitize_rules",
+)(lambda s, d: offers.sanitize(offers.map_offers(documents(s, d)).select("event_id", "total_area", "lat", "lon", "rooms", "floor", "total_floors", "price", "price_per_m2"), 2024))
 query("SELECT event_id, 9 AS total, event_id + i AS id FROM events, (VALUES (0), (1)) t(i)", "explode_offers")(lambda s, d: offers.explode_offers(table(s, d, "events").select("event_id", F.concat(F.lit('{"offerCount":9,"offersSerialized":[{"id":'), "event_id", F.lit('},{"id":'), c("event_id") + 1, F.lit("}]}")).alias("response"))).select("event_id", "total", c("offer.id").alias("id")))
 
 

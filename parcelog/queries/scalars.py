@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from parcelog.functions import text as t, values as v
 from parcelog.queries.registry import query, table
+from parcelog.sources.offers import deal_type
 
 c = F.col
 MOSCOW = "INTERVAL 3 HOUR"
@@ -42,8 +43,19 @@ scalar("normalize_district", "nation", "n_nationkey", {"a": "case n_nationkey %
 scalar("normalize_region", "nation", "n_nationkey", {"a": "case n_nationkey % 3 when 0 then n_name || ' область' when 1 then 'Край ' || n_name else n_name || ' -- x' end"}, lambda: {"key": t.region_key(c("a"), {"NATION_1 ": "one"})}, {"key": "regexp_replace(regexp_replace(trim(regexp_replace(lower(a), '(область|край)', '', 'g')), '[^a-zа-яё0-9]+', '_', 'g'), '^_+|_+$', '', 'g')"})
 orders("room_keys", {"a": "'room' || cast(o_orderkey % 10 as string) || '=1&room' || cast(o_orderkey % 7 as string) || '=1&x=2'"}, lambda: {"keys": F.array_join(t.room_keys(c("a")), ",")}, {"keys": "array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(a, 'room([0-9]+)=1', 1), lambda x: case when x = '9' then 'studio' when cast(x as int) >= 5 then '5+' else x end))), ',')"})
 orders("price_label", {"lo": "case when o_orderkey % 5 = 0 then null else (o_orderkey % 9) * 500000 end", "hi": "case when o_orderkey % 7 = 0 then null else (o_orderkey % 9 + 1) * 500000 end"}, lambda: {"label": t.price_label(c("lo"), c("hi"))}, {"label": " || '-' || ".join(f"case when {x} is null then '+' when {x} % 1000000 = 0 then cast({x} // 1000000 as varchar) || 'M' else cast({x} // 1000 as varchar) || 'K' end" for x in ("coalesce(lo, 0)", "hi"))})
-orders("parse_views", {"a": "case when o_orderkey % 8 = 0 then 'nobody' else '1 ' || cast(100 + o_orderkey % 900 as string) || ' просмотров, ' || cast(o_orderkey % 50 as string) || ' за сегодня' end"}, lambda: dict(zip(("total", "today"), t.view_counts(c("a")), strict=True)), {"total": "try_cast(nullif(replace(regexp_extract(a, '^([0-9 ]+)просмотр', 1), ' ', ''), '') as int)", "today": "try_cast(nullif(regexp_extract(a, '([0-9]+) за сегодня', 1), '') as int)"})
-orders("completion_text", {"q": "case o_orderkey % 5 when 0 then 'first' when 1 then 'third' when 2 then 'fourth' end", "y": "case when o_orderkey % 3 = 0 then null else 2020 + o_orderkey % 9 end", "f": "case when o_orderkey % 2 = 0 then o_orderpriority end"}, lambda: {"done": t.completion_text(c("q"), c("y"), c("f"))}, {"done": "coalesce(case q when 'first' then '1' when 'third' then '3' when 'fourth' then '4' end || ' кв. ' || cast(y as varchar), cast(y as varchar), f)"})
+orders(
+    "parse_views",
+    {"a": "case when o_orderkey % 8 = 0 then 'nobody' when o_orderkey % 8 = 1 then '7 просмотров' else '1\u00a0' || cast(100 + o_orderkey % 900 as string) || ' просмотров, 2 ' || cast(100 + o_orderkey % 50 as string) || ' за сегодня' end"},
+    lambda: dict(zip(("total", "today"), t.view_counts(c("a")), strict=True)),
+    {"total": "case when o_orderkey % 8 = 1 then 7 when o_orderkey % 8 > 1 then 1100 + o_orderkey % 900 end::int", "today": "case when o_orderkey % 8 > 1 then 2100 + o_orderkey % 50 end::int"},
+)
+orders(
+    "completion_text",
+    {"q": "case o_orderkey % 5 when 0 then 'first' when 1 then 'third' when 2 then 'fourth' when 3 then 'spring' end", "y": "case when o_orderkey % 3 = 0 then null else 2020 + o_orderkey % 9 end", "fq": "case when o_orderkey % 4 = 1 then '2' end", "fy": "case when o_orderkey % 4 < 2 then 2030 end", "f": "case when o_orderkey % 2 = 0 then o_orderpriority end"},
+    lambda: {"done": t.completion_text(c("q"), c("y"), c("fq"), c("fy"), c("f"))},
+    {"done": """case when o_orderkey % 3 <> 0 and o_orderkey % 5 < 4 then ['1', '3', '4', 'spring'][o_orderkey % 5 + 1] || ' кв. ' || (2020 + o_orderkey % 9)
+      when o_orderkey % 3 <> 0 then cast(2020 + o_orderkey % 9 as varchar) when o_orderkey % 4 = 1 then '2 кв. 2030' when o_orderkey % 4 = 0 then '2030' else f end"""},
+)
 orders("format_counts", {"a": "o_orderkey % 3", "b": "case when o_orderkey % 4 = 0 then null else o_orderkey % 2 end"}, lambda: {"baths": t.counts_text([(c("a"), "разд."), (c("b"), "совм.")])}, {"baths": "nullif(concat_ws(', ', case when a > 0 then cast(a as varchar) || ' разд.' end, case when b > 0 then cast(b as varchar) || ' совм.' end), '')"})
 orders("count_token", {"a": "case o_orderkey % 4 when 0 then null when 1 then '2 совм., 1 разд.' when 2 then cast(o_orderkey % 9 as string) || ' разд.' else 'none' end"}, lambda: {"n": t.count_before(c("a"), "разд")}, {"n": "case when a is null then -1 else coalesce(try_cast(nullif(regexp_extract(a, '([0-9]+)\\s*разд', 1), '') as int), 0) end"})
 orders("contains_flag", {"a": "case o_orderkey % 4 when 0 then null when 1 then 'Apartments' when 2 then '  ' else o_orderpriority end"}, lambda: {"is_apartments": t.contains_flag(c("a"), "apartment")}, {"is_apartments": "case when lower(a) like '%apartment%' then true when trim(a) <> '' then false end"})
@@ -90,7 +102,12 @@ scalar("array_len_or_null", "embeddings", "vec_id", {"a": "case when vec_id % 3
 scalar("html_embedded_json", "pages", "page_id", {"h": "case page_id % 3 when 0 then html when 1 then html || '\"offerData\":{\"id\":' || cast(page_id as string) || ',\"s\":{\"t\":\"}\"}} tail }' else '\"offerData\":{\"id\":' end"}, lambda: {"id": v.embedded_json(c("h"), '"offerData":', "id long, s struct<t:string>")["id"]}, {"id": "case when page_id % 3 = 1 then page_id end"})
 orders("sentinel_to_null", {"r": "o_orderkey % 5 - 1", "y": "case when o_orderkey % 4 = 0 then 0 else 1990 end"}, lambda: {"rooms": F.when(c("r") >= 0, c("r")), "year": F.nullif(c("y"), F.lit(0))}, {"rooms": "case when r >= 0 then r end", "year": "nullif(y, 0)"})
 orders("recode_region", {"a": "o_orderpriority"}, lambda: {"r": F.when(c("a") == "5-LOW", "LOW").otherwise(c("a"))}, {"r": "case a when '5-LOW' then 'LOW' else a end"})
-orders("derive_deal_type", {"k": "case o_orderkey % 4 when 0 then 'dailyFlatRent' when 1 then 'flatRent' else 'flatSale' end"}, lambda: {"deal": F.when(c("k").startswith("daily"), "rent_day").when(c("k").endswith("Rent"), "rent_long").otherwise("sale")}, {"deal": "case when k like 'daily%' then 'rent_day' when k like '%Rent' then 'rent_long' else 'sale' end"})
+orders(
+    "derive_deal_type",
+    {"k": "case o_orderkey % 5 when 0 then 'dailyFlatRent' when 1 then 'dailyRoomRent' when 2 then 'flatRent' when 3 then 'flatSale' end", "d": "case when o_orderkey % 7 < 4 then 'rent' when o_orderkey % 7 < 6 then 'sale' end"},
+    lambda: {"deal": deal_type(c("k"), c("d"))},
+    {"deal": "case when o_orderkey % 5 = 0 then 'rent_day' when o_orderkey % 7 in (0, 1, 2, 3) then 'rent_long' else 'sale' end"},
+)
 orders("alias_fallback", {"a": "case when o_orderkey % 2 = 0 then true end", "b": "o_orderkey % 3 = 0"}, lambda: {"is_apartments": F.coalesce(c("a"), c("b"))}, {"is_apartments": "coalesce(a, b)"})
 orders("null_out_of_range", {"a": "o_orderkey % 13"}, lambda: {"x": F.when(c("a").between(2, 8), c("a"))}, {"x": "case when a between 2 and 8 then a end"})
 scalar("cross_field_null", "part", "p_partkey", {"t": "p_size", "l": "nullif(p_partkey % 40, 3)", "k": "p_partkey % 20"}, lambda: {n: F.when(~(F.coalesce("l", F.lit(0)) + F.coalesce("k", F.lit(0)) > c("t")), c(s)) for n, s in (("living", "l"), ("kitchen", "k"))}, {n: f"case when not (coalesce(l, 0) + coalesce(k, 0) > t) then {s} end" for n, s in (("living", "l"), ("kitchen", "k"))})
