@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import itertools
+import random
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from parcelog.operators.ranks import ranked
+from parcelog.operators.summaries import newest_share
+from parcelog.storage import materialize
+
 
 def columns_by_type(df: DataFrame, but: tuple[str, ...] = ()) -> tuple[list[str], list[str]]:
     """(numeric, other) columns."""
@@ -23,15 +29,23 @@ def hash_share(*columns: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in columns])), 1, 8), 16, 10).cast("double") / 2**32
 
 
-def stratified_split(df: DataFrame, key: str, label: str, share: float) -> DataFrame:
-    """``is_test`` for a share of the rows of each label, by hash of the key."""
-    return df.withColumn("is_test", hash_share(key, label) < share)
+def stratified_split(df: DataFrame, key: str, label: str, share: float, seed: int = 0) -> DataFrame:
+    """``is_test`` for exactly a share of the rows of each label (to the nearest row, halves up), drawn by hash of the key.
+
+    Rows are numbered by (label, hash) in ranges, so a label of any size is drawn from by many tasks. Null labels are one.
+    """
+    own = df.withColumn("draw_", F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string"))))
+    own = ranked(own, F.asc_nulls_first(label), F.asc("draw_"), F.asc(key), name="place_")
+    sizes = df.groupBy(F.col(label).alias("label_")).agg(F.count("*").alias("n_"))
+    first = (F.sum("n_").over(Window.orderBy(F.asc_nulls_first("label_"))) - F.col("n_")).alias("before_")  # a row for each label
+    joined = own.join(sizes.select("label_", "n_", first), F.col(label).eqNullSafe(F.col("label_")))
+    return joined.withColumn("is_test", F.col("place_") - F.col("before_") <= F.floor(F.col("n_") * share + 0.5)).select(*df.columns, "is_test")
 
 
 def label_index(df: DataFrame, column: str) -> DataFrame:
-    """``index`` from 0 in the order of the labels; the labels are an aggregate."""
-    labels = df.select(column).distinct().withColumn("index", F.row_number().over(Window.orderBy(column)) - 1)
-    return df.join(F.broadcast(labels), column)
+    """``index`` from 0 in the order of the labels, of which there may be many; rows without label go."""
+    labels = ranked(df.select(column).filter(F.col(column).isNotNull()).distinct(), column, name="place_")
+    return df.join(labels.select(column, (F.col("place_") - 1).cast("int").alias("index")), column)
 
 
 def target_encode(df: DataFrame, column: str, target: str, key: str, folds: int = 5, smooth: float = 10.0) -> DataFrame:
@@ -72,15 +86,47 @@ def score(model: PipelineModel, df: DataFrame, *keep: str) -> DataFrame:
     return out.select(*keep, value.alias("score"))
 
 
-def random_search(df: DataFrame, label: str, numeric: list[str], categories: list[str], grid: dict[str, list], folds: int = 3) -> tuple[float, dict]:
-    """Best mean ROC area and its parameters over a grid of logistic regressions."""
-    model = LogisticRegression(labelCol=label, maxIter=10)
-    builder = ParamGridBuilder()
-    for k, values in grid.items():
-        builder = builder.addGrid(model.getParam(k), values)
-    found = CrossValidator(estimator=Pipeline(stages=[*preprocessor(numeric, categories), model]), estimatorParamMaps=builder.build(), evaluator=BinaryClassificationEvaluator(labelCol=label), numFolds=folds, seed=1, parallelism=2).fit(df)
-    best = max(range(len(found.avgMetrics)), key=found.avgMetrics.__getitem__)
-    return found.avgMetrics[best], {p.name: v for p, v in found.getEstimatorParamMaps()[best].items()}
+def stratified_folds(df: DataFrame, key: str, label: str, folds: int, seed: int = 0) -> DataFrame:
+    """``fold`` from 0, dealt in turn among the rows of each label in an order drawn by hash of the key."""
+    own = df.withColumn("draw_", F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string"))))
+    own = ranked(own, F.asc_nulls_first(label), F.asc("draw_"), F.asc(key), name="place_")
+    return own.withColumn("fold", (F.col("place_") % folds).cast("int")).drop("draw_", "place_")
+
+
+def drawn_parameters(spaces: list[dict[str, list]], n: int, seed: int = 0) -> list[dict]:
+    """n different settings drawn at random from all combinations of the spaces (all of them, if they are fewer)."""
+    settings = [dict(zip(space, values, strict=True)) for space in spaces for values in itertools.product(*space.values())]
+    return random.Random(seed).sample(settings, min(n, len(settings)))
+
+
+def random_search(df: DataFrame, key: str, label: str, numeric: list[str], categories: list[str], spaces: list[dict[str, list]], n: int = 8, folds: int = 3, seed: int = 0) -> list[tuple[float, dict]]:
+    """(mean ROC area over stratified folds, setting) of settings drawn at random, the best first.
+
+    A setting names a model of ``MODELS`` under ``model`` and parameters of it. Data are prepared once a fold.
+    """
+    dealt = materialize(stratified_folds(df, key, label, folds, seed), "folds")
+    settings = drawn_parameters(spaces, n, seed)
+    areas: list[list[float]] = [[] for _ in settings]
+    evaluator = BinaryClassificationEvaluator(labelCol=label)
+    for fold in range(folds):
+        known = dealt.filter(F.col("fold") != fold)
+        prepared = Pipeline(stages=preprocessor(numeric, categories)).fit(known)
+        train, test = (materialize(prepared.transform(x).select(label, "features"), "prepared") for x in (known, dealt.filter(F.col("fold") == fold)))
+        for i, setting in enumerate(settings):
+            model = MODELS[setting["model"]](label)
+            model.setParams(**{k: v for k, v in setting.items() if k != "model"})
+            areas[i].append(evaluator.evaluate(model.fit(train).transform(test)))
+    found = [(sum(a) / folds, setting) for a, setting in zip(areas, settings, strict=True)]
+    return sorted(found, key=lambda x: -x[0])
+
+
+def train_with_holdout(df: DataFrame, kind: str, label: str, key: str, time: str, numeric: list[str], categories: list[str], share: float = 0.2) -> tuple[PipelineModel, DataFrame]:
+    """A model of all rows, and the metrics (one row) of one that was fitted without the newest share and scored on it."""
+    parted = materialize(newest_share(df, time, key, share), "holdout")
+    newest = parted.filter("is_test")
+    metrics = classifier_metrics(score(fit(parted.filter(~F.col("is_test")), kind, label, numeric, categories), newest, label), label)
+    totals = parted.agg(F.count("*").alias("n_train"), F.round(F.avg(label), 6).alias("positive_rate"), F.max(time).alias("newest"))
+    return fit(df, kind, label, numeric, categories), metrics.crossJoin(F.broadcast(totals))  # one row each
 
 
 def importances(model: PipelineModel, df: DataFrame, n: int = 20) -> DataFrame:

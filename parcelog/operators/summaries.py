@@ -6,14 +6,23 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from parcelog.operators.ranks import exact_quantiles, overall_quantiles, ranked
+
 
 def every(conditions: list[Column | None]) -> Column:
     """All conditions that are given."""
     return reduce(lambda x, y: x & y, [c for c in conditions if c is not None], F.lit(True))
 
 
-def median_band(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Median and size of each group; rows with null values count for the size."""
+def median_band(df: DataFrame, keys: list[str], value: str, large: bool = False) -> DataFrame:
+    """Median and size of each group; rows with null values count for the size.
+
+    One aggregate whose buffer holds a group's different values; ``large`` groups are ranked by range instead.
+    """
+    if large:
+        sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
+        medians = exact_quantiles(df, keys, value, {"med": 0.5}).withColumnsRenamed({k: f"{k}_" for k in keys})
+        return sizes.join(medians, every([F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys]), "left").select(*keys, "med", "n")
     return df.groupBy(*keys).agg(F.percentile(value, F.lit(0.5)).alias("med"), F.count("*").alias("n"))
 
 
@@ -119,40 +128,53 @@ def hex_cell(lat: Column, lon: Column, size: float) -> tuple[Column, Column]:
 def quantile_trim(df: DataFrame, columns: list[str], low: float = 0.01, high: float = 0.99) -> DataFrame:
     """Rows within the quantiles of each column in turn, each taken over what is left; nulls stay."""
     for c in columns:
-        lo, hi = df.agg(F.percentile(c, F.array(F.lit(low), F.lit(high)))).first()[0] or (None, None)  # one row
-        if lo is not None:
-            df = df.filter(F.col(c).isNull() | F.col(c).between(lo, hi))
+        ends = overall_quantiles(df, c, low, high)
+        if ends:
+            df = df.filter(F.col(c).isNull() | F.col(c).between(*ends))
     return df
 
 
 def quantile_clip(df: DataFrame, column: str, high: float = 0.99) -> DataFrame:
     """The column capped at a quantile; nulls stay."""
-    cap = df.agg(F.percentile(column, F.lit(high))).first()[0]  # one row
-    return df.withColumn(column, F.when(F.col(column).isNotNull(), F.least(F.col(column), F.lit(cap)))) if cap is not None else df
+    cap = overall_quantiles(df, column, high)
+    return df.withColumn(column, F.when(F.col(column).isNotNull(), F.least(F.col(column), F.lit(cap[0])))) if cap else df
+
+
+def mode_of(df: DataFrame, column: str) -> object:
+    """The most frequent value, of several the smallest; none without values."""
+    first = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column).first()
+    return first[0] if first else None
 
 
 def mode_fill(df: DataFrame, column: str) -> DataFrame:
     """Null categories become the most frequent one, of several the smallest."""
-    first = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column).first()  # one row
-    return df.fillna({column: first[0]}) if first else df
+    mode = mode_of(df, column)
+    return df if mode is None else df.fillna({column: mode})
 
 
-def hierarchical_fill(df: DataFrame, target: str, levels: list[list[str]], least: int = 1) -> DataFrame:
+def hierarchical_fill(df: DataFrame, target: str, levels: list[list[str]]) -> DataFrame:
     """Null numbers take the median of the first group that has one, level by level, then the overall median."""
-    overall = df.agg(F.percentile(target, F.lit(0.5))).first()[0]  # one row
+    return fill_from(df, target, *fitted_medians(df, target, levels)).select(*df.columns)
+
+
+def fitted_medians(df: DataFrame, target: str, levels: list[list[str]]) -> tuple[list[tuple[list[str], DataFrame]], float | None]:
+    """What ``fill_from`` needs: the medians (``median_``) of each level's groups, and that of all rows."""
+    known = df.filter(F.col(target).isNotNull())
+    tables = [(keys, known.groupBy(*keys).agg(F.percentile(target, F.lit(0.5)).alias("median_"))) for keys in levels]
+    overall = overall_quantiles(df, target, 0.5)
+    return tables, overall[0] if overall else None
+
+
+def fill_from(df: DataFrame, target: str, tables: list[tuple[list[str], DataFrame]], overall: float | None) -> DataFrame:
+    """Null numbers from tables of medians in turn, then from the overall one."""
     found, fills = df, [F.col(target)]
-    for i, keys in enumerate(levels):
-        medians = df.filter(F.col(target).isNotNull()).groupBy(*keys).agg(F.percentile(target, F.lit(0.5)).alias(f"m{i}_"))
-        found = found.join(medians, keys, "left")
+    for i, (keys, medians) in enumerate(tables):
+        found = found.join(medians.withColumnRenamed("median_", f"m{i}_"), keys, "left")
         fills.append(F.col(f"m{i}_"))
-    return found.withColumn(target, F.coalesce(*fills, F.lit(overall))).drop(*[f"m{i}_" for i in range(len(levels))]).select(*df.columns)
+    return found.withColumn(target, F.coalesce(*fills, F.lit(overall).cast("double"))).drop(*[f"m{i}_" for i in range(len(tables))])
 
 
 def newest_share(df: DataFrame, time: str, id_: str, share: float) -> DataFrame:
-    """``is_test`` for the newest share of the rows, ties by id. Times are counted first: only they are sorted as a whole,
-    rows only among those of one time."""
-    times = df.groupBy(time).agg(F.count("*").alias("n_"))
-    times = times.withColumns({"upto_": F.sum("n_").over(Window.orderBy(F.desc(time))), "all_": F.sum("n_").over(Window.partitionBy(F.lit(1)))})
-    place = F.row_number().over(Window.partitionBy(time).orderBy(id_))
-    joined = df.withColumn("place_", place).join(times, time)
-    return joined.withColumn("is_test", F.col("upto_") - F.col("n_") + F.col("place_") <= share * F.col("all_")).select(*df.columns, "is_test")
+    """``is_test`` for the newest share of the rows, ties by id. Rows are numbered by range, no task sorts them all."""
+    every_ = df.count()
+    return ranked(df, F.desc(time), F.asc(id_), name="place_").withColumn("is_test", F.col("place_") <= share * every_).drop("place_")

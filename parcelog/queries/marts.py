@@ -6,6 +6,7 @@ from pyspark.sql import Window, functions as F
 
 from parcelog import adapters as a
 from parcelog.operators import summaries as s
+from parcelog.operators.ranks import overall_quantiles
 from parcelog.queries.registry import query, table
 
 L, FL = a.SQL_LISTINGS, a.SQL_FLATS
@@ -124,12 +125,10 @@ listings("recency_holdout", "SELECT listing_id, row_number() OVER (ORDER BY firs
 listings("group_median_transform", "SELECT listing_id, round(quantile_cont(ppm2, 0.5) OVER (PARTITION BY region, rooms), 4) AS med FROM listings", lambda d: d.join(s.median_band(d, ["region", "rooms"], "ppm2"), ["region", "rooms"]).select("listing_id", F.round("med", 4).alias("med")))
 listings("ratio_to_group_median", ", m AS (SELECT region, rooms, quantile_cont(ppm2, 0.5) AS med FROM listings GROUP BY 1, 2) SELECT listing_id, round(ppm2 / nullif(med, 0), 6) AS ratio FROM listings JOIN m USING (region, rooms)", lambda d: d.join(s.median_band(d, ["region", "rooms"], "ppm2"), ["region", "rooms"]).select("listing_id", F.round(c("ppm2") / F.nullif("med", F.lit(0.0)), 6).alias("ratio")))
 listings("lookup_left", ", m AS (SELECT region, rooms, quantile_cont(area, 0.5) AS med FROM listings WHERE rooms > 1 GROUP BY 1, 2) SELECT listing_id, med FROM listings LEFT JOIN m USING (region, rooms)", lambda d: d.join(s.median_band(d.filter("rooms > 1"), ["region", "rooms"], "area").drop("n"), ["region", "rooms"], "left").select("listing_id", "med"))
-listings("ratio_features", ", m AS (SELECT municipality, rooms, quantile_cont(ppm2, 0.5) AS med FROM listings GROUP BY 1, 2), g AS (SELECT quantile_cont(ppm2, 0.5) AS all_med FROM listings) SELECT listing_id, round(ppm2 / nullif(coalesce(med, all_med), 0), 6) AS ratio FROM listings LEFT JOIN m USING (municipality, rooms), g", lambda d: d.join(s.median_band(d, ["municipality", "rooms"], "ppm2"), ["municipality", "rooms"], "left").select("listing_id", F.round(c("ppm2") / F.nullif(F.coalesce("med", F.lit(d.agg(F.percentile("ppm2", F.lit(0.5))).first()[0])), F.lit(0.0)), 6).alias("ratio")))
+listings("ratio_features", ", m AS (SELECT municipality, rooms, quantile_cont(ppm2, 0.5) AS med FROM listings GROUP BY 1, 2), g AS (SELECT quantile_cont(ppm2, 0.5) AS all_med FROM listings) SELECT listing_id, round(ppm2 / nullif(coalesce(med, all_med), 0), 6) AS ratio FROM listings LEFT JOIN m USING (municipality, rooms), g", lambda d: d.join(s.median_band(d, ["municipality", "rooms"], "ppm2"), ["municipality", "rooms"], "left").select("listing_id", F.round(c("ppm2") / F.nullif(F.coalesce("med", F.lit(overall_quantiles(d, "ppm2", 0.5)[0])), F.lit(0.0)), 6).alias("ratio")))
 
 flats("quantile_clip", ", q AS (SELECT quantile_cont(price, 0.99) AS cap FROM flats) SELECT order_id, line, round(least(price, cap), 4) AS price FROM flats, q", lambda d: s.quantile_clip(d, "price").select("order_id", "line", F.round("price", 4).alias("price")))
 flats("quantile_trim", ", q AS (SELECT quantile_cont(price, 0.01) AS a, quantile_cont(price, 0.99) AS b FROM flats), x AS (SELECT flats.* FROM flats, q WHERE price BETWEEN a AND b), r AS (SELECT quantile_cont(area, 0.01) AS a, quantile_cont(area, 0.99) AS b FROM x) SELECT order_id, line, price, area FROM x, r WHERE area BETWEEN a AND b", lambda d: s.quantile_trim(d, ["price", "area"]).select("order_id", "line", "price", "area"))
 flats("mode_fill", ", x AS (SELECT order_id, line, nullif(type, 'PROMO') AS type FROM flats), m AS (SELECT type FROM x WHERE type IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) SELECT order_id, line, coalesce(x.type, m.type) AS type FROM x, m", lambda d: s.mode_fill(d.select("order_id", "line", F.nullif("type", F.lit("PROMO")).alias("type")), "type"))
 flats("hier_impute", ", x AS (SELECT order_id, line, type, district, CASE WHEN floor % 5 <> 0 THEN price END AS price FROM flats), m AS (SELECT type, district, quantile_cont(price, 0.5) AS m FROM x WHERE price IS NOT NULL GROUP BY 1, 2), n AS (SELECT type, quantile_cont(price, 0.5) AS n FROM x WHERE price IS NOT NULL GROUP BY 1), g AS (SELECT quantile_cont(price, 0.5) AS g FROM x) SELECT order_id, line, round(coalesce(price, m, n, g), 4) AS price FROM x LEFT JOIN m USING (type, district) LEFT JOIN n USING (type), g", lambda d: s.hierarchical_fill(d.select("order_id", "line", "type", "district", F.when(c("floor") % 5 != 0, c("price")).alias("price")), "price", [["type", "district"], ["type"]]).select("order_id", "line", F.round("price", 4).alias("price")))
 flats("global_fill", ", x AS (SELECT order_id, line, nullif(floor, 3) AS floor FROM flats), g AS (SELECT quantile_cont(floor, 0.5) AS m FROM x) SELECT order_id, line, coalesce(floor, m) AS floor FROM x, g", lambda d: s.hierarchical_fill(d.select("order_id", "line", F.nullif("floor", F.lit(3)).cast("double").alias("floor")), "floor", []))
-flats("layout_features", "SELECT order_id, line, cast(floor = 1 AS int) AS first_floor, cast(floor = 50 AS int) AS last_floor, round(floor / 50.0, 6)::double AS floor_ratio, round(area / greatest(floor % 4, 1), 6) AS area_per_room FROM flats", lambda d: d.select("order_id", "line", (c("floor") == 1).cast("int").alias("first_floor"), (c("floor") == 50).cast("int").alias("last_floor"), F.round(c("floor") / 50.0, 6).alias("floor_ratio"), F.round(c("area") / F.greatest(c("floor") % 4, F.lit(1)), 6).alias("area_per_room")))
-flats("temporal_features", "SELECT order_id, line, 2002 - year(seen) AS age, cast(year(seen) > 2000 AS int) AS ready FROM flats", lambda d: d.select("order_id", "line", (F.lit(2002) - F.year("seen")).cast("bigint").alias("age"), (F.year("seen") > 2000).cast("int").alias("ready")))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from parcelog import adapters as a
 from parcelog.functions.text import count_before
+from parcelog.ml import features
 from parcelog.operators import lifecycle as life, summaries as s
 from parcelog.plans import staging
 from parcelog.queries.lifecycles import ALL, DAYS, FACT, HISTORY, LOCATED, NEWEST, UNIT, O, covered
@@ -109,10 +110,59 @@ def scan_geojson(spark, sf_dir):
     return files.scan_geojson(spark, path).select("name", F.size("ring").alias("points"))
 
 
-@query(f"WITH {L}, m AS (SELECT region, rooms, quantile_cont(area, 0.5) AS m FROM listings WHERE area > 30 GROUP BY 1, 2), g AS (SELECT quantile_cont(area, 0.5) AS g FROM listings WHERE area > 30), p AS (SELECT municipality, rooms, quantile_cont(ppm2, 0.5) AS med FROM listings GROUP BY 1, 2) SELECT listing_id, round(CASE WHEN area > 30 THEN area ELSE coalesce(m, g) END, 4) AS area, round(ppm2 / nullif(med, 0), 6) AS ratio, cast(is_new AS int) AS is_new, coalesce(nullif(segment, 'BUILDING'), 'unknown') AS segment, 2002 - year(first_seen) AS age FROM listings LEFT JOIN m USING (region, rooms) LEFT JOIN p USING (municipality, rooms), g")
+def flat_inputs(spark, sf_dir):
+    """Listings with the columns that features are made from."""
+    own = a.listings(spark, sf_dir)
+    id_ = c("listing_id")
+    return own.select(
+        "listing_id", c("price").alias("price_first"), c("area").alias("total_area"), "is_studio", "region", "municipality", F.nullif("segment", F.lit("BUILDING")).alias("building_type"),
+        F.when(id_ % 13 != 0, c("rooms")).alias("rooms"), F.when(id_ % 3 != 0, c("area") / 4).alias("kitchen_area"), F.when(id_ % 4 != 0, 1480 + id_ % 500).alias("year_built"),
+        (id_ % 2).alias("is_new_building"), F.when(id_ % 7 < 4, F.concat((id_ % 4 + 1).cast("string"), F.lit(" кв. "), (2000 + id_ % 7).cast("string"))).alias("completion_date"),
+        (id_ % 9).alias("floor"), F.lit(8).alias("total_floors"), F.when(id_ % 5 == 0, "1 разд., 2 совм.").alias("bathrooms"),
+    )
+
+
+#: Fitted on four fifths of the listings, applied to all.
+_FLAT_INPUTS = f"""WITH {L}, x AS (
+  SELECT listing_id, price / area AS ppm, area, municipality, coalesce(nullif(segment, 'BUILDING'), 'unknown') AS kind, CASE WHEN is_studio THEN 0 WHEN listing_id % 13 <> 0 THEN rooms END AS rooms,
+    CASE WHEN listing_id % 3 <> 0 THEN area / 4 END AS kitchen, CASE WHEN listing_id % 4 <> 0 AND listing_id % 500 >= 20 THEN 1480 + listing_id % 500 END AS built, floor(area / 5) AS bin, listing_id % 5 <> 0 AS known
+  FROM listings),
+y AS (SELECT x.* EXCLUDE (rooms), coalesce(rooms, (SELECT median(rooms) FROM x WHERE known))::double AS rooms FROM x),
+kitchens AS (SELECT kind, bin, median(kitchen) AS k FROM y WHERE known GROUP BY ALL),
+ages AS (SELECT kind, median(built) AS b FROM y WHERE known GROUP BY ALL),
+usual AS (SELECT municipality, rooms, median(ppm) AS u FROM y WHERE known GROUP BY ALL)"""
+
+
+@query(
+    f"""{_FLAT_INPUTS} SELECT listing_id, kind AS building_type, rooms, round(coalesce(kitchen, k, (SELECT median(kitchen) FROM y WHERE known)), 4) AS kitchen_area, round(2002 - coalesce(built, b), 4) AS building_age,
+    round(ppm / coalesce(u, (SELECT median(ppm) FROM y WHERE known)), 6) AS ppm2_to_municipality, round(area / greatest(rooms, CASE WHEN rooms = 0 THEN 1 ELSE rooms END), 6) AS area_per_room,
+    CASE WHEN listing_id % 5 = 0 THEN 2 ELSE -1 END::double AS bath_combined
+    FROM y LEFT JOIN kitchens USING (kind, bin) LEFT JOIN ages USING (kind) LEFT JOIN usual USING (municipality, rooms)"""
+)
 def feature_builder(spark, sf_dir):
-    """Numeric and categorical features: imputed, compared with their group, flags as numbers, blanks as unknown."""
-    own = a.listings(spark, sf_dir).withColumn("area", F.when(c("area") > 30, c("area")))
-    filled = s.hierarchical_fill(own, "area", [["region", "rooms"]])
-    ratio = s.median_band(own, ["municipality", "rooms"], "ppm2")
-    return filled.join(ratio, ["municipality", "rooms"], "left").select("listing_id", F.round("area", 4).alias("area"), F.round(c("ppm2") / F.nullif("med", F.lit(0.0)), 6).alias("ratio"), c("is_new").cast("int").alias("is_new"), F.coalesce(F.nullif("segment", F.lit("BUILDING")), F.lit("unknown")).alias("segment"), (F.lit(2002) - F.year("first_seen")).cast("bigint").alias("age"))
+    """Features fitted on some listings and applied to all."""
+    own = flat_inputs(spark, sf_dir)
+    made = features.fit(own.filter("listing_id % 5 <> 0"), 2002).transform(own, "listing_id")
+    rounded = {"kitchen_area": 4, "building_age": 4, "ppm2_to_municipality": 6, "area_per_room": 6}
+    return made.select("listing_id", "building_type", "rooms", "bath_combined", *[F.round(k, n).alias(k) for k, n in rounded.items()])
+
+
+@query(
+    f"""WITH {L} SELECT listing_id, CASE WHEN listing_id % 7 < 4 THEN 2000 + listing_id % 7 END::double AS completion_year, CASE WHEN listing_id % 7 < 4 THEN listing_id % 7 - 2 END::double AS years_to_completion,
+    CASE WHEN listing_id % 7 = 3 THEN 1 ELSE 0 END::double AS is_presale, CASE WHEN listing_id % 7 < 4 THEN 1 ELSE 0 END::double AS has_completion,
+    CASE WHEN listing_id % 7 = 3 AND listing_id % 2 = 1 THEN 0 ELSE 1 END::double AS is_ready FROM listings"""
+)
+def temporal_features(spark, sf_dir):
+    own = flat_inputs(spark, sf_dir)
+    return features.fit(own, 2002).transform(own, "listing_id").select("listing_id", "completion_year", "years_to_completion", "is_presale", "has_completion", "is_ready")
+
+
+@query(
+    f"""WITH {L} SELECT listing_id, (listing_id % 9 = 1)::int::double AS is_first_floor, (listing_id % 9 = 8)::int::double AS is_last_floor, round(listing_id % 9 / 8, 6)::double AS floor_ratio,
+    CASE WHEN listing_id % 3 <> 0 THEN 0.25 END::double AS kitchen_to_total, 0::double AS has_lift FROM listings"""
+)
+def layout_features(spark, sf_dir):
+    made = flat_inputs(spark, sf_dir).select("listing_id", *[c(k).cast("double").alias(k) for k in ("floor", "total_floors", "total_area", "kitchen_area", "rooms")])
+    none = F.lit(None).cast("double")
+    own = features.layout_features(c("floor"), c("total_floors"), c("total_area"), none, c("kitchen_area"), c("rooms"), (none, none))
+    return made.select("listing_id", *[F.round(own[k].cast("double"), 6).alias(k) for k in ("is_first_floor", "is_last_floor", "floor_ratio", "kitchen_to_total", "has_lift")])

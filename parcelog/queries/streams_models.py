@@ -49,7 +49,9 @@ def stream_freshness(spark, sf_dir):
 
 
 _SHARE = lambda x: f"(cast('0x' || substr(md5({x}), 1, 8) AS bigint) / 4294967296.0::double)"
-query(f"WITH {L} SELECT listing_id, {_SHARE('concat_ws(chr(124), listing_id, status)')} < 0.2 AS is_test FROM listings", "stratified_split")(lambda s, d: t.stratified_split(a.listings(s, d), "listing_id", "status", 0.2).select("listing_id", "is_test"))
+query(f"WITH {L} SELECT listing_id, row_number() OVER (PARTITION BY status ORDER BY md5('0|' || listing_id), listing_id) <= floor(0.2 * count(*) OVER (PARTITION BY status) + 0.5) AS is_test FROM listings", "stratified_split")(
+    lambda s, d: t.stratified_split(a.listings(s, d), "listing_id", "status", 0.2).select("listing_id", "is_test")
+)
 query(f"WITH {L} SELECT listing_id, cast(dense_rank() OVER (ORDER BY segment) - 1 AS int) AS index FROM listings", "label_encode")(lambda s, d: t.label_index(a.listings(s, d), "segment").select("listing_id", "index"))
 _TE = f"""WITH {L}, x AS (SELECT listing_id, municipality, cast(price > 250000 AS int) AS y, cast(floor({_SHARE('cast(listing_id AS varchar)')} * 5) AS int) AS fold FROM listings),
   f AS (SELECT municipality, fold, sum(y)::double AS s, count(y) AS m FROM x GROUP BY 1, 2), g AS (SELECT municipality, fold, sum(s) OVER (PARTITION BY municipality) - s AS s_, sum(m) OVER (PARTITION BY municipality) - m AS m_, (sum(s) OVER () - sum(s) OVER (PARTITION BY fold)) / (sum(m) OVER () - sum(m) OVER (PARTITION BY fold)) AS p_ FROM f)
@@ -82,17 +84,27 @@ query(None, "simple_models")(lambda s, d: t.classifier_metrics(_scored("logistic
 query(None, "reg_boosted")(lambda s, d: t.regression_metrics(_scored("reg_boosted", "ppm2")(s, d), "ppm2", "score"))
 query(None, "importances")(lambda s, d: t.importances(t.fit(labelled(s, d), "clf_boosted", "y", NUMBERS, CATEGORIES), labelled(s, d)))
 query(None, "ohe_scale")(lambda s, d: (lambda data: t.Pipeline(stages=t.preprocessor(NUMBERS, CATEGORIES)).fit(data).transform(data).select("listing_id", t.vector_to_array("features").alias("features")))(labelled(s, d)))
-query(None, "random_search_cv")(lambda s, d: s.createDataFrame([(float(x), str(p)) for x, p in [t.random_search(labelled(s, d), "y", NUMBERS, CATEGORIES, {"regParam": [0.01, 0.1]})]], "roc_auc double, params string"))
+#: What the random search draws from: a logistic regression and a tree.
+SPACES = [{"model": ["logistic"], "regParam": [0.01, 0.1, 1.0]}, {"model": ["tree"], "maxDepth": [3, 5], "minInstancesPerNode": [20, 50]}]
+
+
+@query(None)
+def random_search_cv(spark, sf_dir):
+    found = t.random_search(labelled(spark, sf_dir), "listing_id", "y", NUMBERS, CATEGORIES, SPACES, n=4)
+    return spark.createDataFrame([(i, float(area), str(setting)) for i, (area, setting) in enumerate(found, 1)], "place int, roc_auc double, setting string")
+
+
 query(None, "batch_score")(lambda s, d: (lambda data: t.score(t.fit(data, "clf_boosted", "y", NUMBERS, CATEGORIES), latest_per_key(data.filter("status = 'O'"), "seller_id", c("first_seen"), c("listing_id")), "seller_id", "listing_id", "ppm2"))(labelled(s, d)))
 
 
 @query(None)
 def model_meta(spark, sf_dir):
-    """Metrics of a model that was saved and loaded again."""
-    data, path = labelled(spark, sf_dir), scratch_path(spark, "model")
-    t.fit(data, "tree", "y", NUMBERS, CATEGORIES).write().overwrite().save(path)
-    own = t.classifier_metrics(t.score(t.PipelineModel.load(path), data, "y"), "y")
-    return own.select("*", F.lit(len(NUMBERS) + len(CATEGORIES)).alias("n_features"), F.lit(a.AS_OF).alias("trained_at"))
+    """Metrics on the newest fifth of a model that is then fitted on all rows, saved and loaded again."""
+    path = scratch_path(spark, "model")
+    model, metrics = t.train_with_holdout(labelled(spark, sf_dir), "tree", "y", "listing_id", "first_seen", NUMBERS, CATEGORIES)
+    model.write().overwrite().save(path)
+    features = len(t.PipelineModel.load(path).stages[0].getInputCols()) + len(CATEGORIES)
+    return metrics.withColumn("n_features", F.lit(features))
 
 
 query(None, "q_model_meta")(model_meta)
