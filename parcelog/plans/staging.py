@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from parcelog.operators.lifecycle import Params, census_of, closure_cutoff, listing_summary
 from parcelog.storage import materialize
@@ -26,9 +26,9 @@ def fact_rent(rents: DataFrame, params: Params = Params()) -> DataFrame:
     return joined.select("listing_id", "deal_type", "region", "municipality", "price", "area", "price_first", "price_last", "price_points", F.datediff(F.to_date("last_seen"), F.to_date("first_seen")).alias("days_on_market"), F.coalesce((F.to_date("last_seen") < F.col("last_day")).cast("int"), F.lit(0)).alias("event_closed"))
 
 
-def layer_schema(layer: str, given: str | None = None, default: str = "default") -> str:
-    """Schema of a layer: its own name if given, else the default."""
-    return (given or default).strip() if layer else default
+def schema_of(given: Column, default: str = "default") -> Column:
+    """Schema of a model: the name it gives itself, without blanks around, else the default."""
+    return F.coalesce(F.nullif(F.trim(given), F.lit("")), F.lit(default))
 
 
 def materialize_layer(spark: SparkSession, tables: dict[str, DataFrame], path: str, as_views: bool = False) -> dict[str, DataFrame]:

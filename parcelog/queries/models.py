@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from parcelog import adapters as a
 from parcelog.functions.text import count_before
+from parcelog.functions.values import mapped
 from parcelog.ml import features
 from parcelog.operators import lifecycle as life, summaries as s
 from parcelog.plans import staging
 from parcelog.queries.lifecycles import ALL, DAYS, FACT, HISTORY, LOCATED, NEWEST, UNIT, O, covered
 from parcelog.queries.registry import query, table
-from parcelog.sources import files
+from parcelog.sources import files, flats
 from parcelog.storage import scratch_path
 
 c = F.col
@@ -63,15 +64,21 @@ def row_lambdas(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", count_before(F.when(c("p_size") % 3 != 0, F.concat((c("p_size") % 4).cast("string"), F.lit(" совм."))), "совм").alias("n"))
 
 
-@query("SELECT 'census_floor' AS name, 0.6::double AS value UNION ALL SELECT 'price_tolerance', 0.01", "model_vars")
+#: A model with other constants than its defaults.
+OTHER = life.Params(census_floor=0.9, closure_days=2)
+
+
+@query(f"WITH {O}, {LOCATED}, {DAYS}, {covered('p.region')}, best AS (SELECT region, max(n) AS most FROM covered GROUP BY region) SELECT region, list_min(list_reverse_sort(list(d))[1:2]) AS last_day FROM covered JOIN best USING (region) WHERE n >= 0.9 * most GROUP BY region")
 def model_vars(spark, sf_dir):
-    p = life.Params()
-    return table(spark, sf_dir, "region").filter("r_regionkey < 2").select(F.when(c("r_regionkey") == 0, "census_floor").otherwise("price_tolerance").alias("name"), F.when(c("r_regionkey") == 0, p.census_floor).otherwise(p.price_tolerance).alias("value"))
+    obs = a.observations(spark, sf_dir)
+    return life.closure_cutoff(life.region_day_census(obs, OTHER), OTHER)
 
 
-@query("SELECT r_regionkey, CASE WHEN r_regionkey % 2 = 0 THEN 'marts' ELSE 'default' END AS schema_name FROM region")
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'marts' WHEN o_orderkey % 3 = 1 AND trim(o_orderpriority) <> '' THEN trim(o_orderpriority) ELSE 'default' END AS schema_name FROM orders")
 def macro_schema_name(spark, sf_dir):
-    return table(spark, sf_dir, "region").select("r_regionkey", F.when(c("r_regionkey") % 2 == 0, staging.layer_schema("m", "marts")).otherwise(staging.layer_schema("s")).alias("schema_name"))
+    """Schemas of models that name their own (by constant or by row), or none."""
+    given = F.when(c("o_orderkey") % 3 == 0, " marts ").when(c("o_orderkey") % 3 == 1, c("o_orderpriority"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", staging.schema_of(given).alias("schema_name"))
 
 
 @query("SELECT n_regionkey, count(*) AS n FROM nation GROUP BY 1")
@@ -87,17 +94,31 @@ def _registry(spark, sf_dir):
     return files.scan_registry(spark, "flats_b", path, "price long, id_region int, geo_lat double, geo_lon double, level int, levels int, rooms int, area double, object_type int, building_type int").select("price", c("floor").cast("int"), "city", "building_type")
 
 
-for _name in ("scan_registry", "transform_plugins"):
-    query("SELECT cast(floor(p_retailprice) AS bigint) AS price, p_size AS floor, 'Москва' AS city, 'Кирпичный' AS building_type FROM part", _name)(_registry)
+query("SELECT cast(floor(p_retailprice) AS bigint) AS price, p_size AS floor, 'Москва' AS city, 'Кирпичный' AS building_type FROM part", "scan_registry")(_registry)
+
+
+def _plugin(df):
+    """A source that isn't built in: prices in thousands, rooms as words."""
+    return flats.align(df, {"price": (c("thousands") * 1000).cast("bigint"), "rooms": mapped(c("size"), {"one": 1, "two": 2}).cast("int"), "city": c("town")})
+
+
+@query("SELECT p_size * 1000 AS price, CASE p_partkey % 3 WHEN 1 THEN 1 WHEN 2 THEN 2 END::int AS rooms, p_brand AS city FROM part")
+def transform_plugins(spark, sf_dir):
+    """A transform registered at run time, found by its name."""
+    if "flats_own" not in flats.REGISTRY:
+        flats.register("flats_own", "\t", _plugin)
+    path = scratch_path(spark, "plugin")
+    own = table(spark, sf_dir, "part")
+    own.select(c("p_size").alias("thousands"), F.when(c("p_partkey") % 3 == 1, "one").when(c("p_partkey") % 3 == 2, "two").otherwise("many").alias("size"), c("p_brand").alias("town")).write.csv(path, header=True, sep="\t")
+    return files.scan_registry(spark, "flats_own", path, "thousands long, size string, town string").select("price", c("rooms").cast("int"), "city")
 
 
-@query("SELECT cast(r_regionkey AS varchar) AS doc_id, r_name FROM region WHERE r_regionkey <> 3")
+@query("SELECT 'doc=' || s_suppkey AS doc_id, s_name FROM supplier WHERE s_suppkey % 10 <> 3")
 def scan_json_docs(spark, sf_dir):
     path = scratch_path(spark, "docs")
-    own = table(spark, sf_dir, "region").select(c("r_regionkey").cast("string").alias("doc"), F.when(c("r_regionkey") == 3, "{broken").otherwise(F.to_json(F.struct("r_name"))).alias("value"))
+    own = table(spark, sf_dir, "supplier").select(c("s_suppkey").cast("string").alias("doc"), F.when(c("s_suppkey") % 10 == 3, "{broken").otherwise(F.to_json(F.struct("s_name"))).alias("value"))
     own.repartition("doc").write.partitionBy("doc").text(path)
-    good = spark.read.text(path, wholetext=True).select(c("doc").cast("string").alias("doc_id"), F.from_json(F.trim("value"), "r_name string, broken_ string", {"columnNameOfCorruptRecord": "broken_"}).alias("d"))
-    return good.filter("d.broken_ is null").select("doc_id", "d.r_name")
+    return files.scan_json_docs(spark, path, "s_name string", "*.txt")[0]
 
 
 @query("SELECT n_name AS name, 4 AS points FROM nation")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from parcelog import adapters as a
 from parcelog.ml import training as t
 from parcelog.operators.lifecycle import latest_per_key
+from parcelog.operators.summaries import null_counts
 from parcelog.queries.lifecycles import O
 from parcelog.queries.registry import query, table
 from parcelog.storage import scratch_path
@@ -62,7 +63,16 @@ query(f"{_SCORED} SELECT round(sum((n - p) * (tp - p / 2)) / (sum(p) * sum(n - p
 query(f"WITH {L}, x AS (SELECT price AS y, area * 4000 AS z FROM listings) SELECT round(avg(abs(y - z)), 4) AS mae, round(sqrt(avg((y - z) * (y - z))), 4) AS rmse, round(1 - sum((y - z) * (y - z)) / (var_pop(y) * count(y)), 4) AS r2 FROM x", "reg_metrics")(lambda s, d: t.regression_metrics(a.listings(s, d).select(c("price").alias("y"), (c("area") * 4000).alias("z")), "y", "z"))
 query(f"WITH {L}, x AS (SELECT price AS y, round(ppm2) * area AS z FROM listings) SELECT round(avg(abs(y - z)), 4) AS mae, round(sqrt(avg((y - z) * (y - z))), 4) AS rmse, round(1 - sum((y - z) * (y - z)) / (var_pop(y) * count(y)), 4) AS r2 FROM x", "price_restore")(lambda s, d: t.regression_metrics(a.listings(s, d).select(c("price").alias("y"), (F.round("ppm2") * c("area")).alias("z")), "y", "z"))
 query(f"WITH {L} SELECT status = 'O' AS label, price >= 250000 AS predicted, count(*) AS n FROM listings GROUP BY 1, 2", "confusion")(lambda s, d: t.confusion(a.listings(s, d).select((c("status") == "O").alias("label"), (c("price") >= 250000).alias("predicted")), "label", "predicted"))
-query(f"WITH {L} SELECT column_name AS feature, column_type IN ('BIGINT', 'DOUBLE', 'INTEGER') AS numeric FROM (DESCRIBE SELECT price, region, rooms, is_new FROM (WITH {L} SELECT * FROM listings))", "split_cols_by_type")(lambda s, d: (lambda df: s.createDataFrame([(k, k in t.columns_by_type(df)[0]) for k in df.columns], "feature string, numeric boolean"))(a.listings(s, d).select("price", "region", "rooms", "is_new")))
+
+
+@query(f"WITH {L} SELECT unnest(['price', 'region', 'rooms', 'is_new']) AS feature, unnest([true, false, true, false]) AS numeric, unnest([count(DISTINCT price), count(DISTINCT region), count(DISTINCT rooms), count(DISTINCT is_new)]) AS n_values FROM listings")
+def split_cols_by_type(spark, sf_dir):
+    """Columns by kind, with how many values each has."""
+    own = a.listings(spark, sf_dir).select("price", "region", "rooms", "is_new")
+    numeric, _ = t.columns_by_type(own)
+    counts = null_counts(own)
+    return counts.select("feature", c("feature").isin(numeric).alias("numeric"), c("distinct").alias("n_values"))
+
 
 NUMBERS, CATEGORIES = ["area", "rooms", "lat", "lon"], ["region", "segment"]
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from parcelog.sources.flats import REGISTRY, union_all
+from parcelog.storage import materialize
 
 
 def scan_csv(spark: SparkSession, path: str, schema: str | StructType, sep: str = ",") -> DataFrame:
@@ -21,9 +22,22 @@ def scan_registry(spark: SparkSession, name: str, path: str, schema: str, patter
     return transform(spark.read.csv(path, schema=schema, header=True, sep=sep, recursiveFileLookup=True, pathGlobFilter=pattern))
 
 
-def scan_json_docs(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+def scan_sheet(spark: SparkSession, path: str, n_columns: int, sep: str = ",") -> DataFrame:
+    """A sheet saved as CSV, its columns by position (``c0``, ``c1``, ...) whatever its header says or repeats."""
+    schema = ", ".join(f"c{i} string" for i in range(n_columns))
+    return spark.read.csv(path, schema=schema, header=True, sep=sep, enforceSchema=True)
+
+
+def scan_html(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Pages with their title (null without one), number of links and length; other columns stay."""
+    title = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
+    links = F.regexp_count(html, F.lit(r"(?i)<a\s[^>]*href="))
+    return pages.withColumns({"title": F.when(title != "", title), "n_links": F.coalesce(links, F.lit(0)), "length": F.length(html).cast("bigint")}).drop(html)
+
+
+def scan_json_docs(spark: SparkSession, path: str, schema: str, pattern: str = "*.json") -> tuple[DataFrame, DataFrame]:
     """(documents, broken ones) of one JSON document a file; the id is the parent folder's name."""
-    own = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
+    own = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
     parsed = F.from_json("value", f"{schema}, broken_ string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken_"})
     own = own.select(F.regexp_extract("_metadata.file_path", r"/([^/]+)/[^/]+$", 1).alias("doc_id"), parsed.alias("d")).select("doc_id", "d.*")
     return own.filter("broken_ is null").drop("broken_"), own.filter("broken_ is not null").select("doc_id", "broken_")
@@ -36,21 +50,42 @@ def scan_geojson(spark: SparkSession, path: str, name: str = "name") -> DataFram
     return feature.select(F.col(f"f.properties.{name}").alias("name"), F.transform(F.col("f.geometry.coordinates")[0], lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))).alias("ring"))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def append_new(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """Append rows whose keys are neither in the table nor repeated; returns outcome counts of the batch."""
+    """Append priced rows whose keys are neither in the table nor repeated; returns outcome counts of the batch.
+
+    New rows are worked out once, into a table, and counted there; of the target only keys are read. One writer at a time.
+    """
     spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    exists = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-    priced = df.filter(F.coalesce(F.col("price"), F.lit(0)) != 0)
-    fresh = priced.dropDuplicates(keys)
-    if exists:
+    no_price = F.coalesce(F.col("price"), F.lit(0)) == 0
+    fresh = df.filter(~no_price).dropDuplicates(keys)
+    if _exists(spark, path):
         fresh = fresh.join(spark.read.parquet(path).select(*keys), keys, "left_anti").select(*df.columns)
-    before = spark.read.parquet(path).count() if exists else 0
+    fresh = materialize(fresh, "fresh")
+    fresh.write.mode("append").parquet(path)
+    counts = df.agg(F.count("*").alias("processed"), F.count_if(no_price).alias("no_price"))
+    return counts.withColumn("inserted", F.lit(fresh.count())).withColumn("skipped", F.col("processed") - F.col("no_price") - F.col("inserted"))
+
+
+def insert_ignore(df: DataFrame, path: str, key: str, order: str) -> int:
+    """Insert rows whose key the table hasn't got, and return how many; what is there stays as it is.
+
+    Of several new rows of a key the first by ``order`` goes in (ties by the whole row); rows without key conflict with
+    none and all go in. One writer at a time.
+    """
+    spark = df.sparkSession
+    first = F.min(F.struct(F.col(order).alias("order_"), F.struct(*df.columns).alias("row_")))
+    keyed = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("key_")).agg(first.alias("first_")).select("first_.row_.*")
+    fresh = keyed.unionByName(df.filter(F.col(key).isNull()))
+    if _exists(spark, path):
+        fresh = fresh.join(spark.read.parquet(path).select(key), key, "left_anti").select(*df.columns)
+    fresh = materialize(fresh, "fresh")
     fresh.write.mode("append").parquet(path)
-    inserted = spark.read.parquet(path).count() - before
-    counts = df.agg(F.count("*").alias("processed"), F.count_if(F.coalesce(F.col("price"), F.lit(0)) == 0).alias("no_price"))
-    return counts.withColumn("inserted", F.lit(inserted)).withColumn("skipped", F.col("processed") - F.col("no_price") - F.col("inserted"))
+    return fresh.count()
 
 
 def quarantine(df: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
@@ -71,16 +106,22 @@ def evolve(tables: list[DataFrame], schema: str) -> DataFrame:
 
 
 def replace_swap(df: DataFrame, path: str) -> None:
-    """Replace a table by writing beside it and renaming; readers see the old or the new one."""
+    """Replace a table by writing beside it and renaming twice. Between the renames the path is absent for a moment; if the
+    second fails, the old table is put back and the error raised, and the old one is deleted only when the new one stands."""
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
     new, old, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}", path))
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     df.write.parquet(new.toString())
-    if fs.exists(target):
-        fs.rename(target, old)
-    fs.rename(new, target)
-    fs.delete(old, True)
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"{path} can't be moved away; the new table is at {new.toString()}")
+    if not fs.rename(new, target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"{path} can't be replaced; the new table is at {new.toString()}")
+    if had:
+        fs.delete(old, True)
 
 
 def export_flat(df: DataFrame, path: str, drop: tuple[str, ...] = ()) -> None:

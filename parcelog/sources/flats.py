@@ -89,6 +89,13 @@ def flats_g(df: DataFrame) -> DataFrame:
 REGISTRY: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {"flats_a": (",", _coded("flats_a", "region", 81, 3)), "flats_b": (";", _coded("flats_b", "id_region", 77, 50)), "flats_c": (",", flats_c), "flats_d": (",", flats_d), "flats_e": (",", flats_e), "flats_f": (",", flats_f), "flats_g": ("", flats_g)}
 
 
+def register(name: str, sep: str, transform: Callable[[DataFrame], DataFrame]) -> None:
+    """Add a source: its files' separator and its transform to the target schema. A known name is an error."""
+    if name in REGISTRY:
+        raise ValueError(f"{name} is registered already")
+    REGISTRY[name] = (sep, transform)
+
+
 def union_all(tables: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 

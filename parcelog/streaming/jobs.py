@@ -38,30 +38,30 @@ def dedupe(stream: DataFrame, keys: list[str], time: str, folder: str, delay: st
     return stream.sparkSession.read.parquet(f"{folder}/sink")
 
 
-def _upsert(stream: DataFrame, folder: str, schema: str, keys: list[str]) -> DataFrame:
-    """Append each batch's rows whose keys the sink hasn't got; a repeated batch adds nothing."""
-    sink = f"{folder}/sink"
+def presence(stream: DataFrame, folder: str) -> DataFrame:
+    """At most one heartbeat a listing and day. A batch meets only the sink's rows of its own days; repeated, it adds nothing."""
+    sink, schema, keys = f"{folder}/sink", "listing_id long, d date", ["listing_id", "d"]
     spark = stream.sparkSession
+    read = lambda: spark.read.schema(schema).option("basePath", sink).parquet(f"{sink}/batch=*")
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        done = spark.read.schema(schema).parquet(f"{sink}/batch=*") if batch_id else spark.createDataFrame([], schema)
-        batch.select(*keys).distinct().join(done, keys, "left_anti").write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-
-    _run(stream.writeStream.foreachBatch(add), folder)
-    return spark.read.schema(schema).parquet(f"{sink}/batch=*")
+        own = batch.distinct()
+        days = [r["d"] for r in own.select("d").distinct().collect()]  # the days of one batch
+        done = read().filter(F.col("d").isin(days)).select(*keys) if batch_id else spark.createDataFrame([], schema)
+        own.join(done, keys, "left_anti").write.mode("overwrite").partitionBy("d").parquet(f"{sink}/batch={batch_id}")
 
-
-def presence(stream: DataFrame, folder: str) -> DataFrame:
-    """At most one heartbeat a listing and day."""
-    return _upsert(stream.select("listing_id", F.to_date("scraped_at").alias("d")), folder, "listing_id long, d date", ["listing_id", "d"])
+    _run(stream.select("listing_id", F.to_date("scraped_at").alias("d")).writeStream.foreachBatch(add), folder)
+    return read().select(*keys)
 
 
-def rate(stream: DataFrame, time: str, folder: str, span: str = "60 seconds", step: str = "5 seconds") -> DataFrame:
-    """Sightings in sliding windows."""
+def rate(stream: DataFrame, time: str, folder: str, span: str = "60 seconds", step: str = "5 seconds", delay: str = "60 days") -> DataFrame:
+    """Sightings in sliding windows. A batch writes the windows that it changed, of which the last counts; windows older
+    than the watermark's delay leave the state."""
     sink = f"{folder}/sink"
-    counted = stream.groupBy(F.window(time, span, step).alias("w")).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), "n")
-    _run(counted.writeStream.outputMode("complete").foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(sink)), folder)
-    return stream.sparkSession.read.parquet(sink)
+    counted = stream.withWatermark(time, delay).groupBy(F.window(time, span, step).alias("w")).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), "n")
+    _run(counted.writeStream.outputMode("update").foreachBatch(lambda batch, i: batch.write.mode("overwrite").parquet(f"{sink}/batch={i}")), folder)
+    written = stream.sparkSession.read.schema("start timestamp, n long, batch long").option("basePath", sink).parquet(f"{sink}/batch=*")
+    return written.groupBy("start").agg(F.max_by("n", "batch").alias("n"))
 
 
 def card_states(stream: DataFrame, folder: str) -> DataFrame:
