@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import os
 import unicodedata
-from itertools import chain, filterfalse
 
 import numpy as np
 
@@ -104,10 +103,15 @@ class WordEncoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every whole text; null counts as empty."""
         split = [(t or "").encode().lower().split() for t in texts]
-        if missing := set(filterfalse(self.words.__contains__, chain.from_iterable(split))):
+        found = [list(map(self.words.get, words)) for words in split]  # each word is looked up once
+        holes = [[i for i, x in enumerate(ids) if x is None] for ids in found]
+        if missing := {words[i] for words, at in zip(split, holes, strict=True) for i in at}:
             self._learn(missing)
-        get = self.words.__getitem__
-        out = [b"".join(map(get, words)) for words in split]
+            own = self.words.__getitem__
+            for words, ids, at in zip(split, found, holes, strict=True):
+                for i in at:
+                    ids[i] = own(words[i])
+        out = [b"".join(ids) for ids in found]
         self.words.extra, self.stems.extra, self.others.extra = {}, {}, {}
         return out
 
