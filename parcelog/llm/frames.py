@@ -8,9 +8,10 @@ compressed and decompressed size and the low 32 bits of the XXH64 of its content
 reader takes the tail, the index and then only the frames of the documents it wants.
 
 ``write_token_files`` sorts documents by id over all shards and lets each task write
-its own shard below the shared folder; a retried task writes another file, and the
-manifest names the ones that count. ``read_token_files`` reads whole shards,
-``read_documents`` single documents.
+its own shards, of bounded size, below the shared folder; a retried task writes other
+files, and the manifest names the ones that count, with the ids that they range over.
+``read_token_files`` reads whole shards, ``find_documents`` single documents from the
+shards whose range may hold them.
 
 Defined cases: a null text is an empty one (the end id only); null ids come first and
 stay null; repeated ids and rows are kept, each with its place (ties by the text's
@@ -22,6 +23,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -39,18 +41,19 @@ SEEKABLE = 0x8F92EAB1
 FOOTER = struct.Struct("<IBI")
 ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
 INDEX = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("n_tokens", "<u4")])
-MANIFEST = "shard int, path string, n_docs long, n_tokens long"
-#: Decompressed bytes after which a frame is closed.
-FRAME_BYTES = 1 << 17
+MANIFEST = "shard int, part int, path string, n_docs long, n_tokens long, first_id long, last_id long"
+#: Decompressed bytes after which a frame, and a shard, is closed; a document is never parted.
+FRAME_BYTES, SHARD_BYTES = 1 << 17, 1 << 30
 
 
 class ShardWriter:
     """Writes one shard; memory holds the open frame and 13 bytes a document."""
 
     def __init__(self, sink, level: int = 3) -> None:
-        self.sink, self.table, self.index = sink, [], []
+        self.sink, self.table = sink, []
+        self.ids, self.known, self.counts = array("q"), bytearray(), array("I")
         self.parts: list[bytes] = []
-        self.size = 0
+        self.size, self.total = 0, 0
         self.zstd = zstandard.ZstdCompressor(level=level, write_checksum=True)
 
     def _frame(self, content: bytes) -> None:
@@ -68,11 +71,21 @@ class ShardWriter:
             self._close_frame()
         self.parts.append(ids)
         self.size += len(ids)
-        self.index.append((doc_id or 0, doc_id is not None, len(ids) // 4))
+        self.total += len(ids)
+        self.ids.append(doc_id or 0)
+        self.known.append(doc_id is not None)
+        self.counts.append(len(ids) // 4)
+
+    def id_range(self) -> tuple[int | None, int | None]:
+        """The least and the greatest id of documents added in order; none of null ids only."""
+        first = self.known.find(1)
+        return (self.ids[first], self.ids[-1]) if first >= 0 else (None, None)
 
     def close(self) -> None:
         self._close_frame()
-        self._frame(np.array(self.index, dtype=INDEX).tobytes())
+        index = np.empty(len(self.ids), INDEX)
+        index["doc_id"], index["known"], index["n_tokens"] = self.ids, self.known, self.counts
+        self._frame(index.tobytes())
         body = np.array(self.table, dtype=ENTRY).tobytes() + FOOTER.pack(len(self.table), 0x80, SEEKABLE)
         self.sink.write(struct.pack("<II", SKIPPABLE, len(body)) + body)
 
@@ -125,7 +138,7 @@ def open_uri(uri: str):
     return fs, path
 
 
-def write_token_files(docs: DataFrame, directory: str, tokenizer_path: str, end_id: int = 1) -> DataFrame:
+def write_token_files(docs: DataFrame, directory: str, tokenizer_path: str, end_id: int = 1, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into shards below ``directory``; returns the manifest, written there too."""
     small_batches(docs.sparkSession)
 
@@ -133,23 +146,33 @@ def write_token_files(docs: DataFrame, directory: str, tokenizer_path: str, end_
         from pyspark import TaskContext
 
         shard, end = TaskContext.get().partitionId(), np.array([end_id], dtype="<u4").tobytes()
-        encode, writer, sink, tokens = encoder(tokenizer_path).encode, None, None, 0
+        encode, fs, open_, done = encoder(tokenizer_path).encode, None, None, []
+
+        def finish() -> None:
+            writer, sink, path = open_
+            writer.close()
+            sink.close()
+            done.append((shard, len(done), path, len(writer.ids), writer.total // 4, *writer.id_range()))
+
         for batch in batches:
-            if writer is None and batch.num_rows:
-                fs, folder = open_uri(directory)
-                fs.create_dir(folder, recursive=True)
-                name = f"shard-{shard:05d}-{uuid.uuid4().hex}.zst"
-                sink = fs.open_output_stream(f"{folder}/{name}", compression=None)
-                writer = ShardWriter(sink)
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 for doc_id, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist()), strict=True):
-                    writer.add(doc_id, ids + end)
-                    tokens += len(ids) // 4 + 1
-        if writer is not None:
-            writer.close()
-            sink.close()
-            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([f"{directory}/{name}"]), pa.array([len(writer.index)], pa.int64()), pa.array([tokens], pa.int64())], names=["shard", "path", "n_docs", "n_tokens"])
+                    if open_ and open_[0].total + len(ids) + 4 > shard_bytes:
+                        finish()
+                        open_ = None
+                    if not open_:
+                        fs, folder = open_uri(directory)
+                        fs.create_dir(folder, recursive=True)
+                        name = f"shard-{shard:05d}-{len(done):05d}-{uuid.uuid4().hex}.zst"
+                        sink = fs.open_output_stream(f"{folder}/{name}", compression=None)
+                        open_ = (ShardWriter(sink), sink, f"{directory}/{name}")
+                    open_[0].add(doc_id, ids + end)
+        if open_:
+            finish()
+        if done:
+            kinds = [pa.int32(), pa.int32(), pa.string(), *[pa.int64()] * 4]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True), kinds, strict=True)], names=[x.split()[0] for x in MANIFEST.split(", ")])
 
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
     ordered.mapInArrow(write, MANIFEST).write.parquet(f"{directory}/manifest")
@@ -161,7 +184,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     from pyspark.sql import Window
 
     # One small row for each shard; the running sum is over shards, not over documents.
-    based = manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    based = manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(Window.orderBy("shard", "part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,7 +200,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                             out = []
                     yield _rows(out)
 
-    return based.select("path", "base").repartition(max(1, manifest.count()), "path").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return based.select("path", "base").repartitionByRange(max(1, manifest.count()), "path").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -194,6 +217,14 @@ def read_documents(path: str, doc_ids: Sequence[int]) -> list[tuple[int, list[in
         return [(d, np.frombuffer(ids, "<u4").tolist()) for d, _, ids in reader.documents(rows)]
 
 
+def find_documents(manifest: DataFrame, doc_ids: Sequence[int]) -> list[tuple[int, list[int]]]:
+    """Ids of the wanted documents, a few: only shards that may hold one are opened, and only their frames read."""
+    wanted = sorted(set(doc_ids))
+    holds = F.exists(F.lit(wanted).cast("array<bigint>"), lambda d: d.between(F.col("first_id"), F.col("last_id")))
+    paths = [r["path"] for r in manifest.filter(holds).orderBy("shard", "part").select("path").collect()]  # as many as documents, or little more
+    return [found for path in paths for found in read_documents(path, wanted)]
+
+
 def token_files(spark: SparkSession, docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """Write ``docs`` as token-ID files below the shared folder and read them back."""
     return read_token_files(write_token_files(docs, scratch_path(spark, "token-files"), tokenizer_path))

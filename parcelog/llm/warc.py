@@ -259,7 +259,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                 columns = zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()), strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
-    return manifest.select("path").repartition(max(1, manifest.count()), "path").mapInArrow(read, PAGES)
+    return manifest.select("path").repartitionByRange(max(1, manifest.count()), "path").mapInArrow(read, PAGES)
 
 
 def archive_pages(spark: SparkSession, pages: DataFrame) -> DataFrame:

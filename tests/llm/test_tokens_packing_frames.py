@@ -9,6 +9,7 @@ from tokenizers import Tokenizer
 
 from parcelog.llm import frames, packing
 from parcelog.llm.tokens import encoder
+from parcelog.storage import scratch_path
 from tests.llm.util import ODD, docs
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -103,3 +104,15 @@ def test_reader_takes_single_documents_and_finds_damage(spark, tmp_path):
     open(path, "wb").write(data)
     with pytest.raises(Exception):  # noqa: B017 - the frame's own checksum or the table's
         list(frames.ShardReader(__import__("pyarrow").fs.LocalFileSystem().open_input_file(path)).documents(range(5)))
+
+
+def test_small_shards_and_single_documents(spark):
+    rows = [(i, f"document {i} " + "word " * (i % 7)) for i in range(300)] + ODD
+    table = docs(spark, rows)
+    manifest = frames.write_token_files(table, scratch_path(spark, "small"), PATH, shard_bytes=400)
+    parts = manifest.collect()
+    assert len(parts) > 20 and all(r.n_tokens * 4 <= 400 or r.n_docs == 1 for r in parts) and sum(r.n_docs for r in parts) == len(rows)
+    whole = frames.read_token_files(frames.write_token_files(table, scratch_path(spark, "one"), PATH))
+    assert sorted(map(tuple, frames.read_token_files(manifest).collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+    got = frames.find_documents(manifest, [250, 17, 3, 10**9])
+    assert [d for d, _ in got] == [3, 3, 3, 17, 250] and all(ids[-1] == 1 for _, ids in got)
