@@ -102,7 +102,7 @@ def _plugin(df):
     return flats.align(df, {"price": (c("thousands") * 1000).cast("bigint"), "rooms": mapped(c("size"), {"one": 1, "two": 2}).cast("int"), "city": c("town")})
 
 
-@query("SELECT p_size * 1000 AS price, CASE p_partkey % 3 WHEN 1 THEN 1 WHEN 2 THEN 2 END::int AS rooms, p_brand AS city FROM part")
+@query("SELECT cast(p_size * 1000 AS bigint) AS price, CASE p_partkey % 3 WHEN 1 THEN 1 WHEN 2 THEN 2 END::int AS rooms, p_brand AS city FROM part")
 def transform_plugins(spark, sf_dir):
     """A transform registered at run time, found by its name."""
     if "flats_own" not in flats.REGISTRY:

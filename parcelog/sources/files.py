@@ -68,7 +68,7 @@ def append_new(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
     fresh = materialize(fresh, "fresh")
     fresh.write.mode("append").parquet(path)
     counts = df.agg(F.count("*").alias("processed"), F.count_if(no_price).alias("no_price"))
-    return counts.withColumn("inserted", F.lit(fresh.count())).withColumn("skipped", F.col("processed") - F.col("no_price") - F.col("inserted"))
+    return counts.withColumn("inserted", F.lit(fresh.count()).cast("long")).withColumn("skipped", F.col("processed") - F.col("no_price") - F.col("inserted"))
 
 
 def insert_ignore(df: DataFrame, path: str, key: str, order: str) -> int:

@@ -116,3 +116,44 @@ def test_newest_share(spark, share):
     got = {r.id for r in summaries.newest_share(df, "t", "id", share).filter("is_test").collect()}
     order = sorted(range(10), key=lambda i: (-(i // 3), i))
     assert got == set(order[: int(share * 10)])
+
+
+def test_inserts_that_ignore_conflicts(spark, tmp_path):
+    path, schema = f"{tmp_path}/runs", "run int, seen int, cards int"
+    assert files.insert_ignore(frame(spark, [(1, 5, 50), (1, 4, 40), (None, 1, 7)], schema), path, "run", "seen") == 2
+    assert files.insert_ignore(frame(spark, [(1, 1, 10), (2, 2, 20), (2, 2, 19), (None, 1, 7)], schema), path, "run", "seen") == 2
+    got = [tuple(r) for r in spark.read.parquet(path).collect()]
+    assert sorted(got, key=str) == sorted([(1, 4, 40), (2, 2, 19), (None, 1, 7), (None, 1, 7)], key=str)
+    assert files.insert_ignore(frame(spark, [], schema), path, "run", "seen") == 0
+
+
+def test_swaps_keep_the_old_table_when_the_new_one_fails(spark, tmp_path):
+    path = f"{tmp_path}/mart"
+    files.replace_swap(frame(spark, [(1,)], "x int"), path)
+    files.replace_swap(frame(spark, [(2,)], "x int"), path)
+    assert [r.x for r in spark.read.parquet(path).collect()] == [2] and [p.name for p in tmp_path.iterdir()] == ["mart"]
+    with pytest.raises(Exception, match="divide|zero"):
+        files.replace_swap(frame(spark, [(0,)], "x int").select(F.expr("raise_error('divide by zero')").cast("int").alias("x")), path)
+    assert [r.x for r in spark.read.parquet(path).collect()] == [2]
+
+
+def test_sources_are_registered_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("n|t\n3|x\n")
+    flats.register("flats_of_test", "|", lambda df: flats.align(df, {"price": F.col("n") * 10, "city": F.col("t")}))
+    try:
+        (row,) = files.scan_registry(spark, "flats_of_test", str(tmp_path), "n long, t string").collect()
+        assert (row.price, row.city) == (30, "x")
+        with pytest.raises(ValueError, match="registered"):
+            flats.register("flats_of_test", ",", lambda df: df)
+    finally:
+        del flats.REGISTRY["flats_of_test"]
+
+
+def test_sheets_go_by_position(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("same,same,\n1,2,3\n4,,6\n")
+    assert [tuple(r) for r in files.scan_sheet(spark, str(tmp_path), 3).collect()] == [("1", "2", "3"), ("4", None, "6")]
+
+
+def test_pages_give_titles_and_links(spark):
+    df = frame(spark, [(1, "<html><TITLE lang='x'>A\nb</title><a class=q href='u'>u</a><a href=v>v</a>"), (2, "<p>none</p>"), (3, None), (4, "")], "id int, html string")
+    assert [tuple(r) for r in files.scan_html(df).orderBy("id").collect()] == [(1, "A\nb", 2, 73), (2, None, 0, 11), (3, None, 0, None), (4, None, 0, 0)]
