@@ -52,3 +52,25 @@ def overall_quantiles(df: DataFrame, value: str, *at: float) -> list[float] | No
     """Exact quantiles of a whole column as numbers; none for a column without values."""
     row = exact_quantiles(df.select(value), [], value, {f"q{i}": p for i, p in enumerate(at)}).first()
     return list(row) if row else None
+
+
+def running_sums(df: DataFrame, keys: list[str], order: list[Column | str], sums: dict[str, Column]) -> DataFrame:
+    """``df`` with running sums by name within each group of equal keys (nulls are a key), each row's own value included.
+
+    Rows are dealt into ranges of (keys, order), which should tell all rows apart, so that a large group lies in many
+    ranges. A window sees one range of one group; what the group's earlier ranges sum up to is carried in. A range begins
+    within one group at most, so there are no more carries than ranges, and they are broadcast.
+    """
+    named = {name: f"sum{i}_" for i, name in enumerate(sums)}
+    own = _in_ranges(df.withColumns({named[n]: F.coalesce(x, F.lit(0)) for n, x in sums.items()}), *keys, *order)
+    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))  # a row for each group and range
+    parts = own.groupBy(*keys, "range_").agg(*[F.sum(c).alias(c) for c in named.values()])
+    before = [(F.sum(c).over(group.orderBy("range_")) - F.col(c)).alias(f"{c}before") for c in named.values()]
+    carries = parts.select(*[F.col(k).alias(f"{k}_own") for k in keys], F.col("range_").alias("range_own"), F.min("range_").over(group).alias("first_"), *before)
+    same = F.col("range_") == F.col("range_own")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}_own"))
+    carries = F.broadcast(carries.filter("first_ < range_own").drop("first_"))  # fewer than ranges
+    within = Window.partitionBy(*keys, "range_").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = own.withColumns({c: F.sum(c).over(within) for c in named.values()}).join(carries, same, "left")
+    return summed.select(*df.columns, *[(F.col(c) + F.coalesce(F.col(f"{c}before"), F.lit(0))).alias(n) for n, c in named.items()])
