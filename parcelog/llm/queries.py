@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelog.llm import decontaminate, edit_counts, frames, licenses, packing, perplexity, quality, secrets, simhash, warc
+from parcelog.llm import decontaminate, edit_counts, frames, licenses, merkle, packing, perplexity, quality, resampling, secrets, simhash, suffix_dedup, warc
 
 
 def _tokenizer(name: str = "word_bpe_49k.json") -> str:
@@ -59,5 +59,32 @@ def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark, _table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_secret_scan, op3_quality_rules, op4_edit_aware_counts, op5_license_scan, op6_token_id_files, op7_benchmark_decontamination, op8_simhash_components, op9_quality_classifier, op10_warc_archives)}
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(suffix_dedup.deduplicate(_table(spark, sf_dir, "documents")))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_manifest(_table(spark, sf_dir, "documents"))
+
+
+_REGISTERED = (
+    op1_best_fit_packing,
+    op2_secret_scan,
+    op3_quality_rules,
+    op4_edit_aware_counts,
+    op5_license_scan,
+    op6_token_id_files,
+    op7_benchmark_decontamination,
+    op8_simhash_components,
+    op9_quality_classifier,
+    op10_warc_archives,
+    op11_suffix_dedup,
+    op12_importance_resampling,
+    op13_merkle_manifest,
+)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _REGISTERED}
 ORACLE_SQL: dict[str, str] = {}
