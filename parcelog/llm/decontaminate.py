@@ -15,7 +15,7 @@ part's budget (``whole`` is false; edits and places are then the part's). Parts
 each half window and end at the item's end; ``window=None`` seeks whole items only. q is
 the greatest of ``QS`` that gives a bound of one or more. Items so short that the budget
 allows no edit (under 13 bytes at 8 %) are found as whole runs of words: inside other
-words they would say nothing.
+words they would say nothing. That length is a parameter, ``whole_words_below``.
 
 Items are dealt into blocks of bounded size (``block_bytes``); ``BLOCKS_A_PASS`` blocks are
 one pass over the documents, after which a table is written, so a task holds the tables of
@@ -45,8 +45,8 @@ from parcelog.storage import materialize, small_batches
 QS = (8, 4, 2)
 BUDGET = 0.08
 WINDOW = 240
-#: The least length at which a budget of 8 % allows an edit.
-LEAST = 13
+#: Items shorter than this, in normalised bytes, are found as whole words only: within words they would be found by chance.
+WHOLE_WORDS_BELOW = 13
 #: Normalised bytes of items in a block; the block's table takes about forty times that in a task.
 BLOCK_BYTES = 1 << 20
 BLOCKS_A_PASS = 4
@@ -255,7 +255,7 @@ class Index:
         return found
 
     def matches(self, text: bytes) -> Iterator[tuple[int, int, int, int]]:
-        """(pattern, edits, start, end) of patterns within their budgets; of several regions that aren't exact, the best."""
+        """(pattern, edits, start, end) of patterns within their budgets; of several regions that aren't exact, the best, and of equals the first to end."""
         left: dict[int, list[tuple[int, int, int]]] = {}
         for k, a, z in zip(*(x.tolist() for x in self.regions(np.frombuffer(text, np.uint8))), strict=True):
             pattern = self.patterns[k]
@@ -267,13 +267,17 @@ class Index:
         for words, regions in left.items():
             if len(regions) > 64 * words:  # many: one pass in lanes tells where each is best
                 regions = self._best(text, regions, words)
+            best: dict[int, tuple[int, int, int]] = {}
             for k, a, z in regions:
                 hit = align(self.patterns[k], text[a:z], int(self.most[k]))
                 if hit:
-                    yield k, hit[0], a + hit[1], a + hit[2]
+                    own = (hit[0], a + hit[2], a + hit[1])
+                    best[k] = min(best.get(k, own), own)
+            for k, (edits, end, start) in best.items():
+                yield k, edits, start, end
 
     def _best(self, text: bytes, regions: list[tuple[int, int, int]], words: int) -> list[tuple[int, int, int]]:
-        """Of each pattern, the region that matches best, if within its budget, cut to the match's surroundings."""
+        """Of each pattern, the region that matches best (of equals the one that ends first), if within its budget, cut to the match's surroundings."""
         best: dict[int, tuple[int, int, int]] = {}
         lanes = max(64, (1 << 15) // words)
         regions = sorted(regions, key=lambda r: r[2] - r[1])
@@ -281,7 +285,7 @@ class Index:
             own = regions[lo : lo + lanes]
             edits, ends = fewest_of_many([self.patterns[k] for k, _, _ in own], [text[a:z] for _, a, z in own])
             for (k, a, _), n, end in zip(own, edits.tolist(), ends.tolist(), strict=True):
-                if n <= self.most[k] and (k not in best or n < best[k][0]):
+                if n <= self.most[k] and (k not in best or (n, a + end) < (best[k][0], best[k][2])):
                     best[k] = (n, max(a, a + end - int(self.size[k] + self.most[k])), a + end)
         return [(k, a, z) for k, (_, a, z) in best.items()]
 
@@ -289,7 +293,7 @@ class Index:
 class Block:
     """Some items, their parts by the q-grams that suit them, and the short ones as words."""
 
-    def __init__(self, items: list[tuple[int, bytes]], budget: float, window: int | None = WINDOW) -> None:
+    def __init__(self, items: list[tuple[int, bytes]], budget: float, window: int | None = WINDOW, whole_words_below: int = WHOLE_WORDS_BELOW) -> None:
         self.items = items
         self.short_items: dict[bytes, list[int]] = {}
         patterns: dict[int, list[tuple[int, bool, bytes, int]]] = {}
@@ -300,7 +304,7 @@ class Block:
             for i, part in enumerate(parts):
                 most = int(budget * len(part))
                 q = next((q for q in QS if len(part) - q + 1 - q * most >= 1), 0)
-                if most and q:
+                if q and len(part) >= whole_words_below:
                     patterns.setdefault(q, []).append((k, i == 0, part, most))
                 elif part:
                     self.short_items.setdefault(part, []).append(k)
@@ -335,9 +339,9 @@ class Block:
 _kept: OrderedDict[str, Block] = OrderedDict()
 
 
-def _block(name: str, items: list[tuple[int, bytes]], budget: float, window: int | None) -> Block:
+def _block(name: str, items: list[tuple[int, bytes]], budget: float, window: int | None, whole_words_below: int) -> Block:
     if name not in _kept:
-        _kept[name] = Block(items, budget, window)
+        _kept[name] = Block(items, budget, window, whole_words_below)
         while len(_kept) > BLOCKS_A_PASS:
             _kept.popitem(last=False)
     _kept.move_to_end(name)
@@ -358,7 +362,7 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int,
         yield block
 
 
-def with_leaks(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET, window: int | None = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def with_leaks(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET, window: int | None = WINDOW, block_bytes: int = BLOCK_BYTES, whole_words_below: int = WHOLE_WORDS_BELOW) -> DataFrame:
     """``docs`` with the column ``leaks_``, in the place of one so named: an array of (item_id, edits, start, end, whole),
     places in bytes of the normalised text."""
     small_batches(docs.sparkSession)
@@ -368,7 +372,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET, wi
         shared, name = context.broadcast(items), uuid.uuid4().hex  # block_bytes at most, or one item
 
         def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            block = _block(name, shared.value, budget, window)
+            block = _block(name, shared.value, budget, window, whole_words_below)
             for texts in batches:
                 found = [[(block.items[k][0], *hit) for k, *hit in block.search(normalise(t.as_py()))] for t in texts]
                 columns = list(zip(*(x for own in found for x in own), strict=True)) or [()] * 5

@@ -2,12 +2,15 @@
 
 A text is cut into leaves of about ``LEAF`` characters where white space begins; the
 vocabulary's pre-tokens never reach over such a place, so the leaves' token counts add
-up. Two sum trees hold the leaves' lengths and counts. An edit finds its leaves by
-place, takes a neighbour in where it touches a leaf's border, encodes that region anew
-and updates the sums above it; the rest of the text is never encoded again.
+up. A balanced tree over the leaves holds sums of their lengths and counts. An edit finds its
+leaves by place, takes a neighbour in where it touches a leaf's border, encodes that region
+anew, cut into as many leaves as it now needs, and updates the sums above; what is left of
+little text joins the leaf before it. The rest of the text is never encoded again.
 
 ``leaf_lengths`` and ``leaf_counts`` of a document are its tree's state: they are kept as
-columns, and a later run takes them up instead of encoding the text.
+columns, and a later run takes them up instead of encoding the text. A state that can't be the
+text's (its lengths don't add up, or part the text where no leaf may begin) is left alone, and
+the text counted anew; counts that are wrong for the right lengths can't be noticed.
 
 Edits are done from the last to the first, so all places mean the text as it was; texts put
 in at one place stand there in the edits' order. Edits that overlap others or reach beyond
@@ -23,9 +26,11 @@ for one with the result's name, which the result replaces (``name`` chooses anot
 
 from __future__ import annotations
 
+import random
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate, pairwise
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -43,84 +48,131 @@ MASKS = ((r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}
 _BORDER = re.compile(r"(?<=[^ \n\t\r])(?=[ \n\t\r])")
 
 
-class SumTree:
-    """Sums over an array of fixed length, with updates and searches in logarithmic time."""
-
-    def __init__(self, values: list[int]) -> None:
-        self.n = 1
-        while self.n < len(values):
-            self.n *= 2
-        self.sums = [0] * self.n + values + [0] * (self.n - len(values))
-        for k in range(self.n - 1, 0, -1):
-            self.sums[k] = self.sums[2 * k] + self.sums[2 * k + 1]
-
-    def set(self, at: int, value: int) -> None:
-        k = at + self.n
-        change = value - self.sums[k]
-        while k:
-            self.sums[k] += change
-            k //= 2
-
-    def find(self, place: int) -> tuple[int, int]:
-        """(leaf, its first place) of the leaf that holds a place; the last filled leaf for the end."""
-        place = min(place, self.sums[1] - 1)
-        k, before = 1, 0
-        while k < self.n:
-            k *= 2
-            if place >= before + self.sums[k]:
-                before += self.sums[k]
-                k += 1
-        return k - self.n, before
+class Node:
+    """A leaf's text and token count, with the sums of lengths and counts of the subtree that it is the root of."""
+
+    __slots__ = ("text", "count", "rank", "left", "right", "length", "total")
+
+    def __init__(self, text: str, count: int, rank: float) -> None:
+        self.text, self.count, self.rank = text, count, rank
+        self.left: Node | None = None
+        self.right: Node | None = None
+        self.update()
+
+    def update(self) -> Node:
+        self.length, self.total = len(self.text), self.count
+        for side in (self.left, self.right):
+            if side:
+                self.length += side.length
+                self.total += side.total
+        return self
+
+
+def merged(a: Node | None, b: Node | None) -> Node | None:
+    """One tree of two that follow each other: roots by rank, which are random, so depths are logarithmic."""
+    if not a or not b:
+        return a or b
+    if a.rank < b.rank:
+        a.right = merged(a.right, b)
+        return a.update()
+    b.left = merged(a, b.left)
+    return b.update()
+
+
+def parted(node: Node | None, place: int) -> tuple[Node | None, Node | None]:
+    """Two trees: leaves that begin before ``place``, and the others."""
+    if not node:
+        return None, None
+    before = node.left.length if node.left else 0
+    if before < place:
+        node.right, rest = parted(node.right, place - before - len(node.text))
+        return node.update(), rest
+    first, node.left = parted(node.left, place)
+    return first, node.update()
+
+
+def leaves_of(node: Node | None) -> Iterator[Node]:
+    """Leaves in order."""
+    above: list[Node] = []
+    while above or node:
+        while node:
+            above.append(node)
+            node = node.left
+        node = above.pop()
+        yield node
+        node = node.right
 
 
 class EditTree:
     """Token count of one text under edits."""
 
     def __init__(self, text: str, encode, lengths: list[int] | None = None, counts: list[int] | None = None) -> None:
-        self.encode, self.encoded = encode, 0
-        if lengths is None or counts is None:
+        self.encode, self.encoded, self.ranks = encode, 0, random.Random(len(text))
+        if _is_state(text, lengths, counts):
+            ends = list(accumulate(lengths, initial=0))
+            leaves = [text[a:b] for a, b in pairwise(ends)]
+        else:
             leaves = cut(text)
             counts = self._count(leaves)
             self.encoded = 0  # the first count isn't an edit's
-        else:
-            ends = [0]
-            for n in lengths:
-                ends.append(ends[-1] + n)
-            leaves = [text[a:b] for a, b in zip(ends, ends[1:], strict=False)]
-        self.leaves = leaves or [""]
-        self.lengths = SumTree([len(x) for x in self.leaves])
-        self.counts = SumTree(list(counts) or [0])
+        self.root = self._tree(leaves, counts)
 
     def _count(self, texts: list[str]) -> list[int]:
         self.encoded += sum(map(len, texts))
         return [len(x) // 4 for x in self.encode(texts)]
 
+    def _tree(self, leaves: list[str], counts: list[int]) -> Node | None:
+        root = None
+        for text, count in zip(leaves, counts, strict=True):
+            root = merged(root, Node(text, count, self.ranks.random()))
+        return root
+
     @property
     def n_tokens(self) -> int:
-        return self.counts.sums[1]
+        return self.root.total if self.root else 0
+
+    @property
+    def leaves(self) -> list[str]:
+        return [leaf.text for leaf in leaves_of(self.root)]
 
     def edit(self, start: int, end: int, text: str) -> None:
         """Put ``text`` in the place of the characters from ``start`` to ``end``."""
-        if not 0 <= start <= end <= self.lengths.sums[1]:
+        if not 0 <= start <= end <= (self.root.length if self.root else 0):
             raise ValueError("an edit reaches beyond its text")
-        if not self.lengths.sums[1]:
-            first, begin, last = 0, 0, 0
-        else:
-            first, begin = self.lengths.find(start)
-            if start == begin and start:  # the border before the leaf may go
-                first, begin = self.lengths.find(start - 1)
-            last = self.lengths.find(end)[0]  # the leaf after the edit, too, if it ends at a border
-        old = "".join(self.leaves[first : last + 1])
-        new = old[: start - begin] + text + old[end - begin :]
-        slots = [k for k in range(first, last + 1) if self.leaves[k] or k == first]
+        # The region: leaves that the edit touches, with the one before a start and the one after an end at a border.
+        before, region = self._with_last(*parted(self.root, start))
+        region, after = parted(region, end + 1 - (before.length if before else 0))
+        begin = before.length if before else 0
+        new = self._put(region, start - begin, end - begin, text)
+        if len(new) < LEAF // 4 and before:  # little is left: one leaf with the neighbour
+            before, neighbour = self._with_last(before, None)
+            new = neighbour.text + new
         parts = cut(new)
-        if len(parts) > len(slots):
-            parts = [*parts[: len(slots) - 1], "".join(parts[len(slots) - 1 :])]
-        parts += [""] * (len(slots) - len(parts))
-        for k, part, n in zip(slots, parts, self._count(parts), strict=True):
-            self.leaves[k] = part
-            self.lengths.set(k, len(part))
-            self.counts.set(k, n)
+        self.root = merged(merged(before, self._tree(parts, self._count(parts))), after)
+
+    @staticmethod
+    def _with_last(first: Node | None, rest: Node | None) -> tuple[Node | None, Node | None]:
+        """The last leaf of ``first`` moved to the front of ``rest``."""
+        if not first:
+            return first, rest
+        last = first
+        while last.right:
+            last = last.right
+        first, own = parted(first, first.length - len(last.text))
+        return first, merged(own, rest)
+
+    @staticmethod
+    def _put(region: Node | None, start: int, end: int, text: str) -> str:
+        old = "".join(leaf.text for leaf in leaves_of(region))
+        return old[:start] + text + old[end:]
+
+
+def _is_state(text: str, lengths: list[int] | None, counts: list[int] | None) -> bool:
+    """True if leaves of these lengths may be a state of the text: they add up to it and part it where leaves may begin."""
+    if lengths is None or counts is None or len(lengths) != len(counts) or None in lengths or None in counts:
+        return False
+    ends = list(accumulate(lengths, initial=0))
+    return ends[-1] == len(text) and min(lengths, default=1) > 0 and min(counts, default=0) >= 0 and all(_BORDER.match(text, at) for at in ends[1:-1])
 
 
 def cut(text: str) -> list[str]:
@@ -169,7 +221,7 @@ def with_counts(docs: DataFrame, tokenizer_path: str, refuse: str = "error", nam
                 edits, refused = in_order(edits, len(text or ""), refuse == "error")
                 for start, end, new in edits:
                     tree.edit(start, end, new)
-                own = [(len(x), tree.counts.sums[tree.counts.n + k]) for k, x in enumerate(tree.leaves) if x]
+                own = [(len(leaf.text), leaf.count) for leaf in leaves_of(tree.root)]
                 out.append({"n_edits": len(edits), "n_refused": refused, "n_tokens_before": before, "n_tokens": tree.n_tokens, "n_chars_encoded": tree.encoded, "leaf_lengths": [a for a, _ in own], "leaf_counts": [b for _, b in own]})
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], names=[*batch.schema.names, name])
 

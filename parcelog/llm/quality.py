@@ -13,7 +13,8 @@ many for the curve, and of the former the ``SAMPLE_CHUNKS`` chunks with the smal
 and whole texts. Rows whose crc32 of the id's digits is 1 modulo 3 are held out.
 
 Defined cases: empty and null texts score as a difference of zero does; null labels are
-not learnt from; several labels of one id all count; null ids are scored and never
+not learnt from; an id with both labels counts once with each, and of several
+documents with one id the text with the smallest hash is learnt from; null ids are scored and never
 labelled or held out; if a class has no labelled rows there is nothing to tell apart
 and the score is the share of label 1 (one half without any label); repeated rows stay;
 an empty table gives no rows; other columns are not read.
@@ -30,7 +31,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from parcelog.storage import small_batches
+from parcelog.storage import materialize, small_batches
 
 CHUNK = 512
 LEVEL = 3
@@ -120,6 +121,7 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chunks: int = SAMPLE_CHUNKS) -> Model:
     """Fit on labelled rows that aren't held out: remainder 0 gives the dictionaries, 2 the curve."""
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).filter("quality in (0, 1)").filter(~held_out())
+    labels = labels.distinct()  # an id counts once for each label that it has
     labels = labels.withColumn("part", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3).cast("int")).withColumn("order", F.xxhash64("doc_id"))
     counts = {(r["part"], r["quality"]): r["n"] for r in labels.groupBy("part", "quality").agg(F.count("*").alias("n")).collect()}
     good, bad = (sum(n for (_, q), n in counts.items() if q == c) for c in (1, 0))
@@ -129,7 +131,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sa
     parts = [labels.filter("part = 0 and quality = 0"), labels.filter("part = 0 and quality = 1"), labels.filter("part = 2")]
     chosen = [own.orderBy("order", "doc_id").limit(n) for own, n in zip(parts, (sample_rows, sample_rows, 2 * sample_rows), strict=True)]
     sample = chosen[0].union(chosen[1]).union(chosen[2]).select("doc_id", "quality", "part")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")  # four times sample_rows at most
+    # Of documents with one id, the text with the smallest hash counts: four times sample_rows at most, and no id outweighs another.
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(F.xxhash64("text").alias("hash"), "text").alias("own"))
+    texts = own.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "quality", "part").agg(F.min("own").alias("own"))
+    texts = materialize(texts.select("doc_id", "own.text", "quality", "part"), "labelled-sample")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

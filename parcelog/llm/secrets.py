@@ -72,9 +72,14 @@ def _assigned(text: Column) -> Column:
     return F.when(text.rlike(pattern), _of_kind(found, 0)).otherwise(F.array().cast(SPANS))
 
 
+def _at_least(found: Column, least: int) -> Column:
+    """Matches of so many characters or more. (A second argument of the lambda would be the match's index.)"""
+    return F.filter(found, lambda m: m["end"] - m["start"] >= least)
+
+
 def _within(run: Column) -> Column:
     """Spans of the other base kinds, which lie within long runs."""
-    kinds = [F.filter(matches(run["value"], HEX_RUN if name == "hex" else own), lambda m, n=n: m["end"] - m["start"] >= n) for name, own, _, n in BASE[1:]]
+    kinds = [_at_least(matches(run["value"], HEX_RUN if name == "hex" else own), least) for name, own, _, least in BASE[1:]]
     return F.concat(*[_of_kind(found, k, run["start"]) for k, found in enumerate(kinds, 1)]).cast(SPANS)
 
 

@@ -1,3 +1,4 @@
+import random
 import time
 
 import numpy as np
@@ -58,7 +59,7 @@ def test_search_equals_brute_force():
         got = {k for k, *_ in block.search(place)}
         for n, (k, t) in enumerate(short):
             item = d.normalise(t)
-            if len(item) < d.LEAST:
+            if len(item) < d.WHOLE_WORDS_BELOW:
                 assert (n in got) == (f" {item.decode()} " in f" {place.decode()} ")
             elif len(item) <= 360:
                 assert (n in got) == (brute(item, place) <= int(0.08 * len(item)))
@@ -137,7 +138,7 @@ def test_items_of_all_lengths_equal_brute_force():
         text = d.normalise(text.decode())
         expected, parts = set(), set()
         for k, item in enumerate(items):
-            if len(item) < d.LEAST:
+            if len(item) < d.WHOLE_WORDS_BELOW:
                 found = f" {item.decode()} " in f" {text.decode()} "
             else:
                 found = fewest_edits(item, text) <= int(d.BUDGET * len(item))
@@ -148,7 +149,7 @@ def test_items_of_all_lengths_equal_brute_force():
         got = list(both.search(text))
         assert {k for k, *_ in got} == parts and {k for k, *_, all_ in got if all_} == expected
         for k, edits, a, z, all_ in got:
-            if all_ and len(items[k]) >= d.LEAST:
+            if all_ and len(items[k]) >= d.WHOLE_WORDS_BELOW:
                 assert edits == fewest_edits(items[k], text) == fewest_edits(items[k], text[a:z])
         hits += len(expected)
     assert hits >= 28  # each item at none and at its most edits
@@ -198,3 +199,25 @@ def test_clashing_names_and_many_blocks(spark):
     assert kept.columns == own.columns and {r.leaks_ for r in kept.collect()} == {"mine"}
     few = d.drop_leaks(own, table, block_bytes=100)  # more blocks than a pass takes
     assert {r.doc_id for r in few.collect()} == {r.doc_id for r in kept.collect()}
+
+
+def test_hits_do_not_depend_on_other_items():
+    """One item with equally good places, alone and beside a thousand like items."""
+    r = random.Random(11)
+    text = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n)).encode()
+    for _ in range(4):
+        item = text(70)
+        spoilt = [item[:k] + b"z" + item[k + 1 :] for k in (20, 33, 47)]
+        doc = text(30) + spoilt[0] + text(400) + spoilt[1] + text(200) + spoilt[2] + text(20)
+        alike = [(k, bytes(item[:40]) + text(30)) for k in range(1000)]
+        alone = list(d.Block([(-1, item)], d.BUDGET).search(doc))
+        among = [h for h in d.Block([(-1, item), *alike], d.BUDGET).search(doc) if h[0] == 0]
+        assert alone == among and alone[0][1] == 1 and alone[0][2] == 30
+
+
+def test_whole_words_are_a_parameter():
+    inside = b"xx" + b"abcdefghijkl" + b"myy other words"
+    assert [h[0] for h in d.Block([(7, b"abcdefghijkl"), (8, b"other")], d.BUDGET).search(inside)] == [1]
+    found = {h[0]: h[1:4] for h in d.Block([(7, b"abcdefghijkl"), (8, b"othe"), (9, b"words")], d.BUDGET, whole_words_below=4).search(inside)}
+    assert found == {0: (0, 2, 14), 1: (0, 18, 22), 2: (0, 24, 29)}
+    assert not list(d.Block([(7, b"abcdefghijklm")], d.BUDGET, whole_words_below=14).search(inside))

@@ -46,6 +46,33 @@ def test_only_the_region_is_encoded():
     assert tree.encoded < 3000 and tree.n_tokens == count(text[:50_000] + "other" + text[50_010:])
 
 
+def test_leaves_split_and_merge():
+    """A growing text is never encoded as a whole, and leaves stay near LEAF both ways."""
+    tree, text = e.EditTree("", encoder(PATH).encode), ""
+    r = random.Random(3)
+    for _ in range(200):
+        at = r.randint(0, len(text))
+        new = " ".join(r.choice(["some", "words", "of", "prose"]) for _ in range(24))[:120]
+        tree.edit(at, at, new)
+        text = text[:at] + new + text[at:]
+    assert "".join(tree.leaves) == text and tree.n_tokens == count(text)
+    assert tree.encoded <= 200 * 1500 and max(map(len, tree.leaves)) < 3 * e.LEAF
+    grown = len(tree.leaves)
+    while len(text) > 2000:
+        at = r.randint(0, len(text) - 200)
+        tree.edit(at, at + 200, "")
+        text = text[:at] + text[at + 200 :]
+    assert "".join(tree.leaves) == text and tree.n_tokens == count(text) and len(tree.leaves) < grown / 4
+
+
+def test_stale_states_are_noticed(spark):
+    schema = f"doc_id long, text string, edits {e.EDITS}, leaf_lengths array<int>, leaf_counts array<int>"
+    text = "hello world again"
+    states = [([5], [1]), ([5, 12], [1]), ([4, 13], [1, 2]), ([17, 0], [3, 0]), ([None, 12], [1, 2]), (None, [3]), ([17], [-3])]
+    rows = [(i, text, [], *s) for i, s in enumerate(states)]
+    assert [x.counts.n_tokens for x in e.with_counts(spark.createDataFrame(rows, schema), PATH).collect()] == [count(text)] * len(rows)
+
+
 def test_masked_counts(spark):
     r = random.Random(1)
     bits = ["plain", "a.b@mail.example.com", "10.20.30.40", "1234567890", "é", "\n", "x@y", "12"]

@@ -77,3 +77,17 @@ def test_scores_equal_brute_force(spark):
         trust = len(r.text or "") / (len(r.text or "") + 100)
         odds = model.slope * trust * x + model.length_slope * trust + model.shift
         assert r.score == pytest.approx(1 / (1 + math.exp(-odds)), abs=1e-3)
+
+
+def test_the_sample_is_bounded_where_ids_repeat(spark, monkeypatch):
+    """A labelled id that thousands of documents bear brings one text, and weighs as much as any other."""
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)] * 3, "doc_id long, quality int")
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 == 2]
+    rows = [(i, ("fine prose of words " if i % 2 else "### %% || $$ ") * (1 + i % 9)) for i in range(400)]
+    repeated = rows + [(ids[0], f"copy number {k} ### %%") for k in range(5000)]
+    seen = []
+    curve = quality._curve
+    monkeypatch.setattr(quality, "_curve", lambda x, y: seen.append(len(y)) or curve(x, y))
+    model = quality.train(docs(spark, repeated), labels, sample_rows=50)
+    assert seen == [100] and model.good and model.bad
+    assert quality.scores(docs(spark, repeated), labels).count() == len(repeated)

@@ -137,3 +137,21 @@ def test_long_text_of_many_runs(spark):
         began = time.time()
         [row] = secrets.scan(docs(spark, [(1, text)])).collect()
         assert row.n_hex == 64_000 and row.spans.endswith(f":{len(text)}") and time.time() - began < 60
+
+
+def test_base_spans_in_long_runs_equal_brute_force(spark):
+    """Short access words inside long runs, hex near its bound, in texts of one and of many pieces."""
+    r = random.Random(41)
+    bits = ["AKIA", "AKIABUILD", "AKIA" + "Q7" * 7 + "X", "AKIA" + "Q7" * 8, "AKIA" + "Z" * 20, "/srv/", "/releases/", "2024", "_name", "-x", "lower", "UPPER", "a1" * 11 + "b", "a1" * 12, "0f" * 15, "token=", "secret: ", " ", " ", "\n", "é", "'", '"']
+    rows = [(i, "".join(r.choice(bits) for _ in range(r.choice([5, 12, 30, 1500])))) for i in range(300)]
+    rows.append((1000, "path /srv/AKIABUILD/releases/2024 ok"))
+    got = {x.doc_id: tuple(x)[1:5] for x in secrets.scan(docs(spark, rows)).collect()}
+    for d, t in rows:
+        b = brute(t)
+        assert got[d] == (*[sum(x[1] == k for x in b) for k in range(3)], hashlib.sha256(",".join(f"{n}:{s}:{e}" for s, _, e, n in b).encode()).hexdigest()), t[:200]
+    assert sum(len(t) > 3000 for _, t in rows) > 40 and sum(v[1] for v in got.values()) > 100
+
+
+def test_redact_leaves_short_access_words(spark):
+    text = "path /srv/AKIABUILD/releases/2024 ok"
+    assert secrets.redact(docs(spark, [(1, text)])).first().text == text
