@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from parcelog.operators.ranks import running
 from parcelog.storage import materialize
 
 
@@ -56,18 +57,23 @@ def price_changes(obs: DataFrame, key: str = "listing_id") -> DataFrame:
 
 
 def gap_group(df: DataFrame, keys: list[str], value: str, order: list[str], tolerance: float) -> DataFrame:
-    """Number of the chain of values (``price_grp``): a new one where the value before is below value * (1 - tolerance)."""
-    own = Window.partitionBy(*keys).orderBy(value, *order)
-    new = F.when(F.lag(value).over(own) >= F.col(value) * (1 - tolerance), 0).otherwise(1)
-    return df.withColumn("new_", new).withColumn("price_grp", F.sum("new_").over(own.rowsBetween(Window.unboundedPreceding, 0))).drop("new_")
+    """Number of the chain of values (``price_grp``): a new one where the value before is below value * (1 - tolerance).
+
+    Groups of any size: chains run on across ranges of (keys, value, order), see ``ranks.running``.
+    """
+    new = F.when(F.col("value_before") >= F.col(value) * (1 - tolerance), 0).otherwise(1)
+    return running(df, keys, [value, *order], {"value_before": F.col(value)}, {"price_grp": new}).drop("value_before")
 
 
 def sweep_slots(df: DataFrame, keys: list[str], id_: str, start: str, end: str) -> DataFrame:
-    """How many intervals of the same keys are open when each begins; starts come before ends at the same time."""
+    """How many intervals of the same keys are open when each begins; starts come before ends at the same time.
+
+    Groups of any size: open intervals are counted on across ranges of (keys, time).
+    """
     event = lambda ts, d: F.struct(F.col(ts).alias("ts"), F.lit(d).alias("delta"))
     events = df.select(*keys, id_, F.explode(F.array(event(start, 1), event(end, -1))).alias("e")).select(*keys, id_, "e.*")
-    running = Window.partitionBy(*keys).orderBy("ts", F.desc("delta"), id_).rowsBetween(Window.unboundedPreceding, 0)
-    return events.withColumn("open_", F.sum("delta").over(running)).filter("delta = 1").select(*keys, id_, (F.col("open_") - 1).alias("slot"))
+    counted = running(events, keys, ["ts", F.desc("delta"), id_], sums={"open_": F.col("delta")})
+    return counted.filter("delta = 1").select(*keys, id_, (F.col("open_") - 1).alias("slot"))
 
 
 def presence(obs: DataFrame, params: Params = Params(), key: str = "listing_id") -> DataFrame:

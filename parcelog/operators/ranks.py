@@ -54,23 +54,53 @@ def overall_quantiles(df: DataFrame, value: str, *at: float) -> list[float] | No
     return list(row) if row else None
 
 
-def running_sums(df: DataFrame, keys: list[str], order: list[Column | str], sums: dict[str, Column]) -> DataFrame:
-    """``df`` with running sums by name within each group of equal keys (nulls are a key), each row's own value included.
+def _carries(own: DataFrame, keys: list[str], values: DataFrame, columns: list[str]) -> DataFrame:
+    """``own`` with what ``values`` (keys, ``range_``, columns) has for the row's group and range, null where there is none.
 
-    Rows are dealt into ranges of (keys, order), which should tell all rows apart, so that a large group lies in many
-    ranges. A window sees one range of one group; what the group's earlier ranges sum up to is carried in. A range begins
-    within one group at most, so there are no more carries than ranges, and they are broadcast.
+    Only ranges that a group doesn't begin in have values, and a range begins within one group at most: there are no more of them
+    than ranges, and they are broadcast.
     """
-    named = {name: f"sum{i}_" for i, name in enumerate(sums)}
-    own = _in_ranges(df.withColumns({named[n]: F.coalesce(x, F.lit(0)) for n, x in sums.items()}), *keys, *order)
-    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))  # a row for each group and range
-    parts = own.groupBy(*keys, "range_").agg(*[F.sum(c).alias(c) for c in named.values()])
-    before = [(F.sum(c).over(group.orderBy("range_")) - F.col(c)).alias(f"{c}before") for c in named.values()]
-    carries = parts.select(*[F.col(k).alias(f"{k}_own") for k in keys], F.col("range_").alias("range_own"), F.min("range_").over(group).alias("first_"), *before)
+    renamed = values.select(*[F.col(k).alias(f"{k}_own") for k in keys], F.col("range_").alias("range_own"), *columns)
     same = F.col("range_") == F.col("range_own")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"{k}_own"))
-    carries = F.broadcast(carries.filter("first_ < range_own").drop("first_"))  # fewer than ranges
-    within = Window.partitionBy(*keys, "range_").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    summed = own.withColumns({c: F.sum(c).over(within) for c in named.values()}).join(carries, same, "left")
-    return summed.select(*df.columns, *[(F.col(c) + F.coalesce(F.col(f"{c}before"), F.lit(0))).alias(n) for n, c in named.items()])
+    return own.join(F.broadcast(renamed), same, "left").select(*own.columns, *columns)
+
+
+def _by_group(keys: list[str]) -> Window:
+    return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))  # over a row for each group and range
+
+
+def running(df: DataFrame, keys: list[str], order: list[Column | str], before: dict[str, Column] | None = None, sums: dict[str, Column] | None = None) -> DataFrame:
+    """``df`` with values of the row before it and with running sums, the row's own included, by name, within each group of
+    equal keys (nulls are a key). Sums may be of columns that ``before`` adds; nulls add nothing.
+
+    Rows are dealt into ranges of (keys, order), which should tell all rows apart, so that a large group lies in many
+    ranges. A window sees one range of one group; the last row of the group's range before, and what its earlier ranges
+    sum up to, are carried in.
+    """
+    before, sums = before or {}, sums or {}
+    own = _in_ranges(df, *keys, *order)
+    within, group = Window.partitionBy(*keys, "range_").orderBy(*order), _by_group(keys)
+    if before:
+        names = list(before)
+        last = own.withColumns({"place_": F.row_number().over(within), "n_": F.count("*").over(Window.partitionBy(*keys, "range_"))})
+        ends = last.filter("place_ = n_").select(*keys, "range_", F.struct(*[x.alias(n) for n, x in before.items()]).alias("end_"))
+        carried = ends.select(*keys, "range_", F.lag("end_").over(group.orderBy("range_")).alias("carried_")).filter("carried_ is not null")
+        lagged = own.withColumn("before_", F.lag(F.struct(*[x.alias(n) for n, x in before.items()])).over(within))
+        lagged = _carries(lagged, keys, carried, ["carried_"]).withColumn("before_", F.coalesce("before_", "carried_"))
+        own = lagged.select("*", *[F.col(f"before_.{n}").alias(n) for n in names]).drop("before_", "carried_")
+    named = {name: f"sum{i}_" for i, name in enumerate(sums)}
+    if sums:
+        own = own.withColumns({named[n]: F.coalesce(x, F.lit(0)) for n, x in sums.items()})
+        parts = own.groupBy(*keys, "range_").agg(*[F.sum(c).alias(c) for c in named.values()])
+        earlier = [(F.sum(c).over(group.orderBy("range_")) - F.col(c)).alias(f"{c}before") for c in named.values()]
+        carried = parts.select(*keys, "range_", F.min("range_").over(group).alias("first_"), *earlier).filter("first_ < range_")
+        upto = within.rowsBetween(Window.unboundedPreceding, 0)
+        own = _carries(own.withColumns({c: F.sum(c).over(upto) for c in named.values()}), keys, carried, [f"{c}before" for c in named.values()])
+    return own.select(*df.columns, *before, *[(F.col(c) + F.coalesce(F.col(f"{c}before"), F.lit(0))).alias(n) for n, c in named.items()])
+
+
+def running_sums(df: DataFrame, keys: list[str], order: list[Column | str], sums: dict[str, Column]) -> DataFrame:
+    """``df`` with running sums by name, as ``running`` gives them."""
+    return running(df, keys, order, sums=sums)

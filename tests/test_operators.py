@@ -1,13 +1,14 @@
 """Hand-made cases: ties, nulls, single rows, broken files."""
 
 import json
+import random
 
 import pytest
 
-from parcelog.operators import checks, lifecycle as life, matching, summaries
+from parcelog.operators import checks, lifecycle as life, matching, ranks, summaries
 from parcelog.operators.components import connected_components
 from parcelog.sources import files, flats, offers
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 
 def frame(spark, rows, schema):
@@ -157,3 +158,56 @@ def test_sheets_go_by_position(spark, tmp_path):
 def test_pages_give_titles_and_links(spark):
     df = frame(spark, [(1, "<html><TITLE lang='x'>A\nb</title><a class=q href='u'>u</a><a href=v>v</a>"), (2, "<p>none</p>"), (3, None), (4, "")], "id int, html string")
     assert [tuple(r) for r in files.scan_html(df).orderBy("id").collect()] == [(1, "A\nb", 2, 73), (2, None, 0, 11), (3, None, 0, None), (4, None, 0, 0)]
+
+
+@pytest.fixture
+def many_ranges(spark):
+    """Ranges stay as they are dealt, however small."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.unset(key)
+
+
+def test_running_values_cross_ranges(spark, many_ranges):
+    """One key of several ranges, lags and sums as a window over whole groups gives them; nulls are a key."""
+    r = random.Random(1)
+    rows = [(r.choice(["hot", "hot", "hot", "b", None]), r.randrange(50), i, r.choice([None, 1, 2])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, t int, i long, x int")
+    first = lambda c: F.when(F.col(c).isNull(), 1).otherwise(0)
+    got = ranks.running(df, ["k"], ["t", F.desc("i")], {"px": F.col("x"), "pi": F.col("i")}, {"s": F.col("x"), "n": first("px")})
+    own = Window.partitionBy("k").orderBy("t", F.desc("i"))
+    upto = own.rowsBetween(Window.unboundedPreceding, 0)
+    lagged = df.withColumns({"px": F.lag("x").over(own), "pi": F.lag("i").over(own)})
+    want = lagged.withColumns({"s": F.sum(F.coalesce("x", F.lit(0))).over(upto), "n": F.sum(first("px")).over(upto)})
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    spread = ranks._in_ranges(df, "k", "t", F.desc("i")).groupBy("k").agg(F.countDistinct("range_").alias("n")).collect()
+    assert {x.k: x.n for x in spread}["hot"] > 3
+    whole = ranks.running(df, [], ["i"], sums={"s": F.lit(1)})
+    assert sorted((x.i, x.s) for x in whole.collect()) == [(i, i + 1) for i in range(3000)]
+    assert ranks.running(df.limit(0), ["k"], ["i"], {"p": F.col("x")}, {"s": F.lit(1)}).count() == 0
+
+
+def test_chains_and_slots_of_a_hot_key(spark, many_ranges):
+    r = random.Random(2)
+    rows = [(r.choice(["hot", "hot", "b"]), i, r.randrange(100, 3000), r.randrange(500)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k string, id long, price int, t int").withColumn("until", F.col("t") + F.col("id") % 40)
+    chains = {(x.k, x.id): x.price_grp for x in life.gap_group(df, ["k"], "price", ["id"], 0.002).collect()}
+    slots = {(x.k, x.id): x.slot for x in life.sweep_slots(df, ["k"], "id", "t", "until").collect()}
+    for k in ("hot", "b"):
+        own = sorted((p, i) for key, i, p, _ in rows if key == k)
+        group, before = 0, None
+        for p, i in own:
+            group += before is None or before < p * (1 - 0.002)
+            before = p
+            assert chains[k, i] == group
+        spans = [(t, t + i % 40, i) for key, i, _, t in rows if key == k]
+        for t, _, i in spans:
+            assert slots[k, i] == sum((a, j) < (t, i) and b >= t for a, b, j in spans)
+    plan = life.sweep_slots(df, ["k"], "id", "t", "until")._jdf.queryExecution().optimizedPlan().toString()
+    windows = [x for x in plan.splitlines() if "Window" in x]
+    assert windows and all("range_" in x for x in windows)
+
+
+def test_sums_of_short_chains(spark):
+    assert life.gap_group(spark.createDataFrame([], "k string, id long, price int"), ["k"], "price", ["id"], 0.1).count() == 0
