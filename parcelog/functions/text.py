@@ -30,16 +30,24 @@ def decimal_number(text: Column) -> Column:
     return F.replace(filled(F.regexp_extract(text, r"([0-9]+(?:[.,][0-9]+)?)", 1)), F.lit(","), F.lit(".")).try_cast("double")
 
 
+BLANK = r"[\s\u00a0\u202f]"
+
+
 def floor_pair(text: Column) -> tuple[Column, Column]:
-    """Floor and number of floors of "5/9" or "5 из 9"; without the second part only the floor."""
-    pattern = r"^\s*([0-9]+)(?:\s*(?:/|из)\s*([0-9]+))?"
-    return tuple(filled(F.regexp_extract(text, pattern, k)).try_cast("int") for k in (1, 2))
+    """Floor and number of floors of a text with "5 из 9" anywhere; without that its first number as the floor."""
+    floor, floors = (filled(F.regexp_extract(text, rf"([0-9]+){BLANK}*из{BLANK}*([0-9]+)", k)) for k in (1, 2))
+    return F.coalesce(floor, filled(F.regexp_extract(text, "([0-9]+)", 1))).try_cast("int"), floors.try_cast("int")
+
+
+def slash_pair(text: Column) -> tuple[Column, Column]:
+    """Floor and number of floors of "5/9": the number at the start and the one behind a slash."""
+    return tuple(filled(F.regexp_extract(text, pattern, 1)).try_cast("int") for pattern in ("^([0-9]+)", "/([0-9]+)"))
 
 
 def rooms_of_title(title: Column) -> Column:
-    """0 for a studio, else the number before "-комн"."""
+    """0 for a studio, else the number before "комн", with or without a hyphen between them."""
     low = F.lower(title)
-    return F.when(low.contains("студия"), F.lit(0)).otherwise(filled(F.regexp_extract(low, r"([0-9]+)-комн", 1)).try_cast("int"))
+    return F.when(low.contains("студи"), F.lit(0)).otherwise(filled(F.regexp_extract(low, rf"([0-9]+){BLANK}*-?{BLANK}*комн", 1)).try_cast("int"))
 
 
 def first_year(text: Column) -> Column:
@@ -57,28 +65,40 @@ def district_name(name: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(name, r"^(?:р-н|район)\s+", ""), r"\s+(?:р-н|район)$", ""))
 
 
-def region_key(name: Column, special: dict[str, str] | None = None) -> Column:
+#: Regions with keys of their own, and what is left out of the others' names, in this order (fixed values).
+SPECIAL_REGIONS = {"Москва": "msk", "Московская область": "mo", "Санкт-Петербург": "spb", "Ленинградская область": "lo"}
+REGION_WORDS = ("автономная область", "автономный округ", "республика", "область", "край", "респ.")
+
+
+def region_key(name: Column, special: dict[str, str] = SPECIAL_REGIONS) -> Column:
     """Lower-case key of a region's name: words for its kind dropped, everything else than letters and digits ``_``."""
-    low = F.trim(F.regexp_replace(F.lower(name), r"\b(?:область|край|республика|region)\b", ""))
-    key = F.regexp_replace(F.regexp_replace(low, r"[^a-zа-яё0-9]+", "_"), r"^_+|_+$", "")
-    for given, own in (special or {}).items():
-        key = F.when(name == given, F.lit(own)).otherwise(key)
-    return key
+    own = name
+    for given, key in special.items():
+        own = F.when(name == given, F.lit(key)).otherwise(own)
+    low = F.lower(own)
+    for word in REGION_WORDS:
+        low = F.replace(low, F.lit(word), F.lit(" "))
+    return F.regexp_replace(F.regexp_replace(low, r"[^a-zа-яё0-9]+", "_"), r"^_+|_+$", "")
 
 
 def room_keys(spec: Column) -> Column:
-    """Sorted different room keys of "room5=1&room9=1": 9 is a studio, five and more are one."""
-    numbers = F.regexp_extract_all(spec, F.lit(r"room([0-9]+)=1"), F.lit(1))
-    return F.array_sort(F.array_distinct(F.transform(numbers, lambda n: F.when(n == "9", "studio").when(n.cast("int") >= 5, "5+").otherwise(n))))
+    """Sorted different room keys of "room1=1&room5=1": five and more are one; with a 9 it is a studio alone."""
+    codes = F.transform(F.regexp_extract_all(spec, F.lit(r"room([0-9]+)="), F.lit(1)), lambda n: n.try_cast("bigint"))
+    keys = F.array_sort(F.array_distinct(F.transform(codes, lambda n: F.when(n >= 5, "5+").otherwise(n.cast("string")))))
+    return F.when(F.array_contains(codes, 9), F.array(F.lit("studio"))).otherwise(keys)
 
 
 def price_label(low: Column, high: Column) -> Column:
-    """ "3M-6M", "800K-+": a price range in short."""
+    """ "2.5M-6M", "-800K", "3M-+": a price range in short; millions with six digits at most."""
 
     def short(x: Column) -> Column:
-        return F.when(x.isNull(), F.lit("+")).when(x % 1_000_000 == 0, F.concat((x / 1_000_000).cast("int").cast("string"), F.lit("M"))).otherwise(F.concat(F.floor(x / 1000).cast("string"), F.lit("K")))
+        places = F.when(x < 10**7, 5).when(x < 10**8, 4).when(x < 10**9, 3).when(x < 10**10, 2).when(x < 10**11, 1).otherwise(0)
+        scale = F.pow(F.lit(10.0), places)
+        millions = F.rint(x / 1_000_000 * scale) / scale
+        digits = F.regexp_replace(F.regexp_replace(millions.cast("decimal(25,5)").cast("string"), "0+$", ""), r"\.$", "")
+        return F.when(x >= 1_000_000, F.concat(digits, F.lit("M"))).otherwise(F.concat(F.floor(x / 1000).cast("string"), F.lit("K")))
 
-    return F.concat(short(F.coalesce(low, F.lit(0).cast("bigint"))), F.lit("-"), short(high))
+    return F.concat(F.coalesce(short(low), F.lit("")), F.lit("-"), F.coalesce(short(high), F.lit("+")))
 
 
 def view_counts(text: Column) -> tuple[Column, Column]:
@@ -125,26 +145,70 @@ def links(html: Column, pattern: str) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), lambda u: F.substring_index(u, "?", 1)))
 
 
-def page_class(status: Column, html: Column) -> Column:
-    """waf, captcha, vpn or ok by status and markers in the first 32768 characters."""
-    head = F.lower(F.substring(html, 1, 32768))
-    return F.when(status.isin(403, 429) | head.contains("access denied"), "waf").when(head.contains("captcha"), "captcha").when(head.contains("vpn"), "vpn").otherwise("ok")
+#: Marks of pages that aren't the ones asked for, and statuses that say so (fixed values).
+WAF_STATUS, WAF_SIGNS = (403, 429, 503), ("waf_block", "waf_rate_limit")
+CAPTCHA_SIGNS = ("smartcaptcha", "captcha-api.yandex", "не робот")
+VPN_SIGNS = ("похоже, у вас включен vpn", "кажется, у вас включён vpn")
+HEAD = 32_768
 
 
-def address_parts(text: Column) -> dict[str, Column]:
-    """City, region, district, street and house of a comma-separated address.
+def page_class(status: Column, html: Column, url: Column | None = None) -> Column:
+    """waf by status or mark, captcha by address or mark, vpn by mark, else ok; marks are sought in the first ``HEAD`` characters."""
+    head = F.lower(F.substring(html, 1, HEAD))
+    address = F.coalesce(F.lower(url).contains("captcha"), F.lit(False)) if url is not None else F.lit(False)
+    return F.when(status.isin(*WAF_STATUS) | _any_of(head, WAF_SIGNS), "waf").when(address | _any_of(head, CAPTCHA_SIGNS), "captcha").when(_any_of(head, VPN_SIGNS), "vpn").otherwise("ok")
+
+
+def _any_of(text: Column, signs: tuple[str, ...]) -> Column:
+    found = F.lit(False)
+    for sign in signs:
+        found = found | text.contains(sign)
+    return F.coalesce(found, F.lit(False))
+
 
-    The last part with a mark counts for region, district and street; the house is the first
-    part with a digit behind the street; the city is the first part without any mark.
+#: What tells the parts of an address line apart, in the order in which it is tried (fixed values).
+DISTRICT_PART = r"(?iu)р-н|район"
+REGION_PART = r"^[А-ЯЁA-Z]{2,5}$"
+STREET_PART = r"(?iu)ул\.|улица|пер\.|переулок|просп|пр-т|ш\.|шоссе|б-р|бульвар|наб\.|набережная|пр-д|проезд"
+
+
+def address(text: Column) -> Column:
+    """City, region, district, street and house_number of a comma-separated address, as one struct.
+
+    The city is the first part. The others are folded in order: a part with a district's mark, a short one of capitals, one
+    with a street's mark count as district, region and street (later ones win), and the first that begins with a digit behind
+    a street is the house. Where no street is marked, and two parts or more follow the city, the first two of them that are
+    neither region nor district are street and house. Empty text has no parts.
     """
-    parts = F.transform(F.split(text, ","), lambda p: F.trim(p))
-    marks = {"region": "область|край|республика", "district": "р-н|район", "street": "улица|ул\\.|проспект|переулок|шоссе"}
-    last = {k: F.try_element_at(_having(parts, v), F.lit(-1)) for k, v in marks.items()}
-    street_at = F.array_position(parts, last["street"])
-    behind = F.when(street_at > 0, F.slice(parts, (street_at + 1).cast("int"), F.size(parts)))
-    plain = F.filter(parts, lambda p: ~F.lower(p).rlike("|".join(marks.values())) & ~p.rlike("[0-9]") & (p != ""))
-    return {"city": F.try_element_at(plain, F.lit(1)), **last, "house": F.try_element_at(_having(behind, "[0-9]"), F.lit(1))}
+    parts = F.transform(F.split(text, ","), lambda p: F.regexp_replace(p, rf"^{BLANK}+|{BLANK}+$", ""))
+    rest = F.slice(parts, F.lit(2), F.size(parts))
+    names = ("district", "region", "street", "house_number")
+
+    def state(*values: Column) -> Column:
+        return F.struct(*[v.alias(n) for n, v in zip(names, values, strict=True)])
+
+    def blank(x: Column) -> Column:
+        return F.coalesce(x, F.lit("")) == ""
 
+    def marked(s: Column, p: Column) -> Column:
+        district, region, street = p.rlike(DISTRICT_PART), p.rlike(REGION_PART), p.rlike(STREET_PART)
+        house = p.rlike("^[0-9]") & ~blank(s["street"]) & blank(s["house_number"])
+        kinds = (district, ~district & region, ~district & ~region & street, ~district & ~region & ~street & house)
+        return state(*[F.when(kind, p).otherwise(s[n]) for n, kind in zip(names, kinds, strict=True)])
 
-def _having(parts: Column, pattern: str) -> Column:
-    return F.filter(parts, lambda p: F.lower(p).rlike(pattern))
+    def unmarked(s: Column, p: Column) -> Column:
+        free = ~(p.eqNullSafe(s["region"]) | p.eqNullSafe(s["district"]))
+        street = blank(s["street"])
+        own = (free & street, free & ~street & blank(s["house_number"]))
+        return state(s["district"], s["region"], *[F.when(take, p).otherwise(s[n]) for n, take in zip(names[2:], own, strict=True)])
+
+    nothing = state(*[F.lit(None).cast("string")] * 4)
+    first = F.aggregate(rest, nothing, marked)
+    whole = F.element_at(F.transform(F.array(first), lambda s: F.when(blank(s["street"]) & (F.size(rest) >= 2), F.aggregate(rest, s, unmarked)).otherwise(s)), 1)
+    return F.when(text != "", F.struct(F.element_at(parts, 1).alias("city"), *[whole[n].alias(n) for n in ("region", "district", "street", "house_number")]))
+
+
+def address_parts(text: Column) -> dict[str, Column]:
+    """The fields of ``address`` by name."""
+    own = address(text)
+    return {n: own[n] for n in ("city", "region", "district", "street", "house_number")}

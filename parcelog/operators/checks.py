@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def unique(df: DataFrame, *keys: str) -> DataFrame:
@@ -58,10 +60,26 @@ def coverage(runs: DataFrame, since: Column, share_: float) -> DataFrame:
     return recent.filter(F.col("cards") < F.col("plan_offers") * share_).withColumn("pct", F.round(100.0 * F.col("cards") / F.col("plan_offers"), 1))
 
 
-def run_checks(checks: Mapping[str, DataFrame]) -> DataFrame:
-    """check, n_violations, passed of each check, in one job."""
-    parts = [df.agg(F.count("*").alias("n_violations")).select(F.lit(name).alias("check"), "n_violations") for name, df in checks.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out.withColumn("passed", F.col("n_violations") == 0)
+#: Checks that run side by side.
+AT_ONCE = 4
+
+
+def run_checks(checks: Mapping[str, DataFrame | Callable[[], DataFrame]], spark: SparkSession | None = None, at_once: int = AT_ONCE) -> DataFrame:
+    """check, n_violations, passed and error of each check.
+
+    A check is a frame of violating rows, or a function that gives one. Each is a job of its own, several run side by side,
+    and one that fails (while it is built or while it runs) becomes a row with its error, without a number, that hasn't passed.
+    """
+
+    def run(item: tuple[str, DataFrame | Callable[[], DataFrame]]) -> tuple[str, int | None, bool, str | None]:
+        name, check = item
+        try:
+            n = (check() if callable(check) else check).count()
+        except Exception as error:  # whatever a check does, the others count
+            return name, None, False, f"{type(error).__name__}: {str(error).splitlines()[0] if str(error) else ''}"[:500]
+        return name, n, n == 0, None
+
+    spark = spark or SparkSession.active()
+    with ThreadPoolExecutor(at_once) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(run), checks.items()))
+    return spark.createDataFrame(rows, "check string, n_violations long, passed boolean, error string")

@@ -27,38 +27,79 @@ def segment_members(units: DataFrame, segments: DataFrame) -> DataFrame:
     return units.join(wide, ["region", "room_key"]).filter(F.col("wanted_new").isNull() | (F.col("wanted_new") == F.col("is_new")))
 
 
-def inside(x: Column, y: Column, ring: Column) -> Column:
-    """True if (x, y) lies in the ring of points (x, y): a ray to the right crosses it an odd number of times."""
-    edges = F.zip_with(ring, F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+def _edges(ring: Column) -> Column:
+    """Pairs of neighbouring points of a ring, which closes itself."""
+    return F.zip_with(ring, F.concat(F.slice(ring, F.lit(2), F.size(ring)), F.slice(ring, 1, 1)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+
+
+def _rays(x: Column, y: Column, edges: Column) -> Column:
+    """How many edges a ray from (x, y) to the right crosses."""
 
     def crosses(e: Column) -> Column:
         a, b = e["a"], e["b"]
         return ((a["y"] > y) != (b["y"] > y)) & (x < (b["x"] - a["x"]) * (y - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)) + a["x"])
 
-    return F.size(F.filter(edges, crosses)) % 2 == 1
+    return F.size(F.filter(edges, crosses))
+
+
+def inside(x: Column, y: Column, ring: Column) -> Column:
+    """True if (x, y) lies in the ring of points (x, y): a ray to the right crosses it an odd number of times."""
+    return _rays(x, y, _edges(ring)) % 2 == 1
+
+
+def area_cells(areas: DataFrame, cell: float) -> DataFrame:
+    """Grid cells (cx, cy) that areas (name, ``rings`` by the even-odd rule: holes and further parts are rings like others) touch.
+
+    A cell that no edge passes lies wholly inside or outside its area: such cells carry no edges (``edges`` is null), and those
+    outside are left out. The others carry the edges that can matter to points in them: of the cell's rows, not wholly to its left.
+    """
+    edges = F.flatten(F.transform("rings", _edges))
+    flat = F.flatten(F.col("rings"))
+    low = lambda k: F.floor(F.array_min(F.transform(flat, lambda p: p[k])) / cell)
+    high = lambda k: F.floor(F.array_max(F.transform(flat, lambda p: p[k])) / cell)
+    rows = areas.filter(F.size(flat) > 0).select("name", edges.alias("all_"), low("x").alias("x0"), high("x").alias("x1"), F.explode(F.sequence(low("y"), high("y"))).alias("cy"))
+
+    def between(e: Column, k: str, at: Column) -> Column:
+        """True if an edge reaches into the band of a row or column of cells (a little widened)."""
+        a, b, slack = e["a"][k], e["b"][k], cell * 1e-9
+        return (F.greatest(a, b) >= at * cell - slack) & (F.least(a, b) <= (at + 1) * cell + slack)
+
+    rows = rows.withColumn("row_", F.filter("all_", lambda e: between(e, "y", F.col("cy")))).drop("all_")
+    cells = rows.select("name", "cy", "row_", F.explode(F.sequence("x0", "x1")).alias("cx"))
+    right = F.filter("row_", lambda e: F.greatest(e["a"]["x"], e["b"]["x"]) >= F.col("cx") * cell)
+    passed = F.exists("row_", lambda e: between(e, "x", F.col("cx")))
+    middle = _rays((F.col("cx") + 0.5) * cell, (F.col("cy") + 0.5) * cell, F.col("row_")) % 2 == 1
+    return cells.withColumns({"passed_": passed, "middle_": middle}).filter("passed_ or middle_").select("name", "cx", "cy", F.when(F.col("passed_"), right).alias("edges"))
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, id_: str, cell: float = 0.25) -> DataFrame:
     """``name`` of the first polygon (by name) that holds each point, null for none.
 
-    Polygons are dealt into grid cells by their bounding box, so points only meet those of their cell.
+    Polygons have ``rings`` (any number, even-odd rule) or one ``ring``. They are dealt into grid cells: points in cells wholly
+    inside need no test, others meet the edges of their cell's row only.
     """
-    box = _box(cell)
-    dealt = polygons.select("name", "ring", F.explode(F.sequence(box[0], box[1])).alias("cx")).withColumn("cy", F.explode(F.sequence(box[2], box[3])))
+    areas = polygons if "rings" in polygons.columns else polygons.select("name", F.array("ring").alias("rings"))
     own = points.withColumns({"cx": F.floor(F.col("x") / cell), "cy": F.floor(F.col("y") / cell)})
-    hits = own.join(dealt, ["cx", "cy"]).filter(inside(F.col("x"), F.col("y"), F.col("ring"))).groupBy(id_).agg(F.min("name").alias("name"))
+    met = own.join(area_cells(areas, cell), ["cx", "cy"])
+    hits = met.filter(F.col("edges").isNull() | (_rays(F.col("x"), F.col("y"), F.col("edges")) % 2 == 1)).groupBy(id_).agg(F.min("name").alias("name"))
     return points.join(hits, id_, "left")
 
 
-def _box(cell: float) -> list[Column]:
-    xs, ys = F.transform("ring", lambda p: p["x"]), F.transform("ring", lambda p: p["y"])
-    return [F.floor(f(v) / cell) for v in (xs, ys) for f in (F.array_min, F.array_max)]
-
-
 def classify_sightings(cards: DataFrame, state: DataFrame, key: str = "listing_id") -> DataFrame:
-    """``outcome`` of each sighting against the known state: new, repriced, known, or no_price."""
-    joined = cards.join(state.select(key, F.col("price").alias("known_price"), F.lit(True).alias("seen")), key, "left")
-    return joined.withColumn("outcome", F.when(F.col("price").isNull(), "no_price").when(F.col("seen").isNull(), "new").when(F.col("known_price").eqNullSafe(F.col("price")), "known").otherwise("repriced")).drop("seen", "known_price")
+    """``outcome`` of each sighting of one run (key, scraped_at, obs_id, price) against the state when it began (key, price).
+
+    Listings that the state hasn't got are new once, then dup. Of the others, the first sighting with a price that differs from
+    the state's is repriced, once a run, and all else is known. The batch twin of the streaming ``card_states``.
+    """
+    order = F.struct("scraped_at", "obs_id")
+    known = state.select(key, F.col("price").alias("price_known_"), F.lit(True).alias("there_"))
+    joined = cards.join(known, key, "left")
+    other = (F.coalesce("price", F.lit(0)) != 0) & ~F.col("price").eqNullSafe(F.col("price_known_"))
+    # One sighting a listing decides: the first of all for new listings, the first with another price for others.
+    turn = joined.filter(F.col("there_").isNull() | other).groupBy(key).agg(F.min(order).alias("turn_"))
+    found = joined.join(turn, key, "left").withColumn("is_turn_", F.coalesce(F.col("turn_") == order, F.lit(False)))
+    outcome = F.when(F.col("there_").isNull(), F.when(F.col("is_turn_"), "new").otherwise("dup")).when(F.col("is_turn_"), "repriced").otherwise("known")
+    return found.select(*cards.columns, outcome.alias("outcome"))
 
 
 def not_yet(df: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:

@@ -187,12 +187,13 @@ def sink_insert_ignore(spark, sf_dir):
 query(f"WITH k AS ({_KEYS}), z AS (SELECT count(*) AS p, count(*) FILTER (WHERE o_orderkey % 10 = 0 OR o_custkey = 0) AS np FROM orders), n AS (SELECT count(*) AS n FROM k WHERE url >= 5000) SELECT p AS processed, np AS no_price, n AS inserted, p - np - n AS skipped FROM z, n", "load_stats")(lambda s, d: _appended(s, d)[2])
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey FROM nation", "sink_replace_swap")
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'O'", "sink_replace_swap")
 def swapped(spark, sf_dir):
-    path = scratch_path(spark, "mart")
-    files.replace_swap(table(spark, sf_dir, "nation").limit(3), path)
-    files.replace_swap(table(spark, sf_dir, "nation"), path)
-    return spark.read.parquet(path)
+    """A table published twice: the second version counts."""
+    path, own = scratch_path(spark, "mart"), table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    files.publish(own.drop("o_orderstatus"), path)
+    files.publish(own.filter("o_orderstatus <> 'O'").drop("o_orderstatus"), path)
+    return files.published(spark, path)
 
 
 @query("SELECT c_custkey, c_nationkey > 5 AS flag FROM customer", "export_csv")
@@ -233,10 +234,11 @@ def sink_observations(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query("SELECT r_regionkey, r_name FROM region")
+@query("SELECT o_custkey AS run_id, count(*) AS cards, count(DISTINCT o_orderpriority) AS kinds FROM orders GROUP BY 1")
 def sink_run_stats(spark, sf_dir):
+    """A summary of each run, inserted unless the run has one: a second report of all runs adds those that are new only."""
     path = scratch_path(spark, "runs")
-    runs = table(spark, sf_dir, "region").withColumn("price", F.lit(1))
-    files.append_new(runs.filter("r_regionkey < 2"), path, ["r_regionkey"])
-    files.append_new(runs, path, ["r_regionkey"])
-    return spark.read.parquet(path).drop("price")
+    runs = table(spark, sf_dir, "orders").groupBy(c("o_custkey").alias("run_id")).agg(F.count("*").alias("cards"), F.countDistinct("o_orderpriority").alias("kinds"))
+    files.insert_ignore(runs.filter("run_id % 3 = 0"), path, "run_id", "cards")
+    files.insert_ignore(runs, path, "run_id", "cards")
+    return spark.read.parquet(path)

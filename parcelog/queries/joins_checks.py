@@ -25,10 +25,30 @@ on(a.observations, "join_inner_using", f"WITH {O}, {NEWEST}, p AS (SELECT listin
 on(a.observations, "join_left_chain", f"{ALL} SELECT listing_id, p.region AS region, slot, last_day FROM newest LEFT JOIN located USING (listing_id) LEFT JOIN slots USING (listing_id) LEFT JOIN closing ON closing.region = p.region", lambda o: life.latest(o).select("listing_id").join(life.place_of(o).select("listing_id", "region"), "listing_id", "left").join(life.unit_identity(o).select("listing_id", "slot"), "listing_id", "left").join(life.closure_cutoff(life.region_day_census(o)), "region", "left").select("listing_id", "region", "slot", "last_day"))
 query("SELECT o_orderkey, c_name, n_name, r_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey", "star_join")(lambda s, d: table(s, d, "orders").join(table(s, d, "customer"), c("o_custkey") == c("c_custkey")).join(table(s, d, "nation"), c("c_nationkey") == c("n_nationkey")).join(table(s, d, "region"), c("n_regionkey") == c("r_regionkey")).select("o_orderkey", "c_name", "n_name", "r_name"))
 on(a.spans, "join_composite", f"WITH {S}, p AS (SELECT class, seller, count(*) AS n FROM spans GROUP BY 1, 2) SELECT listing_id, n FROM spans JOIN p USING (class, seller)", lambda d: d.join(d.groupBy("class", "seller").agg(F.count("*").alias("n")), ["class", "seller"]).select("listing_id", "n"))
-_CARDS = "cards AS (SELECT obs_id, listing_id, price FROM obs WHERE scraped_at >= timestamp '2024-01-20'), state AS (SELECT * FROM obs WHERE scraped_at < timestamp '2024-01-20' AND listing_id % 4 <> 0 QUALIFY row_number() OVER (PARTITION BY listing_id ORDER BY scraped_at DESC, obs_id DESC) = 1)"
-split = lambda o: (o.filter("scraped_at >= timestamp_ntz '2024-01-20'").select("obs_id", "listing_id", "price"), life.latest_per_key(o.filter("scraped_at < timestamp_ntz '2024-01-20' and listing_id % 4 <> 0"), "listing_id", c("scraped_at"), c("obs_id")))
-on(a.observations, "state_left_join", f"WITH {O}, {_CARDS} SELECT c.obs_id, c.listing_id, c.price, CASE WHEN c.price IS NULL THEN 'no_price' WHEN s.listing_id IS NULL THEN 'new' WHEN s.price IS NOT DISTINCT FROM c.price THEN 'known' ELSE 'repriced' END AS outcome FROM cards c LEFT JOIN state s USING (listing_id)", lambda o: m.classify_sightings(*split(o)))
-on(a.observations, "run_counters", f"WITH {O}, {_CARDS} SELECT CASE WHEN c.price IS NULL THEN 'no_price' WHEN s.listing_id IS NULL THEN 'new' WHEN s.price IS NOT DISTINCT FROM c.price THEN 'known' ELSE 'repriced' END AS outcome, count(*) AS n FROM cards c LEFT JOIN state s USING (listing_id) GROUP BY 1", lambda o: m.classify_sightings(*split(o)).groupBy("outcome").agg(F.count("*").alias("n")))
+_CARDS = """cards AS (SELECT obs_id, listing_id, scraped_at, price FROM obs WHERE scraped_at >= timestamp '2024-01-20'),
+  state AS (SELECT * FROM obs WHERE scraped_at < timestamp '2024-01-20' AND listing_id % 4 <> 0 QUALIFY row_number() OVER (PARTITION BY listing_id ORDER BY scraped_at DESC, obs_id DESC) = 1),
+  dealt AS (SELECT c.*, s.listing_id IS NULL AS unknown, coalesce(c.price, 0) <> 0 AND c.price IS DISTINCT FROM s.price AS other FROM cards c LEFT JOIN state s USING (listing_id)),
+  numbered AS (SELECT *, count(*) FILTER (WHERE unknown OR other) OVER (PARTITION BY listing_id ORDER BY scraped_at, obs_id) AS k FROM dealt),
+  outcomes AS (SELECT obs_id, listing_id, price, CASE WHEN unknown AND k = 1 THEN 'new' WHEN unknown THEN 'dup' WHEN other AND k = 1 THEN 'repriced' ELSE 'known' END AS outcome FROM numbered)"""
+def split(o):
+    """The sightings of one run, and what was known before it."""
+    cards = o.filter("scraped_at >= timestamp_ntz '2024-01-20'").select("obs_id", "listing_id", "scraped_at", "price")
+    before = o.filter("scraped_at < timestamp_ntz '2024-01-20' and listing_id % 4 <> 0")
+    return cards, life.latest_per_key(before, "listing_id", c("scraped_at"), c("obs_id"))
+
+
+def run_counts(outcomes):
+    """Sightings by outcome, and the new and repriced ones that came without a price."""
+    counted = outcomes.groupBy("outcome").agg(F.count("*").alias("n"))
+    return counted.unionByName(outcomes.agg(F.lit("no_price").alias("outcome"), F.count_if(c("outcome").isin("new", "repriced") & (F.coalesce("price", F.lit(0)) == 0)).alias("n")))
+on(a.observations, "state_left_join", f"WITH {O}, {_CARDS} SELECT * FROM outcomes", lambda o: m.classify_sightings(*split(o)).drop("scraped_at"))
+on(
+    a.observations,
+    "run_counters",
+    f"""WITH {O}, {_CARDS} SELECT outcome, count(*) AS n FROM outcomes GROUP BY 1
+    UNION ALL SELECT 'no_price', count(*) FROM outcomes WHERE outcome IN ('new', 'repriced') AND coalesce(price, 0) = 0""",
+    lambda o: run_counts(m.classify_sightings(*split(o))),
+)
 on(a.observations, "anti_seen_today", f"WITH {O} SELECT DISTINCT listing_id FROM obs WHERE scraped_at < timestamp '2024-01-30' AND listing_id NOT IN (SELECT listing_id FROM obs WHERE scraped_at >= timestamp '2024-01-30')", lambda o: m.not_yet(o.filter("scraped_at < timestamp_ntz '2024-01-30'").select("listing_id").distinct(), o.filter("scraped_at >= timestamp_ntz '2024-01-30'"), ["listing_id"]))
 query("SELECT o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')", "resume_anti")(lambda s, d: m.not_yet(table(s, d, "orders").withColumnRenamed("o_custkey", "c_custkey"), table(s, d, "customer").filter("c_mktsegment = 'BUILDING'"), ["c_custkey"]).select("o_orderkey"))
 query("SELECT n_nationkey, r_name FROM nation JOIN region ON lower('region ' || r_regionkey) = lower('Region ' || n_regionkey)", "region_name_join")(lambda s, d: table(s, d, "nation").withColumn("k", F.lower(F.concat(F.lit("Region "), "n_regionkey"))).join(table(s, d, "region").withColumn("k", F.lower(F.concat(F.lit("region "), "r_regionkey"))), "k").select("n_nationkey", "r_name"))
@@ -60,4 +80,15 @@ query(f"WITH r AS (SELECT cast(sum(cards) AS bigint) AS cards, max(plan_offers)
 on(a.observations, "dq_seller_coverage", f"{ALL}, {FACT}, v AS (SELECT count(*) AS n, count(*) FILTER (WHERE seller_id IS NULL) AS bad FROM fact WHERE event_closed = 0) SELECT n, bad, cast(round(100.0 * bad / n, 2) AS double) AS pct FROM v WHERE n > 0 AND bad > n * 0.05", lambda o: q.share(life.fact_listing(o).filter("event_closed = 0"), c("seller_id").isNull(), 0.05, 0).withColumn("pct", c("pct").cast("double")))
 _OVER = f"p AS (SELECT DISTINCT x.class FROM spans x JOIN spans y ON x.class = y.class AND x.seller = y.seller AND x.listing_id < y.listing_id AND x.first_seen <= y.last_seen AND y.first_seen <= x.last_seen)"
 on(a.spans, "dq_slot_overlap", f"WITH {S}, {_OVER}, t AS (SELECT (SELECT count(*) FROM p) AS bad, (SELECT count(DISTINCT class) FROM spans) AS n) SELECT * FROM t WHERE bad > 0.01 * n", lambda d: m.overlapping_pairs(d, ["class", "seller"], "listing_id", "first_seen", "last_seen").select("class", F.lit(1).alias("bad")).distinct().join(d.select("class").distinct(), "class", "right").agg(F.count("bad").alias("bad"), F.count("*").alias("n")).filter("bad > 0.01 * n"))
-on(a.observations, "dq_runner", f"WITH {O} SELECT 'not_null' AS \"check\", count(*) FILTER (WHERE price IS NULL) AS n_violations, count(*) FILTER (WHERE price IS NULL) = 0 AS passed FROM obs UNION ALL SELECT 'unique', 0, true", lambda o: q.run_checks({"not_null": q.not_null(o, "price"), "unique": q.unique(o, "obs_id")}))
+on(
+    a.observations,
+    "dq_runner",
+    f"""WITH {O} SELECT 'not_null' AS "check", count(*) FILTER (WHERE price IS NULL) AS n_violations, count(*) FILTER (WHERE price IS NULL) = 0 AS passed, false AS failed FROM obs
+    UNION ALL SELECT 'unique', 0, true, false
+    UNION ALL SELECT 'accepted', count(DISTINCT kind), count(*) = 0, false FROM obs WHERE kind NOT IN ('view', 'click')
+    UNION ALL SELECT 'built_wrongly', NULL, false, true UNION ALL SELECT 'fails_as_it_runs', NULL, false, true""",
+    lambda o: q.run_checks({
+        "not_null": q.not_null(o, "price"), "unique": q.unique(o, "obs_id"), "accepted": lambda: q.accepted(o, "kind", ["view", "click"]),
+        "built_wrongly": lambda: q.not_null(o, "no_such_column"), "fails_as_it_runs": o.filter(F.raise_error(F.lit("broken")).cast("string").isNotNull()),
+    }, o.sparkSession).select("check", "n_violations", "passed", c("error").isNotNull().alias("failed")),
+)

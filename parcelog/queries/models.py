@@ -90,7 +90,7 @@ def materialize_layer(spark, sf_dir):
 
 def _registry(spark, sf_dir):
     path = scratch_path(spark, "registry")
-    table(spark, sf_dir, "part").select(F.floor("p_retailprice").alias("price"), F.lit(77).alias("id_region"), F.lit(55.5).alias("geo_lat"), F.lit(37.5).alias("geo_lon"), c("p_size").alias("level"), F.lit(60).alias("levels"), F.lit(-1).alias("rooms"), F.lit(30).alias("area"), F.lit(2).alias("object_type"), F.lit(3).alias("building_type")).write.csv(f"{path}/deep/er", header=True, sep=";")
+    table(spark, sf_dir, "part").select(F.floor("p_retailprice").alias("price"), F.lit(77).alias("id_region"), F.lit(55.5).alias("geo_lat"), F.lit(37.5).alias("geo_lon"), c("p_size").alias("level"), F.lit(60).alias("levels"), F.lit(-1).alias("rooms"), F.lit(30).alias("area"), F.lit(2).alias("object_type"), F.lit(3).alias("building_type")).coalesce(1).write.csv(f"{path}/deep/er", header=True, sep=";")
     return files.scan_registry(spark, "flats_b", path, "price long, id_region int, geo_lat double, geo_lon double, level int, levels int, rooms int, area double, object_type int, building_type int").select("price", c("floor").cast("int"), "city", "building_type")
 
 
@@ -109,7 +109,7 @@ def transform_plugins(spark, sf_dir):
         flats.register("flats_own", "\t", _plugin)
     path = scratch_path(spark, "plugin")
     own = table(spark, sf_dir, "part")
-    own.select(c("p_size").alias("thousands"), F.when(c("p_partkey") % 3 == 1, "one").when(c("p_partkey") % 3 == 2, "two").otherwise("many").alias("size"), c("p_brand").alias("town")).write.csv(path, header=True, sep="\t")
+    own.select(c("p_size").alias("thousands"), F.when(c("p_partkey") % 3 == 1, "one").when(c("p_partkey") % 3 == 2, "two").otherwise("many").alias("size"), c("p_brand").alias("town")).coalesce(1).write.csv(path, header=True, sep="\t")
     return files.scan_registry(spark, "flats_own", path, "thousands long, size string, town string").select("price", c("rooms").cast("int"), "city")
 
 
@@ -121,14 +121,22 @@ def scan_json_docs(spark, sf_dir):
     return files.scan_json_docs(spark, path, "s_name string", "*.txt")[0]
 
 
-@query("SELECT n_name AS name, 4 AS points FROM nation")
+@query("SELECT s_name AS name, CASE s_suppkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 3 END AS rings, 4 AS points FROM supplier")
 def scan_geojson(spark, sf_dir):
+    """Plain areas, areas with a hole, and areas of two parts of which one has a hole; a feature a line."""
     path = scratch_path(spark, "polygons")
-    x = c("n_nationkey").cast("double")
-    ring = F.array(*[F.array(x + dx, F.lit(dy)) for dx, dy in ((0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0))])
-    feature = F.struct(F.struct(c("n_name").alias("name")).alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
-    table(spark, sf_dir, "nation").select(F.array(feature).alias("features")).repartition("features").write.option("maxRecordsPerFile", 1).json(path)
-    return files.scan_geojson(spark, path).select("name", F.size("ring").alias("points"))
+    x = c("s_suppkey").cast("double")
+
+    def square(at: float, size: float):
+        return F.array(*[F.array(x + at + dx * size, F.lit(at + dy * size)) for dx, dy in ((0, 0), (1, 0), (1, 1), (0, 1))])
+
+    whole, hole, far = square(0.0, 1.0), square(0.25, 0.5), square(5.0, 1.0)
+    geometry = F.when(c("s_suppkey") % 3 == 0, F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(whole).alias("coordinates"))))
+    geometry = geometry.when(c("s_suppkey") % 3 == 1, F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(whole, hole).alias("coordinates"))))
+    geometry = geometry.otherwise(F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), F.array(F.array(whole, hole), F.array(far)).alias("coordinates"))))
+    text = F.concat(F.lit('{"features":[{"properties":{"name":"'), "s_name", F.lit('"},"geometry":'), geometry, F.lit("}]}"))
+    table(spark, sf_dir, "supplier").select(text.alias("value")).write.text(path)
+    return files.scan_geojson(spark, path, lines=True).select("name", F.size("rings").alias("rings"), F.size("ring").alias("points"))
 
 
 def flat_inputs(spark, sf_dir):

@@ -34,15 +34,51 @@ scalar("macro_surrogate_key", "part", "p_partkey", {"a": "p_brand", "b": "nullif
 scalar("synthetic_url", "part", "p_partkey", {"a": "p_name", "b": "p_size"}, lambda: {"url": t.content_url("flats://", c("a"), c("b"))}, {"url": "'flats://' || md5(a || '|' || cast(b as varchar))"})
 orders("parse_price_digits", {"a": "case when o_orderkey % 9 = 0 then 'no price' when o_orderkey % 10 = 0 then null else 'от ' || cast(cast(floor(o_totalprice) as bigint) as string) || ' 000 руб.' end"}, lambda: {"price": t.price_digits(c("a"))}, {"price": "try_cast(nullif(regexp_replace(a, '[^0-9]', '', 'g'), '') as bigint)"})
 orders("parse_decimal_text", {"a": "case when o_orderkey % 9 = 0 then 'none' when o_orderkey % 5 = 0 then null else 'area ' || cast(o_orderkey % 300 as string) || ',5 m2' end"}, lambda: {"area": t.decimal_number(c("a"))}, {"area": "try_cast(replace(nullif(regexp_extract(a, '([0-9]+(?:[.,][0-9]+)?)', 1), ''), ',', '.') as double)"})
-_floors = {"a": "case when o_orderkey % 7 = 0 then cast(o_orderkey % 30 as string) || ' из 30' when o_orderkey % 7 = 1 then 'ground' when o_orderkey % 7 = 2 then cast(o_orderkey % 9 as string) else cast(o_orderkey % 20 as string) || '/25' end"}
-orders("parse_floor_pair", _floors, lambda: dict(zip(("floor", "floors"), t.floor_pair(c("a")), strict=True)), {k: f"try_cast(nullif(regexp_extract(a, '^\\s*([0-9]+)(?:\\s*(?:/|из)\\s*([0-9]+))?', {i}), '') as int)" for i, k in ((1, "floor"), (2, "floors"))})
-orders("parse_rooms_title", {"a": "case o_orderkey % 4 when 0 then 'Студия, 25 м²' when 1 then cast(o_orderkey % 6 as string) || '-комн. квартира' when 2 then 'house' end"}, lambda: {"rooms": t.rooms_of_title(c("a"))}, {"rooms": "case when lower(a) like '%студия%' then 0 else try_cast(nullif(regexp_extract(lower(a), '([0-9]+)-комн', 1), '') as int) end"})
+_floors = {
+    "a": """case o_orderkey % 7 when 0 then cast(o_orderkey % 30 as string) || ' из 30' when 1 then 'ground' when 2 then cast(o_orderkey % 9 as string)
+      when 3 then 'этаж ' || cast(o_orderkey % 20 as string) || ' из 25, лифт' when 4 then 'этаж ' || cast(o_orderkey % 20 as string) when 5 then '' end"""
+}
+orders(
+    "parse_floor_pair",
+    _floors,
+    lambda: dict(zip(("floor", "floors"), t.floor_pair(c("a")), strict=True)),
+    {
+        "floor": "case o_orderkey % 7 when 0 then o_orderkey % 30 when 2 then o_orderkey % 9 when 3 then o_orderkey % 20 when 4 then o_orderkey % 20 end::int",
+        "floors": "case o_orderkey % 7 when 0 then 30 when 3 then 25 end",
+    },
+)
+orders(
+    "parse_rooms_title",
+    {"a": """case o_orderkey % 6 when 0 then 'Студия, 25 м²' when 1 then cast(o_orderkey % 6 as string) || '-комн. квартира' when 2 then 'house'
+      when 3 then 'Продажа студии' when 4 then cast(o_orderkey % 5 as string) || ' комн. квартира' end"""},
+    lambda: {"rooms": t.rooms_of_title(c("a"))},
+    {"rooms": "case o_orderkey % 6 when 0 then 0 when 1 then 1 when 3 then 0 when 4 then o_orderkey % 5 end::int"},
+)
 orders("parse_year", {"a": "case when o_orderkey % 6 = 0 then 'soon' else 'built ' || cast(o_orderdate as string) end"}, lambda: {"y": t.first_year(c("a"))}, {"y": "try_cast(nullif(regexp_extract(a, '([0-9]{4})', 1), '') as int)"})
 orders("extract_id_from_url", {"a": "'https://example.com/' || case o_orderkey % 3 when 0 then 'flat' else 'room' end || '/' || cast(o_orderkey as string) || '/?a=1'"}, lambda: {"id": t.id_of_url(c("a"))}, {"id": "try_cast(nullif(regexp_extract(a, '/flat/([0-9]+)', 1), '') as bigint)"})
 scalar("normalize_district", "nation", "n_nationkey", {"a": "case n_nationkey % 4 when 0 then 'р-н ' || n_name when 1 then n_name || ' район' when 2 then 'район ' || n_name else n_name end"}, lambda: {"district": t.district_name(c("a"))}, {"district": "trim(regexp_replace(regexp_replace(a, '^(?:р-н|район)\\s+', ''), '\\s+(?:р-н|район)$', ''))"})
-scalar("normalize_region", "nation", "n_nationkey", {"a": "case n_nationkey % 3 when 0 then n_name || ' область' when 1 then 'Край ' || n_name else n_name || ' -- x' end"}, lambda: {"key": t.region_key(c("a"), {"NATION_1 ": "one"})}, {"key": "regexp_replace(regexp_replace(trim(regexp_replace(lower(a), '(область|край)', '', 'g')), '[^a-zа-яё0-9]+', '_', 'g'), '^_+|_+$', '', 'g')"})
-orders("room_keys", {"a": "'room' || cast(o_orderkey % 10 as string) || '=1&room' || cast(o_orderkey % 7 as string) || '=1&x=2'"}, lambda: {"keys": F.array_join(t.room_keys(c("a")), ",")}, {"keys": "array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(a, 'room([0-9]+)=1', 1), lambda x: case when x = '9' then 'studio' when cast(x as int) >= 5 then '5+' else x end))), ',')"})
-orders("price_label", {"lo": "case when o_orderkey % 5 = 0 then null else (o_orderkey % 9) * 500000 end", "hi": "case when o_orderkey % 7 = 0 then null else (o_orderkey % 9 + 1) * 500000 end"}, lambda: {"label": t.price_label(c("lo"), c("hi"))}, {"label": " || '-' || ".join(f"case when {x} is null then '+' when {x} % 1000000 = 0 then cast({x} // 1000000 as varchar) || 'M' else cast({x} // 1000 as varchar) || 'K' end" for x in ("coalesce(lo, 0)", "hi"))})
+_REGION_NAMES = ["Москва", "Московская область", "Санкт-Петербург", "Ленинградская область", "Еврейская автономная область", "Ханты-Мансийский автономный округ - Югра", "Республика Татарстан", "Алтайский край", "Тульская область"]
+_REGION_KEYS = ["msk", "mo", "spb", "lo", "еврейская", "ханты_мансийский_югра", "татарстан", "алтайский", "тульская"]
+scalar(
+    "normalize_region", "customer", "c_custkey",
+    {"a": "case " + " ".join(f"when c_custkey % 10 = {i} then '{x}'" for i, x in enumerate(_REGION_NAMES)) + " else c_name end"},
+    lambda: {"key": t.region_key(c("a"))},
+    {"key": "case " + " ".join(f"when c_custkey % 10 = {i} then '{x}'" for i, x in enumerate(_REGION_KEYS)) + " else replace(replace(lower(a), '#', '_'), ' ', '_') end"},
+)
+orders(
+    "room_keys",
+    {"a": "'room' || cast(o_orderkey % 10 as string) || '=1&room' || cast(o_orderkey % 7 as string) || '=0&x=2'"},
+    lambda: {"keys": F.array_join(t.room_keys(c("a")), ",")},
+    {"keys": """case when o_orderkey % 10 = 9 then 'studio' when least(o_orderkey % 10, 5) = least(o_orderkey % 7, 5) then replace(cast(least(o_orderkey % 7, 5) as varchar), '5', '5+')
+      else replace(concat_ws(',', least(o_orderkey % 10, o_orderkey % 7, 5), least(greatest(o_orderkey % 10, o_orderkey % 7), 5)), '5', '5+') end"""},
+)
+_label = lambda x: f"case when {x} >= 1000000 then cast({x} // 1000000 as varchar) || case when {x} % 1000000 > 0 then '.5' else '' end || 'M' else cast({x} // 1000 as varchar) || 'K' end"
+orders(
+    "price_label",
+    {"lo": "case when o_orderkey % 5 = 0 then null else (o_orderkey % 9) * 500000 end", "hi": "case when o_orderkey % 7 = 0 then null else (o_orderkey % 9 + 1) * 500000 end"},
+    lambda: {"label": t.price_label(c("lo"), c("hi"))},
+    {"label": f"coalesce({_label('lo')}, '') || '-' || coalesce({_label('hi')}, '+')"},
+)
 orders(
     "parse_views",
     {"a": "case when o_orderkey % 8 = 0 then 'nobody' when o_orderkey % 8 = 1 then '7 просмотров' else '1\u00a0' || cast(100 + o_orderkey % 900 as string) || ' просмотров, 2 ' || cast(100 + o_orderkey % 50 as string) || ' за сегодня' end"},
@@ -62,9 +98,29 @@ orders("contains_flag", {"a": "case o_orderkey % 4 when 0 then null when 1 then
 scalar("strip_query", "pages", "page_id", {"a": "url"}, lambda: {"url": t.without_query(c("a"))}, {"url": "split_part(a, '?', 1)"})
 orders("make_link", {"a": "o_orderkey"}, lambda: {"link": F.format_string("https://example.com/flat/%d/", c("a"))}, {"link": "'https://example.com/flat/' || cast(a as varchar) || '/'"})
 scalar("extract_links", "pages", "page_id", {"a": "html"}, lambda: {"links": F.array_join(t.links(c("a"), 'href="([^"]+)"'), " ")}, {"links": "(select coalesce(string_agg(u, ' ' order by i), '') from (select u, min(i) as i from (select unnest(list_transform(regexp_extract_all(a, 'href=\"([^\"]+)\"', 1), lambda z: split_part(z, '?', 1))) as u, generate_subscripts(regexp_extract_all(a, 'href=\"([^\"]+)\"', 1), 1) as i) group by u))"})
-scalar("block_flags", "pages", "page_id", {"s": "case page_id % 11 when 0 then 403 when 1 then 429 else 200 end", "h": "case page_id % 5 when 0 then '<p>Captcha' || html when 1 then 'use no VPN' || html else html end"}, lambda: {"kind": t.page_class(c("s"), c("h"))}, {"kind": "case when s in (403, 429) or contains(lower(h[1:32768]), 'access denied') then 'waf' when contains(lower(h[1:32768]), 'captcha') then 'captcha' when contains(lower(h[1:32768]), 'vpn') then 'vpn' else 'ok' end"})
-_address = "case o_orderkey % 3 when 0 then 'Тула, Тульская область, р-н Мирный, улица Ленина, ' || cast(o_orderkey % 90 as string) || ', кв 5' when 1 then 'Москва, проспект Мира' else 'Московская область, Мытищи, район Север' end"
-orders("parse_address", {"a": _address}, lambda: t.address_parts(c("a")), {"city": "case o_orderkey % 3 when 0 then 'Тула' when 1 then 'Москва' else 'Мытищи' end", "region": "case o_orderkey % 3 when 0 then 'Тульская область' when 2 then 'Московская область' end", "district": "case o_orderkey % 3 when 0 then 'р-н Мирный' when 2 then 'район Север' end", "street": "case o_orderkey % 3 when 0 then 'улица Ленина' when 1 then 'проспект Мира' end", "house": "case o_orderkey % 3 when 0 then cast(o_orderkey % 90 as varchar) end"})
+scalar(
+    "block_flags", "pages", "page_id",
+    {
+        "s": "case page_id % 11 when 0 then 403 when 1 then 429 when 2 then 503 else 200 end",
+        "h": """case page_id % 7 when 0 then '<p>SmartCaptcha' || html when 1 then 'Похоже, у вас включен VPN' || html when 2 then html || ' site_WAF_block'
+          when 3 then 'Вы не робот?' || html when 4 then 'no vpn, no captcha here' else html end""",
+        "u": "case when page_id % 13 = 0 then url || '/showCaptcha' else url end",
+    },
+    lambda: {"kind": t.page_class(c("s"), c("h"), c("u"))},
+    {"kind": f"""case when page_id % 11 in (0, 1, 2) or (page_id % 7 = 2 and length(h) <= {t.HEAD}) then 'waf' when page_id % 13 = 0 or page_id % 7 in (0, 3) then 'captcha'
+      when page_id % 7 = 1 then 'vpn' else 'ok' end"""},
+)
+#: Lines of an address, o_orderkey standing for the house, and their parts.
+_ADDRESSES = (
+    ("Москва, ЦАО, р-н Арбат, Новинский бульвар, #", "Москва", "ЦАО", "р-н Арбат", "Новинский бульвар", "#"),
+    ("Тула, #, наб. Дрейера, #, 5", "Тула", None, None, "наб. Дрейера", "#"),
+    ("Москва, ЗАО, Район Раменки, Мосфильмовская, #", "Москва", "ЗАО", "Район Раменки", "Мосфильмовская", "#"),
+    ("Мытищи, улица Мира, проезд Труда", "Мытищи", None, None, "проезд Труда", None),
+    ("Москва, Арбат", "Москва", None, None, None, None),
+)
+_line = lambda x: "null" if x is None else "'" + x.replace("#", "' || cast(o_orderkey % 90 as varchar(9)) || '") + "'"
+_of_line = lambda k: "case " + " ".join(f"when o_orderkey % 6 = {i} then {_line(x[k])}" for i, x in enumerate(_ADDRESSES)) + " end"
+orders("parse_address", {"a": _of_line(0)}, lambda: t.address_parts(c("a")), dict(zip(("city", "region", "district", "street", "house_number"), map(_of_line, range(1, 6)), strict=True)))
 
 orders("days_between", {"a": "o_orderdate", "b": "timestamp '2000-01-01 12:00:00'"}, lambda: {"days": v.days_between(c("a"), c("b"))}, {"days": "date_diff('day', cast(a as date), cast(b as date))"})
 orders("month_trunc", {"a": "o_orderdate"}, lambda: {"m": v.month_of(c("a"))}, {"m": "cast(date_trunc('month', a) as date)"})

@@ -24,11 +24,35 @@ def log_stream(spark, sf_dir, parts: int = 1):
     return jobs.source(spark, path, 1), path
 
 
+def run_stream(spark, sf_dir, cuts: tuple[str, ...] = ("2024-01-11", "2024-01-21")):
+    """The sighting log as files of some days each, one after another, and a stream of a batch for each."""
+    path, own = scratch_path(spark, "log"), a.observations(spark, sf_dir).select("obs_id", "listing_id", "scraped_at", "price")
+    for low, high in zip((None, *cuts), (*cuts, None), strict=True):
+        after = c("scraped_at") >= F.lit(low).cast("timestamp_ntz") if low else F.lit(True)
+        until = c("scraped_at") < F.lit(high).cast("timestamp_ntz") if high else F.lit(True)
+        own.filter(after & until).repartition(1).write.mode("append").parquet(path)
+    return jobs.source(spark, path, 1)
+
+
 query(f"WITH {O} SELECT obs_id, listing_id, scraped_at, price FROM obs WHERE price IS NOT NULL", "stream_ingest")(lambda s, d: jobs.ingest(log_stream(s, d, 3)[0], scratch_path(s, "ingest")))
 query(f"WITH {O} SELECT DISTINCT listing_id FROM obs", "stream_dedupe")(lambda s, d: jobs.dedupe(log_stream(s, d, 3)[0].withColumn("scraped_at", c("scraped_at").cast("timestamp")), ["listing_id"], "scraped_at", scratch_path(s, "dedupe")).select("listing_id"))
-query(f"WITH {O} SELECT DISTINCT listing_id, cast(scraped_at AS date) AS d FROM obs", "stream_presence")(lambda s, d: jobs.presence(log_stream(s, d, 3)[0], scratch_path(s, "presence")))
+#: Outcomes by going through each listing's sightings one after another; a run is a day.
+_STATES = f"""WITH RECURSIVE {O},
+o AS (SELECT *, cast(scraped_at AS date) AS run, row_number() OVER (PARTITION BY listing_id ORDER BY scraped_at, obs_id) AS rn FROM obs),
+s AS (
+  SELECT listing_id, obs_id, rn, run, price, price AS known, true AS fresh, false AS repriced, 'new' AS outcome FROM o WHERE rn = 1
+  UNION ALL
+  SELECT listing_id, obs_id, rn, run, price, CASE WHEN hit THEN price ELSE known END, fresh, hit OR before, CASE WHEN fresh THEN 'dup' WHEN hit THEN 'repriced' ELSE 'known' END
+  FROM (SELECT *, NOT fresh AND NOT before AND coalesce(price, 0) <> 0 AND price IS DISTINCT FROM known AS hit
+    FROM (SELECT o.listing_id, o.obs_id, o.rn, o.run, o.price, s.known, s.fresh AND s.run = o.run AS fresh, s.repriced AND s.run = o.run AS before
+      FROM s JOIN o ON o.listing_id = s.listing_id AND o.rn = s.rn + 1)))"""
+query(
+    f"""{_STATES} SELECT listing_id, run AS d, coalesce(arg_max(nullif(price, 0), rn) FILTER (WHERE coalesce(price, 0) <> 0), max(known)) AS price
+    FROM s GROUP BY 1, 2 HAVING bool_and(outcome = 'known') AND coalesce(max(nullif(price, 0)), max(known)) IS NOT NULL""",
+    "stream_presence",
+)(lambda s, d: jobs.presence(run_stream(s, d), scratch_path(s, "presence")))
 query(f"WITH {O} SELECT start, count(*) AS n FROM (SELECT unnest(list_transform(range(0, 12), lambda i: to_timestamp(floor(epoch(scraped_at) / 5) * 5 - i * 5)::timestamp)) AS start FROM obs) GROUP BY 1", "stream_rate")(lambda s, d: jobs.rate(log_stream(s, d, 2)[0].withColumn("scraped_at", c("scraped_at").cast("timestamp")), "scraped_at", scratch_path(s, "rate")).select(c("start").cast("timestamp_ntz").alias("start"), "n"))
-query(f"WITH {O}, p AS (SELECT *, lag(price) OVER (PARTITION BY listing_id ORDER BY scraped_at, obs_id) AS before, row_number() OVER (PARTITION BY listing_id ORDER BY scraped_at, obs_id) AS rn FROM obs WHERE price IS NOT NULL) SELECT obs_id, CASE WHEN rn = 1 THEN 'new' WHEN before = price THEN 'known' ELSE 'repriced' END AS outcome FROM p UNION ALL SELECT obs_id, 'no_price' FROM obs WHERE price IS NULL", "stream_card_state")(lambda s, d: jobs.card_states(log_stream(s, d)[0], scratch_path(s, "states")).select("obs_id", "outcome"))
+query(f"{_STATES} SELECT obs_id, outcome FROM s", "stream_card_state")(lambda s, d: jobs.card_states(run_stream(s, d), scratch_path(s, "states")).select("obs_id", "outcome"))
 
 
 @query(f"WITH {O} SELECT obs_id FROM obs WHERE price IS NOT NULL")

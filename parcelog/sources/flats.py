@@ -13,12 +13,49 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from parcelog.functions.text import content_url, decimal_number, floor_pair, price_digits, rooms_of_title
+from parcelog.functions.text import content_url, decimal_number, floor_pair, price_digits, rooms_of_title, slash_pair
 from parcelog.functions.values import mapped
 
 #: Target columns and types (fixed values).
-SCHEMA = "url string, source string, price long, price_per_m2 long, discount_pct short, deal_conditions string, city string, region string, district string, street string, house_number string, lat float, lon float, metro_stations string, transport_score float, rooms short, total_area float, living_area float, kitchen_area float, floor short, total_floors short, ceiling_height float, renovation string, bathrooms string, balcony string, window_view string, is_apartments boolean, year_built short, building_type string, parking string, elevators string, is_new_building boolean, developer string, residential_complex string, completion_date string, description string, publication_date string"
-COLUMNS = dict(x.split() for x in SCHEMA.split(", "))
+COLUMNS = {
+    "url": "string",
+    "source": "string",
+    "price": "long",
+    "price_per_m2": "long",
+    "discount_pct": "short",
+    "deal_conditions": "string",
+    "city": "string",
+    "region": "string",
+    "district": "string",
+    "street": "string",
+    "house_number": "string",
+    "lat": "float",
+    "lon": "float",
+    "metro_stations": "string",
+    "transport_score": "float",
+    "rooms": "short",
+    "total_area": "float",
+    "living_area": "float",
+    "kitchen_area": "float",
+    "floor": "short",
+    "total_floors": "short",
+    "ceiling_height": "float",
+    "renovation": "string",
+    "bathrooms": "string",
+    "balcony": "string",
+    "window_view": "string",
+    "is_apartments": "boolean",
+    "year_built": "short",
+    "building_type": "string",
+    "parking": "string",
+    "elevators": "string",
+    "is_new_building": "boolean",
+    "developer": "string",
+    "residential_complex": "string",
+    "completion_date": "string",
+    "description": "string",
+    "publication_date": "string",
+}
 #: Codes and labels of the sources (fixed values).
 BUILDING_TYPES = {1: "Панельный", 2: "Монолитный", 3: "Кирпичный", 4: "Блочный", 5: "Деревянный"}
 MATERIALS = {"Монолит": "Монолитный", "Панель": "Панельный", "Кирпич": "Кирпичный", "Блоки": "Блочный", "Дерево": "Деревянный"}
@@ -64,7 +101,7 @@ def flats_d(df: DataFrame) -> DataFrame:
 
 
 def flats_e(df: DataFrame) -> DataFrame:
-    floor, floors = floor_pair(c("level"))
+    floor, floors = slash_pair(c("level"))
     material = F.coalesce(mapped(c("material"), MATERIALS), F.nullif(c("material"), F.lit("0")))
     return _named(df.filter((c("city") == CITY) & (c("price") > 0)), "flats_e", {"price": c("price"), "city": F.lit(CITY), "floor": floor, "total_floors": floors, "total_area": c("area"), "building_type": material, "price_per_m2": c("price_by_meter").try_cast("double"), "lon": c("longitude"), "lat": c("latitude"), "publication_date": c("published"), "year_built": F.nullif(c("build_year").try_cast("int"), F.lit(0)), "is_new_building": F.coalesce(c("object_type") == "Новостройка", F.lit(False))})
 
@@ -77,23 +114,41 @@ def flats_f(df: DataFrame) -> DataFrame:
 
 def flats_g(df: DataFrame) -> DataFrame:
     """Nested documents: maps of labelled details, an address line and stations."""
-    from parcelog.functions.text import address_parts
+    from parcelog.functions.text import address
 
     detail = lambda k: F.try_element_at(F.coalesce(F.map_concat("offer_summary", "offer_details"), c("offer_summary"), c("offer_details")), F.lit(k))
-    address = address_parts(c("address"))
+    df = df.withColumn("address_", address(c("address")))  # folded once
     floor, floors = floor_pair(detail("Этаж"))
-    return _named(df, "flats_g", {"url": F.concat(F.lit("flats_g_"), "doc_id"), "price": price_digits(c("price")), "rooms": rooms_of_title(c("title")), "total_area": decimal_number(detail("Общая площадь")), "living_area": decimal_number(detail("Жилая площадь")), "kitchen_area": decimal_number(detail("Площадь кухни")), "floor": floor, "total_floors": floors, "year_built": decimal_number(detail("Год постройки")), "renovation": detail("Ремонт"), "city": address["city"], "region": address["region"], "district": address["district"], "street": address["street"], "house_number": address["house"], "description": c("description"), "metro_stations": F.to_json(F.transform(F.filter("nearest_stations", lambda s: s["station_name"].isNotNull()), lambda s: F.array(s["station_name"], s["station_time"])))})
-
-
-#: Transforms by name: the extension point for new sources.
-REGISTRY: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {"flats_a": (",", _coded("flats_a", "region", 81, 3)), "flats_b": (";", _coded("flats_b", "id_region", 77, 50)), "flats_c": (",", flats_c), "flats_d": (",", flats_d), "flats_e": (",", flats_e), "flats_f": (",", flats_f), "flats_g": ("", flats_g)}
-
-
-def register(name: str, sep: str, transform: Callable[[DataFrame], DataFrame]) -> None:
-    """Add a source: its files' separator and its transform to the target schema. A known name is an error."""
+    return _named(df, "flats_g", {"url": F.concat(F.lit("flats_g_"), "doc_id"), "price": price_digits(c("price")), "rooms": rooms_of_title(c("title")), "total_area": decimal_number(detail("Общая площадь")), "living_area": decimal_number(detail("Жилая площадь")), "kitchen_area": decimal_number(detail("Площадь кухни")), "floor": floor, "total_floors": floors, "year_built": decimal_number(detail("Год постройки")), "renovation": detail("Ремонт"), **{k: c(f"address_.{k}") for k in ("city", "region", "district", "street", "house_number")}, "description": c("description"), "metro_stations": F.to_json(F.transform(F.filter("nearest_stations", lambda s: s["station_name"].isNotNull()), lambda s: F.array(s["station_name"], s["station_time"])))})
+
+
+#: Separators and transforms by name: the extension point for new sources.
+REGISTRY: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
+    "flats_a": (",", _coded("flats_a", "region", 81, 3)),
+    "flats_b": (";", _coded("flats_b", "id_region", 77, 50)),
+    "flats_c": (",", flats_c),
+    "flats_d": (",", flats_d),
+    "flats_e": (",", flats_e),
+    "flats_f": (",", flats_f),
+    "flats_g": ("", flats_g),
+}
+#: The file of each source that comes as one, below the folder that it was downloaded to.
+FILES: dict[str, str] = {
+    "flats_a": "all_v2.csv",
+    "flats_b": "input_data.csv",
+    "flats_c": "moscow_dataset.csv",
+    "flats_d": "moscow_flats_dataset.csv",
+    "flats_e": "selling_apartments.csv",
+}
+
+
+def register(name: str, sep: str, transform: Callable[[DataFrame], DataFrame], file: str | None = None) -> None:
+    """Add a source: its files' separator, its transform to the target schema and its file's name. A known name is an error."""
     if name in REGISTRY:
         raise ValueError(f"{name} is registered already")
     REGISTRY[name] = (sep, transform)
+    if file:
+        FILES[name] = file
 
 
 def union_all(tables: list[DataFrame]) -> DataFrame:

@@ -44,8 +44,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Let tasks hand texts to Python few at a time: whole texts can be long, and a batch lies in memory several times."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key, "10000")) <= rows:
-        spark.conf.set(key, str(rows))
+def small_batches(spark: SparkSession, rows: int = 512, size: int | None = None) -> None:
+    """Let tasks hand texts to Python few at a time: whole texts can be long, and a batch lies in memory several times.
+    ``size`` bounds a batch in bytes, too, for rows that are megabytes each."""
+    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": (rows, "10000"), "spark.sql.execution.arrow.maxBytesPerBatch": (size, str((1 << 31) - 1))}
+    for key, (most, default) in limits.items():
+        if most and not 0 < int(spark.conf.get(key, default).removesuffix("b")) <= most:
+            spark.conf.set(key, str(most))

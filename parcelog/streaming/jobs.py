@@ -1,18 +1,25 @@
 """Structured Streaming twins of the incremental jobs on the sighting log.
 
 All take a streaming frame and a folder for checkpoint and sink, run over what is there
-and stop; started again with the same folder they go on where they stopped.
+and stop; started again with the same folder they go on where they stopped. A batch that
+is repeated after a failure leaves the rows as they were: file sinks know which batches
+they hold, other batches are written under their number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import astuple, dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from parcelog.sources import files
+
 OUTCOMES = "listing_id long, obs_id long, scraped_at timestamp, price long, outcome string"
+HEARTBEATS = "listing_id long, d date, price long"
+CARD_STATE = "price long, run long, fresh boolean, repriced boolean, touched boolean, day long, seen long"
 
 
 def source(spark: SparkSession, path: str, per_trigger: int | None = None) -> DataFrame:
@@ -25,33 +32,29 @@ def _run(writer, folder: str) -> None:
     writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
 
 
-def ingest(stream: DataFrame, folder: str) -> DataFrame:
-    """Append sightings with a price to the sink."""
-    _run(stream.filter("price is not null").writeStream.format("parquet").option("path", f"{folder}/sink").outputMode("append"), folder)
-    return stream.sparkSession.read.parquet(f"{folder}/sink")
+def _to_files(stream: DataFrame, folder: str, schema: str | None = None) -> DataFrame:
+    """The stream's rows in Parquet files, whose log makes each batch count once."""
+    _run(stream.writeStream.format("parquet").option("path", f"{folder}/sink").outputMode("append"), folder)
+    reader = stream.sparkSession.read
+    return (reader.schema(schema) if schema else reader).parquet(f"{folder}/sink")
 
 
-def dedupe(stream: DataFrame, keys: list[str], time: str, folder: str, delay: str = "60 days") -> DataFrame:
-    """The first sighting of each key within the watermark's delay; state older than that is dropped."""
-    first = stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
-    _run(first.writeStream.format("parquet").option("path", f"{folder}/sink").outputMode("append"), folder)
-    return stream.sparkSession.read.parquet(f"{folder}/sink")
+def ingest(stream: DataFrame, folder: str) -> DataFrame:
+    """Append sightings with a price to the sink."""
+    return _to_files(stream.filter("price is not null"), folder)
 
 
-def presence(stream: DataFrame, folder: str) -> DataFrame:
-    """At most one heartbeat a listing and day. A batch meets only the sink's rows of its own days; repeated, it adds nothing."""
-    sink, schema, keys = f"{folder}/sink", "listing_id long, d date", ["listing_id", "d"]
-    spark = stream.sparkSession
-    read = lambda: spark.read.schema(schema).option("basePath", sink).parquet(f"{sink}/batch=*")
+def ingest_new(stream: DataFrame, keys: list[str], folder: str) -> DataFrame:
+    """Append rows whose keys no other batch has brought, each once; without any state. A batch meets the other batches only,
+    so repeated it adds and loses nothing."""
+    sink = f"{folder}/sink"
+    _run(stream.writeStream.foreachBatch(lambda batch, i: files.append_batch(batch, sink, i, keys)), folder)
+    return files.batches(stream.sparkSession, sink, stream.schema)
 
-    def add(batch: DataFrame, batch_id: int) -> None:
-        own = batch.distinct()
-        days = [r["d"] for r in own.select("d").distinct().collect()]  # the days of one batch
-        done = read().filter(F.col("d").isin(days)).select(*keys) if batch_id else spark.createDataFrame([], schema)
-        own.join(done, keys, "left_anti").write.mode("overwrite").partitionBy("d").parquet(f"{sink}/batch={batch_id}")
 
-    _run(stream.select("listing_id", F.to_date("scraped_at").alias("d")).writeStream.foreachBatch(add), folder)
-    return read().select(*keys)
+def dedupe(stream: DataFrame, keys: list[str], time: str, folder: str, delay: str = "60 days") -> DataFrame:
+    """The first sighting of each key within the watermark's delay; state older than that is dropped."""
+    return _to_files(stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys), folder)
 
 
 def rate(stream: DataFrame, time: str, folder: str, span: str = "60 seconds", step: str = "5 seconds", delay: str = "60 days") -> DataFrame:
@@ -59,29 +62,103 @@ def rate(stream: DataFrame, time: str, folder: str, span: str = "60 seconds", st
     than the watermark's delay leave the state."""
     sink = f"{folder}/sink"
     counted = stream.withWatermark(time, delay).groupBy(F.window(time, span, step).alias("w")).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), "n")
-    _run(counted.writeStream.outputMode("update").foreachBatch(lambda batch, i: batch.write.mode("overwrite").parquet(f"{sink}/batch={i}")), folder)
-    written = stream.sparkSession.read.schema("start timestamp, n long, batch long").option("basePath", sink).parquet(f"{sink}/batch=*")
+    _run(counted.writeStream.outputMode("update").foreachBatch(lambda batch, i: files.append_batch(batch, sink, i)), folder)
+    written = files.batches(stream.sparkSession, sink, "start timestamp, n long", number="batch")
     return written.groupBy("start").agg(F.max_by("n", "batch").alias("n"))
 
 
-def card_states(stream: DataFrame, folder: str) -> DataFrame:
-    """Each sighting as new, repriced or known against the listing's last price, kept as state; no price is no_price."""
-
-    def classify(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        known = state.get[0] if state.exists else None
-        rows = pd.concat(list(frames)).sort_values(["scraped_at", "obs_id"])
-        outcomes = []
-        for price in rows["price"]:
-            if pd.isna(price):
-                outcomes.append("no_price")
-                continue
-            outcomes.append("new" if known is None else "known" if known == price else "repriced")
-            known = int(price)
-        if known is not None:
-            state.update((known,))
-        yield rows.assign(outcome=outcomes)[["listing_id", "obs_id", "scraped_at", "price", "outcome"]]
-
-    own = stream.select("listing_id", "obs_id", F.col("scraped_at").cast("timestamp").alias("scraped_at"), "price")
-    stated = own.groupBy("listing_id").applyInPandasWithState(classify, OUTCOMES, "price long", "append", GroupStateTimeout.NoTimeout)
-    _run(stated.writeStream.format("parquet").option("path", f"{folder}/sink").outputMode("append"), folder)
-    return stream.sparkSession.read.schema(OUTCOMES).parquet(f"{folder}/sink")
+@dataclass
+class Card:
+    """What is known of a listing: the price that counts; of its last run, whether it was new in it, has been repriced or seen
+    as known; the last day with an observation; and the last sighting's time (seconds)."""
+
+    price: int | None = None
+    run: int | None = None
+    fresh: bool = False
+    repriced: bool = False
+    touched: bool = False
+    day: int | None = None
+    seen: int = 0
+
+    def see(self, run: int, day: int, price: int | None) -> str:
+        """new, or dup where that was in this run; else repriced, once a run, if there is a price and another one than known; else known."""
+        if self.run is None:
+            self.price, self.run, self.fresh, self.day = price, run, True, day
+            return "new"
+        if run != self.run:
+            self.run, self.fresh, self.repriced, self.touched = run, False, False, False
+        if self.fresh:
+            return "dup"
+        self.touched = True
+        if price and price != self.price and not self.repriced:
+            self.price, self.repriced, self.day = price, True, max(self.day, day)
+            return "repriced"
+        return "known"
+
+    def heartbeat(self, day: int, price: int | None) -> int | None:
+        """The price of a heartbeat, at most one a day, for a listing that was seen as known and wasn't observed that day yet."""
+        price = price or self.price
+        if self.fresh or self.repriced or not self.touched or self.day >= day or price is None:
+            return None
+        self.day = day
+        return price
+
+
+def _own(stream: DataFrame, run: Column | None, delay: str) -> DataFrame:
+    """Sightings with their run (by default their day), as days since 1970 or any other whole number."""
+    time = F.col("scraped_at").cast("timestamp")
+    day = F.unix_date(F.to_date("scraped_at")).cast("long")
+    own = stream.select("listing_id", "obs_id", time.alias("scraped_at"), F.col("price").cast("string").alias("price"), (day if run is None else run.cast("long")).alias("run"), day.alias("day"))
+    return own.withWatermark("scraped_at", delay)
+
+
+def _with_state(own: DataFrame, step, schema: str, idle_days: int) -> DataFrame:
+    """``step`` over each listing's sightings in order with its card, which leaves the state when it has been idle for long."""
+
+    def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        card = Card(*state.get) if state.exists else Card()
+        rows = pd.concat(list(frames)).sort_values(["scraped_at", "obs_id"], kind="stable")
+        yield step(card, rows)
+        card.seen = max(card.seen, int(rows["scraped_at"].iloc[-1].timestamp()))
+        state.update(astuple(card))
+        state.setTimeoutTimestamp(max((card.seen + idle_days * 86_400) * 1000, state.getCurrentWatermarkMs() + 1))
+
+    return own.groupBy("listing_id").applyInPandasWithState(update, schema, CARD_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def _prices(rows: pd.DataFrame) -> list[int | None]:
+    return [None if p is None or p != p else int(p) for p in rows["price"]]
+
+
+def card_states(stream: DataFrame, folder: str, run: Column | None = None, delay: str = "60 days", idle_days: int = 180) -> DataFrame:
+    """Each sighting as new, dup, repriced or known, with the listing's card as state. A run is a day unless told otherwise;
+    sightings older than the watermark's delay are dropped, and listings idle for ``idle_days`` leave the state and are new again."""
+
+    def classify(card: Card, rows: pd.DataFrame) -> pd.DataFrame:
+        prices = _prices(rows)
+        outcomes = [card.see(int(r), int(d), p) for r, d, p in zip(rows["run"], rows["day"], prices, strict=True)]
+        return rows.assign(outcome=outcomes, price=pd.array(prices, dtype="Int64"))[["listing_id", "obs_id", "scraped_at", "price", "outcome"]]
+
+    return _to_files(_with_state(_own(stream, run, delay), classify, OUTCOMES, idle_days), folder, OUTCOMES)
+
+
+def presence(stream: DataFrame, folder: str, run: Column | None = None, delay: str = "60 days", idle_days: int = 180) -> DataFrame:
+    """At most one heartbeat a listing and day, with the last price seen: for listings known before the run, not for those that
+    it has repriced, nor for those observed that day before, nor without any price. A run's sightings should come in one batch
+    (a heartbeat that was written stays if a later batch reprices the listing)."""
+
+    def beat(card: Card, rows: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for (r, d), own in rows.assign(price=pd.Series(_prices(rows), index=rows.index, dtype=object)).groupby(["run", "day"], sort=False):
+            for p in own["price"]:
+                card.see(int(r), int(d), p)
+            known = [p for p in own["price"] if p]
+            price = card.heartbeat(int(d), known[-1] if known else None)
+            if price is not None:
+                found.append((rows["listing_id"].iloc[0], pd.Timestamp(int(d), unit="D").date(), price))
+        return pd.DataFrame(found, columns=["listing_id", "d", "price"])
+
+    return _to_files(_with_state(_own(stream, run, delay), beat, HEARTBEATS, idle_days), folder, HEARTBEATS)
