@@ -95,6 +95,11 @@ def room_group(rooms: Column, is_studio: Column) -> Column:
     return F.when(is_studio, "studio").when(rooms.isNull(), "unknown").when(rooms >= 5, "5+").otherwise(rooms.cast("string"))
 
 
+def room_key(rooms: Column, is_studio: Column) -> Column:
+    """The key that price bands go by: studio, 5+ or the number of rooms; null where that isn't known."""
+    return F.when(is_studio, "studio").when(rooms >= 5, "5+").otherwise(rooms.cast("string"))
+
+
 def fractions(k: Column) -> Column:
     """i / k for i from 1 to k - 1; none for k of 1 or less."""
     return F.when(k > 1, F.transform(F.sequence(F.lit(1), k - 1), lambda i: i / k)).otherwise(F.array().cast("array<double>"))

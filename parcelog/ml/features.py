@@ -14,8 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from parcelog.functions.text import count_before, first_year
 from parcelog.functions.values import blank_to_null, flag, haversine_km, mapped, normalized_flag, number_or_null
 from parcelog.operators.matching import points_in_polygons
-from parcelog.operators.ranks import overall_quantiles
-from parcelog.operators.summaries import fill_from, fitted_medians, mode_of
+from parcelog.operators.summaries import fill_from, fitted_medians, modes_of
 from parcelog.storage import materialize
 
 #: Features and inputs by kind, centres of regions (degrees), and groups whose medians fill a column (fixed values).
@@ -128,13 +127,16 @@ class FittedFeatures:
 
 def fit(df: DataFrame, year: int, rings: DataFrame | None = None) -> FittedFeatures:
     """Learn medians, most frequent values and the reference year from training rows."""
-    own = cleaned(df, [], rings)
-    modes = {k: mode_of(own, k) or "unknown" for k in MODES}
-    overall = {k: (overall_quantiles(own, k, 0.5) or [None])[0] for k in ("rooms", "nearest_metro_time", "price_per_m2")}
+    needed = dict.fromkeys([*MODES, "rooms", "nearest_metro_time", "price_per_m2", *LEVELS, *[k for levels in LEVELS.values() for keys in levels for k in keys], *[k for keys in RATIOS.values() for k in keys]])
+    own = materialize(cleaned(df, [], rings).select(*needed), "cleaned")  # the one pass over the input
+    modes = {k: v or "unknown" for k, v in modes_of(own, list(MODES)).items()}
+    overall = {k: middle for k, (_, middle) in fitted_medians(own, {k: [] for k in ("rooms", "nearest_metro_time", "price_per_m2")}).items()}
     own = own.withColumn("rooms", F.coalesce("rooms", F.lit(overall["rooms"]).cast("double")))
+    levels = {**LEVELS, "price_per_m2": list(RATIOS.values())}
     medians = {}
-    for target, levels in LEVELS.items():
-        medians[target], overall[target] = fitted_medians(own, target, levels)
-    for name, keys in RATIOS.items():
-        medians[name] = [(keys, own.groupBy(*keys).agg(F.percentile("price_per_m2", F.lit(0.5)).alias("median_")))]
+    for target, (tables, middle) in fitted_medians(own, levels).items():
+        if target == "price_per_m2":
+            medians |= {name: [table] for name, table in zip(RATIOS, tables, strict=True)}
+        else:
+            medians[target], overall[target] = tables, middle
     return FittedFeatures(year, modes, overall, medians, rings)

@@ -55,9 +55,11 @@ def target_encode(df: DataFrame, column: str, target: str, key: str, folds: int
     """
     own = df.withColumn("fold_", F.floor(hash_share(key) * folds).cast("int"))
     cells = own.groupBy(column, "fold_").agg(F.sum(target).cast("double").alias("s"), F.count(target).alias("m"))
-    every, fold = Window.partitionBy(column), Window.partitionBy("fold_")
-    whole = Window.partitionBy(F.lit(1))
-    cells = cells.withColumns({"s_": F.sum("s").over(every) - F.col("s"), "m_": F.sum("m").over(every) - F.col("m"), "p_": (F.sum("s").over(whole) - F.sum("s").over(fold)) / (F.sum("m").over(whole) - F.sum("m").over(fold))})
+    every = Window.partitionBy(column)  # a row for each fold
+    by_fold = cells.groupBy("fold_").agg(F.sum("s").alias("fs_"), F.sum("m").alias("fm_"))
+    whole = Window.partitionBy(F.lit(1))  # over the folds
+    rest = by_fold.select("fold_", ((F.sum("fs_").over(whole) - F.col("fs_")) / (F.sum("fm_").over(whole) - F.col("fm_"))).alias("p_"))
+    cells = cells.withColumns({"s_": F.sum("s").over(every) - F.col("s"), "m_": F.sum("m").over(every) - F.col("m")}).join(F.broadcast(rest), "fold_")
     encoded = cells.select(column, "fold_", ((F.col("s_") + smooth * F.col("p_")) / (F.col("m_") + smooth)).alias("encoded"))
     return own.join(encoded, [column, "fold_"]).drop("fold_")
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DataType, TimestampType
 
 from parcelog.storage import materialize
 
@@ -21,31 +24,55 @@ def ranked(df: DataFrame, *order: Column | str, name: str = "rank") -> DataFrame
     return own.withColumn("place_", place).join(F.broadcast(starts), "range_").select(*df.columns, (F.col("before_") + F.col("place_")).alias(name))
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, at: dict[str, float]) -> DataFrame:
-    """Interpolated quantiles of each group's values, by name, whatever a group's size; nulls don't count, groups of nulls only are absent.
+@dataclass(frozen=True)
+class Quantiles:
+    """Interpolated quantiles ``at`` (name to share) of ``value`` within groups of ``keys``."""
+
+    keys: tuple[str, ...]
+    value: str
+    at: dict[str, float]
+
+
+def quantile_tables(df: DataFrame, wanted: list[Quantiles]) -> list[DataFrame]:
+    """For each of several exact quantiles a table of keys, quantiles by name and ``n``, the number of values.
 
-    Values are counted, counts dealt into ranges and summed by range: a window sees one range of one group.
+    All in one pass: each row is counted once for each (table, group, value), with partial counts before the shuffle, and the
+    counts are summed up over ranges, so groups of any size and any number of tables do. Nulls don't count; groups of nulls only
+    are absent; keys of a group come back from their text, so they are numbers, texts, dates or flags.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("value_")).agg(F.count("*").alias("n_"))
-    own = _in_ranges(counted, *keys, "value_")
-    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))  # a row for each group and range
-    sums = own.groupBy(*keys, "range_").agg(F.sum("n_").alias("m_"))
-    sums = sums.select(*keys, "range_", (F.sum("m_").over(group.orderBy("range_")) - F.col("m_")).alias("before_"), F.sum("m_").over(group).alias("all_"))
-    same = F.col("range_") == F.col("other_")
-    renamed = sums.withColumnsRenamed({"range_": "other_", **{k: f"{k}_" for k in keys}})
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"{k}_"))
-    upto = F.sum("n_").over(Window.partitionBy(*keys, "range_").orderBy("value_"))
-    upto = own.withColumn("upto_", upto).join(renamed, same).withColumn("upto_", F.col("upto_") + F.col("before_"))
-    least = lambda place: F.min(F.when(F.col("upto_") > place, F.col("value_")))
-    ends = []
-    for k, p in at.items():
-        place = F.lit(p) * (F.col("all_") - 1)
-        ends += [least(F.floor(place)).alias(f"lo_{k}"), least(F.ceil(place)).alias(f"hi_{k}"), F.max(place - F.floor(place)).alias(f"part_{k}")]
-    found = upto.select(*keys, "value_", "upto_", "all_").groupBy(*keys).agg(*ends)
-    if not keys:  # a table without values has no row
-        found = found.filter(F.col(f"lo_{next(iter(at))}").isNotNull())
-    return found.select(*keys, *[(F.col(f"lo_{k}") + (F.col(f"hi_{k}") - F.col(f"lo_{k}")) * F.col(f"part_{k}")).cast("double").alias(k) for k in at])
+    types = {f.name: f.dataType for f in df.schema.fields}
+    rows = []
+    for i, w in enumerate(wanted):
+        group = F.array(*[F.col(k).cast("string") for k in w.keys]).cast("array<string>")
+        rows.append(F.struct(F.lit(i).alias("of_"), group.alias("group_"), F.col(w.value).cast("double").alias("value_")))
+    long = df.select(F.explode(F.array(*rows)).alias("row_")).select("row_.*").filter("value_ is not null")
+    counted = long.groupBy("of_", "group_", "value_").agg(F.count("*").alias("n_"))
+    upto = running(counted, ["of_", "group_"], ["value_"], sums={"upto_": F.col("n_")})
+    sizes = counted.groupBy("of_", "group_").agg(F.sum("n_").alias("all_"))
+    joined = upto.join(sizes.withColumnsRenamed({"of_": "its_", "group_": "own_"}), (F.col("of_") == F.col("its_")) & (F.col("group_") == F.col("own_")))
+    most = max(len(w.at) for w in wanted)
+    slots = []
+    for j in range(most):
+        share = F.lit(None).cast("double")
+        for i, w in enumerate(wanted):
+            if j < len(w.at):
+                share = F.when(F.col("of_") == i, F.lit(float(list(w.at.values())[j]))).otherwise(share)
+        place = share * (F.col("all_") - 1)
+        least = lambda p: F.min(F.when(F.col("upto_") > p, F.col("value_")))
+        slots += [least(F.floor(place)).alias(f"lo{j}_"), least(F.ceil(place)).alias(f"hi{j}_"), F.max(place - F.floor(place)).alias(f"part{j}_")]
+    found = joined.groupBy("of_", "group_").agg(*slots, F.max("all_").alias("n"))
+    found = materialize(found, "quantiles")  # a row for each group
+    tables = []
+    for i, w in enumerate(wanted):
+        keys = [F.col("group_")[k].cast(types[name]).alias(name) for k, name in enumerate(w.keys)]
+        values = [(F.col(f"lo{j}_") + (F.col(f"hi{j}_") - F.col(f"lo{j}_")) * F.col(f"part{j}_")).alias(name) for j, name in enumerate(w.at)]
+        tables.append(found.filter(F.col("of_") == i).select(*keys, *values, "n"))
+    return tables
+
+
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, at: dict[str, float]) -> DataFrame:
+    """Interpolated quantiles of each group's values, by name, whatever a group's size; nulls don't count, groups of nulls only are absent."""
+    return quantile_tables(df, [Quantiles(tuple(keys), value, at)])[0].drop("n")
 
 
 def overall_quantiles(df: DataFrame, value: str, *at: float) -> list[float] | None:
@@ -104,3 +131,46 @@ def running(df: DataFrame, keys: list[str], order: list[Column | str], before: d
 def running_sums(df: DataFrame, keys: list[str], order: list[Column | str], sums: dict[str, Column]) -> DataFrame:
     """``df`` with running sums by name, as ``running`` gives them."""
     return running(df, keys, order, sums=sums)
+
+
+def _to_text(x: Column, kind: DataType) -> Column:
+    """A value as text that leads back to it whatever the time zones are."""
+    return (F.unix_micros(x) if isinstance(kind, TimestampType) else x).cast("string")
+
+
+def _of_text(x: str | None, kind: DataType) -> Column:
+    return F.timestamp_micros(F.lit(x).cast("bigint")) if isinstance(kind, TimestampType) else F.lit(x).cast(kind)
+
+
+def cut_of_newest(df: DataFrame, time: str, id_: str, share: float | None = None, number: int | None = None) -> Column:
+    """True for the newest rows by (time descending, id ascending): so many, or a share of all. Rows without time are the oldest.
+
+    The cut is found by counts: one pass brackets it between two times, one counts what is newer, and only rows within
+    the bracket (few, but for ties of one time) are numbered, by their time and id; nothing else is written or sorted.
+    """
+    kind = df.schema[time].dataType
+    own = df.select(F.col(time).alias("t"), F.col(id_).alias("i"))
+    sizes = own.agg(F.count("*").alias("all"), F.count("t").alias("timed")).first()
+    wanted = min(int(share * sizes["all"]) if share is not None else number, sizes["all"])
+    if wanted <= 0:
+        return F.lit(False)
+    if wanted == sizes["all"]:
+        return F.lit(True)
+    if wanted > sizes["timed"]:  # all that have a time, and some of the others
+        newer, within = sizes["timed"], own.filter("t is null")
+    else:
+        slack = 0.001
+        while True:  # ends with the bracket of all rows
+            at = [min(max(1 - wanted / sizes["timed"] + d, 0.0), 1.0) for d in (-slack, slack)]
+            ends = own.agg(*[F.percentile_approx("t", p, 10_000).alias(f"q{i}") for i, p in enumerate(at)])
+            low, high = (_of_text(x, kind) for x in ends.select(*[_to_text(F.col(f"q{i}"), kind) for i in (0, 1)]).first())
+            newer, upto = own.agg(F.count_if(F.col("t") > high), F.count_if(F.col("t") >= low)).first()
+            if newer < wanted <= upto:
+                break
+            slack *= 8
+        within = own.filter(F.col("t").between(low, high))
+    last = ranked(within, F.desc("t"), F.asc("i"), name="place_").filter(F.col("place_") == wanted - newer).select(_to_text(F.col("t"), kind).alias("t"), "i").first()
+    if last["t"] is None:
+        return F.col(time).isNotNull() | (F.col(id_) <= F.lit(last["i"]))
+    at = _of_text(last["t"], kind)
+    return F.coalesce((F.col(time) > at) | ((F.col(time) == at) & (F.col(id_) <= F.lit(last["i"]))), F.lit(False))

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from parcelog.operators.ranks import exact_quantiles, overall_quantiles, ranked
+from parcelog.operators.ranks import Quantiles, cut_of_newest, exact_quantiles, overall_quantiles, quantile_tables, running
 
 
 def every(conditions: list[Column | None]) -> Column:
@@ -58,14 +58,15 @@ def histogram_equal(df: DataFrame, value: str, n: int) -> DataFrame:
 def equi_depth_cuts(df: DataFrame, keys: list[str], value: str, k: str) -> DataFrame:
     """Cut points i = 1 .. k - 1 of each group at its own k: the least value with i / k of the rows up to it.
 
-    Values are counted first, so a window runs over different values, not rows.
+    Values are counted first and summed up over ranges, so groups may be of any size.
     """
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, k, value).agg(F.count("*").alias("m"))
-    own = Window.partitionBy(*keys, k)
-    ranked = counted.withColumns({"upto": F.sum("m").over(own.orderBy(value)), "n": F.sum("m").over(own)})
+    upto = running(counted, [*keys, k], [value], sums={"upto": F.col("m")})
+    sizes = counted.groupBy(*keys, k).agg(F.sum("m").alias("n")).withColumnsRenamed({x: f"{x}_of" for x in (*keys, k)})
+    ranked_ = upto.join(sizes, every([F.col(x).eqNullSafe(F.col(f"{x}_of")) for x in (*keys, k)]))
     at = lambda i: F.ceil(i.cast("double") / F.col(k) * F.col("n"))
     cuts = F.filter(F.when(F.col(k) > 1, F.sequence(F.lit(1), F.col(k) - 1)), lambda i: (at(i) <= F.col("upto")) & (at(i) > F.col("upto") - F.col("m")))
-    return ranked.select(*keys, "n", F.explode(cuts).alias("i"), F.col(value).alias("cut"))
+    return ranked_.select(*keys, "n", F.explode(cuts).alias("i"), F.col(value).alias("cut"))
 
 
 def band_edges(cuts: DataFrame, keys: list[str], k: str = "k") -> DataFrame:
@@ -105,15 +106,44 @@ def target_by_category(df: DataFrame, columns: list[str], target: str, least: in
 
 def association(df: DataFrame, a: str, b: str) -> DataFrame:
     """Bias-corrected Cramér's V of two categorical columns from their contingency counts."""
-    cells = df.groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count("*").cast("double").alias("n"))
-    whole = Window.partitionBy(F.lit(1))  # cells are an aggregate: one row for each pair of categories
-    cells = cells.withColumns({"ra": F.sum("n").over(Window.partitionBy("a")), "rb": F.sum("n").over(Window.partitionBy("b")), "all": F.sum("n").over(whole)})
-    # The sum over empty cells too is: sum n^2 / (ra * rb) - 1, times the total.
-    s = cells.agg((F.sum(F.col("n") * F.col("n") / (F.col("ra") * F.col("rb"))) - 1).alias("phi2"), F.countDistinct("a").alias("r"), F.countDistinct("b").alias("k"), F.max("all").alias("n"))
-    phi = F.greatest(F.lit(0.0), F.col("phi2") - (F.col("k") - 1) * (F.col("r") - 1) / (F.col("n") - 1))
-    rc = F.col("r") - F.pow(F.col("r") - 1, 2) / (F.col("n") - 1)
-    kc = F.col("k") - F.pow(F.col("k") - 1, 2) / (F.col("n") - 1)
-    return s.select(F.lit(a).alias("a"), F.lit(b).alias("b"), F.round(F.sqrt(phi / F.nullif(F.least(rc - 1, kc - 1), F.lit(0.0))), 6).alias("v"))
+    return association_matrix(df.select(F.col(a).cast("string").alias(a), F.col(b).cast("string").alias(b)), [a, b]).filter((F.col("a") == a) & (F.col("b") == b))
+
+
+NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+
+
+def association_matrix(df: DataFrame, columns: list[str], numeric: list[str] | None = None, bins: int = 10) -> DataFrame:
+    """a, b, v for each ordered pair of columns: bias-corrected Cramér's V, 1 for a column with itself; a symmetric matrix.
+
+    Numeric columns (by default all of a numeric type) are cut into equal bins over their range. Rows lacking either value don't
+    count for a pair; a pair with less than two categories on a side, or two rows, has no v. One pass finds the ranges; in
+    another each row becomes a cell of each pair, counted before the shuffle, so what moves is one count a pair of categories and task.
+    """
+    if numeric is None:
+        numeric = [f.name for f in df.schema.fields if f.name in columns and f.dataType.simpleString().split("(")[0] in NUMBERS]
+    own = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) if c in numeric else F.col(c).cast("string").alias(c) for c in columns])
+    codes = {c: F.col(c) for c in columns}
+    if numeric:
+        ends = own.agg(*[f(c).alias(f"{c}_{n}_") for c in numeric for f, n in ((F.min, "low"), (F.max, "high"))])
+        own = own.crossJoin(F.broadcast(ends))  # one row
+        for c in numeric:
+            low, high = F.col(f"{c}_low_"), F.col(f"{c}_high_")
+            bin_ = F.when(high > low, F.least(F.floor((F.col(c) - low) / (high - low) * bins), F.lit(bins - 1))).otherwise(F.when(F.col(c).isNotNull(), 0))
+            codes[c] = bin_.cast("string")
+    coded = own.select(*[x.alias(c) for c, x in codes.items()])
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+    each = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).alias("x"), F.col(b).alias("y")) for a, b in pairs]))
+    cells = coded.select(each.alias("c")).select("c.*").filter("x is not null and y is not null").groupBy("a", "b", "x", "y").agg(F.count("*").cast("double").alias("n"))
+    # Of cells, a row for each pair of categories, the margins are sums; the sum over empty cells, too, is sum n^2 / (nx * ny) - 1.
+    margins = cells.withColumns({"nx": F.sum("n").over(Window.partitionBy("a", "b", "x")), "ny": F.sum("n").over(Window.partitionBy("a", "b", "y"))})
+    sums = margins.groupBy("a", "b").agg((F.sum(F.col("n") * F.col("n") / (F.col("nx") * F.col("ny"))) - 1).alias("phi2"), F.countDistinct("x").alias("r"), F.countDistinct("y").alias("k"), F.sum("n").alias("n"))
+    less = F.nullif(F.col("n") - 1, F.lit(0.0))
+    phi = F.greatest(F.lit(0.0), F.col("phi2") - (F.col("k") - 1) * (F.col("r") - 1) / less)
+    rc, kc = F.col("r") - F.pow(F.col("r") - 1, 2) / less, F.col("k") - F.pow(F.col("k") - 1, 2) / less
+    v = F.when((F.least("r", "k") > 1) & (F.least(rc, kc) > 1), F.round(F.sqrt(phi / (F.least(rc, kc) - 1)), 6))
+    half = sums.select("a", "b", v.alias("v"))
+    itself = df.sparkSession.createDataFrame([(c, c, 1.0) for c in columns], "a string, b string, v double")
+    return half.unionByName(half.select(F.col("b").alias("a"), F.col("a").alias("b"), "v")).unionByName(itself)
 
 
 def hex_cell(lat: Column, lon: Column, size: float) -> tuple[Column, Column]:
@@ -140,6 +170,14 @@ def quantile_clip(df: DataFrame, column: str, high: float = 0.99) -> DataFrame:
     return df.withColumn(column, F.when(F.col(column).isNotNull(), F.least(F.col(column), F.lit(cap[0])))) if cap else df
 
 
+def modes_of(df: DataFrame, columns: list[str]) -> dict[str, str | None]:
+    """The most frequent value of each column as text, of several the smallest, none without values; in one pass."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns]))
+    counted = df.select(pairs.alias("x")).select("x.*").filter("value is not null").groupBy("feature", "value").agg(F.count("*").alias("n"))
+    best = {r["feature"]: r["best"]["value"] for r in counted.groupBy("feature").agg(F.min(F.struct((-F.col("n")).alias("n"), "value")).alias("best")).collect()}  # a row for each column
+    return {c: best.get(c) for c in columns}
+
+
 def mode_of(df: DataFrame, column: str) -> object:
     """The most frequent value, of several the smallest; none without values."""
     first = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column).first()
@@ -154,15 +192,21 @@ def mode_fill(df: DataFrame, column: str) -> DataFrame:
 
 def hierarchical_fill(df: DataFrame, target: str, levels: list[list[str]]) -> DataFrame:
     """Null numbers take the median of the first group that has one, level by level, then the overall median."""
-    return fill_from(df, target, *fitted_medians(df, target, levels)).select(*df.columns)
+    tables, overall = fitted_medians(df, {target: levels})[target]
+    return fill_from(df, target, tables, overall).select(*df.columns)
 
 
-def fitted_medians(df: DataFrame, target: str, levels: list[list[str]]) -> tuple[list[tuple[list[str], DataFrame]], float | None]:
-    """What ``fill_from`` needs: the medians (``median_``) of each level's groups, and that of all rows."""
-    known = df.filter(F.col(target).isNotNull())
-    tables = [(keys, known.groupBy(*keys).agg(F.percentile(target, F.lit(0.5)).alias("median_"))) for keys in levels]
-    overall = overall_quantiles(df, target, 0.5)
-    return tables, overall[0] if overall else None
+def fitted_medians(df: DataFrame, levels: dict[str, list[list[str]]]) -> dict[str, tuple[list[tuple[list[str], DataFrame]], float | None]]:
+    """What ``fill_from`` needs of each target: the medians (``median_``) of each level's groups, and that of all rows. All in
+    one pass over the rows, whatever the number and size of groups."""
+    wanted = [(target, keys) for target, all_ in levels.items() for keys in [*all_, []]]
+    tables = quantile_tables(df, [Quantiles(tuple(keys), target, {"median_": 0.5}) for target, keys in wanted])
+    found: dict[str, tuple[list[tuple[list[str], DataFrame]], float | None]] = {}
+    for target in levels:
+        own = [(keys, table.drop("n")) for (t, keys), table in zip(wanted, tables, strict=True) if t == target]
+        row = own[-1][1].first()  # the whole as one group
+        found[target] = (own[:-1], row["median_"] if row else None)
+    return found
 
 
 def fill_from(df: DataFrame, target: str, tables: list[tuple[list[str], DataFrame]], overall: float | None) -> DataFrame:
@@ -175,6 +219,29 @@ def fill_from(df: DataFrame, target: str, tables: list[tuple[list[str], DataFram
 
 
 def newest_share(df: DataFrame, time: str, id_: str, share: float) -> DataFrame:
-    """``is_test`` for the newest share of the rows, ties by id. Rows are numbered by range, no task sorts them all."""
-    every_ = df.count()
-    return ranked(df, F.desc(time), F.asc(id_), name="place_").withColumn("is_test", F.col("place_") <= share * every_).drop("place_")
+    """``is_test`` for the newest share of the rows, ties by id; the cut is found by counts, the rows stay where they are."""
+    return df.withColumn("is_test", cut_of_newest(df, time, id_, share=share))
+
+
+def newest(df: DataFrame, time: str, id_: str, number: int) -> DataFrame:
+    """The newest rows, so many, ties by id."""
+    return df.filter(cut_of_newest(df, time, id_, number=number))
+
+
+def price_bands(units: DataFrame, segments: DataFrame, value: str = "price") -> DataFrame:
+    """rkey, i, cut, n: cut points of the prices of each segment's units at its k, with the segment's size; a segment that isn't
+    cut (k of 1) has one row without i and cut. Segments have region, rkey, room_keys, wanted_new and k; units room_key.
+    """
+    from parcelog.operators.matching import segment_members
+
+    members = segment_members(units.filter(F.col(value) > 0), segments).select("rkey", "k", value)
+    sizes = members.groupBy("rkey", "k").agg(F.count("*").alias("n"))
+    cuts = equi_depth_cuts(members, ["rkey"], value, "k").select("rkey", "i", "cut")
+    return sizes.join(cuts, "rkey", "left").select("rkey", "i", "cut", "n")
+
+
+def segments_of(requests: DataFrame, text: str) -> DataFrame:
+    """Segments (region, rkey, room_keys, wanted_new, k) of JSON arrays of {region, rkey, rks, isnew, k}."""
+    kind = "array<struct<region:string,rkey:string,rks:array<string>,isnew:boolean,k:int>>"
+    each = requests.select(F.explode(F.from_json(text, kind)).alias("s"))
+    return each.select("s.region", "s.rkey", F.col("s.rks").alias("room_keys"), F.col("s.isnew").alias("wanted_new"), "s.k")

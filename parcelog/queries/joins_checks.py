@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parcelog import adapters as a
+from parcelog.functions.values import room_key
 from parcelog.operators import checks as q, lifecycle as life, matching as m
 from parcelog.queries.lifecycles import ALL, FACT, NEWEST, O, S
 from parcelog.queries.registry import query, table
@@ -18,9 +19,16 @@ def on(frame, name: str, sql: str | None, f) -> None:
 
 
 on(a.spans, "interval_overlap_self_join", f"WITH {S} SELECT x.class, x.seller, x.listing_id AS a, y.listing_id AS b FROM spans x JOIN spans y ON x.class = y.class AND x.seller = y.seller AND x.listing_id < y.listing_id AND x.first_seen <= y.last_seen AND y.first_seen <= x.last_seen", lambda d: m.overlapping_pairs(d, ["class", "seller"], "listing_id", "first_seen", "last_seen"))
-_SEG = "(VALUES ('ASIA', ['1', '2'], NULL), ('EUROPE', ['3'], true), ('ASIA', ['2'], false)) g(region, room_keys, wanted_new)"
-SEGMENTS = [("ASIA", ["1", "2"], None), ("EUROPE", ["3"], True), ("ASIA", ["2"], False)]
-on(a.listings, "segment_membership_join", f"WITH {L}, s AS (SELECT *, row_number() OVER () AS no FROM {_SEG}) SELECT listing_id, array_to_string(room_keys, ',') AS segment, wanted_new FROM listings l JOIN s ON s.region = l.region AND list_contains(room_keys, cast(rooms AS varchar)) AND (wanted_new IS NULL OR wanted_new = is_new)", lambda d: m.segment_members(d.withColumn("room_key", c("rooms").cast("string")), d.sparkSession.createDataFrame(SEGMENTS, "region string, room_keys array<string>, wanted_new boolean")).select("listing_id", F.array_join("room_keys", ",").alias("segment"), "wanted_new"))
+_SEG = "(VALUES ('ASIA', ['1', '2', 'studio'], NULL), ('EUROPE', ['3', '5+'], true), ('ASIA', ['2'], false)) g(region, room_keys, wanted_new)"
+SEGMENTS = [("ASIA", ["1", "2", "studio"], None), ("EUROPE", ["3", "5+"], True), ("ASIA", ["2"], False)]
+on(
+    a.listings,
+    "segment_membership_join",
+    f"""WITH {L}, s AS (SELECT *, row_number() OVER () AS no FROM {_SEG}), u AS (SELECT *, CASE WHEN is_studio THEN 'studio' WHEN rooms >= 5 THEN '5+' ELSE cast(rooms AS varchar) END AS rk FROM listings)
+    SELECT listing_id, array_to_string(room_keys, ',') AS segment, wanted_new FROM u JOIN s ON s.region = u.region AND list_contains(room_keys, rk) AND (wanted_new IS NULL OR wanted_new = is_new)""",
+    lambda d: m.segment_members(d.withColumn("room_key", room_key(c("rooms"), c("is_studio"))), d.sparkSession.createDataFrame(SEGMENTS, "region string, room_keys array<string>, wanted_new boolean"))
+    .select("listing_id", F.array_join("room_keys", ",").alias("segment"), "wanted_new"),
+)
 on(a.observations, "join_inner_using", f"WITH {O}, {NEWEST}, p AS (SELECT listing_id, count(*) AS n FROM obs GROUP BY 1) SELECT listing_id, n, s.price AS price FROM newest JOIN p USING (listing_id)", lambda o: life.latest(o).select("listing_id", "price").join(o.groupBy("listing_id").agg(F.count("*").alias("n")), "listing_id"))
 on(a.observations, "join_left_chain", f"{ALL} SELECT listing_id, p.region AS region, slot, last_day FROM newest LEFT JOIN located USING (listing_id) LEFT JOIN slots USING (listing_id) LEFT JOIN closing ON closing.region = p.region", lambda o: life.latest(o).select("listing_id").join(life.place_of(o).select("listing_id", "region"), "listing_id", "left").join(life.unit_identity(o).select("listing_id", "slot"), "listing_id", "left").join(life.closure_cutoff(life.region_day_census(o)), "region", "left").select("listing_id", "region", "slot", "last_day"))
 query("SELECT o_orderkey, c_name, n_name, r_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey", "star_join")(lambda s, d: table(s, d, "orders").join(table(s, d, "customer"), c("o_custkey") == c("c_custkey")).join(table(s, d, "nation"), c("c_nationkey") == c("n_nationkey")).join(table(s, d, "region"), c("n_regionkey") == c("r_regionkey")).select("o_orderkey", "c_name", "n_name", "r_name"))

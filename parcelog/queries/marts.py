@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from parcelog import adapters as a
+from parcelog.functions.values import room_key
 from parcelog.operators import summaries as s
 from parcelog.operators.ranks import overall_quantiles
 from parcelog.queries.registry import query, table
@@ -68,7 +69,24 @@ def segmentation(d):
 
 _SEGMENT = f"SELECT {_ROOM} AS room_group, {_QS}, count(*) AS n FROM listings WHERE ppm2 BETWEEN 500 AND 20000 GROUP BY 1 HAVING count(*) > 50"
 listings("quantile_segments", _SEGMENT, segmentation)
-listings("q_segmentation", f"SELECT region, is_new, {_QS}, count(*) AS n FROM listings WHERE ppm2 BETWEEN 500 AND 20000 GROUP BY 1, 2", lambda d: s.quantiles(d.filter(c("ppm2").between(500, 20000)), ["region", "is_new"], "ppm2", AT))
+
+
+def both_segmentations(d, region=None):
+    """Quantiles by rooms (groups of more than 50) and by new and other buildings, of a region or of all."""
+    kept = d.filter(s.every([c("ppm2").between(500, 20000), c("region") == region if region else None]))
+    by_rooms = segmentation(kept).select(F.lit("by_rooms").alias("table"), c("room_group").alias("segment"), *AT, "n")
+    by_age = s.quantiles(kept, ["is_new"], "ppm2", AT).select(F.lit("new_vs_secondary").alias("table"), c("is_new").cast("string").alias("segment"), *AT, "n")
+    return by_rooms.unionByName(by_age)
+
+
+def _both_sql(where: str) -> str:
+    kept = f"FROM listings WHERE ppm2 BETWEEN 500 AND 20000{where} GROUP BY ALL"
+    return f"""SELECT 'by_rooms' AS "table", {_ROOM} AS segment, {_QS}, count(*) AS n {kept} HAVING count(*) > 50
+    UNION ALL SELECT 'new_vs_secondary', cast(is_new AS varchar), {_QS}, count(*) {kept}"""
+
+
+listings("q_segmentation", f"SELECT 'all' AS area, * FROM ({_both_sql('')}) UNION ALL SELECT 'ASIA', * FROM ({_both_sql(" AND region = 'ASIA'")})",
+    lambda d: both_segmentations(d).withColumn("area", F.lit("all")).unionByName(both_segmentations(d, "ASIA").withColumn("area", F.lit("ASIA"))))
 listings("sorted_groups", "SELECT is_new, count(*) AS n FROM listings GROUP BY 1", lambda d: d.groupBy("is_new").agg(F.count("*").alias("n")).orderBy(F.asc_nulls_last("is_new")))
 _MONTHLY = """, m AS (SELECT listing_id, region, municipality, is_new, date_trunc('month', first_seen) AS month, quantile_cont(ppm2, 0.5) AS ppm2 FROM listings GROUP BY 1, 2, 3, 4, 5),
 idx AS (SELECT region, municipality, is_new, cast(month AS date) AS month, cast(round_even(quantile_cont(ppm2, 0.5), 0) AS bigint) AS median_ppm2, count(*) AS n_points FROM m GROUP BY 1, 2, 3, 4 HAVING count(*) >= 3)"""
@@ -92,7 +110,20 @@ _CUTS = f"{_K}, o AS (SELECT region, k, price, row_number() OVER (PARTITION BY r
 with_k = lambda d: d.withColumn("k", (F.ascii("region") % 5 + 3).cast("int"))
 cuts = lambda d: s.equi_depth_cuts(with_k(d), ["region"], "price", "k")
 listings("equi_depth_bands", f"{_CUTS} SELECT region, i, cut, n FROM cuts", lambda d: cuts(d).select("region", "i", "cut", c("n")))
-listings("q_price_bands", f"{_CUTS} SELECT region, i, cut, n FROM cuts WHERE region IN ('ASIA', 'EUROPE')", lambda d: cuts(d.filter(c("region").isin("ASIA", "EUROPE"))).select("region", "i", "cut", c("n")))
+#: A request for bands, as JSON: segments of several regions that overlap, one of a single band and one that nothing is in.
+_REQUEST = """[{"region":"ASIA","rkey":"asia/small","rks":["1","studio"],"isnew":null,"k":4},{"region":"ASIA","rkey":"asia/large","rks":["5+","4","1"],"isnew":false,"k":3},
+{"region":"EUROPE","rkey":"europe/new","rks":["2","3","4","5+"],"isnew":true,"k":7},{"region":"AFRICA","rkey":"africa/one","rks":["2"],"isnew":null,"k":1},{"region":"ATLANTIS","rkey":"none","rks":["1"],"isnew":null,"k":2}]"""
+_WANTED = """(VALUES ('ASIA', 'asia/small', ['1', 'studio'], NULL, 4), ('ASIA', 'asia/large', ['5+', '4', '1'], false, 3), ('EUROPE', 'europe/new', ['2', '3', '4', '5+'], true, 7),
+  ('AFRICA', 'africa/one', ['2'], NULL, 1), ('ATLANTIS', 'none', ['1'], NULL, 2)) w(region, rkey, rks, isnew, k)"""
+_KEYED = "CASE WHEN is_studio THEN 'studio' WHEN rooms >= 5 THEN '5+' ELSE cast(rooms AS varchar) END"
+listings(
+    "q_price_bands",
+    f""", p AS (SELECT region, is_new, price, {_KEYED} AS rk FROM listings WHERE price > 0),
+    j AS (SELECT rkey, k, price FROM {_WANTED} JOIN p ON p.region = w.region AND list_contains(rks, rk) AND (isnew IS NULL OR isnew = is_new)),
+    b AS (SELECT rkey, k, count(*) AS n, list(price ORDER BY price) AS all_prices FROM j GROUP BY ALL)
+    SELECT rkey, cast(i AS int) AS i, all_prices[cast(ceil(cast(i AS double) / k * n) AS int)] AS cut, n FROM b, range(1, 10) t(i) WHERE i < k UNION ALL SELECT rkey, NULL, NULL, n FROM b WHERE k = 1""",
+    lambda d: s.price_bands(d.withColumn("room_key", room_key(c("rooms"), c("is_studio"))), s.segments_of(d.sparkSession.createDataFrame([(_REQUEST,)], "request string"), "request")),
+)
 _EDGE = f"{_CUTS}, e AS (SELECT region, i, cast(floor(cut) AS bigint) AS lo, n, k FROM cuts) SELECT region, lo, lead(lo) OVER (PARTITION BY region ORDER BY i) - 1 AS hi, cast(ceil(n / k) AS bigint) AS expected FROM e UNION ALL SELECT region, NULL, min(lo) - 1, cast(ceil(max(n) / max(k)) AS bigint) FROM e GROUP BY 1"
 listings("band_edges", _EDGE, lambda d: s.band_edges(s.equi_depth_cuts(with_k(d), ["region"], "price", "k").join(with_k(d).select("region", "k").distinct(), "region"), ["region"]))
 listings("group_size_having", "SELECT municipality, count(*) AS n FROM listings GROUP BY 1 HAVING count(*) > 600", lambda d: d.groupBy("municipality").agg(F.count("*").alias("n")).filter("n > 600"))
@@ -106,12 +137,27 @@ listings("box_stats", "SELECT municipality, round(quantile_cont(price, 0.25), 4)
 listings("lowest_median_top", "SELECT municipality, round(quantile_cont(price, 0.5), 4) AS median, count(*) AS n FROM listings WHERE municipality <> 'NATION_1' GROUP BY 1 HAVING count(*) >= 100 ORDER BY 2, 1 LIMIT 10", lambda d: s.quantiles(d.filter("municipality <> 'NATION_1'"), ["municipality"], "price", {"median": 0.5}, 99).orderBy("median", "municipality").limit(10))
 listings("profile_table", " UNION ALL ".join(f"SELECT '{x}' AS feature, count(*) - count({x}) AS nulls, count(DISTINCT {x}) AS distinct FROM listings" for x in ("region", "rooms", "price")).replace("AS distinct", 'AS "distinct"'), lambda d: s.null_counts(d.select("region", "rooms", "price")))
 listings("top_categories", "SELECT feature, value, n, rank FROM (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY n DESC, value) AS rank FROM (" + " UNION ALL ".join(f"SELECT '{x}' AS feature, cast({x} AS varchar) AS value, count(*) AS n FROM listings GROUP BY 2" for x in ("municipality", "rooms")) + ")) WHERE rank <= 5", lambda d: s.top_values(d, ["municipality", "rooms"], 5))
-listings("association_matrix", """, t AS (SELECT region AS a, segment AS b, count(*)::double AS n FROM listings GROUP BY 1, 2), u AS (SELECT *, sum(n) OVER (PARTITION BY a) AS ra, sum(n) OVER (PARTITION BY b) AS rb FROM t),
-  z AS (SELECT sum(n * n / (ra * rb)) - 1 AS phi2, count(DISTINCT a)::double AS r, count(DISTINCT b)::double AS k, sum(n) AS n FROM u)
-  SELECT 'region' AS a, 'segment' AS b, round(sqrt(greatest(0.0, phi2 - (k - 1) * (r - 1) / (n - 1)) / least(r - pow(r - 1, 2) / (n - 1) - 1, k - pow(k - 1, 2) / (n - 1) - 1)), 6) AS v FROM z""", lambda d: s.association(d, "region", "segment"))
+_MIXED = {"price": 1, "area": 1, "rooms": 1, "lat": 1, "lon": 1, "region": 0, "municipality": 0, "segment": 0, "status": 0, "is_new": 0, "is_studio": 0}
+
+
+def _association_sql() -> str:
+    """Cramér's V of each pair from its own contingency table, with the cells that are empty."""
+    code = lambda x: f"cast(least(floor(({x} - min({x}) OVER ())::double / (max({x}) OVER () - min({x}) OVER ()) * 10), 9) AS varchar)" if _MIXED[x] else f"cast({x} AS varchar)"
+    names = list(_MIXED)
+    halves = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, {a} AS x, {b} AS y FROM coded" for i, a in enumerate(names) for b in names[i + 1 :])
+    return f""", coded AS (SELECT {', '.join(f'{code(x)} AS {x}' for x in names)} FROM listings), long AS ({halves}),
+    px AS (SELECT a, b, x, count(*)::double AS nx FROM long GROUP BY ALL), py AS (SELECT a, b, y, count(*)::double AS ny FROM long GROUP BY ALL), pn AS (SELECT a, b, count(*)::double AS n FROM long GROUP BY ALL),
+    seen AS (SELECT a, b, x, y, count(*)::double AS o FROM long GROUP BY ALL),
+    chi AS (SELECT a, b, any_value(n) AS n, sum(pow(coalesce(o, 0) - nx * ny / n, 2) / (nx * ny / n)) AS chi2, count(DISTINCT x)::double AS r, count(DISTINCT y)::double AS k
+      FROM px JOIN py USING (a, b) JOIN pn USING (a, b) LEFT JOIN seen USING (a, b, x, y) GROUP BY a, b),
+    half AS (SELECT a, b, round(sqrt(greatest(0, chi2 / n - (k - 1) * (r - 1) / (n - 1)) / (least(r - pow(r - 1, 2) / (n - 1), k - pow(k - 1, 2) / (n - 1)) - 1)), 6) AS v FROM chi)
+    SELECT a, b, v FROM half UNION ALL SELECT b, a, v FROM half UNION ALL SELECT c, c, 1.0::double FROM (SELECT unnest([{', '.join(f"'{x}'" for x in names)}]) AS c)"""
+
+
+listings("association_matrix", _association_sql(), lambda d: s.association_matrix(d, list(_MIXED)))
 listings("hexbin_median", """, h AS (SELECT ppm2, (lon * (sqrt(3.0) / 3) - lat / 3.0) / 0.05 AS q, lat * (2.0::double / 3) / 0.05 AS r FROM listings), y AS (SELECT *, round_even(q, 0) AS x, round_even(-q - r, 0) AS y, round_even(r, 0) AS z FROM h),
   w AS (SELECT *, abs(x - q) AS dx, abs(y + q + r) AS dy, abs(z - r) AS dz FROM y) SELECT cast(CASE WHEN dx > dy AND dx > dz THEN -y - z ELSE x END AS int) AS q, cast(CASE WHEN dz >= dx AND dz >= dy THEN -x - y ELSE z END AS int) AS r, round(quantile_cont(ppm2, 0.5), 4) AS median, count(*) AS n FROM w GROUP BY 1, 2""", lambda d: (lambda cell: s.quantiles(d.select("ppm2", cell[0].alias("q"), cell[1].alias("r")), ["q", "r"], "ppm2", {"median": 0.5}))(s.hex_cell(c("lat"), c("lon"), 0.05)))
-listings("train_top_recent", "SELECT listing_id, first_seen FROM listings ORDER BY first_seen DESC, listing_id LIMIT 1600", lambda d: d.orderBy(F.desc("first_seen"), "listing_id").limit(1600).select("listing_id", "first_seen"))
+listings("train_top_recent", "SELECT listing_id, first_seen FROM listings ORDER BY first_seen DESC, listing_id LIMIT 1600", lambda d: s.newest(d.select("listing_id", "first_seen"), "first_seen", "listing_id", 1600))
 _HOT = "SELECT listing_id, price / 500000 AS score FROM listings WHERE municipality = 'NATION_3' AND rooms = 2 ORDER BY 2 DESC, 1 LIMIT 20"
 hot = lambda d: d.filter(s.every([c("municipality") == "NATION_3", c("rooms") == 2, None])).select("listing_id", (c("price") / 500000).alias("score")).orderBy(F.desc("score"), "listing_id").limit(20)
 listings("hot_top_n", _HOT, hot)

@@ -151,6 +151,7 @@ def append_batch(df: DataFrame, path: str, batch: int, keys: list[str] | None =
     repeated or that another committed batch has go. A batch that failed half-way is written anew."""
     spark, folder = df.sparkSession, f"{path}/batch={batch}"
     if _exists(spark, f"{folder}/_SUCCESS"):
+        df.write.format("noop").mode("overwrite").save()  # a stream's state wants its batch read
         return False
     if keys:
         df = df.dropDuplicates(keys)

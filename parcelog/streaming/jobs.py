@@ -70,7 +70,7 @@ def rate(stream: DataFrame, time: str, folder: str, span: str = "60 seconds", st
 @dataclass
 class Card:
     """What is known of a listing: the price that counts; of its last run, whether it was new in it, has been repriced or seen
-    as known; the last day with an observation; and the last sighting's time (seconds)."""
+    as known; the last day with an observation; and the last day with a sighting."""
 
     price: int | None = None
     run: int | None = None
@@ -80,10 +80,12 @@ class Card:
     day: int | None = None
     seen: int = 0
 
-    def see(self, run: int, day: int, price: int | None) -> str:
-        """new, or dup where that was in this run; else repriced, once a run, if there is a price and another one than known; else known."""
-        if self.run is None:
-            self.price, self.run, self.fresh, self.day = price, run, True, day
+    def see(self, run: int, day: int, price: int | None, idle_days: int) -> str:
+        """new, or dup where that was in this run; else repriced, once a run, if there is a price and another one than known; else
+        known. A listing that was idle for more days is new again."""
+        gone, self.seen = self.run is None or day - self.seen > idle_days, max(self.seen, day)
+        if gone:
+            self.price, self.run, self.fresh, self.repriced, self.touched, self.day = price, run, True, False, False, day
             return "new"
         if run != self.run:
             self.run, self.fresh, self.repriced, self.touched = run, False, False, False
@@ -122,9 +124,8 @@ def _with_state(own: DataFrame, step, schema: str, idle_days: int) -> DataFrame:
         card = Card(*state.get) if state.exists else Card()
         rows = pd.concat(list(frames)).sort_values(["scraped_at", "obs_id"], kind="stable")
         yield step(card, rows)
-        card.seen = max(card.seen, int(rows["scraped_at"].iloc[-1].timestamp()))
         state.update(astuple(card))
-        state.setTimeoutTimestamp(max((card.seen + idle_days * 86_400) * 1000, state.getCurrentWatermarkMs() + 1))
+        state.setTimeoutTimestamp(max((card.seen + idle_days + 1) * 86_400_000, state.getCurrentWatermarkMs() + 1))
 
     return own.groupBy("listing_id").applyInPandasWithState(update, schema, CARD_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
@@ -139,7 +140,7 @@ def card_states(stream: DataFrame, folder: str, run: Column | None = None, delay
 
     def classify(card: Card, rows: pd.DataFrame) -> pd.DataFrame:
         prices = _prices(rows)
-        outcomes = [card.see(int(r), int(d), p) for r, d, p in zip(rows["run"], rows["day"], prices, strict=True)]
+        outcomes = [card.see(int(r), int(d), p, idle_days) for r, d, p in zip(rows["run"], rows["day"], prices, strict=True)]
         return rows.assign(outcome=outcomes, price=pd.array(prices, dtype="Int64"))[["listing_id", "obs_id", "scraped_at", "price", "outcome"]]
 
     return _to_files(_with_state(_own(stream, run, delay), classify, OUTCOMES, idle_days), folder, OUTCOMES)
@@ -154,7 +155,7 @@ def presence(stream: DataFrame, folder: str, run: Column | None = None, delay: s
         found = []
         for (r, d), own in rows.assign(price=pd.Series(_prices(rows), index=rows.index, dtype=object)).groupby(["run", "day"], sort=False):
             for p in own["price"]:
-                card.see(int(r), int(d), p)
+                card.see(int(r), int(d), p, idle_days)
             known = [p for p in own["price"] if p]
             price = card.heartbeat(int(d), known[-1] if known else None)
             if price is not None:
