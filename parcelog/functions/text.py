@@ -204,7 +204,10 @@ def address(text: Column) -> Column:
 
     nothing = state(*[F.lit(None).cast("string")] * 4)
     first = F.aggregate(rest, nothing, marked)
-    whole = F.element_at(F.transform(F.array(first), lambda s: F.when(blank(s["street"]) & (F.size(rest) >= 2), F.aggregate(rest, s, unmarked)).otherwise(s)), 1)
+    whole = F.element_at(
+        F.transform(F.array(first), lambda s: F.when(blank(s["street"]) & (F.size(rest) >= 2), F.aggregate(rest, s, unmarked)).otherwise(s)),
+        1,
+    )
     return F.when(text != "", F.struct(F.element_at(parts, 1).alias("city"), *[whole[n].alias(n) for n in ("region", "district", "street", "house_number")]))
 
 

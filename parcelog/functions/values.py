@@ -72,7 +72,11 @@ def finite(x: Column) -> Column:
 
 
 def price_dynamics(first: Column, last: Column, low: Column, high: Column) -> dict[str, Column]:
-    return {"had_discount": flag(last < first), "drop_pct": (first - last) / F.nullif(first, F.lit(0).cast("double")) * 100, "range_pct": (high - low) / F.nullif(low, F.lit(0).cast("double")) * 100}
+    return {
+        "had_discount": flag(last < first),
+        "drop_pct": (first - last) / F.nullif(first, F.lit(0).cast("double")) * 100,
+        "range_pct": (high - low) / F.nullif(low, F.lit(0).cast("double")) * 100,
+    }
 
 
 def normalized_flag(value: Column) -> Column:
@@ -141,14 +145,18 @@ def compact_stations(stations: Column) -> Column:
     return F.when(F.size(named) > 0, named)
 
 
-def rows_json(items: Column, *fields: str) -> Column:
-    """JSON text ``[[name, minutes, ...], ...]`` of the named items' fields; null if no item has a name."""
+def rows_json(items: Column, *fields: str, numbers: tuple[str, ...] = ()) -> Column:
+    """JSON text ``[[name, minutes, ...], ...]`` of the named items' fields, of which some are whole numbers; null if no item has a name."""
 
     def value(x: Column) -> Column:  # an array of one value, without its brackets; nulls are written
         text = F.to_json(F.array(x), {"ignoreNullFields": "false"})
         return F.substring(text, 2, F.length(text) - 2)
 
-    row = lambda s: F.concat(F.lit("["), F.concat_ws(",", *[F.coalesce(value(s[f]), F.lit("null")) for f in fields]), F.lit("]"))
+    row = lambda s: F.concat(
+        F.lit("["),
+        F.concat_ws(",", *[F.coalesce(s[f].cast("string") if f in numbers else value(s[f]), F.lit("null")) for f in fields]),
+        F.lit("]"),
+    )
     return F.concat(F.lit("["), F.array_join(F.transform(compact_stations(items), row), ","), F.lit("]"))
 
 
@@ -173,7 +181,10 @@ def folded_address(items: Column) -> Column:
     and houses the last counts.
     """
     name = lambda x: F.coalesce(_given(x["shortName"]), _given(x["fullName"]), _given(x["name"]))
-    named = F.transform(F.filter(items, lambda x: name(x).isNotNull()), lambda x: F.struct(x["type"].alias("type"), name(x).alias("name"), F.coalesce(_given(x["fullName"]), name(x)).alias("full"), x["id"].alias("id")))
+    named = F.transform(
+        F.filter(items, lambda x: name(x).isNotNull()),
+        lambda x: F.struct(x["type"].alias("type"), name(x).alias("name"), F.coalesce(_given(x["fullName"]), name(x)).alias("full"), x["id"].alias("id")),
+    )
 
     def roles(own: Column) -> Column:
         """Each item with its role: region, place, small, or its type."""

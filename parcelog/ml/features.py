@@ -24,12 +24,56 @@ NUMERIC = [
     "living_to_total", "kitchen_to_total", "area_per_room", "ppm2_to_district", "ppm2_to_municipality", "total_lifts", "has_lift", "bath_separate", "bath_combined", "balcony_count", "loggia_count",
     "completion_year", "years_to_completion", "is_presale", "has_completion", "demolished_in_renovation", "is_penthouse", "seller_is_owner",
 ]
-CATEGORICAL = ["region", "flat_type", "renovation", "window_view", "building_type", "parking", "seller_type", "seller_user_type", "room_type", "deal_conditions", "municipality", "district"]
-FLAGS = ["is_apartments", "is_new_building", "phone_protected", "is_studio", "mortgage_allowed", "nearest_metro_walk", "demolished_in_renovation", "is_penthouse", "seller_is_owner"]
-NUMBERS = ["price_first", "total_area", "living_area", "kitchen_area", "rooms", "floor", "total_floors", "ceiling_height", "lat", "lon", "n_metro", "nearest_metro_time", "passenger_lifts", "cargo_lifts", "year_built"]
+CATEGORICAL = [
+    "region",
+    "flat_type",
+    "renovation",
+    "window_view",
+    "building_type",
+    "parking",
+    "seller_type",
+    "seller_user_type",
+    "room_type",
+    "deal_conditions",
+    "municipality",
+    "district",
+]
+FLAGS = [
+    "is_apartments",
+    "is_new_building",
+    "phone_protected",
+    "is_studio",
+    "mortgage_allowed",
+    "nearest_metro_walk",
+    "demolished_in_renovation",
+    "is_penthouse",
+    "seller_is_owner",
+]
+NUMBERS = [
+    "price_first",
+    "total_area",
+    "living_area",
+    "kitchen_area",
+    "rooms",
+    "floor",
+    "total_floors",
+    "ceiling_height",
+    "lat",
+    "lon",
+    "n_metro",
+    "nearest_metro_time",
+    "passenger_lifts",
+    "cargo_lifts",
+    "year_built",
+]
 TEXTS = ["completion_date", "bathrooms", "balcony"]
 MODES = ["deal_conditions", "seller_type"]
-CENTERS = {"Москва": (55.7520, 37.6175), "Московская область": (55.7520, 37.6175), "Санкт-Петербург": (59.9386, 30.3141), "Ленинградская область": (59.9386, 30.3141)}
+CENTERS = {
+    "Москва": (55.7520, 37.6175),
+    "Московская область": (55.7520, 37.6175),
+    "Санкт-Петербург": (59.9386, 30.3141),
+    "Ленинградская область": (59.9386, 30.3141),
+}
 OTHER_CENTER = (55.7520, 37.6175)
 LEVELS = {
     "ceiling_height": [["building_type", "year_given", "total_floors"]],
@@ -72,7 +116,12 @@ def layout_features(floor: Column, floors: Column, total: Column, living: Column
 def cleaned(df: DataFrame, keep: list[str], rings: DataFrame | None = None) -> DataFrame:
     """Inputs as numbers, 0/1 flags and texts without blanks; districts from the places where ``rings`` (name, ring) are given."""
     given = lambda k: F.col(k) if k in df.columns else F.lit(None).cast("string")
-    out = df.select(*keep, *[number_or_null(given(k).cast("string")).alias(k) for k in NUMBERS], *[normalized_flag(given(k)).alias(k) for k in FLAGS], *[blank_to_null(given(k).cast("string")).alias(k) for k in [*CATEGORICAL, *TEXTS]])
+    out = df.select(
+        *keep,
+        *[number_or_null(given(k).cast("string")).alias(k) for k in NUMBERS],
+        *[normalized_flag(given(k)).alias(k) for k in FLAGS],
+        *[blank_to_null(given(k).cast("string")).alias(k) for k in [*CATEGORICAL, *TEXTS]],
+    )
     if rings is not None:
         own = materialize(out.withColumn("point_", F.monotonically_increasing_id()), "points")  # so that the numbers stay
         places = points_in_polygons(own.select("point_", F.col("lat").alias("x"), F.col("lon").alias("y")), rings, "point_").select("point_", F.col("name").alias("place_"))
@@ -108,13 +157,20 @@ class FittedFeatures:
 
     def transform(self, df: DataFrame, *keep: str) -> DataFrame:
         """The kept columns, then all features: numbers as doubles, categories as texts."""
-        out = cleaned(df, list(keep), self.rings).fillna(self.modes).withColumns({k: F.coalesce(k, F.lit(self.overall[k]).cast("double")) for k in ("rooms", "nearest_metro_time")})
+        out = cleaned(df, list(keep), self.rings).fillna(self.modes).withColumns(
+            {k: F.coalesce(k, F.lit(self.overall[k]).cast("double")) for k in ("rooms", "nearest_metro_time")}
+        )
         for target in LEVELS:
             out = fill_from(out, target, self.medians[target], self.overall[target])
         for name, keys in RATIOS.items():
             out = out.join(self.medians[name][0][1].withColumnRenamed("median_", f"{name}_"), keys, "left")
         usual = {name: F.coalesce(f"{name}_", F.lit(self.overall["price_per_m2"]).cast("double")) for name in RATIOS}
-        counts = {"bath_separate": ("bathrooms", "разд"), "bath_combined": ("bathrooms", "совм"), "balcony_count": ("balcony", "балк"), "loggia_count": ("balcony", "лодж")}
+        counts = {
+            "bath_separate": ("bathrooms", "разд"),
+            "bath_combined": ("bathrooms", "совм"),
+            "balcony_count": ("balcony", "балк"),
+            "loggia_count": ("balcony", "лодж"),
+        }
         column = F.col
         made = {
             **temporal_features(self.year, column("year_built"), column("completion_year"), column("is_new_building")),
@@ -127,7 +183,17 @@ class FittedFeatures:
 
 def fit(df: DataFrame, year: int, rings: DataFrame | None = None) -> FittedFeatures:
     """Learn medians, most frequent values and the reference year from training rows."""
-    needed = dict.fromkeys([*MODES, "rooms", "nearest_metro_time", "price_per_m2", *LEVELS, *[k for levels in LEVELS.values() for keys in levels for k in keys], *[k for keys in RATIOS.values() for k in keys]])
+    needed = dict.fromkeys(
+        [
+            *MODES,
+            "rooms",
+            "nearest_metro_time",
+            "price_per_m2",
+            *LEVELS,
+            *[k for levels in LEVELS.values() for keys in levels for k in keys],
+            *[k for keys in RATIOS.values() for k in keys],
+        ]
+    )
     own = materialize(cleaned(df, [], rings).select(*needed), "cleaned")  # the one pass over the input
     modes = {k: v or "unknown" for k, v in modes_of(own, list(MODES)).items()}
     overall = {k: middle for k, (_, middle) in fitted_medians(own, {k: [] for k in ("rooms", "nearest_metro_time", "price_per_m2")}).items()}

@@ -20,7 +20,9 @@ from parcelog.storage import materialize
 
 def columns_by_type(df: DataFrame, but: tuple[str, ...] = ()) -> tuple[list[str], list[str]]:
     """(numeric, other) columns."""
-    numeric = [f.name for f in df.schema.fields if f.dataType.simpleString().split("(")[0] in ("int", "bigint", "double", "float", "smallint", "decimal") and f.name not in but]
+    numeric = [
+        f.name for f in df.schema.fields if f.dataType.simpleString().split("(")[0] in ("int", "bigint", "double", "float", "smallint", "decimal") and f.name not in but
+    ]
     return numeric, [k for k in df.columns if k not in numeric and k not in but]
 
 
@@ -74,7 +76,14 @@ def preprocessor(numeric: list[str], categories: list[str]) -> list:
     ]
 
 
-MODELS = {"clf_boosted": lambda y: GBTClassifier(labelCol=y, maxIter=10, maxDepth=4, seed=1), "logistic": lambda y: LogisticRegression(labelCol=y, maxIter=20), "tree": lambda y: DecisionTreeClassifier(labelCol=y, maxDepth=4, seed=1), "reg_boosted": lambda y: GBTRegressor(labelCol=y, maxIter=10, maxDepth=4, seed=1), "linear": lambda y: LinearRegression(labelCol=y, maxIter=20), "reg_tree": lambda y: DecisionTreeRegressor(labelCol=y, maxDepth=4, seed=1)}
+MODELS = {
+    "clf_boosted": lambda y: GBTClassifier(labelCol=y, maxIter=10, maxDepth=4, seed=1),
+    "logistic": lambda y: LogisticRegression(labelCol=y, maxIter=20),
+    "tree": lambda y: DecisionTreeClassifier(labelCol=y, maxDepth=4, seed=1),
+    "reg_boosted": lambda y: GBTRegressor(labelCol=y, maxIter=10, maxDepth=4, seed=1),
+    "linear": lambda y: LinearRegression(labelCol=y, maxIter=20),
+    "reg_tree": lambda y: DecisionTreeRegressor(labelCol=y, maxDepth=4, seed=1),
+}
 
 
 def fit(df: DataFrame, kind: str, label: str, numeric: list[str], categories: list[str]) -> PipelineModel:
@@ -143,18 +152,38 @@ def importances(model: PipelineModel, df: DataFrame, n: int = 20) -> DataFrame:
 def classifier_metrics(scored: DataFrame, label: str, value: str = "score", places: int = 6) -> DataFrame:
     """ROC area, average precision, accuracy at one half; scores that round alike are one threshold, so at most 10^places
     thresholds are sorted."""
-    bins = scored.groupBy(F.round(value, places).alias("t")).agg(F.sum(F.col(label).cast("long")).alias("p"), F.count("*").alias("n"), F.sum((F.col(label) == (F.col(value) >= 0.5).cast("int")).cast("long")).alias("right"))
+    bins = scored.groupBy(F.round(value, places).alias("t")).agg(
+        F.sum(F.col(label).cast("long")).alias("p"),
+        F.count("*").alias("n"),
+        F.sum((F.col(label) == (F.col(value) >= 0.5).cast("int")).cast("long")).alias("right"),
+    )
     above = Window.orderBy(F.desc("t"))
     bins = bins.withColumns({"tp": F.sum("p").over(above), "all": F.sum("n").over(above)})
     q = F.col("n") - F.col("p")
-    sums = bins.agg(F.sum("p").alias("pos_"), F.sum(q).alias("neg_"), F.sum(q * (F.col("tp") - F.col("p") / 2)).alias("area"), F.sum(F.col("p") * F.col("tp") / F.col("all")).alias("ap"), F.sum("right").alias("right"), F.sum("n").alias("n"))
-    return sums.select(F.round(F.col("area") / (F.col("pos_") * F.col("neg_")), places).alias("roc_auc"), F.round(F.col("ap") / F.col("pos_"), places).alias("average_precision"), F.round(F.col("right") / F.col("n"), places).alias("accuracy"), "n")
+    sums = bins.agg(
+        F.sum("p").alias("pos_"),
+        F.sum(q).alias("neg_"),
+        F.sum(q * (F.col("tp") - F.col("p") / 2)).alias("area"),
+        F.sum(F.col("p") * F.col("tp") / F.col("all")).alias("ap"),
+        F.sum("right").alias("right"),
+        F.sum("n").alias("n"),
+    )
+    return sums.select(
+        F.round(F.col("area") / (F.col("pos_") * F.col("neg_")), places).alias("roc_auc"),
+        F.round(F.col("ap") / F.col("pos_"), places).alias("average_precision"),
+        F.round(F.col("right") / F.col("n"), places).alias("accuracy"),
+        "n",
+    )
 
 
 def regression_metrics(df: DataFrame, label: str, value: str, places: int = 4) -> DataFrame:
     """MAE, RMSE and R² in one pass."""
     e = F.col(label) - F.col(value)
-    return df.agg(F.round(F.avg(F.abs(e)), places).alias("mae"), F.round(F.sqrt(F.avg(e * e)), places).alias("rmse"), F.round(1 - F.sum(e * e) / F.nullif(F.var_pop(label) * F.count(label), F.lit(0.0)), places).alias("r2"))
+    return df.agg(
+        F.round(F.avg(F.abs(e)), places).alias("mae"),
+        F.round(F.sqrt(F.avg(e * e)), places).alias("rmse"),
+        F.round(1 - F.sum(e * e) / F.nullif(F.var_pop(label) * F.count(label), F.lit(0.0)), places).alias("r2"),
+    )
 
 
 def confusion(df: DataFrame, label: str, predicted: str) -> DataFrame:

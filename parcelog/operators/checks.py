@@ -56,7 +56,11 @@ def volume_drop(daily: DataFrame, day: Column, days: int, share_: float) -> Data
 
 def coverage(runs: DataFrame, since: Column, share_: float) -> DataFrame:
     """One row if the runs' cards are below a share of the plan."""
-    recent = runs.filter((F.col("finished_at") >= since) & (F.col("plan_offers") > 0)).agg(F.sum("cards").alias("cards"), F.max("plan_offers").alias("plan_offers"), F.sum("incomplete").alias("incomplete"))
+    recent = runs.filter((F.col("finished_at") >= since) & (F.col("plan_offers") > 0)).agg(
+        F.sum("cards").alias("cards"),
+        F.max("plan_offers").alias("plan_offers"),
+        F.sum("incomplete").alias("incomplete"),
+    )
     return recent.filter(F.col("cards") < F.col("plan_offers") * share_).withColumn("pct", F.round(100.0 * F.col("cards") / F.col("plan_offers"), 1))
 
 

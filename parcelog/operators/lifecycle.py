@@ -42,7 +42,15 @@ def latest(obs: DataFrame, key: str = "listing_id") -> DataFrame:
 
 def _profile() -> list[Column]:
     order = F.struct("scraped_at", "obs_id")
-    return [F.min("scraped_at").alias("first_seen"), F.max("scraped_at").alias("last_seen"), F.min_by("price", order).alias("price_first"), F.max_by("price", order).alias("price_last"), F.min("price").alias("price_min"), F.max("price").alias("price_max"), F.count("*").alias("price_points")]
+    return [
+        F.min("scraped_at").alias("first_seen"),
+        F.max("scraped_at").alias("last_seen"),
+        F.min_by("price", order).alias("price_first"),
+        F.max_by("price", order).alias("price_last"),
+        F.min("price").alias("price_min"),
+        F.max("price").alias("price_max"),
+        F.count("*").alias("price_points"),
+    ]
 
 
 def price_profile(obs: DataFrame, key: str = "listing_id") -> DataFrame:
@@ -84,7 +92,14 @@ def presence(obs: DataFrame, params: Params = Params(), key: str = "listing_id")
 
 def place_of(obs: DataFrame, key: str = "listing_id") -> DataFrame:
     """The best located full sighting: with municipality, with street, then newest."""
-    return latest_per_key(obs.filter("region is not null"), key, F.col("municipality").isNotNull(), F.col("street").isNotNull(), F.col("scraped_at"), F.col("obs_id"))
+    return latest_per_key(
+        obs.filter("region is not null"),
+        key,
+        F.col("municipality").isNotNull(),
+        F.col("street").isNotNull(),
+        F.col("scraped_at"),
+        F.col("obs_id"),
+    )
 
 
 def listing_summary(obs: DataFrame, params: Params = Params(), key: str = "listing_id") -> DataFrame:
@@ -171,13 +186,29 @@ def fact_unit(listings: DataFrame) -> DataFrame:
         F.min(F.coalesce("price_min", "price")).alias("price_min"), F.max(F.coalesce("price_max", "price")).alias("price_max"), F.sum("price_points").alias("price_points"),
         F.max_by(F.struct("listing_id", "price", "area", "region", "municipality", "geo_sk", "building_sk", "rooms", "is_new"), F.struct(-F.col("event_closed"), "last_seen", "listing_id")).alias("r"),
     )
-    return agg.select("unit_sk", "n_listings", "n_sellers", "first_seen", "last_seen", "live", "price_min", "price_max", "price_points", "r.*", F.datediff(F.to_date("last_seen"), F.to_date("first_seen")).alias("unit_days"), (~F.col("live")).cast("int").alias("unit_closed"))
+    return agg.select(
+        "unit_sk",
+        "n_listings",
+        "n_sellers",
+        "first_seen",
+        "last_seen",
+        "live",
+        "price_min",
+        "price_max",
+        "price_points",
+        "r.*",
+        F.datediff(F.to_date("last_seen"), F.to_date("first_seen")).alias("unit_days"),
+        (~F.col("live")).cast("int").alias("unit_closed"),
+    )
 
 
 def dim_geo(obs: DataFrame) -> DataFrame:
     from parcelog.functions.text import surrogate_key
 
-    return obs.filter("region is not null").select("region", "municipality").distinct().withColumn("geo_sk", surrogate_key(F.col("region"), F.col("municipality")))
+    return obs.filter("region is not null").select("region", "municipality").distinct().withColumn(
+        "geo_sk",
+        surrogate_key(F.col("region"), F.col("municipality")),
+    )
 
 
 def dim_building(obs: DataFrame) -> DataFrame:

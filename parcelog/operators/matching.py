@@ -57,7 +57,13 @@ def area_cells(areas: DataFrame, cell: float) -> DataFrame:
     flat = F.flatten(F.col("rings"))
     low = lambda k: F.floor(F.array_min(F.transform(flat, lambda p: p[k])) / cell)
     high = lambda k: F.floor(F.array_max(F.transform(flat, lambda p: p[k])) / cell)
-    rows = areas.filter(F.size(flat) > 0).select("name", edges.alias("all_"), low("x").alias("x0"), high("x").alias("x1"), F.explode(F.sequence(low("y"), high("y"))).alias("cy"))
+    rows = areas.filter(F.size(flat) > 0).select(
+        "name",
+        edges.alias("all_"),
+        low("x").alias("x0"),
+        high("x").alias("x1"),
+        F.explode(F.sequence(low("y"), high("y"))).alias("cy"),
+    )
 
     def between(e: Column, k: str, at: Column) -> Column:
         """True if an edge reaches into the band of a row or column of cells (a little widened)."""
@@ -67,9 +73,22 @@ def area_cells(areas: DataFrame, cell: float) -> DataFrame:
     rows = rows.withColumn("row_", F.filter("all_", lambda e: between(e, "y", F.col("cy")))).drop("all_")
     cells = rows.select("name", "cy", "row_", F.explode(F.sequence("x0", "x1")).alias("cx"))
     right = F.filter("row_", lambda e: F.greatest(e["a"]["x"], e["b"]["x"]) >= F.col("cx") * cell)
-    passed = F.exists("row_", lambda e: between(e, "x", F.col("cx")))
+
+    def crosses(e: Column) -> Column:
+        """False if a cell's corners lie on one side of the edge's line (by more than a rounding error)."""
+        a, b = e["a"], e["b"]
+        side = lambda dx, dy: (b["x"] - a["x"]) * ((F.col("cy") + dy) * cell - a["y"]) - (b["y"] - a["y"]) * ((F.col("cx") + dx) * cell - a["x"])
+        corners, slack = [side(dx, dy) for dx in (0, 1) for dy in (0, 1)], cell * 1e-9 * (F.abs(b["x"] - a["x"]) + F.abs(b["y"] - a["y"]))
+        return (F.greatest(*corners) >= -slack) & (F.least(*corners) <= slack)
+
+    passed = F.exists("row_", lambda e: between(e, "x", F.col("cx")) & crosses(e))
     middle = _rays((F.col("cx") + 0.5) * cell, (F.col("cy") + 0.5) * cell, F.col("row_")) % 2 == 1
-    return cells.withColumns({"passed_": passed, "middle_": middle}).filter("passed_ or middle_").select("name", "cx", "cy", F.when(F.col("passed_"), right).alias("edges"))
+    return cells.withColumns({"passed_": passed, "middle_": middle}).filter("passed_ or middle_").select(
+        "name",
+        "cx",
+        "cy",
+        F.when(F.col("passed_"), right).alias("edges"),
+    )
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, id_: str, cell: float = 0.25) -> DataFrame:

@@ -74,14 +74,21 @@ def band_edges(cuts: DataFrame, keys: list[str], k: str = "k") -> DataFrame:
     distinct = cuts.select(*keys, k, "n", F.col("cut").cast("bigint").alias("cut")).distinct()
     arrays = distinct.groupBy(*keys, k, "n").agg(F.array_sort(F.collect_list("cut")).alias("cuts"))  # k - 1 values at most
     none = F.lit(None).cast("bigint")
-    edges = F.zip_with(F.concat(F.array(none), "cuts"), F.concat(F.transform("cuts", lambda x: x - 1), F.array(none)), lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi")))
+    edges = F.zip_with(
+        F.concat(F.array(none), "cuts"),
+        F.concat(F.transform("cuts", lambda x: x - 1), F.array(none)),
+        lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi")),
+    )
     return arrays.select(*keys, F.explode(edges).alias("e"), F.ceil(F.col("n") / (F.size("cuts") + 1)).alias("expected")).select(*keys, "e.lo", "e.hi", "expected")
 
 
 def weighted_index(df: DataFrame, by: str, value: str, weight: str) -> DataFrame:
     """Weighted mean of each group, to whole numbers."""
     total = F.sum(weight)
-    return df.groupBy(by).agg(F.rint(F.sum(F.col(value) * F.col(weight)) / F.nullif(total, F.lit(0).cast("bigint"))).cast("bigint").alias("value"), total.alias("points"))
+    return df.groupBy(by).agg(
+        F.rint(F.sum(F.col(value) * F.col(weight)) / F.nullif(total, F.lit(0).cast("bigint"))).cast("bigint").alias("value"),
+        total.alias("points"),
+    )
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -128,7 +135,8 @@ def association_matrix(df: DataFrame, columns: list[str], numeric: list[str] | N
         own = own.crossJoin(F.broadcast(ends))  # one row
         for c in numeric:
             low, high = F.col(f"{c}_low_"), F.col(f"{c}_high_")
-            bin_ = F.when(high > low, F.least(F.floor((F.col(c) - low) / (high - low) * bins), F.lit(bins - 1))).otherwise(F.when(F.col(c).isNotNull(), 0))
+            bin_ = F.when(high > low, F.least(F.floor((F.col(c) - low) / (high - low) * bins), F.lit(bins - 1))).otherwise(0)
+            bin_ = F.when(F.col(c).isNotNull(), bin_)
             codes[c] = bin_.cast("string")
     coded = own.select(*[x.alias(c) for c, x in codes.items()])
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
@@ -136,7 +144,12 @@ def association_matrix(df: DataFrame, columns: list[str], numeric: list[str] | N
     cells = coded.select(each.alias("c")).select("c.*").filter("x is not null and y is not null").groupBy("a", "b", "x", "y").agg(F.count("*").cast("double").alias("n"))
     # Of cells, a row for each pair of categories, the margins are sums; the sum over empty cells, too, is sum n^2 / (nx * ny) - 1.
     margins = cells.withColumns({"nx": F.sum("n").over(Window.partitionBy("a", "b", "x")), "ny": F.sum("n").over(Window.partitionBy("a", "b", "y"))})
-    sums = margins.groupBy("a", "b").agg((F.sum(F.col("n") * F.col("n") / (F.col("nx") * F.col("ny"))) - 1).alias("phi2"), F.countDistinct("x").alias("r"), F.countDistinct("y").alias("k"), F.sum("n").alias("n"))
+    sums = margins.groupBy("a", "b").agg(
+        (F.sum(F.col("n") * F.col("n") / (F.col("nx") * F.col("ny"))) - 1).alias("phi2"),
+        F.countDistinct("x").alias("r"),
+        F.countDistinct("y").alias("k"),
+        F.sum("n").alias("n"),
+    )
     less = F.nullif(F.col("n") - 1, F.lit(0.0))
     phi = F.greatest(F.lit(0.0), F.col("phi2") - (F.col("k") - 1) * (F.col("r") - 1) / less)
     rc, kc = F.col("r") - F.pow(F.col("r") - 1, 2) / less, F.col("k") - F.pow(F.col("k") - 1, 2) / less
@@ -174,7 +187,9 @@ def modes_of(df: DataFrame, columns: list[str]) -> dict[str, str | None]:
     """The most frequent value of each column as text, of several the smallest, none without values; in one pass."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns]))
     counted = df.select(pairs.alias("x")).select("x.*").filter("value is not null").groupBy("feature", "value").agg(F.count("*").alias("n"))
-    best = {r["feature"]: r["best"]["value"] for r in counted.groupBy("feature").agg(F.min(F.struct((-F.col("n")).alias("n"), "value")).alias("best")).collect()}  # a row for each column
+    best = {  # a row for each column
+        r["feature"]: r["best"]["value"] for r in counted.groupBy("feature").agg(F.min(F.struct((-F.col("n")).alias("n"), "value")).alias("best")).collect()
+    }
     return {c: best.get(c) for c in columns}
 
 

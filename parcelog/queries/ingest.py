@@ -22,7 +22,17 @@ def _coded(name: str, region: str, codes: tuple[int, int]) -> None:
     @query(sql, name)
     def run(spark, sf_dir):
         own = spark.sql(source.replace("FROM part", "FROM {part}"), part=table(spark, sf_dir, "part")).drop("k")
-        return flats.REGISTRY[name][1](own).select("price", "city", c("floor").cast("int"), c("total_floors").cast("int"), c("total_area").cast("double"), c("rooms").cast("int"), "building_type", "is_new_building", "source")
+        return flats.REGISTRY[name][1](own).select(
+            "price",
+            "city",
+            c("floor").cast("int"),
+            c("total_floors").cast("int"),
+            c("total_area").cast("double"),
+            c("rooms").cast("int"),
+            "building_type",
+            "is_new_building",
+            "source",
+        )
 
 
 _coded("flats_a", "region", (81, 3))
@@ -31,19 +41,50 @@ _coded("flats_b", "id_region", (77, 50))
 
 @query(f"SELECT cast(p_retailprice AS bigint) AS price, p_size AS rooms, coalesce(CASE p_type WHEN 'ECONOMY' THEN 'Косметический' END, p_type) AS renovation, CASE WHEN p_size % 2 = 0 THEN '{flats.CITY}' ELSE 'Other' END AS city FROM part")
 def flats_c(spark, sf_dir):
-    own = table(spark, sf_dir, "part").select(F.bround("p_retailprice").cast("bigint").alias("Price"), c("p_size").alias("Number of rooms"), F.lit(1).alias("Area"), F.lit(1).alias("Living area"), F.lit(1).alias("Kitchen area"), F.lit(1).alias("Floor"), F.lit(1).alias("Number of floors"), F.when(c("p_type") == "ECONOMY", "Cosmetic").otherwise(c("p_type")).alias("Renovation"), F.when(c("p_size") % 2 == 0, "Moscow").otherwise("Other").alias("Region"))
+    own = table(spark, sf_dir, "part").select(
+        F.bround("p_retailprice").cast("bigint").alias("Price"),
+        c("p_size").alias("Number of rooms"),
+        F.lit(1).alias("Area"),
+        F.lit(1).alias("Living area"),
+        F.lit(1).alias("Kitchen area"),
+        F.lit(1).alias("Floor"),
+        F.lit(1).alias("Number of floors"),
+        F.when(c("p_type") == "ECONOMY", "Cosmetic").otherwise(c("p_type")).alias("Renovation"),
+        F.when(c("p_size") % 2 == 0, "Moscow").otherwise("Other").alias("Region"),
+    )
     return flats.flats_c(own).select("price", c("rooms").cast("int"), "renovation", "city")
 
 
 @query("SELECT 'http://x/' || p_partkey AS url, p_size AS total_floors, p_partkey % 3 = 1 AS is_new_building, CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_partkey % 4 = 1 END AS is_apartments FROM part")
 def flats_d(spark, sf_dir):
-    own = table(spark, sf_dir, "part").select(F.concat(F.lit("http://x/"), "p_partkey").alias("link"), c("p_retailprice").alias("price"), c("p_size").alias("number_of_floors"), F.lit(2000).alias("construction_year"), F.lit(2).alias("number_of_rooms"), F.lit("r").alias("region_of_moscow"), (c("p_partkey") % 3).alias("is_new"), F.when(c("p_partkey") % 4 != 0, c("p_partkey") % 4).alias("is_apartments"))
+    own = table(spark, sf_dir, "part").select(
+        F.concat(F.lit("http://x/"), "p_partkey").alias("link"),
+        c("p_retailprice").alias("price"),
+        c("p_size").alias("number_of_floors"),
+        F.lit(2000).alias("construction_year"),
+        F.lit(2).alias("number_of_rooms"),
+        F.lit("r").alias("region_of_moscow"),
+        (c("p_partkey") % 3).alias("is_new"),
+        F.when(c("p_partkey") % 4 != 0, c("p_partkey") % 4).alias("is_apartments"),
+    )
     return flats.flats_d(own).select("url", c("total_floors").cast("int"), "is_new_building", "is_apartments")
 
 
 @query(f"SELECT p_size AS floor, 60 AS total_floors, CASE p_partkey % 3 WHEN 0 THEN 'Панельный' WHEN 1 THEN NULL ELSE 'X' END AS building_type, CASE WHEN p_partkey % 2 = 1 THEN 1990 END AS year_built, p_partkey % 5 = 0 AS is_new_building FROM part WHERE p_partkey % 7 <> 0")
 def flats_e(spark, sf_dir):
-    own = table(spark, sf_dir, "part").select(F.when(c("p_partkey") % 7 != 0, flats.CITY).otherwise("x").alias("city"), c("p_retailprice").alias("price"), F.concat(c("p_size").cast("string"), F.lit("/60")).alias("level"), F.lit(1).alias("area"), F.when(c("p_partkey") % 3 == 0, "Панель").when(c("p_partkey") % 3 == 1, "0").otherwise("X").alias("material"), F.lit("9").alias("price_by_meter"), F.lit(1).alias("longitude"), F.lit(1).alias("latitude"), F.lit("d").alias("published"), (c("p_partkey") % 2 * 1990).alias("build_year"), F.when(c("p_partkey") % 5 == 0, "Новостройка").alias("object_type"))
+    own = table(spark, sf_dir, "part").select(
+        F.when(c("p_partkey") % 7 != 0, flats.CITY).otherwise("x").alias("city"),
+        c("p_retailprice").alias("price"),
+        F.concat(c("p_size").cast("string"), F.lit("/60")).alias("level"),
+        F.lit(1).alias("area"),
+        F.when(c("p_partkey") % 3 == 0, "Панель").when(c("p_partkey") % 3 == 1, "0").otherwise("X").alias("material"),
+        F.lit("9").alias("price_by_meter"),
+        F.lit(1).alias("longitude"),
+        F.lit(1).alias("latitude"),
+        F.lit("d").alias("published"),
+        (c("p_partkey") % 2 * 1990).alias("build_year"),
+        F.when(c("p_partkey") % 5 == 0, "Новостройка").alias("object_type"),
+    )
     return flats.flats_e(own).select(c("floor").cast("int"), c("total_floors").cast("int"), "building_type", c("year_built").cast("int"), "is_new_building")
 
 
@@ -56,7 +97,15 @@ def _sheet(spark, sf_dir):
 
 
 def _flat_sheet(own):
-    return flats.flats_f(own).select("price", c("rooms").cast("int"), "building_type", "balcony", "is_new_building", c("total_floors").cast("int"), c("floor").cast("int"))
+    return flats.flats_f(own).select(
+        "price",
+        c("rooms").cast("int"),
+        "building_type",
+        "balcony",
+        "is_new_building",
+        c("total_floors").cast("int"),
+        c("floor").cast("int"),
+    )
 
 
 query(_SHEET_SQL, "flats_f")(lambda s, d: _flat_sheet(_sheet(s, d)))
@@ -74,13 +123,34 @@ def scan_sheet(spark, sf_dir):
 
 @query("SELECT 'flats_g_' || p_partkey AS url, cast(floor(p_retailprice) AS bigint) AS price, CASE WHEN p_size % 5 = 0 THEN 0 ELSE p_size % 5 END AS rooms, p_size + 0.5::double AS total_area, p_size AS floor, 'Тула' AS city, 'улица Мира' AS street, cast(p_size AS varchar) AS house_number FROM part")
 def flats_g(spark, sf_dir):
-    own = table(spark, sf_dir, "part").select(c("p_partkey").cast("string").alias("doc_id"), F.concat(F.floor("p_retailprice").cast("string"), F.lit(" ₽")).alias("price"), F.when(c("p_size") % 5 == 0, "Студия").otherwise(F.concat((c("p_size") % 5).cast("string"), F.lit("-комн. кв."))).alias("title"), F.create_map(F.lit("Общая площадь"), F.concat(c("p_size").cast("string"), F.lit(",5 м²"))).alias("offer_summary"), F.create_map(F.lit("Этаж"), F.concat(c("p_size").cast("string"), F.lit(" из 50"))).alias("offer_details"), F.concat(F.lit("Тула, улица Мира, "), c("p_size").cast("string")).alias("address"), F.array(F.struct(F.lit("S").alias("station_name"), F.lit("5").alias("station_time"))).alias("nearest_stations"), c("p_name").alias("description"))
-    return flats.flats_g(own).select("url", "price", c("rooms").cast("int"), c("total_area").cast("double"), c("floor").cast("int"), "city", "street", "house_number")
+    own = table(spark, sf_dir, "part").select(
+        c("p_partkey").cast("string").alias("doc_id"),
+        F.concat(F.floor("p_retailprice").cast("string"), F.lit(" ₽")).alias("price"),
+        F.when(c("p_size") % 5 == 0, "Студия").otherwise(F.concat((c("p_size") % 5).cast("string"), F.lit("-комн. кв."))).alias("title"),
+        F.create_map(F.lit("Общая площадь"), F.concat(c("p_size").cast("string"), F.lit(",5 м²"))).alias("offer_summary"),
+        F.create_map(F.lit("Этаж"), F.concat(c("p_size").cast("string"), F.lit(" из 50"))).alias("offer_details"),
+        F.concat(F.lit("Тула, улица Мира, "), c("p_size").cast("string")).alias("address"),
+        F.array(F.struct(F.lit("S").alias("station_name"), F.lit("5").alias("station_time"))).alias("nearest_stations"),
+        c("p_name").alias("description"),
+    )
+    return flats.flats_g(own).select(
+        "url",
+        "price",
+        c("rooms").cast("int"),
+        c("total_area").cast("double"),
+        c("floor").cast("int"),
+        "city",
+        "street",
+        "house_number",
+    )
 
 
 @query("SELECT cast(p_retailprice AS bigint) AS price, cast(CASE WHEN p_size < 40 THEN p_size END AS int) AS rooms FROM part")
 def align_schema(spark, sf_dir):
-    own = table(spark, sf_dir, "part").select(F.bround("p_retailprice").cast("bigint").alias("price"), F.when(c("p_size") < 40, c("p_size").cast("string")).otherwise("many").alias("rooms"))
+    own = table(spark, sf_dir, "part").select(
+        F.bround("p_retailprice").cast("bigint").alias("price"),
+        F.when(c("p_size") < 40, c("p_size").cast("string")).otherwise("many").alias("rooms"),
+    )
     return flats.align(own, {k: c(k) for k in own.columns}).select("price", c("rooms").cast("int"))
 
 
@@ -122,7 +192,27 @@ _MAPPED = f"""event_id, ['rent_day', 'rent_long', 'sale'][event_id % 3 + 1] AS d
   cast(event_id % 9 AS varchar) AS house, event_id AS house_id, cast(user_id % 40 AS int) AS rooms, CASE WHEN event_id % 2 = 1 THEN '1 разд.' END AS bathrooms,
   '[["U",' || event_id % 20 || ',"walk"],["V",null,null]]' AS metro_stations, '[["R",5,"transport","' || event_id % 8 || '"]]' AS railways, cast(NULL AS varchar) AS highways,
   CASE WHEN event_id % 4 = 0 THEN 'homeowner' ELSE 'agency' END AS seller_type, event_id % 4 <> 0 AS is_agent, cast(event_id % 50 AS int) AS views_total, cast(event_id % 5 AS int) AS views_today"""
-_MAPPED_COLUMNS = ["event_id", "deal_type", "price", "price_per_m2", "region", "municipality", "district", "microdistrict", "house", "house_id", "rooms", "bathrooms", "metro_stations", "railways", "highways", "seller_type", "is_agent", "views_total", "views_today"]
+_MAPPED_COLUMNS = [
+    "event_id",
+    "deal_type",
+    "price",
+    "price_per_m2",
+    "region",
+    "municipality",
+    "district",
+    "microdistrict",
+    "house",
+    "house_id",
+    "rooms",
+    "bathrooms",
+    "metro_stations",
+    "railways",
+    "highways",
+    "seller_type",
+    "is_agent",
+    "views_total",
+    "views_today",
+]
 query(f"SELECT {_MAPPED}, cast(NULL AS boolean) AS seller_is_owner, cast(NULL AS boolean) AS demolished_in_renovation {_PRICED}", "map_offer")(
     lambda s, d: offers.map_offers(documents(s, d)).select(*_MAPPED_COLUMNS, "seller_is_owner", "demolished_in_renovation")
 )
@@ -145,7 +235,9 @@ query(
     SELECT *, cast(floor(price / total_area) AS bigint) AS price_per_m2 FROM x""",
     "sanitize_rules",
 )(lambda s, d: offers.sanitize(offers.map_offers(documents(s, d)).select("event_id", "total_area", "lat", "lon", "rooms", "floor", "total_floors", "price", "price_per_m2"), 2024))
-query("SELECT event_id, 9 AS total, event_id + i AS id FROM events, (VALUES (0), (1)) t(i)", "explode_offers")(lambda s, d: offers.explode_offers(table(s, d, "events").select("event_id", F.concat(F.lit('{"offerCount":9,"offersSerialized":[{"id":'), "event_id", F.lit('},{"id":'), c("event_id") + 1, F.lit("}]}")).alias("response"))).select("event_id", "total", c("offer.id").alias("id")))
+query("SELECT event_id, 9 AS total, event_id + i AS id FROM events, (VALUES (0), (1)) t(i)", "explode_offers")(
+    lambda s, d: offers.explode_offers(table(s, d, "events").select("event_id", F.concat(F.lit('{"offerCount":9,"offersSerialized":[{"id":'), "event_id", F.lit('},{"id":'), c("event_id") + 1, F.lit("}]}")).alias("response"))).select("event_id", "total", c("offer.id").alias("id")),
+)
 
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer")
@@ -157,13 +249,20 @@ def scan_csv(spark, sf_dir):
 
 @query("SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey % 3 <> 0", "quarantine_bad_rows")
 def quarantine(spark, sf_dir):
-    own = table(spark, sf_dir, "customer").select(F.when(c("c_custkey") % 3 == 0, "x").otherwise(c("c_custkey").cast("string")).alias("c_custkey"), c("c_acctbal").cast("string").alias("c_acctbal"))
+    own = table(spark, sf_dir, "customer").select(
+        F.when(c("c_custkey") % 3 == 0, "x").otherwise(c("c_custkey").cast("string")).alias("c_custkey"),
+        c("c_acctbal").cast("string").alias("c_acctbal"),
+    )
     return files.quarantine(own, "c_custkey long, c_acctbal double")[0]
 
 
 def _appended(spark, sf_dir):
     path = scratch_path(spark, "append")
-    own = table(spark, sf_dir, "orders").select((c("o_orderkey") % 9000).alias("url"), F.lit("s").alias("source"), F.when(c("o_orderkey") % 10 != 0, c("o_custkey")).alias("price"))
+    own = table(spark, sf_dir, "orders").select(
+        (c("o_orderkey") % 9000).alias("url"),
+        F.lit("s").alias("source"),
+        F.when(c("o_orderkey") % 10 != 0, c("o_custkey")).alias("price"),
+    )
     first = files.append_new(own.filter("url < 5000"), path, ["url", "source", "price"])
     second = files.append_new(own, path, ["url", "source", "price"])
     return path, first, second
@@ -178,7 +277,12 @@ SELECT run_id, arg_min(cards, (batch, seen)) AS cards, min(batch) AS batch FROM
 def sink_insert_ignore(spark, sf_dir):
     """Statistics of runs: the first report of a run stays."""
     path = scratch_path(spark, "run-stats")
-    own = table(spark, sf_dir, "orders").select((c("o_orderkey") % 700).alias("run_id"), c("o_custkey").alias("cards"), c("o_orderkey").alias("seen"), (c("o_orderkey") % 2).alias("batch"))
+    own = table(spark, sf_dir, "orders").select(
+        (c("o_orderkey") % 700).alias("run_id"),
+        c("o_custkey").alias("cards"),
+        c("o_orderkey").alias("seen"),
+        (c("o_orderkey") % 2).alias("batch"),
+    )
     for batch in (0, 1):
         files.insert_ignore(own.filter(c("batch") == batch), path, "run_id", "seen")
     return spark.read.parquet(path).drop("seen")
@@ -206,14 +310,25 @@ def exported(spark, sf_dir):
 @query("SELECT o_orderkey, o_totalprice >= 250000 AS is_hot, 'https://example.com/' || o_orderkey AS link FROM orders JOIN customer ON o_custkey = c_custkey", "export_flat")
 def exported_flat(spark, sf_dir):
     path = scratch_path(spark, "flat")
-    own = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), c("o_custkey") == c("c_custkey")).select("o_orderkey", (c("o_totalprice") >= 250000).alias("is_hot"), F.concat(F.lit("https://example.com/"), "o_orderkey").alias("link"), "o_orderdate")
+    own = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), c("o_custkey") == c("c_custkey")).select(
+        "o_orderkey",
+        (c("o_totalprice") >= 250000).alias("is_hot"),
+        F.concat(F.lit("https://example.com/"), "o_orderkey").alias("link"),
+        "o_orderdate",
+    )
     files.export_flat(own, path, ("o_orderdate",))
     return spark.read.csv(path, header=True, schema="o_orderkey long, is_hot int, link string").withColumn("is_hot", c("is_hot") == 1)
 
 
 @query("SELECT c_custkey AS id, c_name AS name, NULL::bigint AS size FROM customer UNION ALL SELECT p_partkey, p_name, p_size FROM part")
 def schema_evolve(spark, sf_dir):
-    return files.evolve([table(spark, sf_dir, "customer").select(c("c_custkey").alias("id"), c("c_name").alias("name")), table(spark, sf_dir, "part").select(c("p_partkey").cast("int").alias("id"), c("p_name").alias("name"), c("p_size").alias("size"))], "id long, name string, size long")
+    return files.evolve(
+        [
+            table(spark, sf_dir, "customer").select(c("c_custkey").alias("id"), c("c_name").alias("name")),
+            table(spark, sf_dir, "part").select(c("p_partkey").cast("int").alias("id"), c("p_name").alias("name"), c("p_size").alias("size")),
+        ],
+        "id long, name string, size long",
+    )
 
 
 @query(r"""SELECT page_id, url, nullif(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '') AS title, cast(len(regexp_extract_all(html, '(?i)<a\s[^>]*href=')) AS int) AS n_links, length(html) AS length FROM pages""")
@@ -238,7 +353,10 @@ def sink_observations(spark, sf_dir):
 def sink_run_stats(spark, sf_dir):
     """A summary of each run, inserted unless the run has one: a second report of all runs adds those that are new only."""
     path = scratch_path(spark, "runs")
-    runs = table(spark, sf_dir, "orders").groupBy(c("o_custkey").alias("run_id")).agg(F.count("*").alias("cards"), F.countDistinct("o_orderpriority").alias("kinds"))
+    runs = table(spark, sf_dir, "orders").groupBy(c("o_custkey").alias("run_id")).agg(
+        F.count("*").alias("cards"),
+        F.countDistinct("o_orderpriority").alias("kinds"),
+    )
     files.insert_ignore(runs.filter("run_id % 3 = 0"), path, "run_id", "cards")
     files.insert_ignore(runs, path, "run_id", "cards")
     return spark.read.parquet(path)

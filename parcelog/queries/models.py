@@ -23,8 +23,16 @@ def log(name: str, sql: str, f) -> None:
     query(sql, name)(lambda spark, sf_dir: f(a.observations(spark, sf_dir)))
 
 
-log("stg_sale", f"WITH {O} SELECT obs_id, listing_id, price FROM obs WHERE coalesce(deal_type, 'sale') = 'sale'", lambda o: staging.stg_sale(o).select("obs_id", "listing_id", "price"))
-log("stg_rent", f"WITH {O} SELECT obs_id, listing_id, price FROM obs WHERE deal_type IN ('rent_long', 'rent_day')", lambda o: staging.stg_rent(o).select("obs_id", "listing_id", "price"))
+log(
+    "stg_sale",
+    f"WITH {O} SELECT obs_id, listing_id, price FROM obs WHERE coalesce(deal_type, 'sale') = 'sale'",
+    lambda o: staging.stg_sale(o).select("obs_id", "listing_id", "price"),
+)
+log(
+    "stg_rent",
+    f"WITH {O} SELECT obs_id, listing_id, price FROM obs WHERE deal_type IN ('rent_long', 'rent_day')",
+    lambda o: staging.stg_rent(o).select("obs_id", "listing_id", "price"),
+)
 _R = O.replace("obs AS (", "every AS (", 1) + ", obs AS (SELECT * FROM every WHERE deal_type LIKE 'rent%')"
 log(
     "fact_rent",
@@ -47,7 +55,9 @@ def _sample(spark, sf_dir):
 
 
 for _name in ("random_sample", "q_geo_points"):
-    query(f"WITH {L} SELECT listing_id, lat::double AS lat, lon::double AS lon FROM listings ORDER BY md5(cast(listing_id AS varchar)), listing_id LIMIT 600", _name)(lambda sp, d: _sample(sp, d).select("listing_id", c("lat").cast("double"), c("lon").cast("double")))
+    query(f"WITH {L} SELECT listing_id, lat::double AS lat, lon::double AS lon FROM listings ORDER BY md5(cast(listing_id AS varchar)), listing_id LIMIT 600", _name)(
+        lambda sp, d: _sample(sp, d).select("listing_id", c("lat").cast("double"), c("lon").cast("double")),
+    )
 
 
 @query(f"WITH {L}, b AS (SELECT segment, floor(area / 5) * 5 + 2.5 AS x, count(*) AS n FROM listings GROUP BY 1, 2), t AS (SELECT segment, sum(n) AS m FROM b GROUP BY 1), g AS (SELECT segment, i * 10 AS spot, x, n, m FROM b JOIN t USING (segment), range(1, 11) r(i)) SELECT segment, cast(spot AS int) AS spot, round(sum(n * exp(-0.5 * pow((spot - x) / 8, 2))) / max(m) / (8 * sqrt(2 * pi())), 6) AS density FROM g GROUP BY 1, 2")
@@ -61,7 +71,10 @@ def density_curve(spark, sf_dir):
 
 @query("SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN -1 ELSE p_size % 4 END AS n FROM part")
 def row_lambdas(spark, sf_dir):
-    return table(spark, sf_dir, "part").select("p_partkey", count_before(F.when(c("p_size") % 3 != 0, F.concat((c("p_size") % 4).cast("string"), F.lit(" совм."))), "совм").alias("n"))
+    return table(spark, sf_dir, "part").select(
+        "p_partkey",
+        count_before(F.when(c("p_size") % 3 != 0, F.concat((c("p_size") % 4).cast("string"), F.lit(" совм."))), "совм").alias("n"),
+    )
 
 
 #: A model with other constants than its defaults.
@@ -84,7 +97,11 @@ def macro_schema_name(spark, sf_dir):
 @query("SELECT n_regionkey, count(*) AS n FROM nation GROUP BY 1")
 def materialize_layer(spark, sf_dir):
     views = staging.materialize_layer(spark, {"stg_nation": table(spark, sf_dir, "nation")}, "", as_views=True)
-    tables = staging.materialize_layer(spark, {"by_region": views["stg_nation"].groupBy("n_regionkey").agg(F.count("*").alias("n"))}, scratch_path(spark, "layer"))
+    tables = staging.materialize_layer(
+        spark,
+        {"by_region": views["stg_nation"].groupBy("n_regionkey").agg(F.count("*").alias("n"))},
+        scratch_path(spark, "layer"),
+    )
     return tables["by_region"]
 
 
@@ -116,7 +133,10 @@ def transform_plugins(spark, sf_dir):
 @query("SELECT 'doc=' || s_suppkey AS doc_id, s_name FROM supplier WHERE s_suppkey % 10 <> 3")
 def scan_json_docs(spark, sf_dir):
     path = scratch_path(spark, "docs")
-    own = table(spark, sf_dir, "supplier").select(c("s_suppkey").cast("string").alias("doc"), F.when(c("s_suppkey") % 10 == 3, "{broken").otherwise(F.to_json(F.struct("s_name"))).alias("value"))
+    own = table(spark, sf_dir, "supplier").select(
+        c("s_suppkey").cast("string").alias("doc"),
+        F.when(c("s_suppkey") % 10 == 3, "{broken").otherwise(F.to_json(F.struct("s_name"))).alias("value"),
+    )
     own.repartition("doc").write.partitionBy("doc").text(path)
     return files.scan_json_docs(spark, path, "s_name string", "*.txt")[0]
 
@@ -183,7 +203,14 @@ def feature_builder(spark, sf_dir):
 )
 def temporal_features(spark, sf_dir):
     own = flat_inputs(spark, sf_dir)
-    return features.fit(own, 2002).transform(own, "listing_id").select("listing_id", "completion_year", "years_to_completion", "is_presale", "has_completion", "is_ready")
+    return features.fit(own, 2002).transform(own, "listing_id").select(
+        "listing_id",
+        "completion_year",
+        "years_to_completion",
+        "is_presale",
+        "has_completion",
+        "is_ready",
+    )
 
 
 @query(
@@ -191,7 +218,13 @@ def temporal_features(spark, sf_dir):
     CASE WHEN listing_id % 3 <> 0 THEN 0.25 END::double AS kitchen_to_total, 0::double AS has_lift FROM listings"""
 )
 def layout_features(spark, sf_dir):
-    made = flat_inputs(spark, sf_dir).select("listing_id", *[c(k).cast("double").alias(k) for k in ("floor", "total_floors", "total_area", "kitchen_area", "rooms")])
+    made = flat_inputs(spark, sf_dir).select(
+        "listing_id",
+        *[c(k).cast("double").alias(k) for k in ("floor", "total_floors", "total_area", "kitchen_area", "rooms")],
+    )
     none = F.lit(None).cast("double")
     own = features.layout_features(c("floor"), c("total_floors"), c("total_area"), none, c("kitchen_area"), c("rooms"), (none, none))
-    return made.select("listing_id", *[F.round(own[k].cast("double"), 6).alias(k) for k in ("is_first_floor", "is_last_floor", "floor_ratio", "kitchen_to_total", "has_lift")])
+    return made.select(
+        "listing_id",
+        *[F.round(own[k].cast("double"), 6).alias(k) for k in ("is_first_floor", "is_last_floor", "floor_ratio", "kitchen_to_total", "has_lift")],
+    )

@@ -34,8 +34,12 @@ def run_stream(spark, sf_dir, cuts: tuple[str, ...] = ("2024-01-11", "2024-01-21
     return jobs.source(spark, path, 1)
 
 
-query(f"WITH {O} SELECT obs_id, listing_id, scraped_at, price FROM obs WHERE price IS NOT NULL", "stream_ingest")(lambda s, d: jobs.ingest(log_stream(s, d, 3)[0], scratch_path(s, "ingest")))
-query(f"WITH {O} SELECT DISTINCT listing_id FROM obs", "stream_dedupe")(lambda s, d: jobs.dedupe(log_stream(s, d, 3)[0].withColumn("scraped_at", c("scraped_at").cast("timestamp")), ["listing_id"], "scraped_at", scratch_path(s, "dedupe")).select("listing_id"))
+query(f"WITH {O} SELECT obs_id, listing_id, scraped_at, price FROM obs WHERE price IS NOT NULL", "stream_ingest")(
+    lambda s, d: jobs.ingest(log_stream(s, d, 3)[0], scratch_path(s, "ingest")),
+)
+query(f"WITH {O} SELECT DISTINCT listing_id FROM obs", "stream_dedupe")(
+    lambda s, d: jobs.dedupe(log_stream(s, d, 3)[0].withColumn("scraped_at", c("scraped_at").cast("timestamp")), ["listing_id"], "scraped_at", scratch_path(s, "dedupe")).select("listing_id"),
+)
 #: Outcomes by going through each listing's sightings one after another; a run is a day.
 _STATES = f"""WITH RECURSIVE {O},
 o AS (SELECT *, cast(scraped_at AS date) AS run, row_number() OVER (PARTITION BY listing_id ORDER BY scraped_at, obs_id) AS rn FROM obs),
@@ -51,8 +55,12 @@ query(
     FROM s GROUP BY 1, 2 HAVING bool_and(outcome = 'known') AND coalesce(max(nullif(price, 0)), max(known)) IS NOT NULL""",
     "stream_presence",
 )(lambda s, d: jobs.presence(run_stream(s, d), scratch_path(s, "presence")))
-query(f"WITH {O} SELECT start, count(*) AS n FROM (SELECT unnest(list_transform(range(0, 12), lambda i: to_timestamp(floor(epoch(scraped_at) / 5) * 5 - i * 5)::timestamp)) AS start FROM obs) GROUP BY 1", "stream_rate")(lambda s, d: jobs.rate(log_stream(s, d, 2)[0].withColumn("scraped_at", c("scraped_at").cast("timestamp")), "scraped_at", scratch_path(s, "rate")).select(c("start").cast("timestamp_ntz").alias("start"), "n"))
-query(f"{_STATES} SELECT obs_id, outcome FROM s", "stream_card_state")(lambda s, d: jobs.card_states(run_stream(s, d), scratch_path(s, "states")).select("obs_id", "outcome"))
+query(f"WITH {O} SELECT start, count(*) AS n FROM (SELECT unnest(list_transform(range(0, 12), lambda i: to_timestamp(floor(epoch(scraped_at) / 5) * 5 - i * 5)::timestamp)) AS start FROM obs) GROUP BY 1", "stream_rate")(
+    lambda s, d: jobs.rate(log_stream(s, d, 2)[0].withColumn("scraped_at", c("scraped_at").cast("timestamp")), "scraped_at", scratch_path(s, "rate")).select(c("start").cast("timestamp_ntz").alias("start"), "n"),
+)
+query(f"{_STATES} SELECT obs_id, outcome FROM s", "stream_card_state")(
+    lambda s, d: jobs.card_states(run_stream(s, d), scratch_path(s, "states")).select("obs_id", "outcome"),
+)
 
 
 @query(f"WITH {O} SELECT obs_id FROM obs WHERE price IS NOT NULL")
@@ -70,23 +78,40 @@ def stream_checkpoint(spark, sf_dir):
 def stream_freshness(spark, sf_dir):
     from parcelog.operators.checks import stale
 
-    return stale(jobs.ingest(log_stream(spark, sf_dir, 2)[0], scratch_path(spark, "fresh")), "scraped_at", F.lit("2024-01-31 20:00:00").cast("timestamp_ntz"), 14)
+    return stale(
+        jobs.ingest(log_stream(spark, sf_dir, 2)[0], scratch_path(spark, "fresh")),
+        "scraped_at",
+        F.lit("2024-01-31 20:00:00").cast("timestamp_ntz"),
+        14,
+    )
 
 
 _SHARE = lambda x: f"(cast('0x' || substr(md5({x}), 1, 8) AS bigint) / 4294967296.0::double)"
 query(f"WITH {L} SELECT listing_id, row_number() OVER (PARTITION BY status ORDER BY md5('0|' || listing_id), listing_id) <= floor(0.2 * count(*) OVER (PARTITION BY status) + 0.5) AS is_test FROM listings", "stratified_split")(
     lambda s, d: t.stratified_split(a.listings(s, d), "listing_id", "status", 0.2).select("listing_id", "is_test")
 )
-query(f"WITH {L} SELECT listing_id, cast(dense_rank() OVER (ORDER BY segment) - 1 AS int) AS index FROM listings", "label_encode")(lambda s, d: t.label_index(a.listings(s, d), "segment").select("listing_id", "index"))
+query(f"WITH {L} SELECT listing_id, cast(dense_rank() OVER (ORDER BY segment) - 1 AS int) AS index FROM listings", "label_encode")(
+    lambda s, d: t.label_index(a.listings(s, d), "segment").select("listing_id", "index"),
+)
 _TE = f"""WITH {L}, x AS (SELECT listing_id, municipality, cast(price > 250000 AS int) AS y, cast(floor({_SHARE('cast(listing_id AS varchar)')} * 5) AS int) AS fold FROM listings),
   f AS (SELECT municipality, fold, sum(y)::double AS s, count(y) AS m FROM x GROUP BY 1, 2), g AS (SELECT municipality, fold, sum(s) OVER (PARTITION BY municipality) - s AS s_, sum(m) OVER (PARTITION BY municipality) - m AS m_, (sum(s) OVER () - sum(s) OVER (PARTITION BY fold)) / (sum(m) OVER () - sum(m) OVER (PARTITION BY fold)) AS p_ FROM f)
   SELECT listing_id, round((s_ + 10 * p_) / (m_ + 10), 6) AS encoded FROM x JOIN g USING (municipality, fold)"""
-query(_TE, "target_encode")(lambda s, d: t.target_encode(a.listings(s, d).withColumn("y", (c("price") > 250000).cast("int")), "municipality", "y", "listing_id").select("listing_id", F.round("encoded", 6).alias("encoded")))
+query(_TE, "target_encode")(
+    lambda s, d: t.target_encode(a.listings(s, d).withColumn("y", (c("price") > 250000).cast("int")), "municipality", "y", "listing_id").select("listing_id", F.round("encoded", 6).alias("encoded")),
+)
 _SCORED = f"WITH {L}, x AS (SELECT cast(status = 'O' AS int) AS y, round(price / 500000, 6) AS s, price / 500000 AS raw FROM listings), b AS (SELECT s, sum(y) AS p, count(*) AS n, sum(cast(y = cast(raw >= 0.5 AS int) AS int)) AS ok FROM x GROUP BY 1), w AS (SELECT *, sum(p) OVER (ORDER BY s DESC) AS tp, sum(n) OVER (ORDER BY s DESC) AS al FROM b)"
-query(f"{_SCORED} SELECT round(sum((n - p) * (tp - p / 2)) / (sum(p) * sum(n - p)), 6) AS roc_auc, round(sum(p * tp / al) / sum(p), 6) AS average_precision, round(sum(ok) / sum(n), 6) AS accuracy, cast(sum(n) AS bigint) AS n FROM w", "clf_metrics")(lambda s, d: t.classifier_metrics(a.listings(s, d).select((c("status") == "O").cast("int").alias("y"), (c("price") / 500000).alias("score")), "y"))
-query(f"WITH {L}, x AS (SELECT price AS y, area * 4000 AS z FROM listings) SELECT round(avg(abs(y - z)), 4) AS mae, round(sqrt(avg((y - z) * (y - z))), 4) AS rmse, round(1 - sum((y - z) * (y - z)) / (var_pop(y) * count(y)), 4) AS r2 FROM x", "reg_metrics")(lambda s, d: t.regression_metrics(a.listings(s, d).select(c("price").alias("y"), (c("area") * 4000).alias("z")), "y", "z"))
-query(f"WITH {L}, x AS (SELECT price AS y, round(ppm2) * area AS z FROM listings) SELECT round(avg(abs(y - z)), 4) AS mae, round(sqrt(avg((y - z) * (y - z))), 4) AS rmse, round(1 - sum((y - z) * (y - z)) / (var_pop(y) * count(y)), 4) AS r2 FROM x", "price_restore")(lambda s, d: t.regression_metrics(a.listings(s, d).select(c("price").alias("y"), (F.round("ppm2") * c("area")).alias("z")), "y", "z"))
-query(f"WITH {L} SELECT status = 'O' AS label, price >= 250000 AS predicted, count(*) AS n FROM listings GROUP BY 1, 2", "confusion")(lambda s, d: t.confusion(a.listings(s, d).select((c("status") == "O").alias("label"), (c("price") >= 250000).alias("predicted")), "label", "predicted"))
+query(f"{_SCORED} SELECT round(sum((n - p) * (tp - p / 2)) / (sum(p) * sum(n - p)), 6) AS roc_auc, round(sum(p * tp / al) / sum(p), 6) AS average_precision, round(sum(ok) / sum(n), 6) AS accuracy, cast(sum(n) AS bigint) AS n FROM w", "clf_metrics")(
+    lambda s, d: t.classifier_metrics(a.listings(s, d).select((c("status") == "O").cast("int").alias("y"), (c("price") / 500000).alias("score")), "y"),
+)
+query(f"WITH {L}, x AS (SELECT price AS y, area * 4000 AS z FROM listings) SELECT round(avg(abs(y - z)), 4) AS mae, round(sqrt(avg((y - z) * (y - z))), 4) AS rmse, round(1 - sum((y - z) * (y - z)) / (var_pop(y) * count(y)), 4) AS r2 FROM x", "reg_metrics")(
+    lambda s, d: t.regression_metrics(a.listings(s, d).select(c("price").alias("y"), (c("area") * 4000).alias("z")), "y", "z"),
+)
+query(f"WITH {L}, x AS (SELECT price AS y, round(ppm2) * area AS z FROM listings) SELECT round(avg(abs(y - z)), 4) AS mae, round(sqrt(avg((y - z) * (y - z))), 4) AS rmse, round(1 - sum((y - z) * (y - z)) / (var_pop(y) * count(y)), 4) AS r2 FROM x", "price_restore")(
+    lambda s, d: t.regression_metrics(a.listings(s, d).select(c("price").alias("y"), (F.round("ppm2") * c("area")).alias("z")), "y", "z"),
+)
+query(f"WITH {L} SELECT status = 'O' AS label, price >= 250000 AS predicted, count(*) AS n FROM listings GROUP BY 1, 2", "confusion")(
+    lambda s, d: t.confusion(a.listings(s, d).select((c("status") == "O").alias("label"), (c("price") >= 250000).alias("predicted")), "label", "predicted"),
+)
 
 
 @query(f"WITH {L} SELECT unnest(['price', 'region', 'rooms', 'is_new']) AS feature, unnest([true, false, true, false]) AS numeric, unnest([count(DISTINCT price), count(DISTINCT region), count(DISTINCT rooms), count(DISTINCT is_new)]) AS n_values FROM listings")
@@ -102,22 +127,35 @@ NUMBERS, CATEGORIES = ["area", "rooms", "lat", "lon"], ["region", "segment"]
 
 
 def labelled(spark, sf_dir):
-    return a.listings(spark, sf_dir).withColumns({"y": (c("ppm2") > 4500).cast("int"), "lat": c("lat").cast("double"), "lon": c("lon").cast("double"), "rooms": c("rooms").cast("double")})
+    return a.listings(spark, sf_dir).withColumns(
+        {"y": (c("ppm2") > 4500).cast("int"), "lat": c("lat").cast("double"), "lon": c("lon").cast("double"), "rooms": c("rooms").cast("double")},
+    )
 
 
 def _scored(kind: str, label: str):
     def run(spark, sf_dir):
         data = labelled(spark, sf_dir)
-        return t.score(t.fit(data.filter(t.hash_share("listing_id") >= 0.2), kind, label, NUMBERS, CATEGORIES), data.filter(t.hash_share("listing_id") < 0.2), "listing_id", label)
+        return t.score(
+            t.fit(data.filter(t.hash_share("listing_id") >= 0.2), kind, label, NUMBERS, CATEGORIES),
+            data.filter(t.hash_share("listing_id") < 0.2),
+            "listing_id",
+            label,
+        )
 
     return run
 
 
 query(None, "clf_boosted")(lambda s, d: t.classifier_metrics(_scored("clf_boosted", "y")(s, d), "y"))
-query(None, "simple_models")(lambda s, d: t.classifier_metrics(_scored("logistic", "y")(s, d), "y").withColumn("model", F.lit("logistic")).union(t.classifier_metrics(_scored("tree", "y")(s, d), "y").withColumn("model", F.lit("tree"))))
+query(None, "simple_models")(
+    lambda s, d: t.classifier_metrics(_scored("logistic", "y")(s, d), "y").withColumn("model", F.lit("logistic")).union(
+        t.classifier_metrics(_scored("tree", "y")(s, d), "y").withColumn("model", F.lit("tree")),
+    ),
+)
 query(None, "reg_boosted")(lambda s, d: t.regression_metrics(_scored("reg_boosted", "ppm2")(s, d), "ppm2", "score"))
 query(None, "importances")(lambda s, d: t.importances(t.fit(labelled(s, d), "clf_boosted", "y", NUMBERS, CATEGORIES), labelled(s, d)))
-query(None, "ohe_scale")(lambda s, d: (lambda data: t.Pipeline(stages=t.preprocessor(NUMBERS, CATEGORIES)).fit(data).transform(data).select("listing_id", t.vector_to_array("features").alias("features")))(labelled(s, d)))
+query(None, "ohe_scale")(
+    lambda s, d: (lambda data: t.Pipeline(stages=t.preprocessor(NUMBERS, CATEGORIES)).fit(data).transform(data).select("listing_id", t.vector_to_array("features").alias("features")))(labelled(s, d)),
+)
 #: What the random search draws from: a logistic regression and a tree.
 SPACES = [{"model": ["logistic"], "regParam": [0.01, 0.1, 1.0]}, {"model": ["tree"], "maxDepth": [3, 5], "minInstancesPerNode": [20, 50]}]
 
@@ -128,7 +166,9 @@ def random_search_cv(spark, sf_dir):
     return spark.createDataFrame([(i, float(area), str(setting)) for i, (area, setting) in enumerate(found, 1)], "place int, roc_auc double, setting string")
 
 
-query(None, "batch_score")(lambda s, d: (lambda data: t.score(t.fit(data, "clf_boosted", "y", NUMBERS, CATEGORIES), latest_per_key(data.filter("status = 'O'"), "seller_id", c("first_seen"), c("listing_id")), "seller_id", "listing_id", "ppm2"))(labelled(s, d)))
+query(None, "batch_score")(
+    lambda s, d: (lambda data: t.score(t.fit(data, "clf_boosted", "y", NUMBERS, CATEGORIES), latest_per_key(data.filter("status = 'O'"), "seller_id", c("first_seen"), c("listing_id")), "seller_id", "listing_id", "ppm2"))(labelled(s, d)),
+)
 
 
 @query(None)

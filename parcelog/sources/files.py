@@ -62,7 +62,10 @@ def scan_geojson(spark: SparkSession, path: str, name: str = "name", lines: bool
     them out would lose rows.
     """
     schema = f"features array<struct<properties:struct<`{name}`:string>,geometry:struct<type:string,coordinates:string>>>"
-    feature = spark.read.json(path, schema=schema, multiLine=not lines).select(F.explode("features").alias("f")).select(F.col(f"f.properties.{name}").alias("name"), "f.geometry.*")
+    feature = spark.read.json(path, schema=schema, multiLine=not lines).select(F.explode("features").alias("f")).select(
+        F.col(f"f.properties.{name}").alias("name"),
+        "f.geometry.*",
+    )
     polygon = F.from_json("coordinates", "array<array<array<double>>>")
     parts = F.from_json("coordinates", "array<array<array<array<double>>>>")
     other = F.raise_error(F.concat(F.lit("a geometry that is no area: "), F.coalesce("type", F.lit("none"))))

@@ -59,7 +59,13 @@ COLUMNS = {
 #: Codes and labels of the sources (fixed values).
 BUILDING_TYPES = {1: "Панельный", 2: "Монолитный", 3: "Кирпичный", 4: "Блочный", 5: "Деревянный"}
 MATERIALS = {"Монолит": "Монолитный", "Панель": "Панельный", "Кирпич": "Кирпичный", "Блоки": "Блочный", "Дерево": "Деревянный"}
-RENOVATIONS = {"Cosmetic": "Косметический", "European-style renovation": "Евроремонт", "Without renovation": "Без ремонта", "Designer renovation": "Дизайнерский", "Designer": "Дизайнерский"}
+RENOVATIONS = {
+    "Cosmetic": "Косметический",
+    "European-style renovation": "Евроремонт",
+    "Without renovation": "Без ремонта",
+    "Designer renovation": "Дизайнерский",
+    "Designer": "Дизайнерский",
+}
 CITY, AROUND = "Москва", "Московская область"
 BOX = {"lat": (54.2, 57.0), "lon": (35.0, 40.5)}
 
@@ -82,7 +88,9 @@ def _coded(source: str, region: str, city: int, around: int) -> Callable[[DataFr
     """The shape with region codes, building codes and a box around the city."""
 
     def transform(df: DataFrame) -> DataFrame:
-        kept = df.filter(c(region).isin(city, around) & c("geo_lat").between(*BOX["lat"]) & c("geo_lon").between(*BOX["lon"]) & (c("price") > 0) & (c("area").isNull() | c("area").between(5, 500)))
+        kept = df.filter(
+            c(region).isin(city, around) & c("geo_lat").between(*BOX["lat"]) & c("geo_lon").between(*BOX["lon"]) & (c("price") > 0) & (c("area").isNull() | c("area").between(5, 500)),
+        )
         return _named(kept, source, {
             "price": c("price"), "city": F.when(c(region) == city, CITY).otherwise(AROUND), "lat": c("geo_lat"), "lon": c("geo_lon"), "floor": c("level"), "total_floors": c("levels"), "total_area": c("area"),
             "rooms": F.when(c("rooms") >= 0, c("rooms")), "building_type": F.try_element_at(F.create_map(*[F.lit(x) for kv in BUILDING_TYPES.items() for x in kv]), c("building_type").cast("int")),
@@ -93,33 +101,115 @@ def _coded(source: str, region: str, city: int, around: int) -> Callable[[DataFr
 
 
 def flats_c(df: DataFrame) -> DataFrame:
-    return _named(df, "flats_c", {"price": c("Price"), "rooms": c("Number of rooms"), "total_area": c("Area"), "living_area": c("Living area"), "kitchen_area": c("Kitchen area"), "floor": c("Floor"), "total_floors": c("Number of floors"), "renovation": F.coalesce(mapped(c("Renovation"), RENOVATIONS), c("Renovation")), "city": F.coalesce(mapped(c("Region"), {"Moscow": CITY, "Moscow region": AROUND}), c("Region"))})
+    return _named(
+        df,
+        "flats_c",
+        {
+            "price": c("Price"),
+            "rooms": c("Number of rooms"),
+            "total_area": c("Area"),
+            "living_area": c("Living area"),
+            "kitchen_area": c("Kitchen area"),
+            "floor": c("Floor"),
+            "total_floors": c("Number of floors"),
+            "renovation": F.coalesce(mapped(c("Renovation"), RENOVATIONS), c("Renovation")),
+            "city": F.coalesce(mapped(c("Region"), {"Moscow": CITY, "Moscow region": AROUND}), c("Region")),
+        },
+    )
 
 
 def flats_d(df: DataFrame) -> DataFrame:
-    return _named(df, "flats_d", {"url": c("link"), "price": c("price"), "total_floors": c("number_of_floors"), "year_built": c("construction_year"), "rooms": c("number_of_rooms"), "region": c("region_of_moscow"), "is_new_building": F.coalesce(c("is_new") == 1, F.lit(False)), "is_apartments": c("is_apartments") == 1, "city": F.lit(CITY)})
+    return _named(
+        df,
+        "flats_d",
+        {
+            "url": c("link"),
+            "price": c("price"),
+            "total_floors": c("number_of_floors"),
+            "year_built": c("construction_year"),
+            "rooms": c("number_of_rooms"),
+            "region": c("region_of_moscow"),
+            "is_new_building": F.coalesce(c("is_new") == 1, F.lit(False)),
+            "is_apartments": c("is_apartments") == 1,
+            "city": F.lit(CITY),
+        },
+    )
 
 
 def flats_e(df: DataFrame) -> DataFrame:
     floor, floors = slash_pair(c("level"))
     material = F.coalesce(mapped(c("material"), MATERIALS), F.nullif(c("material"), F.lit("0")))
-    return _named(df.filter((c("city") == CITY) & (c("price") > 0)), "flats_e", {"price": c("price"), "city": F.lit(CITY), "floor": floor, "total_floors": floors, "total_area": c("area"), "building_type": material, "price_per_m2": c("price_by_meter").try_cast("double"), "lon": c("longitude"), "lat": c("latitude"), "publication_date": c("published"), "year_built": F.nullif(c("build_year").try_cast("int"), F.lit(0)), "is_new_building": F.coalesce(c("object_type") == "Новостройка", F.lit(False))})
+    return _named(
+        df.filter((c("city") == CITY) & (c("price") > 0)),
+        "flats_e",
+        {
+            "price": c("price"),
+            "city": F.lit(CITY),
+            "floor": floor,
+            "total_floors": floors,
+            "total_area": c("area"),
+            "building_type": material,
+            "price_per_m2": c("price_by_meter").try_cast("double"),
+            "lon": c("longitude"),
+            "lat": c("latitude"),
+            "publication_date": c("published"),
+            "year_built": F.nullif(c("build_year").try_cast("int"), F.lit(0)),
+            "is_new_building": F.coalesce(c("object_type") == "Новостройка", F.lit(False)),
+        },
+    )
 
 
 def flats_f(df: DataFrame) -> DataFrame:
     """Columns by position, as headers repeat."""
     own = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    return _named(own, "flats_f", {"rooms": c("c2"), "price": c("c3"), "total_area": c("c4"), "living_area": c("c5"), "kitchen_area": c("c6"), "building_type": F.when(c("c10") == 1, "Кирпичный"), "balcony": F.when(c("c12") == 1, "Есть"), "is_new_building": F.coalesce(c("c14") == 1, F.lit(False)), "total_floors": c("c15"), "floor": c("c16"), "city": F.lit(CITY)})
+    return _named(
+        own,
+        "flats_f",
+        {
+            "rooms": c("c2"),
+            "price": c("c3"),
+            "total_area": c("c4"),
+            "living_area": c("c5"),
+            "kitchen_area": c("c6"),
+            "building_type": F.when(c("c10") == 1, "Кирпичный"),
+            "balcony": F.when(c("c12") == 1, "Есть"),
+            "is_new_building": F.coalesce(c("c14") == 1, F.lit(False)),
+            "total_floors": c("c15"),
+            "floor": c("c16"),
+            "city": F.lit(CITY),
+        },
+    )
 
 
 def flats_g(df: DataFrame) -> DataFrame:
     """Nested documents: maps of labelled details, an address line and stations."""
     from parcelog.functions.text import address
 
-    detail = lambda k: F.try_element_at(F.coalesce(F.map_concat("offer_summary", "offer_details"), c("offer_summary"), c("offer_details")), F.lit(k))
+    detail = lambda k: F.try_element_at(
+        F.coalesce(F.map_concat("offer_summary", "offer_details"), c("offer_summary"), c("offer_details")),
+        F.lit(k),
+    )
     df = df.withColumn("address_", address(c("address")))  # folded once
     floor, floors = floor_pair(detail("Этаж"))
-    return _named(df, "flats_g", {"url": F.concat(F.lit("flats_g_"), "doc_id"), "price": price_digits(c("price")), "rooms": rooms_of_title(c("title")), "total_area": decimal_number(detail("Общая площадь")), "living_area": decimal_number(detail("Жилая площадь")), "kitchen_area": decimal_number(detail("Площадь кухни")), "floor": floor, "total_floors": floors, "year_built": decimal_number(detail("Год постройки")), "renovation": detail("Ремонт"), **{k: c(f"address_.{k}") for k in ("city", "region", "district", "street", "house_number")}, "description": c("description"), "metro_stations": F.to_json(F.transform(F.filter("nearest_stations", lambda s: s["station_name"].isNotNull()), lambda s: F.array(s["station_name"], s["station_time"])))})
+    return _named(
+        df,
+        "flats_g",
+        {
+            "url": F.concat(F.lit("flats_g_"), "doc_id"),
+            "price": price_digits(c("price")),
+            "rooms": rooms_of_title(c("title")),
+            "total_area": decimal_number(detail("Общая площадь")),
+            "living_area": decimal_number(detail("Жилая площадь")),
+            "kitchen_area": decimal_number(detail("Площадь кухни")),
+            "floor": floor,
+            "total_floors": floors,
+            "year_built": decimal_number(detail("Год постройки")),
+            "renovation": detail("Ремонт"),
+            **{k: c(f"address_.{k}") for k in ("city", "region", "district", "street", "house_number")},
+            "description": c("description"),
+            "metro_stations": F.to_json(F.transform(F.filter("nearest_stations", lambda s: s["station_name"].isNotNull()), lambda s: F.array(s["station_name"], s["station_time"]))),
+        },
+    )
 
 
 #: Separators and transforms by name: the extension point for new sources.

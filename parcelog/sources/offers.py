@@ -74,7 +74,26 @@ AGENT_FIELDS = {
     "is_builder": "isBuilder", "agency_name": "agencyName",
 }
 #: Least and greatest plausible values (fixed values).
-RANGES = {"total_area": (5, 3000), "living_area": (2, 3000), "kitchen_area": (1, 500), "ceiling_height": (2, 10), "lat": (41, 82), "lon": (19, 191), "total_floors": (1, 130), "floor": (-5, 130), "rooms": (0, 30), "photos_count": (0, 500), "flat_count": (1, 30000), "entrances": (1, 300), "chute_count": (0, 300), "passenger_lifts": (0, 60), "cargo_lifts": (0, 60), "beds_count": (1, 100), "views_total": (0, 10_000_000), "views_today": (0, 1_000_000)}
+RANGES = {
+    "total_area": (5, 3000),
+    "living_area": (2, 3000),
+    "kitchen_area": (1, 500),
+    "ceiling_height": (2, 10),
+    "lat": (41, 82),
+    "lon": (19, 191),
+    "total_floors": (1, 130),
+    "floor": (-5, 130),
+    "rooms": (0, 30),
+    "photos_count": (0, 500),
+    "flat_count": (1, 30000),
+    "entrances": (1, 300),
+    "chute_count": (0, 300),
+    "passenger_lifts": (0, 60),
+    "cargo_lifts": (0, 60),
+    "beds_count": (1, 100),
+    "views_total": (0, 10_000_000),
+    "views_today": (0, 1_000_000),
+}
 FIRST_YEAR, YEARS_AHEAD = 1700, 8
 
 
@@ -101,13 +120,12 @@ def _true(flag: Column) -> Column:
     return F.coalesce(flag, F.lit(False))
 
 
-def offer_columns(o: Column, agent: Column, stats: Column, changes: Column) -> dict[str, Column]:
-    """All flat columns of an offer, its seller, its view counts and its price changes."""
+def offer_columns(o: Column, agent: Column, stats: Column, changes: Column, address: Column) -> dict[str, Column]:
+    """All flat columns of an offer, its seller, its view counts and its price changes; ``address`` is the offer's, folded."""
     terms, building, geo, new = o["bargainTerms"], o["building"], o["geo"], o["newbuilding"]
     price = F.coalesce(_positive(terms["priceRur"]), _positive(terms["price"]))
     area = number(o["totalArea"])
     total, today = view_counts(stats["totalViewsFormattedString"])
-    address = folded_address(geo["address"])
     deadline, finish = building["deadline"], new["house"]["finishDate"]
     as_given = [(o, OFFER_FIELDS), (terms, TERM_FIELDS), (building, BUILDING_FIELDS), (agent, AGENT_FIELDS)]
     return {
@@ -120,8 +138,8 @@ def offer_columns(o: Column, agent: Column, stats: Column, changes: Column) -> d
         "utilities_price": terms["utilitiesTerms"]["price"],
         "lat": geo["coordinates"]["lat"],
         "lon": geo["coordinates"]["lng"],
-        "metro_stations": rows_json(geo["undergrounds"], "name", "travelTime", "travelType"),
-        "railways": rows_json(geo["railways"], "name", "time", "travelType", "distance"),
+        "metro_stations": rows_json(geo["undergrounds"], "name", "travelTime", "travelType", numbers=("travelTime",)),
+        "railways": rows_json(geo["railways"], "name", "time", "travelType", "distance", numbers=("time",)),
         "highways": rows_json(geo["highways"], "name", "distance"),
         "is_studio": _true(o["isStudio"]) | _true(o["flatType"] == "studio"),
         "total_area": area,
@@ -146,25 +164,33 @@ def offer_columns(o: Column, agent: Column, stats: Column, changes: Column) -> d
     }
 
 
+ADDRESS_COLUMN = "folded_address_"
+
+
+def _with_address(docs: DataFrame, offer: Column) -> DataFrame:
+    """``docs`` with the folded address as one struct: seven columns read it, and it is folded once."""
+    return docs.withColumn(ADDRESS_COLUMN, folded_address(offer["geo"]["address"]))
+
+
 def _mapped(docs: DataFrame, source: str, columns: dict[str, Column]) -> DataFrame:
-    kept = [k for k in docs.columns if k != source and k not in columns]  # a mapped column replaces one of its name
+    kept = [k for k in docs.columns if k not in (source, ADDRESS_COLUMN) and k not in columns]  # a mapped column replaces one of its name
     return docs.select(*kept, *[x.alias(k) for k, x in columns.items()]).filter("price is not null")
 
 
 def map_offers(docs: DataFrame, document: str = "document") -> DataFrame:
     """Flat columns beside those of ``docs`` from a struct column of the schema DOCUMENT; documents without price go."""
     d = F.col(document)
-    return _mapped(docs, document, offer_columns(d["offer"], d["agent"], d["stats"], d["priceChanges"]))
+    return _mapped(_with_address(docs, d["offer"]), document, offer_columns(d["offer"], d["agent"], d["stats"], d["priceChanges"], F.col(ADDRESS_COLUMN)))
 
 
 def map_api_offers(docs: DataFrame, offer: str = "offer") -> DataFrame:
     """The same from a struct column of the schema API_OFFER. Whether the house comes down may stand with the building,
     and without a word on it the seller is the owner if the account is a homeowner's."""
     o = F.col(offer)
-    columns = offer_columns(o, o["user"], o["statistic"], o["priceChanges"])
+    columns = offer_columns(o, o["user"], o["statistic"], o["priceChanges"], F.col(ADDRESS_COLUMN))
     columns["demolished_in_renovation"] = F.coalesce(columns["demolished_in_renovation"], o["building"]["demolishedInMoscowProgramm"])
     columns["seller_is_owner"] = F.coalesce(columns["seller_is_owner"], o["user"]["accountType"] == "homeowner", F.lit(False))
-    return _mapped(docs, offer, columns)
+    return _mapped(_with_address(docs, o), offer, columns)
 
 
 def sanitize(df: DataFrame, year: int) -> DataFrame:
@@ -177,9 +203,14 @@ def sanitize(df: DataFrame, year: int) -> DataFrame:
         both = F.col("lat").isNotNull() & F.col("lon").isNotNull()
         out = out.withColumns({k: F.when(both, F.col(k)) for k in ("lat", "lon")})
     if has("total_area"):
-        out = out.withColumns({k: F.when(~F.coalesce(F.col(k) > F.col("total_area"), F.lit(False)), F.col(k)) for k in ("living_area", "kitchen_area") if k in df.columns})
+        out = out.withColumns(
+            {k: F.when(~F.coalesce(F.col(k) > F.col("total_area"), F.lit(False)), F.col(k)) for k in ("living_area", "kitchen_area") if k in df.columns}
+        )
     if has("floor", "total_floors"):
-        out = out.withColumn("total_floors", F.when(~F.coalesce((F.col("floor") > F.col("total_floors")) & (F.col("floor") != 0), F.lit(False)), F.col("total_floors")))
+        out = out.withColumn(
+            "total_floors",
+            F.when(~F.coalesce((F.col("floor") > F.col("total_floors")) & (F.col("floor") != 0), F.lit(False)), F.col("total_floors")),
+        )
     if has("price", "total_area"):
         out = out.withColumn("price_per_m2", (_positive(F.col("price")) / _positive(F.col("total_area"))).cast("bigint"))
     return out

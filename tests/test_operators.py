@@ -2,6 +2,7 @@
 
 import json
 import random
+from collections import Counter
 
 import pytest
 
@@ -211,3 +212,149 @@ def test_chains_and_slots_of_a_hot_key(spark, many_ranges):
 
 def test_sums_of_short_chains(spark):
     assert life.gap_group(spark.createDataFrame([], "k string, id long, price int"), ["k"], "price", ["id"], 0.1).count() == 0
+
+
+HOLE = [[(0, 0), (10, 0), (10, 10), (0, 10)], [(3, 3), (7, 3), (7, 7), (3, 7)]]
+TWO_PARTS = [[(20.5, 0.25), (24, 0), (22, 6)], [(30, 30), (31, 30), (31, 33), (30, 33)], [(30.2, 30.2), (30.8, 30.2), (30.8, 30.8)]]
+STAR = [[(-9, -9), (-5, -8), (-1, -9.5), (-4, -5), (-2, -1), (-5, -3), (-8, -1), (-6, -5)]]
+
+
+def even_odd(x, y, rings):
+    crossed = 0
+    for ring in rings:
+        for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1], strict=True):
+            crossed += (ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax
+    return crossed % 2 == 1
+
+
+@pytest.mark.parametrize("cell", [0.5, 2.0, 40.0])
+def test_points_in_areas_with_holes_and_parts(spark, cell):
+    areas = {"hole": HOLE, "parts": TWO_PARTS, "star": STAR}
+    r = random.Random(4)
+    points = [(i, r.uniform(-11, 34), r.uniform(-11, 34)) for i in range(1500)] + [(2000 + i, r.uniform(*rx), r.uniform(*ry)) for i in range(1500) for rx, ry in [r.choice([((0, 10), (0, 10)), ((20, 25), (0, 7)), ((29, 32), (29, 34)), ((-9, -1), (-10, 0))])]]
+    rows = [(name, [[{"x": float(x), "y": float(y)} for x, y in ring] for ring in rings]) for name, rings in areas.items()]
+    table = frame(spark, rows, "name string, rings array<array<struct<x:double,y:double>>>")
+    got = {x.id: x.name for x in matching.points_in_polygons(frame(spark, points, "id int, x double, y double"), table, "id", cell).collect()}
+    want = {i: next((name for name, rings in sorted(areas.items()) if even_odd(x, y, rings)), None) for i, x, y in points}
+    assert got == want and len(set(want.values())) == 4
+    if cell == 0.5:
+        free = matching.area_cells(table, cell).groupBy("name").agg(F.count_if(F.col("edges").isNull()).alias("n"), F.max(F.size("edges")).alias("edges")).collect()
+        assert all(x.n > 0 for x in free) and max(x.edges for x in free) <= 8  # cells wholly inside carry no edges, others few
+
+
+def test_geojson_of_many_rings(spark, tmp_path):
+    feature = lambda name, kind, coordinates: {"properties": {"name": name}, "geometry": {"type": kind, "coordinates": coordinates}}
+    good = [feature("hole", "Polygon", HOLE), feature("parts", "MultiPolygon", [[TWO_PARTS[0]], TWO_PARTS[1:]])]
+    (tmp_path / "g.json").write_text(json.dumps({"features": good}))
+    got = {x.name: [[tuple(p) for p in ring] for ring in x.rings] for x in files.scan_geojson(spark, f"{tmp_path}/g.json").collect()}
+    assert got == {"hole": HOLE, "parts": TWO_PARTS}
+    (tmp_path / "b.json").write_text(json.dumps({"features": [*good, feature("p", "Point", [1, 2])]}))
+    with pytest.raises(Exception, match="Point"):
+        files.scan_geojson(spark, f"{tmp_path}/b.json").collect()
+
+
+def test_registry_takes_the_named_file_else_the_first(spark, tmp_path):
+    head = "price;id_region;geo_lat;geo_lon;level;levels;rooms;area;object_type;building_type\n"
+    schema = "price long, id_region int, geo_lat double, geo_lon double, level int, levels int, rooms int, area double, object_type int, building_type int"
+    for name, price in (("b/two.csv", 2), ("a/one.csv", 1), ("z.txt", 9)):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(f"{head}{price};77;55.5;37.5;2;9;1;30;2;3\n")
+    prices = lambda **k: [x.price for x in files.scan_registry(spark, "flats_b", str(tmp_path), schema, **k).collect()]
+    assert prices() == [1] and prices(file="b/two.csv") == [2]
+    (tmp_path / "input_data.csv").write_text(f"{head}5;77;55.5;37.5;2;9;1;30;2;3\n")
+    assert prices() == [5]
+    (tmp_path / "none").mkdir()
+    with pytest.raises(FileNotFoundError):
+        files.scan_registry(spark, "flats_b", f"{tmp_path}/none", schema)
+
+
+def test_checks_survive_failure(spark):
+    df = frame(spark, [(1, "a"), (1, None)], "id int, x string")
+    got = checks.run_checks({
+        "dup": checks.unique(df, "id"), "ok": lambda: checks.accepted(df, "x", ["a"]), "null": checks.not_null(df, "x"),
+        "unbuilt": lambda: checks.not_null(df, "nothing"), "fails": df.filter(F.raise_error(F.lit("broken pipe")).cast("string").isNotNull()),
+    }, spark).collect()
+    assert [(x.check, x.n_violations, x.passed) for x in got] == [("dup", 1, False), ("ok", 0, True), ("null", 1, False), ("unbuilt", None, False), ("fails", None, False)]
+    assert [x.error is None for x in got] == [True, True, True, False, False] and "broken pipe" in got[4].error
+
+
+def cramers(rows, i, j):
+    own = [(r[i], r[j]) for r in rows if r[i] is not None and r[j] is not None]
+    n, a, b = len(own), Counter(x for x, _ in own), Counter(y for _, y in own)
+    if n < 2 or min(len(a), len(b)) < 2:
+        return None
+    seen = Counter(own)
+    chi2 = sum((seen[x, y] - a[x] * b[y] / n) ** 2 / (a[x] * b[y] / n) for x in a for y in b)
+    r, k = len(a), len(b)
+    phi = max(0, chi2 / n - (k - 1) * (r - 1) / (n - 1))
+    least = min(r - (r - 1) ** 2 / (n - 1), k - (k - 1) ** 2 / (n - 1))
+    return (phi / (least - 1)) ** 0.5 if least > 1 else None
+
+
+def test_association_of_all_pairs(spark):
+    r = random.Random(5)
+    rows = []
+    for i in range(600):
+        x = r.choice([None, r.uniform(0, 50), r.uniform(0, 50)])
+        rows.append((x, None if x is None else x * 2 + r.uniform(0, 5), r.choice("abc"), "abc"[int(x or 0) // 20], r.random() < 0.3, i % 7, None, 5))
+    names = ["x", "y", "a", "b", "f", "k", "none", "one"]
+    df = frame(spark, rows, "x double, y double, a string, b string, f boolean, k int, none string, one int")
+    got = {(m.a, m.b): m.v for m in summaries.association_matrix(df, names).collect()}
+
+    def binned(i):
+        own = [row[i] for row in rows if row[i] is not None]
+        low, high = min(own), max(own)
+        return [None if row[i] is None else 0 if high == low else min(int((row[i] - low) / (high - low) * 10), 9) for row in rows]
+
+    coded = list(zip(*[binned(i) if names[i] in ("x", "y", "k", "one") else [row[i] for row in rows] for i in range(8)], strict=True))
+    for i, a in enumerate(names):
+        assert got[a, a] == 1
+        for j, b in enumerate(names):
+            if i < j:
+                want = cramers(coded, i, j)
+                assert got.get((a, b)) == got.get((b, a)) == (None if want is None else pytest.approx(want, abs=1e-6))
+    assert got["x", "y"] > 0.8 > got["x", "a"]
+
+
+def test_many_quantiles_in_one_pass(spark, many_ranges):
+    r = random.Random(6)
+    rows = [(r.choice(["a", "a", "a", "b", None]), r.choice([1, 2]), r.choice([None, r.randrange(40), 3]), r.uniform(0, 9)) for _ in range(2000)] + [("z", 9, None, 1.0)]
+    df = frame(spark, rows, "g string, k int, v int, w double")
+    at = {"lo": 0.05, "med": 0.5, "hi": 0.99}
+    wanted = [ranks.Quantiles(("g", "k"), "v", at), ranks.Quantiles((), "w", {"m": 0.3}), ranks.Quantiles(("k",), "w", {"med": 0.5})]
+    by_both, whole, by_k = [t.collect() for t in ranks.quantile_tables(df, wanted)]
+    import numpy as np
+
+    for x in by_both:
+        own = [v for g, k, v, _ in rows if g == x.g and k == x.k and v is not None]
+        assert (x.n, [x.lo, x.med, x.hi]) == (len(own), pytest.approx(list(np.quantile(own, list(at.values())))))
+    assert len(by_both) == 6 and not any(x.g == "z" for x in by_both)
+    assert whole[0].m == pytest.approx(np.quantile([w for *_, w in rows], 0.3)) and len(whole) == 1
+    assert {x.k: x.med for x in by_k} == {k: pytest.approx(np.median([w for _, j, _, w in rows if j == k])) for k in (1, 2, 9)}
+    assert all(t.count() == 0 for t in ranks.quantile_tables(df.limit(0), wanted))
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "int", "double"])
+def test_cuts_of_the_newest(spark, kind):
+    """Ties, nulls and one huge tie, at every kind of time."""
+    times = [None if i % 11 == 0 else 5 if i % 3 == 0 else i // 4 for i in range(400)]
+    as_time = {"timestamp": "timestamp_seconds(t * 86400)", "timestamp_ntz": "cast(timestamp_seconds(t * 86400) as timestamp_ntz)", "date": "date_from_unix_date(t)"}.get(kind, f"cast(t as {kind})")
+    df = frame(spark, [(i, t) for i, t in enumerate(times)], "id int, t int").withColumn("t", F.expr(as_time))
+    order = sorted(range(400), key=lambda i: (times[i] is None, -(times[i] or 0), i))
+    for n in (0, 1, 37, 150, 290, 363, 364, 380, 400, 1000):
+        assert {x.id for x in summaries.newest(df, "t", "id", n).collect()} == set(order[:n])
+    assert summaries.newest(df.limit(0), "t", "id", 5).count() == 0
+
+
+def test_bands_of_segments(spark):
+    units = frame(spark, [("r", p, k, n) for p, k, n in ((10, "1", True), (20, "1", False), (30, "studio", None), (40, "2", True), (0, "1", True), (None, "1", True), (50, None, True))], "region string, price int, room_key string, is_new boolean")
+    text = json.dumps([{"region": "r", "rkey": "all", "rks": ["1", "2", "studio"], "isnew": None, "k": 2}, {"region": "r", "rkey": "new", "rks": ["1", "2"], "isnew": True, "k": 1}, {"region": "q", "rkey": "no", "rks": ["1"], "isnew": None, "k": 3}])
+    got = summaries.price_bands(units, summaries.segments_of(frame(spark, [(text,)], "j string"), "j")).collect()
+    assert sorted(map(tuple, got), key=str) == [("all", 1, 20, 4), ("new", None, None, 2)]
+
+
+def test_outcomes_of_a_run(spark):
+    cards = frame(spark, [(1, 1, 1, 90), (1, 2, 2, 80), (1, 3, 3, 100), (2, 1, 4, None), (2, 2, 5, 7), (3, 1, 6, None), (3, 2, 7, 0), (4, 1, 8, 5)], "listing_id int, scraped_at int, obs_id int, price int")
+    state = frame(spark, [(1, 100), (3, 5), (4, None)], "listing_id int, price int")
+    got = {x.obs_id: x.outcome for x in matching.classify_sightings(cards, state).collect()}
+    assert got == {1: "repriced", 2: "known", 3: "known", 4: "new", 5: "dup", 6: "known", 7: "known", 8: "repriced"}
