@@ -31,7 +31,6 @@ very long texts are scanned in blocks; other columns aren't read.
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -44,22 +43,46 @@ from parcelog.storage import materialize, small_batches
 
 LEAST, GRAM = 50, 16
 #: Bytes of text of a chunk (more only for a single longer document), of a block that is hashed at once, and for each hash range.
-CHUNK, BLOCK, RANGE = 1 << 22, 1 << 17, 1 << 24
+CHUNK, BLOCK, RANGE = 1 << 20, 1 << 17, 1 << 23
 #: Bytes whose transform is built at once; one anchor's segments stay together.
-TRANSFORM = 1 << 18
+TRANSFORM = 3 << 14
 HOT = 10_000
 LAST_ID = (1 << 63) - 1
 #: A byte that UTF-8 never holds; it ends each segment.
 END = 0xFF
 KEY_BITS = 48
+LEVEL = 3
+#: What moves: documents of a chunk, and its anchors, those of them that are shared, its segments, and what is found of them.
+DOCUMENT = np.dtype([("id", "<i8"), ("no_id", "?"), ("size", "<i8")])
+ANCHOR = np.dtype([("key", "u1", KEY_BITS // 8), ("count", "<u2"), ("several", "?")])
+SHARED = np.dtype([("key", "u1", KEY_BITS // 8), ("hot", "?")])
+SEGMENT = np.dtype([("key", "<u8"), ("start", "<i4"), ("low", "<i8"), ("high", "<i8"), ("size", "<u4"), ("apart", "?")])
+FOUND = np.dtype([("start", "<i4"), ("apart", "?"), ("strings", "<u4")])
 
 
-def _dump(*arrays) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(arrays, protocol=5))
+def _dump(kind: np.dtype, tail: bytes = b"", **columns) -> bytes:
+    """Columns one after another, and bytes behind them, compressed."""
+    data = [np.ascontiguousarray(columns[name], dtype=kind[name].base).tobytes() for name in kind.names]
+    return zstandard.ZstdCompressor(level=LEVEL).compress(b"".join([len(columns[kind.names[0]]).to_bytes(8, "little"), *data, tail]))
 
 
-def _load(blob: bytes) -> tuple:
-    return pickle.loads(zstandard.decompress(blob))
+def _load(kind: np.dtype, blob: bytes) -> tuple[np.ndarray, bytes]:
+    data = zstandard.decompress(blob)
+    n, at = int.from_bytes(data[:8], "little"), 8
+    rows = np.empty(n, dtype=kind)
+    for name in kind.names:
+        rows[name] = np.frombuffer(data, kind[name].base, n * int(np.prod(kind[name].shape, dtype=int)), at).reshape(n, *kind[name].shape)
+        at += n * kind[name].itemsize
+    return rows, data[at:]
+
+
+def _short(key: np.ndarray) -> np.ndarray:
+    """The bytes of keys that are used."""
+    return key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : KEY_BITS // 8]
+
+
+def _long(short: np.ndarray) -> np.ndarray:
+    return np.pad(short, ((0, 0), (0, 8 - KEY_BITS // 8))).reshape(-1).view("<u8").astype(np.uint64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -85,7 +108,10 @@ def _string_hashes(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
 
 def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The places start, start + 1, ... of each of several runs."""
-    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+    ends = np.cumsum(size)
+    out = np.repeat(start - (ends - size), size)
+    out += np.arange(len(out))
+    return out
 
 
 def segments(data: np.ndarray, doc: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -114,37 +140,38 @@ def segments(data: np.ndarray, doc: np.ndarray, least: int = LEAST) -> tuple[np.
     return np.concatenate(starts), np.concatenate(ends), np.concatenate(anchors)
 
 
-def _dump(*arrays) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(arrays, protocol=5))
-
-
-def _load(blob: bytes) -> tuple:
-    return pickle.loads(zstandard.decompress(blob))
-
-
 def _suffix_order(text: np.ndarray, least: int) -> np.ndarray:
-    """Rotations of a text ordered by their first bytes, ``least`` or more of them, by doubled prefixes."""
+    """Rotations of a text ordered by their first bytes, ``least`` or more of them: prefixes grow threefold by ranks in each
+    round (twofold in texts above 64 KiB), and ranks and place are sorted as one number as long as they fit."""
     n = len(text)
-    bits = np.uint64(max(n - 1, 1).bit_length())
-    packed = 3 * int(bits) <= 64  # place and both ranks in one number, which sorts faster
-    known, size = (64 - int(bits)) // 8 if packed else 8, 1
+    bits = max(n - 1, 1).bit_length()
+    times = 3 if 4 * bits <= 64 else 2
+    packed = (times + 1) * bits <= 64
+    size = (64 - bits) // 8 if packed else 8
     own, key = np.concatenate([text, np.resize(text, 8)]).astype(np.uint64), np.zeros(n, dtype=np.uint64)
-    for j in range(known):
+    for j in range(size):
         key = (key << np.uint64(8)) | own[j : n + j]
-    place, size = np.arange(n, dtype=np.uint64), known
+    shift, mask, place = np.uint64(bits), np.uint64((1 << bits) - 1), np.arange(n, dtype=np.uint64)
+    rank, step = np.empty(n, dtype=np.uint64), np.zeros(n, dtype=np.uint64)
     while True:
         if packed:
-            order = np.sort((key << bits) | place)
-            key, order = order >> bits, (order & np.uint64((1 << int(bits)) - 1)).astype(np.int64)
+            key <<= shift
+            key |= place
+            key.sort()
+            order = (key & mask).astype(np.int64)
+            key >>= shift
         else:
             order = np.argsort(key)
             key = key[order]
         if size >= least:
             return order
-        rank = np.empty(n, dtype=np.uint64)
-        rank[order] = np.cumsum(np.concatenate([[False], key[1:] != key[:-1]]))
-        key = (rank << bits) | np.concatenate([rank[size % n :], rank[: size % n]])
-        size *= 2
+        np.cumsum(key[1:] != key[:-1], out=step[1:])
+        rank[order] = step
+        key = rank.copy()
+        for k in range(1, times):
+            key <<= shift
+            key |= np.roll(rank, -k * size)
+        size *= times
 
 
 def common_prefixes(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -159,26 +186,35 @@ def common_prefixes(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarra
     mapped[by_byte] = np.arange(n)
     same = before[by_byte[1:]] == before[by_byte[:-1]]
     last_same[by_byte[1:][same]] = by_byte[:-1][same]
-    common, parted = np.full(n, least, dtype=np.int32), np.zeros(n + 1, dtype=bool)
+    common, parted = np.full(n, least, dtype=np.uint8 if least < 256 else np.int32), np.zeros(n + 1, dtype=bool)
     parted[[0, n]] = True
-    common[0], new = 0, np.zeros(1, dtype=np.int64)
+    common[0] = 0
+    bounds, recent = np.array([0, n]), np.array([n])  # boundaries, and those found since they were listed
+    new = np.zeros(1, dtype=np.int32)
     for k in range(least):
         # Intervals of k bytes that begin at a new boundary; those at older ones were extended before.
-        bounds = np.flatnonzero(parted)
-        size = bounds[np.searchsorted(bounds, new, side="right")] - new
-        inside = _spread(new, size)
+        if 8 * len(recent) > len(bounds):
+            bounds, recent = np.flatnonzero(parted), np.array([n])
+            at = np.flatnonzero(common[bounds[:-1]] == max(k - 1, 0))
+            first, stop = bounds[at], bounds[at + 1]
+        else:
+            first = np.sort(new).astype(np.int64)
+            stop = np.minimum(bounds[np.searchsorted(bounds, first, side="right")], recent[np.searchsorted(recent, first, side="right")])
+        size = stop - first
+        inside = _spread(first, size)
         # The first suffix of an interval behind each byte begins the interval that is one byte longer.
-        begin = mapped[inside[last_same[inside] < np.repeat(new, size)]]
-        new = np.sort(begin[~parted[begin]]).astype(np.int64)
+        new = mapped[inside[last_same[inside] < np.repeat(first, size)]]
+        new = new[~parted[new]]
         if not len(new):
             break
         parted[new] = True
         common[new] = k
+        recent = np.sort(np.concatenate([recent, new]))
     return order, common
 
 
-def smallest_holders(strings: list[bytes], low: np.ndarray, least: int) -> list[np.ndarray]:
-    """For each string and each ``least`` bytes in it, the smallest of the ids ``low`` of all strings that hold them."""
+def smallest_holders(strings: list[bytes], low: np.ndarray, least: int) -> np.ndarray:
+    """For each string and each ``least`` bytes in it, one after another, the smallest of the ids ``low`` of all strings that hold them."""
     text = np.frombuffer(bytes([END]).join(strings) + bytes([END]), dtype=np.uint8)
     size = np.array([len(s) for s in strings], dtype=np.int64)
     order, common = common_prefixes(text, least)
@@ -189,14 +225,15 @@ def smallest_holders(strings: list[bytes], low: np.ndarray, least: int) -> list[
     own[at] = np.repeat(low, size - least + 1)
     begins = np.flatnonzero(common < least)
     least_id = np.minimum.reduceat(own, begins)
-    return np.split(least_id[np.searchsorted(begins, at, side="right") - 1], np.cumsum(size - least + 1)[:-1])
+    return least_id[(np.cumsum(common < least) - 1)[at]]
 
 
 class Chunk:
     """Texts one after another, with the ids of their documents."""
 
     def __init__(self, packed: bytes, least: int) -> None:
-        self.ids, self.no_id, self.lengths, self.text = _load(packed)
+        documents, self.text = _load(DOCUMENT, packed)
+        self.ids, self.no_id, self.lengths = documents["id"].astype(np.int64), documents["no_id"], documents["size"].astype(np.int64)
         self.least = least
         self.data = np.frombuffer(self.text, dtype=np.uint8)
         self.doc = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.lengths)
@@ -237,20 +274,22 @@ class Chunk:
         np.maximum.at(high, of, own)
         return [s for s, _ in numbers], [start[first], key[first], low, high, apart[first]]
 
-    def cut(self, start: np.ndarray, apart: np.ndarray, holders: list[np.ndarray]) -> pd.DataFrame:
-        """Documents with what is left of them, where strings at these places (and all like them) start in these smallest ids."""
-        covered = np.zeros(len(self.data) + 1, dtype=np.int32)
+    def cut(self, start: np.ndarray, apart: np.ndarray, number: np.ndarray, ids: np.ndarray) -> pd.DataFrame:
+        """Documents with what is left of them, where so many strings from these places on (and all like them) start in these
+        smallest ids."""
+        covered = np.zeros(len(self.data) + 1, dtype=np.int32)  # strings that begin at a byte, less those that end before it
         if len(start):
             anchors, first = np.unique(self.anchor[np.searchsorted(self.start, start, side="right") - 1], return_index=True)
-            known = {(self.text[a : a + len(h) + self.least - 1], p): i for i, (a, h, p) in enumerate(zip(start.tolist(), holders, apart.tolist(), strict=True))}
+            known = {x: i for i, x in enumerate(zip(self.strings(start, start + number + self.least - 1), apart.tolist(), strict=True))}
             at, end, _, own_apart = self.places(anchors, apart[first])
             of = np.fromiter((known.get(p, -1) for p in zip(self.strings(at, end), own_apart.tolist(), strict=True)), dtype=np.int64, count=len(at))
             at, end, of = at[of >= 0], end[of >= 0], of[of >= 0]
             string = _spread(at, end - at - self.least + 1)
-            least_id = np.concatenate([holders[i] for i in of.tolist()])
+            least_id = ids[_spread((np.cumsum(number) - number)[of], number[of])]
             again = string[least_id < self.ids[self.doc[string]]]
-            covered = np.bincount(again, minlength=len(covered)) - np.bincount(again + self.least, minlength=len(covered))
-        gone = np.cumsum(covered)[:-1] > 0
+            np.add.at(covered, again, 1)
+            np.add.at(covered, again + self.least, -1)
+        gone = np.cumsum(covered, dtype=np.int32)[:-1] > 0
         base = np.cumsum(self.lengths) - self.lengths
         edges = np.concatenate([[True], (gone[1:] != gone[:-1]) | (self.doc[1:] != self.doc[:-1]), [True]]) if len(gone) else np.zeros(1, dtype=bool)
         runs = np.flatnonzero(edges)
@@ -272,8 +311,8 @@ def _chunks(docs: DataFrame) -> DataFrame:
         number, ids, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
 
         def row() -> pd.DataFrame:
-            known = np.array([LAST_ID if i is None else int(i) for i in ids], dtype=np.int64)
-            packed = _dump(known, np.array([i is None for i in ids]), np.array([len(t) for t in texts], dtype=np.int64), b"".join(texts))
+            known = [LAST_ID if i is None else int(i) for i in ids]
+            packed = _dump(DOCUMENT, b"".join(texts), id=known, no_id=[i is None for i in ids], size=[len(t) for t in texts])
             return pd.DataFrame({"chunk": [number], "bytes": [size], "packed": [packed]})
 
         for batch in batches:
@@ -288,14 +327,14 @@ def _chunks(docs: DataFrame) -> DataFrame:
         if texts:
             yield row()
 
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, size=2 * CHUNK)
     own = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text")  # pandas has no long that can be null
     return materialize(own.mapInPandas(pack, "chunk long, bytes long, packed binary"), "suffix-chunks")
 
 
 def _by_range(key: np.ndarray, ranges: int) -> list[tuple[int, np.ndarray]]:
-    """Hash ranges and the places of their keys."""
-    of = ((key >> np.uint64(KEY_BITS - 24)) * np.uint64(ranges)) >> np.uint64(24)
+    """Hash ranges and the places of their keys. Keys are hashed once more: as anchors are least hashes, most of them are small."""
+    of = ((_mix(key) >> np.uint64(KEY_BITS - 24)) * np.uint64(ranges)) >> np.uint64(24)
     order = np.argsort(of, kind="stable")
     named, first = np.unique(of[order], return_index=True)
     return list(zip(named.tolist(), np.split(order, first[1:]), strict=True)) if len(key) else []
@@ -305,15 +344,11 @@ def _rows(columns: str, rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=columns.split())
 
 
-def _joined(blobs: list[tuple]) -> list[np.ndarray]:
-    return [np.concatenate(x) for x in zip(*blobs, strict=True)]
-
-
-def _with_chunk(chunks: DataFrame, other: DataFrame, run: Callable[[Chunk, int, list[tuple]], pd.DataFrame], schema: str, least: int) -> DataFrame:
+def _with_chunk(chunks: DataFrame, other: DataFrame, run: Callable[[Chunk, int, list[bytes]], pd.DataFrame], schema: str, least: int) -> DataFrame:
     """``run`` for each chunk with what ``other`` has for it."""
 
     def both(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return run(Chunk(left["packed"].iloc[0], least), int(left["chunk"].iloc[0]), [_load(b) for b in right["blob"]])
+        return run(Chunk(left["packed"].iloc[0], least), int(left["chunk"].iloc[0]), list(right["blob"]))
 
     return chunks.select("chunk", "packed").groupBy("chunk").cogroup(other.groupBy("chunk")).applyInPandas(both, schema)
 
@@ -325,44 +360,36 @@ def _shared_anchors(chunks: DataFrame, ranges: int, least: int, hot: int) -> Dat
         for batch in batches:
             for number, packed in zip(batch["chunk"], batch["packed"], strict=True):
                 value, count, several = Chunk(packed, least).anchors()
-                yield _rows("range chunk blob", [(r, number, _dump(_short(value[at]), count[at], several[at])) for r, at in _by_range(value, ranges)])
+                sent = [(r, number, _dump(ANCHOR, key=_short(value[at]), count=count[at], several=several[at])) for r, at in _by_range(value, ranges)]
+                yield _rows("range chunk blob", sent)
 
     def meet(own: pd.DataFrame) -> pd.DataFrame:
-        parts = [_load(b) for b in own["blob"]]
-        cuts = np.cumsum([len(p[1]) for p in parts])[:-1]
-        short, count, several = _joined(parts)
-        value = _long(short)
-        _, of, in_chunks = np.unique(value, return_inverse=True, return_counts=True)
-        keep, many = (in_chunks > 1) | (np.bincount(of, weights=several) > 0), np.bincount(of, weights=count) > hot
-        found = zip(own["chunk"], *(np.split(x, cuts) for x in (value, keep[of], many[of])), strict=True)
-        return _rows("chunk blob", [(c, _dump(_short(v[k]), m[k])) for c, v, k, m in found if k.any()])
+        parts = [_load(ANCHOR, b)[0] for b in own["blob"]]
+        cuts = np.cumsum([len(p) for p in parts])[:-1]
+        rows = np.concatenate(parts)
+        _, of, in_chunks = np.unique(_long(rows["key"]), return_inverse=True, return_counts=True)
+        keep, many = (in_chunks > 1) | (np.bincount(of, weights=rows["several"]) > 0), np.bincount(of, weights=rows["count"]) > hot
+        found = zip(own["chunk"], *(np.split(x, cuts) for x in (rows["key"], keep[of], many[of])), strict=True)
+        return _rows("chunk blob", [(c, _dump(SHARED, key=v[k], hot=m[k])) for c, v, k, m in found if k.any()])
 
     sent = chunks.select("chunk", "packed").mapInPandas(send, "range long, chunk long, blob binary")
     return sent.groupBy("range").applyInPandas(meet, "chunk long, blob binary")
 
 
-def _short(key: np.ndarray) -> np.ndarray:
-    """The bytes of a key that are used."""
-    return key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : KEY_BITS // 8].copy()
-
-
-def _long(short: np.ndarray) -> np.ndarray:
-    return np.pad(short, ((0, 0), (0, 8 - KEY_BITS // 8))).reshape(-1).view("<u8").astype(np.uint64)
-
-
 def _shared_segments(chunks: DataFrame, shared: DataFrame, ranges: int, least: int) -> DataFrame:
     """range, chunk, blob: a chunk's different segments with shared anchors."""
 
-    def send(chunk: Chunk, number: int, blobs: list[tuple]) -> pd.DataFrame:
+    def send(chunk: Chunk, number: int, blobs: list[bytes]) -> pd.DataFrame:
         rows = []
         if blobs:
-            short, hot = _joined(blobs)
-            value = _long(short)
+            anchors = np.concatenate([_load(SHARED, b)[0] for b in blobs])
+            value = _long(anchors["key"])
             order = np.argsort(value)
-            strings, columns = chunk.different(value[order], hot[order])
-            for r, at in _by_range(columns[1], ranges):
+            strings, (start, key, low, high, apart) = chunk.different(value[order], anchors["hot"][order])
+            for r, at in _by_range(key, ranges):
                 own = [strings[i] for i in at.tolist()]
-                rows.append((r, number, _dump(*[c[at] for c in columns], np.array([len(s) for s in own]), b"".join(own))))
+                blob = _dump(SEGMENT, b"".join(own), key=key[at], start=start[at], low=low[at], high=high[at], size=[len(s) for s in own], apart=apart[at])
+                rows.append((r, number, blob))
         return _rows("range chunk blob", rows)
 
     return _with_chunk(chunks, shared, send, "range long, chunk long, blob binary", least)
@@ -370,37 +397,39 @@ def _shared_segments(chunks: DataFrame, shared: DataFrame, ranges: int, least: i
 
 def _expand(own: pd.DataFrame, least: int) -> pd.DataFrame:
     """Of the segments that meet in a hash range: those, for each chunk, whose strings start in smaller documents, with their ids."""
-    parts = [_load(b) for b in own["blob"]]
     numbers: dict[bytes, int] = {}
-    key, low = [], []
-    of = []
-    for start, keys, lows, _, _, size, text in parts:
-        ends = np.cumsum(size).tolist()
-        mine = [numbers.setdefault(text[e - n : e], len(numbers)) for e, n in zip(ends, size.tolist(), strict=True)]
-        of.append(np.array(mine, dtype=np.int64))
-        key.append(keys)
-        low.append(lows)
-    flat = np.concatenate(of)
+    parts, of = [], []
+    for blob in own["blob"]:
+        segment, text = _load(SEGMENT, blob)
+        ends = np.cumsum(segment["size"], dtype=np.int64).tolist()
+        parts.append(segment)
+        of.append(np.array([numbers.setdefault(text[e - n : e], len(numbers)) for e, n in zip(ends, segment["size"].tolist(), strict=True)], dtype=np.int64))
+    flat, rows = np.concatenate(of), np.concatenate(parts)
     least_id, keys = np.full(len(numbers), LAST_ID), np.zeros(len(numbers), dtype=np.uint64)
-    np.minimum.at(least_id, flat, np.concatenate(low))
-    keys[flat] = np.concatenate(key)
-    strings, holders = list(numbers), [None] * len(numbers)
+    np.minimum.at(least_id, flat, rows["low"])
+    keys[flat] = rows["key"]
+    strings = list(numbers)
     # Segments of one key stay together; many keys share a transform.
     order = np.argsort(keys, kind="stable")
     sizes = np.cumsum([len(strings[i]) for i in order.tolist()])
     key_ends = np.flatnonzero(np.append(keys[order][1:] != keys[order][:-1], True)) + 1
     full = sizes[key_ends - 1] // TRANSFORM
-    for at in np.split(order, key_ends[:-1][np.diff(full) > 0]):
-        for i, ids in zip(at.tolist(), smallest_holders([strings[i] for i in at.tolist()], least_id[at], least), strict=True):
-            holders[i] = ids
-    smallest = np.array([h.min() for h in holders])
-    rows = []
-    for chunk, mine, (start, _, _, high, apart, *_) in zip(own["chunk"], of, parts, strict=True):
-        found = np.flatnonzero(smallest[mine] < high)
+    groups = np.split(order, key_ends[:-1][np.diff(full) > 0])
+    ids = np.concatenate([smallest_holders([strings[i] for i in at.tolist()], least_id[at], least) for at in groups])
+    count = np.array([len(s) - least + 1 for s in strings])
+    first = np.empty(len(strings), dtype=np.int64)
+    first[order] = np.cumsum(count[order]) - count[order]
+    smallest = np.empty(len(strings), dtype=np.int64)
+    smallest[order] = np.minimum.reduceat(ids, first[order])
+    out = []
+    for chunk, mine, segment in zip(own["chunk"], of, parts, strict=True):
+        found = np.flatnonzero(smallest[mine] < segment["high"])
         if len(found):
-            ids = [holders[i] for i in mine[found].tolist()]
-            rows.append((chunk, _dump(start[found], apart[found], np.array([len(h) for h in ids]), np.concatenate(ids))))
-    return _rows("chunk blob", rows)
+            own_count = count[mine[found]]
+            held = ids[_spread(first[mine[found]], own_count)]
+            blob = _dump(FOUND, held.astype("<i8").tobytes(), start=segment["start"][found], apart=segment["apart"][found], strings=own_count)
+            out.append((chunk, blob))
+    return _rows("chunk blob", out)
 
 
 def deduplicate(docs: DataFrame, least: int = LEAST, hot: int = HOT) -> DataFrame:
@@ -410,11 +439,12 @@ def deduplicate(docs: DataFrame, least: int = LEAST, hot: int = HOT) -> DataFram
     chunks = _chunks(docs)
     ranges = min(max((chunks.agg(F.sum("bytes")).first()[0] or 0) // RANGE, 1), 1 << 24)
 
-    def cut(chunk: Chunk, _: int, blobs: list[tuple]) -> pd.DataFrame:
+    def cut(chunk: Chunk, _: int, blobs: list[bytes]) -> pd.DataFrame:
         if not blobs:
-            return chunk.cut(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool), [])
-        start, apart, number, ids = _joined(blobs)
-        return chunk.cut(start, apart, np.split(ids, np.cumsum(number)[:-1]))
+            return chunk.cut(*np.zeros((4, 0), dtype=np.int64))
+        rows, ids = zip(*(_load(FOUND, b) for b in blobs), strict=True)
+        found = np.concatenate(rows)
+        return chunk.cut(found["start"].astype(np.int64), found["apart"], found["strings"].astype(np.int64), np.frombuffer(b"".join(ids), "<i8"))
 
     met = _shared_segments(chunks, _shared_anchors(chunks, ranges, least, hot), ranges, least)
     found = met.groupBy("range").applyInPandas(lambda own: _expand(own, least), "chunk long, blob binary")
