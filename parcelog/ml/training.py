@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from parcelog.operators.ranks import ranked
+from parcelog.operators.ranks import ranked, running_sums
 from parcelog.operators.summaries import newest_share
 from parcelog.storage import materialize
 
@@ -34,14 +34,18 @@ def hash_share(*columns: str) -> Column:
 def stratified_split(df: DataFrame, key: str, label: str, share: float, seed: int = 0) -> DataFrame:
     """``is_test`` for exactly a share of the rows of each label (to the nearest row, halves up), drawn by hash of the key.
 
-    Rows are numbered by (label, hash) in ranges, so a label of any size is drawn from by many tasks. Null labels are one.
+    Of each label the last draw that belongs to the test is found by numbering (label, draw, key) alone over ranges, so a label of
+    any size is drawn from by many tasks and the rows stay where they are. Null labels are one; keys should tell rows apart.
     """
-    own = df.withColumn("draw_", F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string"))))
-    own = ranked(own, F.asc_nulls_first(label), F.asc("draw_"), F.asc(key), name="place_")
-    sizes = df.groupBy(F.col(label).alias("label_")).agg(F.count("*").alias("n_"))
-    first = (F.sum("n_").over(Window.orderBy(F.asc_nulls_first("label_"))) - F.col("n_")).alias("before_")  # a row for each label
-    joined = own.join(sizes.select("label_", "n_", first), F.col(label).eqNullSafe(F.col("label_")))
-    return joined.withColumn("is_test", F.col("place_") - F.col("before_") <= F.floor(F.col("n_") * share + 0.5)).select(*df.columns, "is_test")
+    drawn = F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string")))
+    slim = df.select(F.col(label).alias("label_"), drawn.alias("draw_"), F.col(key).alias("key_"))
+    placed = running_sums(slim, ["label_"], ["draw_", "key_"], {"place_": F.lit(1)})
+    sizes = slim.groupBy("label_").agg(F.count("*").alias("n_")).withColumnRenamed("label_", "of_")
+    wanted = F.floor(F.col("n_") * share + 0.5)
+    cuts = placed.join(sizes, F.col("label_").eqNullSafe(F.col("of_"))).filter(F.col("place_") == wanted)  # a row for each label
+    cuts = cuts.select("of_", F.struct("draw_", "key_").alias("last_"))
+    joined = df.withColumn("own_", F.struct(drawn.alias("draw_"), F.col(key).alias("key_"))).join(cuts, F.col(label).eqNullSafe(F.col("of_")), "left")
+    return joined.withColumn("is_test", F.coalesce(F.col("own_") <= F.col("last_"), F.lit(False))).select(*df.columns, "is_test")
 
 
 def label_index(df: DataFrame, column: str) -> DataFrame:

@@ -14,16 +14,30 @@ def every(conditions: list[Column | None]) -> Column:
     return reduce(lambda x, y: x & y, [c for c in conditions if c is not None], F.lit(True))
 
 
-def median_band(df: DataFrame, keys: list[str], value: str, large: bool = False) -> DataFrame:
-    """Median and size of each group; rows with null values count for the size.
+#: Rows of a group above which its quantiles come from counts over ranges: an aggregate's buffer holds a group's different values.
+LARGE_GROUP = 5_000_000
 
-    One aggregate whose buffer holds a group's different values; ``large`` groups are ranked by range instead.
+
+def _quantiles(df: DataFrame, keys: list[str], value: str, at: dict[str, float], large: bool | None) -> DataFrame:
+    """keys, exact interpolated quantiles by name, and ``n``, the number of rows, of each group.
+
+    Groups whose buffers fit are one aggregate. Where the largest group (or, if it is told, ``large``) has too many rows, values
+    are counted and the counts summed up over ranges instead; both give the same numbers.
     """
-    if large:
-        sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
-        medians = exact_quantiles(df, keys, value, {"med": 0.5}).withColumnsRenamed({k: f"{k}_" for k in keys})
-        return sizes.join(medians, every([F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys]), "left").select(*keys, "med", "n")
-    return df.groupBy(*keys).agg(F.percentile(value, F.lit(0.5)).alias("med"), F.count("*").alias("n"))
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    if large is None:
+        large = (sizes.agg(F.max("n")).first()[0] or 0) > LARGE_GROUP
+    if not large:
+        shares = F.array(*[F.lit(float(x)) for x in at.values()])
+        out = df.groupBy(*keys).agg(F.percentile(value, shares).alias("q_"), F.count("*").alias("n"))
+        return out.select(*keys, *[F.col("q_")[i].alias(k) for i, k in enumerate(at)], "n")
+    found = exact_quantiles(df, keys, value, at).withColumnsRenamed({k: f"{k}_" for k in keys})
+    return sizes.join(found, every([F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys]), "left").select(*keys, *at, "n")
+
+
+def median_band(df: DataFrame, keys: list[str], value: str, large: bool | None = None) -> DataFrame:
+    """Median and size of each group, however large; rows with null values count for the size."""
+    return _quantiles(df, keys, value, {"med": 0.5}, large)
 
 
 def band_filter(df: DataFrame, keys: list[str], value: str, low: float, high: float, least: int, exempt: Column | None = None) -> DataFrame:
@@ -33,12 +47,10 @@ def band_filter(df: DataFrame, keys: list[str], value: str, low: float, high: fl
     return df.join(band, keys).filter(inside | (exempt if exempt is not None else F.lit(False))).drop("med", "n")
 
 
-def quantiles(df: DataFrame, keys: list[str], value: str, at: dict[str, float], least: int = 0, places: int = 4) -> DataFrame:
-    """Exact interpolated quantiles and size of each group of more than ``least`` rows."""
-    names = list(at)
-    q = F.percentile(value, F.array(*[F.lit(x) for x in at.values()])).alias("q_")
-    out = df.groupBy(*keys).agg(q, F.count("*").alias("n")).filter(F.col("n") > least)
-    return out.select(*keys, *[F.round(F.col("q_")[i], places).alias(k) for i, k in enumerate(names)], "n")
+def quantiles(df: DataFrame, keys: list[str], value: str, at: dict[str, float], least: int = 0, places: int = 4, large: bool | None = None) -> DataFrame:
+    """Exact interpolated quantiles and size of each group of more than ``least`` rows, however large."""
+    out = _quantiles(df, keys, value, at, large).filter(F.col("n") > least)
+    return out.select(*keys, *[F.round(k, places).alias(k) for k in at], "n")
 
 
 def width_buckets(df: DataFrame, value: str, low: float, high: float, n: int) -> DataFrame:

@@ -98,8 +98,11 @@ on(
 query("SELECT o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')", "resume_anti")(
     lambda s, d: m.not_yet(table(s, d, "orders").withColumnRenamed("o_custkey", "c_custkey"), table(s, d, "customer").filter("c_mktsegment = 'BUILDING'"), ["c_custkey"]).select("o_orderkey"),
 )
-query("SELECT n_nationkey, r_name FROM nation JOIN region ON lower('region ' || r_regionkey) = lower('Region ' || n_regionkey)", "region_name_join")(
-    lambda s, d: table(s, d, "nation").withColumn("k", F.lower(F.concat(F.lit("Region "), "n_regionkey"))).join(table(s, d, "region").withColumn("k", F.lower(F.concat(F.lit("region "), "r_regionkey"))), "k").select("n_nationkey", "r_name"),
+query("SELECT c_custkey, n_name FROM customer JOIN nation ON lower('nation ' || n_nationkey) = lower('Nation ' || c_nationkey)", "region_name_join")(
+    lambda s, d: table(s, d, "customer")
+    .withColumn("k", F.lower(F.concat(F.lit("Nation "), "c_nationkey")))
+    .join(table(s, d, "nation").withColumn("k", F.lower(F.concat(F.lit("nation "), "n_nationkey"))), "k")
+    .select("c_custkey", "n_name"),
 )
 query("SELECT event_id, cast(json_extract_string(props, '$.k') AS bigint) AS k FROM events", "json_recordset")(
     lambda s, d: table(s, d, "events").select("event_id", F.from_json("props", "k long")["k"].alias("k")),

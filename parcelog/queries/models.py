@@ -94,15 +94,12 @@ def macro_schema_name(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", staging.schema_of(given).alias("schema_name"))
 
 
-@query("SELECT n_regionkey, count(*) AS n FROM nation GROUP BY 1")
+@query("SELECT o_custkey, count(*) AS n, max(o_totalprice) AS most FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1")
 def materialize_layer(spark, sf_dir):
-    views = staging.materialize_layer(spark, {"stg_nation": table(spark, sf_dir, "nation")}, "", as_views=True)
-    tables = staging.materialize_layer(
-        spark,
-        {"by_region": views["stg_nation"].groupBy("n_regionkey").agg(F.count("*").alias("n"))},
-        scratch_path(spark, "layer"),
-    )
-    return tables["by_region"]
+    """A layer of views, and one of tables made from it."""
+    views = staging.materialize_layer(spark, {"stg_orders": table(spark, sf_dir, "orders").filter("o_orderstatus <> 'F'")}, "", as_views=True)
+    by_customer = views["stg_orders"].groupBy("o_custkey").agg(F.count("*").alias("n"), F.max("o_totalprice").alias("most"))
+    return staging.materialize_layer(spark, {"by_customer": by_customer}, scratch_path(spark, "layer"))["by_customer"]
 
 
 def _registry(spark, sf_dir):

@@ -101,9 +101,9 @@ orders(
 )
 scalar(
     "normalize_district",
-    "nation",
-    "n_nationkey",
-    {"a": "case n_nationkey % 4 when 0 then 'р-н ' || n_name when 1 then n_name || ' район' when 2 then 'район ' || n_name else n_name end"},
+    "customer",
+    "c_custkey",
+    {"a": "case c_custkey % 4 when 0 then 'р-н ' || c_name when 1 then c_name || ' район' when 2 then 'район ' || c_name else c_name end"},
     lambda: {"district": t.district_name(c("a"))},
     {"district": "trim(regexp_replace(regexp_replace(a, '^(?:р-н|район)\\s+', ''), '\\s+(?:р-н|район)$', ''))"},
 )
@@ -338,17 +338,17 @@ orders(
 )
 scalar(
     "map_lookup_default",
-    "region",
-    "r_regionkey",
-    {"a": "r_name"},
+    "customer",
+    "c_custkey",
+    {"a": "case c_custkey % 4 when 0 then 'ASIA' when 1 then 'EUROPE' when 2 then null else c_mktsegment end"},
     lambda: {"lat": v.mapped(c("a"), {"ASIA": 55.75, "EUROPE": 59.9}, 56.0)},
     {"lat": "cast(case a when 'ASIA' then 55.75 when 'EUROPE' then 59.9 else 56.0 end as double)"},
 )
 scalar(
     "label_map_join",
-    "region",
-    "r_regionkey",
-    {"a": "r_name"},
+    "customer",
+    "c_custkey",
+    {"a": "case c_custkey % 3 when 0 then 'ASIA' when 1 then null else c_mktsegment end"},
     lambda: {"label": F.coalesce(v.mapped(c("a"), {"ASIA": "Asia (map)"}), c("a"))},
     {"label": "case a when 'ASIA' then 'Asia (map)' else a end"},
 )

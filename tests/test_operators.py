@@ -358,3 +358,16 @@ def test_outcomes_of_a_run(spark):
     state = frame(spark, [(1, 100), (3, 5), (4, None)], "listing_id int, price int")
     got = {x.obs_id: x.outcome for x in matching.classify_sightings(cards, state).collect()}
     assert got == {1: "repriced", 2: "known", 3: "known", 4: "new", 5: "dup", 6: "known", 7: "known", 8: "repriced"}
+
+
+def test_large_groups_give_the_same_quantiles(spark, monkeypatch):
+    r = random.Random(8)
+    df = frame(spark, [(r.choice(["a", "b", None]), r.choice([None, r.random()])) for _ in range(500)] + [("none", None)], "g string, v double")
+    at = {"lo": 0.1, "hi": 0.75}
+    small = summaries.quantiles(df, ["g"], "v", at), summaries.median_band(df, ["g"], "v"), summaries.median_band(df, [], "v")
+    monkeypatch.setattr(summaries, "LARGE_GROUP", 100)
+    large = summaries.quantiles(df, ["g"], "v", at), summaries.median_band(df, ["g"], "v"), summaries.median_band(df, [], "v")
+    for a, b in zip(small, large, strict=True):
+        key = lambda x: str(x[0])
+        for x, y in zip(sorted(map(tuple, a.collect()), key=key), sorted(map(tuple, b.collect()), key=key), strict=True):
+            assert x == pytest.approx(y)
