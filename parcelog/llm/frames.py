@@ -8,7 +8,7 @@ compressed and decompressed size and the low 32 bits of the XXH64 of its content
 reader takes the tail, the index and then only the frames of the documents it wants.
 
 ``write_token_files`` sorts documents by id over all shards and lets each task write
-its own shards, of bounded size, below the shared folder; a retried task writes other
+its own shards, of bounded size and number of documents, below the shared folder; a retried task writes other
 files, and the manifest names the ones that count, with the ids that they range over.
 ``read_token_files`` reads whole shards, ``find_documents`` single documents from the
 shards whose range may hold them.
@@ -44,6 +44,8 @@ INDEX = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("n_tokens", "<u4")])
 MANIFEST = "shard int, part int, path string, n_docs long, n_tokens long, first_id long, last_id long"
 #: Decompressed bytes after which a frame, and a shard, is closed; a document is never parted.
 FRAME_BYTES, SHARD_BYTES = 1 << 17, 1 << 30
+#: Documents after which a shard is closed, too: its index is one frame, of 13 bytes a document.
+SHARD_DOCUMENTS = 4_000_000
 
 
 class ShardWriter:
@@ -138,7 +140,7 @@ def open_uri(uri: str):
     return fs, path
 
 
-def write_token_files(docs: DataFrame, directory: str, tokenizer_path: str, end_id: int = 1, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def write_token_files(docs: DataFrame, directory: str, tokenizer_path: str, end_id: int = 1, shard_bytes: int = SHARD_BYTES, shard_documents: int = SHARD_DOCUMENTS) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into shards below ``directory``; returns the manifest, written there too."""
     small_batches(docs.sparkSession)
 
@@ -158,7 +160,7 @@ def write_token_files(docs: DataFrame, directory: str, tokenizer_path: str, end_
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 for doc_id, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist()), strict=True):
-                    if open_ and open_[0].total + len(ids) + 4 > shard_bytes:
+                    if open_ and (open_[0].total + len(ids) + 4 > shard_bytes or len(open_[0].ids) >= shard_documents):
                         finish()
                         open_ = None
                     if not open_:

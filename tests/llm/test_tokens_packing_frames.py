@@ -116,3 +116,11 @@ def test_small_shards_and_single_documents(spark):
     assert sorted(map(tuple, frames.read_token_files(manifest).collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
     got = frames.find_documents(manifest, [250, 17, 3, 10**9])
     assert [d for d, _ in got] == [3, 3, 3, 17, 250] and all(ids[-1] == 1 for _, ids in got)
+
+
+def test_shards_of_few_documents(spark):
+    """A shard closes after so many documents, however short they are."""
+    manifest = frames.write_token_files(docs(spark, [(i, "") for i in range(100)]), scratch_path(spark, "few"), PATH, shard_documents=7)
+    parts = manifest.collect()
+    assert sum(r.n_docs for r in parts) == 100 and max(r.n_docs for r in parts) == 7
+    assert sorted((r.doc_id, r.start, r.n_tokens) for r in frames.read_token_files(manifest).collect()) == [(i, i, 1) for i in range(100)]
