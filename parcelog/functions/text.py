@@ -60,9 +60,14 @@ def id_of_url(url: Column, part: str = "flat") -> Column:
     return filled(F.regexp_extract(url, rf"/{part}/([0-9]+)", 1)).try_cast("bigint")
 
 
+def region_id_of_page(html: Column) -> Column:
+    """The number behind the key regionId in a page."""
+    return filled(F.regexp_extract(html, r'"regionId":\s*([0-9]+)', 1)).try_cast("bigint")
+
+
 def district_name(name: Column) -> Column:
-    """A district's name without the words for district around it."""
-    return F.trim(F.regexp_replace(F.regexp_replace(name, r"^(?:р-н|район)\s+", ""), r"\s+(?:р-н|район)$", ""))
+    """A district's name without the words for district: either one before it, the long one behind it."""
+    return F.trim(F.regexp_replace(F.regexp_replace(name, rf"^(?:р-н|район){BLANK}+", ""), rf"{BLANK}+район$", ""))
 
 
 #: Regions with keys of their own, and what is left out of the others' names, in this order (fixed values).

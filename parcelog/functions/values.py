@@ -160,6 +160,15 @@ def rows_json(items: Column, *fields: str, numbers: tuple[str, ...] = ()) -> Col
     return F.concat(F.lit("["), F.array_join(F.transform(compact_stations(items), row), ","), F.lit("]"))
 
 
+def station_pairs(stations: Column) -> Column:
+    """JSON text ``[[name, minutes], ...]`` of stations (station_name, station_time), the first number of the time being the
+    minutes; a station without name has an empty one; null without stations."""
+    minutes = lambda s: F.regexp_extract(F.coalesce(s["station_time"].cast("string"), F.lit("")), "([0-9]+)", 1).try_cast("int").cast("string")
+    name = lambda s: F.regexp_replace(F.to_json(F.array(F.coalesce(s["station_name"], F.lit("")))), r"\]$", "")
+    rows = F.transform(stations, lambda s: F.concat(name(s), F.lit(","), F.coalesce(minutes(s), F.lit("null")), F.lit("]")))
+    return F.when(F.size(stations) > 0, F.concat(F.lit("["), F.array_join(rows, ","), F.lit("]")))
+
+
 def price_history(changes: Column) -> Column:
     """[{price, date}] of changes with a price and a time, the date being the time's day; null if there is none."""
     own = F.filter(changes, lambda c: c["priceData"]["price"].isNotNull() & (F.coalesce(c["changeTime"], F.lit("")) != ""))

@@ -121,28 +121,39 @@ def scan_sheet(spark, sf_dir):
     return _flat_sheet(read.select(*[c(k).cast(numbers.get(i, "int")).alias("repeated") for i, k in enumerate(read.columns)]))
 
 
-@query("SELECT 'flats_g_' || p_partkey AS url, cast(floor(p_retailprice) AS bigint) AS price, CASE WHEN p_size % 5 = 0 THEN 0 ELSE p_size % 5 END AS rooms, p_size + 0.5::double AS total_area, p_size AS floor, 'Тула' AS city, 'улица Мира' AS street, cast(p_size AS varchar) AS house_number FROM part")
+@query(
+    """SELECT 'flats_g_' || p_partkey AS url, cast(floor(p_retailprice) AS bigint) AS price, cast(p_size * 1000 AS bigint) AS price_per_m2, p_size % 5 AS rooms, p_size + 0.5::double AS total_area,
+      p_size AS floor, CASE WHEN p_size % 2 = 0 THEN 50 END AS total_floors, 1950 + p_size AS year_built, CASE p_partkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS is_new_building,
+      'Тула' AS city, CASE WHEN p_size % 3 = 0 THEN 'р-н Южный' END AS district, 'улица Мира' AS street, cast(p_size AS varchar) AS house_number, p_brand AS parking, 'free' AS deal_conditions,
+      CASE WHEN p_partkey % 4 > 0 THEN '[["S \\"1\\"",' || p_size || '],["",null]]' END AS metro_stations FROM part"""
+)
 def flats_g(spark, sf_dir):
+    size = c("p_size").cast("string")
+    summary = {
+        "Общая площадь": F.concat(size, F.lit(",5 м²")),
+        "Этаж": F.when(c("p_size") % 2 == 0, F.concat(size, F.lit(" из 50"))).otherwise(F.concat(F.lit("этаж "), size)),
+        "Год постройки": F.concat(F.lit("дом "), (c("p_size") + 1950).cast("string"), F.lit(" года")),
+        "Тип жилья": F.when(c("p_partkey") % 3 == 0, "Новостройка").when(c("p_partkey") % 3 == 1, "Вторичка").otherwise(""),
+        "Парковка": c("p_brand"),
+    }
+    details = {"Цена за метр": F.concat(size, F.lit(" 000 ₽/м²")), "Условия сделки": F.lit("free"), "Этаж": F.lit("99 из 99")}
+    as_map = lambda x: F.create_map(*[y for k, v in x.items() for y in (F.lit(k), v)])
+    station = lambda name, time: F.struct(name.alias("station_name"), time.alias("station_time"))
+    none = F.lit(None).cast("string")
+    stations = F.array(station(F.lit('S "1"'), F.concat(size, F.lit(" мин."))), station(none, none))
     own = table(spark, sf_dir, "part").select(
         c("p_partkey").cast("string").alias("doc_id"),
         F.concat(F.floor("p_retailprice").cast("string"), F.lit(" ₽")).alias("price"),
-        F.when(c("p_size") % 5 == 0, "Студия").otherwise(F.concat((c("p_size") % 5).cast("string"), F.lit("-комн. кв."))).alias("title"),
-        F.create_map(F.lit("Общая площадь"), F.concat(c("p_size").cast("string"), F.lit(",5 м²"))).alias("offer_summary"),
-        F.create_map(F.lit("Этаж"), F.concat(c("p_size").cast("string"), F.lit(" из 50"))).alias("offer_details"),
-        F.concat(F.lit("Тула, улица Мира, "), c("p_size").cast("string")).alias("address"),
-        F.array(F.struct(F.lit("S").alias("station_name"), F.lit("5").alias("station_time"))).alias("nearest_stations"),
+        F.when(c("p_size") % 5 == 0, "Продажа студии").otherwise(F.concat((c("p_size") % 5).cast("string"), F.lit(" комн. кв."))).alias("title"),
+        as_map(summary).alias("offer_summary"),
+        as_map(details).alias("offer_details"),
+        F.concat(F.lit("Тула, "), F.when(c("p_size") % 3 == 0, "р-н Южный, ").otherwise(""), F.lit("улица Мира, "), size).alias("address"),
+        F.when(c("p_partkey") % 4 > 0, stations).otherwise(F.slice(stations, 1, 0)).alias("nearest_stations"),
         c("p_name").alias("description"),
     )
-    return flats.flats_g(own).select(
-        "url",
-        "price",
-        c("rooms").cast("int"),
-        c("total_area").cast("double"),
-        c("floor").cast("int"),
-        "city",
-        "street",
-        "house_number",
-    )
+    kept = ["url", "price", "price_per_m2", "is_new_building", "city", "district", "street", "house_number", "parking", "deal_conditions", "metro_stations"]
+    whole = [c(k).cast("int").alias(k) for k in ("rooms", "floor", "total_floors", "year_built")]
+    return flats.flats_g(own).select(*kept, *whole, c("total_area").cast("double"))
 
 
 @query("SELECT cast(p_retailprice AS bigint) AS price, cast(CASE WHEN p_size < 40 THEN p_size END AS int) AS rooms FROM part")

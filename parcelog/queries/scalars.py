@@ -105,7 +105,7 @@ scalar(
     "c_custkey",
     {"a": "case c_custkey % 4 when 0 then 'р-н ' || c_name when 1 then c_name || ' район' when 2 then 'район ' || c_name else c_name end"},
     lambda: {"district": t.district_name(c("a"))},
-    {"district": "trim(regexp_replace(regexp_replace(a, '^(?:р-н|район)\\s+', ''), '\\s+(?:р-н|район)$', ''))"},
+    {"district": "trim(regexp_replace(regexp_replace(a, '^(?:р-н|район)\\s+', ''), '\\s+район$', ''))"},
 )
 _REGION_NAMES = [
     "Москва",

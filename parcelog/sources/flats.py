@@ -13,8 +13,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from parcelog.functions.text import content_url, decimal_number, floor_pair, price_digits, rooms_of_title, slash_pair
-from parcelog.functions.values import mapped
+from parcelog.functions.text import address, content_url, decimal_number, first_year, floor_pair, price_digits, rooms_of_title, slash_pair
+from parcelog.functions.values import mapped, station_pairs
 
 #: Target columns and types (fixed values).
 COLUMNS = {
@@ -67,6 +67,10 @@ RENOVATIONS = {
     "Designer": "Дизайнерский",
 }
 CITY, AROUND = "Москва", "Московская область"
+LABELS = {
+    "renovation": "Ремонт", "bathrooms": "Санузел", "balcony": "Балкон/лоджия", "window_view": "Вид из окон", "building_type": "Тип дома",
+    "parking": "Парковка", "elevators": "Количество лифтов", "completion_date": "Год сдачи",
+}
 BOX = {"lat": (54.2, 57.0), "lon": (35.0, 40.5)}
 
 c = F.col
@@ -84,6 +88,11 @@ def _named(df: DataFrame, source: str, columns: dict[str, Column]) -> DataFrame:
     return out.withColumn("url", F.coalesce("url", made))
 
 
+def _as_it_is(df: DataFrame) -> dict[str, Column]:
+    """Columns of a source that bear a target column's name already."""
+    return {k: c(k) for k in COLUMNS if k in df.columns}
+
+
 def _coded(source: str, region: str, city: int, around: int) -> Callable[[DataFrame], DataFrame]:
     """The shape with region codes, building codes and a box around the city."""
 
@@ -91,10 +100,10 @@ def _coded(source: str, region: str, city: int, around: int) -> Callable[[DataFr
         kept = df.filter(
             c(region).isin(city, around) & c("geo_lat").between(*BOX["lat"]) & c("geo_lon").between(*BOX["lon"]) & (c("price") > 0) & (c("area").isNull() | c("area").between(5, 500)),
         )
-        return _named(kept, source, {
-            "price": c("price"), "city": F.when(c(region) == city, CITY).otherwise(AROUND), "lat": c("geo_lat"), "lon": c("geo_lon"), "floor": c("level"), "total_floors": c("levels"), "total_area": c("area"),
+        return _named(kept, source, _as_it_is(df) | {
+            "region": F.lit(None) if region == "region" else _as_it_is(df).get("region", F.lit(None)), "price": c("price"), "city": F.when(c(region) == city, CITY).otherwise(AROUND), "lat": c("geo_lat"), "lon": c("geo_lon"), "floor": c("level"), "total_floors": c("levels"), "total_area": c("area"),
             "rooms": F.when(c("rooms") >= 0, c("rooms")), "building_type": F.try_element_at(F.create_map(*[F.lit(x) for kv in BUILDING_TYPES.items() for x in kv]), c("building_type").cast("int")),
-            "is_new_building": F.coalesce(c("object_type") == 2, F.lit(False)), **({"publication_date": c("date")} if "date" in df.columns else {}),
+            "is_new_building": F.coalesce(c("object_type") == 2, F.lit(False)), **({"publication_date": c("date")} if region == "region" and "date" in df.columns else {}),
         })
 
     return transform
@@ -104,7 +113,8 @@ def flats_c(df: DataFrame) -> DataFrame:
     return _named(
         df,
         "flats_c",
-        {
+        _as_it_is(df)
+        | {
             "price": c("Price"),
             "rooms": c("Number of rooms"),
             "total_area": c("Area"),
@@ -122,7 +132,8 @@ def flats_d(df: DataFrame) -> DataFrame:
     return _named(
         df,
         "flats_d",
-        {
+        _as_it_is(df)
+        | {
             "url": c("link"),
             "price": c("price"),
             "total_floors": c("number_of_floors"),
@@ -142,7 +153,8 @@ def flats_e(df: DataFrame) -> DataFrame:
     return _named(
         df.filter((c("city") == CITY) & (c("price") > 0)),
         "flats_e",
-        {
+        _as_it_is(df)
+        | {
             "price": c("price"),
             "city": F.lit(CITY),
             "floor": floor,
@@ -182,32 +194,34 @@ def flats_f(df: DataFrame) -> DataFrame:
 
 
 def flats_g(df: DataFrame) -> DataFrame:
-    """Nested documents: maps of labelled details, an address line and stations."""
-    from parcelog.functions.text import address
-
-    detail = lambda k: F.try_element_at(
-        F.coalesce(F.map_concat("offer_summary", "offer_details"), c("offer_summary"), c("offer_details")),
-        F.lit(k),
-    )
-    df = df.withColumn("address_", address(c("address")))  # folded once
-    floor, floors = floor_pair(detail("Этаж"))
+    """Nested documents: a price and a title, an address line, stations, and labelled details in two maps."""
+    # The address and both maps' look-ups are columns of their own, worked out once.
+    df = df.withColumn("address_", address(c("address")))
+    summary = lambda k: F.try_element_at("offer_summary", F.lit(k))
+    details = lambda k: F.try_element_at("offer_details", F.lit(k))
+    floor, floors = floor_pair(summary("Этаж"))
+    kind = summary("Тип жилья")
     return _named(
         df,
         "flats_g",
         {
             "url": F.concat(F.lit("flats_g_"), "doc_id"),
             "price": price_digits(c("price")),
+            "price_per_m2": price_digits(details("Цена за метр")),
+            "deal_conditions": details("Условия сделки"),
+            **{k: c(f"address_.{k}") for k in ("city", "region", "district", "street", "house_number")},
+            "metro_stations": station_pairs(c("nearest_stations")),
             "rooms": rooms_of_title(c("title")),
-            "total_area": decimal_number(detail("Общая площадь")),
-            "living_area": decimal_number(detail("Жилая площадь")),
-            "kitchen_area": decimal_number(detail("Площадь кухни")),
+            "total_area": decimal_number(summary("Общая площадь")),
+            "living_area": decimal_number(summary("Жилая площадь")),
+            "kitchen_area": decimal_number(summary("Площадь кухни")),
             "floor": floor,
             "total_floors": floors,
-            "year_built": decimal_number(detail("Год постройки")),
-            "renovation": detail("Ремонт"),
-            **{k: c(f"address_.{k}") for k in ("city", "region", "district", "street", "house_number")},
+            "ceiling_height": decimal_number(summary("Высота потолков")),
+            "year_built": first_year(summary("Год постройки")),
+            "is_new_building": F.when(F.lower(kind).contains("новостройка"), True).when(kind != "", False),
             "description": c("description"),
-            "metro_stations": F.to_json(F.transform(F.filter("nearest_stations", lambda s: s["station_name"].isNotNull()), lambda s: F.array(s["station_name"], s["station_time"]))),
+            **{k: summary(label) for k, label in LABELS.items()},
         },
     )
 
