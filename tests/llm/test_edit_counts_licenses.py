@@ -258,3 +258,36 @@ def test_templates_from_files(spark, tmp_path):
     assert templates == tuple(zip(("Long-1.0", "Long-2.0"), full))
     text = "before it\n" + full[1].replace(" ", "\n", 90) + "\nand after it"
     assert [(x.doc_id, x.license) for x in li.licenses(docs(spark, [(1, text), (2, text[:200])]), templates, windows=True).collect()] == [(1, "Long-2.0")]
+
+
+def planted(rng, text, edits):
+    """A notice with a share of its words changed, wrapped as a comment between lines of prose."""
+    prose = lambda n: " ".join(rng.choice(["river", "the", "of", "software", "under", "copy", "stone", "walks", "license", "to", "any", "person"]) for _ in range(n))
+    words = [rng.choice(["river", "stone", "walks"]) if rng.random() < edits else w for w in text.split()]
+    lines, width = [""], rng.randint(40, 90)
+    for w in words:
+        lines[-1] = f"{lines[-1]} {w}".strip()
+        if len(lines[-1]) > width:
+            lines.append("")
+    return "\n".join([prose(30), "#", *(f"# {x}" for x in lines), "#", prose(40), "", prose(12)])
+
+
+def test_recall_and_precision_on_planted_notices():
+    """Every template, short and full, with up to 4 % of its words changed; and texts of the same words without any notice."""
+    rng = random.Random(17)
+    syllables = ["con", "di", "tion", "li", "cen", "see", "war", "ran", "ty", "dis", "tri", "bu", "pa", "tent"]
+    vocabulary = ["".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(900)]
+    full = tuple((f"Full-{k}", " ".join(rng.choice(vocabulary) for _ in range(1500 + 700 * k))) for k in range(3))
+    templates = li.TEMPLATES + li.MORE_TEMPLATES + full
+    known = li.Templates(templates, li.THRESHOLD, windows=True)
+    hits = wrong = total = 0
+    for name, text in templates:
+        for edits in (0.0, 0.02, 0.04):
+            for _ in range(3):
+                found = {k for k, _, _ in known.scan(planted(rng, text, edits if len(text.split()) > 25 else 0.0))}
+                total += 1
+                hits += name in found
+                wrong += len(found - {name})
+    shuffled = [" ".join(rng.sample(text.split(), len(text.split()))) for _, text in templates if len(text.split()) > 25]
+    assert not any(known.scan(planted(rng, x, 0.0)) for x in shuffled)
+    assert hits / total >= 0.98 and wrong / (hits + wrong) <= 0.03, (hits, wrong, total)
