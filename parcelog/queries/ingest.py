@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from parcelog.functions import values as v
 from parcelog.queries.registry import query, table
 from parcelog.sources import files, flats, offers
-from parcelog.storage import scratch_path
+from parcelog.storage import scratch_path, spread
 
 c = F.col
 _A = """SELECT p_partkey AS k, cast(floor(p_retailprice) AS bigint) AS price, CASE p_partkey % 4 WHEN 0 THEN 81 WHEN 1 THEN 3 ELSE 7 END AS region, 54.0 + p_size / 10 AS geo_lat, 34.5 + p_size / 8 AS geo_lon,
@@ -141,7 +141,7 @@ def flats_g(spark, sf_dir):
     station = lambda name, time: F.struct(name.alias("station_name"), time.alias("station_time"))
     none = F.lit(None).cast("string")
     stations = F.array(station(F.lit('S "1"'), F.concat(size, F.lit(" мин."))), station(none, none))
-    own = table(spark, sf_dir, "part").select(
+    own = spread(table(spark, sf_dir, "part")).select(
         c("p_partkey").cast("string").alias("doc_id"),
         F.concat(F.floor("p_retailprice").cast("string"), F.lit(" ₽")).alias("price"),
         F.when(c("p_size") % 5 == 0, "Продажа студии").otherwise(F.concat((c("p_size") % 5).cast("string"), F.lit(" комн. кв."))).alias("title"),

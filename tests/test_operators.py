@@ -371,3 +371,9 @@ def test_large_groups_give_the_same_quantiles(spark, monkeypatch):
         key = lambda x: str(x[0])
         for x, y in zip(sorted(map(tuple, a.collect()), key=key), sorted(map(tuple, b.collect()), key=key), strict=True):
             assert x == pytest.approx(y)
+
+
+def test_costly_rows_of_a_small_file_are_many_tasks(spark):
+    from parcelog.queries import QUERIES
+
+    assert QUERIES["flats_g"](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= 8
