@@ -46,9 +46,22 @@ def scan_html(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.withColumns({"title": F.when(title != "", title), "n_links": F.coalesce(links, F.lit(0)), "length": F.length(html).cast("bigint")}).drop(html)
 
 
+@contextmanager
+def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Folders are listed by so many tasks a core as keep all busy, not by one task for each of up to 10,000 folders."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def scan_json_docs(spark: SparkSession, path: str, schema: str, pattern: str = "*.json") -> tuple[DataFrame, DataFrame]:
     """(documents, broken ones) of one JSON document a file; the id is the parent folder's name."""
-    own = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
+    with few_listing_tasks(spark):
+        own = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
     parsed = F.from_json("value", f"{schema}, broken_ string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken_"})
     own = own.select(F.regexp_extract("_metadata.file_path", r"/([^/]+)/[^/]+$", 1).alias("doc_id"), parsed.alias("d")).select("doc_id", "d.*")
     return own.filter("broken_ is null").drop("broken_"), own.filter("broken_ is not null").select("doc_id", "broken_")

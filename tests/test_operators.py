@@ -373,6 +373,22 @@ def test_large_groups_give_the_same_quantiles(spark, monkeypatch):
             assert x == pytest.approx(y)
 
 
+def test_folders_are_listed_by_few_tasks(spark, tmp_path):
+    for i in range(200):
+        folder = tmp_path / f"{i}"
+        folder.mkdir()
+        (folder / "data.json").write_text(f'{{"x": {i}}}')
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, tracker = spark.conf.get(key), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "")
+    good, bad = files.scan_json_docs(spark, str(tmp_path), "x int")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert 0 < sum(s.numTasks for s in stages) <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(key) == before
+    assert sorted((int(r.doc_id), r.x) for r in good.collect()) == [(i, i) for i in range(200)] and bad.count() == 0
+
+
 def test_costly_rows_of_a_small_file_are_many_tasks(spark):
     from parcelog.queries import QUERIES
 
