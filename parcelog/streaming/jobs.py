@@ -8,7 +8,7 @@ they hold, other batches are written under their number.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import astuple, dataclass
 
 import pandas as pd
@@ -29,7 +29,17 @@ def source(spark: SparkSession, path: str, per_trigger: int | None = None) -> Da
 
 
 def _run(writer, folder: str) -> None:
-    writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    """Run over what is there. A new stream parts its state among so many tasks as keep the cores busy, and no more: each part
+    writes files of its own every batch, however few rows it has. A stream that goes on keeps its number of parts."""
+    spark = SparkSession.active()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        query = writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(key, before)
+    query.awaitTermination()
 
 
 def _to_files(stream: DataFrame, folder: str, schema: str | None = None) -> DataFrame:
@@ -114,16 +124,30 @@ def _own(stream: DataFrame, run: Column | None, delay: str) -> DataFrame:
     return own.withWatermark("scraped_at", delay)
 
 
-def _with_state(own: DataFrame, step, schema: str, idle_days: int) -> DataFrame:
-    """``step`` over each listing's sightings in order with its card, which leaves the state when it has been idle for long."""
+#: A sighting in a listing's order: time, id, run, day and price.
+Sighting = tuple[pd.Timestamp, int, int, int, int | None]
+
+
+def _with_state(own: DataFrame, step: Callable[[Card, int, list[Sighting]], dict[str, list]], schema: str, idle_days: int) -> DataFrame:
+    """``step`` over each listing's sightings in order with its card, which leaves the state when it has been idle for long.
+
+    Most listings have few sightings a batch, so these are plain tuples: what pandas needs for a sort or a new column costs
+    far more than a few rows do.
+    """
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
         card = Card(*state.get) if state.exists else Card()
-        rows = pd.concat(list(frames)).sort_values(["scraped_at", "obs_id"], kind="stable")
-        yield step(card, rows)
+        rows: list[Sighting] = []
+        for f in frames:
+            rows += zip(f["scraped_at"].array, f["obs_id"].tolist(), f["run"].tolist(), f["day"].tolist(), _prices(f), strict=True)
+        rows.sort(key=lambda r: (r[0], r[1] != r[1], r[1]))  # missing ids last
+        found = step(card, key[0], rows)
+        if found[names[0]]:
+            yield pd.DataFrame(found, columns=names)
         state.update(astuple(card))
         state.setTimeoutTimestamp(max((card.seen + idle_days + 1) * 86_400_000, state.getCurrentWatermarkMs() + 1))
 
@@ -131,17 +155,17 @@ def _with_state(own: DataFrame, step, schema: str, idle_days: int) -> DataFrame:
 
 
 def _prices(rows: pd.DataFrame) -> list[int | None]:
-    return [None if p is None or p != p else int(p) for p in rows["price"]]
+    return [None if p is None or p != p else int(p) for p in rows["price"].tolist()]
 
 
 def card_states(stream: DataFrame, folder: str, run: Column | None = None, delay: str = "60 days", idle_days: int = 180) -> DataFrame:
     """Each sighting as new, dup, repriced or known, with the listing's card as state. A run is a day unless told otherwise;
     sightings older than the watermark's delay are dropped, and listings idle for ``idle_days`` leave the state and are new again."""
 
-    def classify(card: Card, rows: pd.DataFrame) -> pd.DataFrame:
-        prices = _prices(rows)
-        outcomes = [card.see(int(r), int(d), p, idle_days) for r, d, p in zip(rows["run"], rows["day"], prices, strict=True)]
-        return rows.assign(outcome=outcomes, price=pd.array(prices, dtype="Int64"))[["listing_id", "obs_id", "scraped_at", "price", "outcome"]]
+    def classify(card: Card, listing: int, rows: list[Sighting]) -> dict[str, list]:
+        times, ids, _, _, prices = (list(x) for x in zip(*rows, strict=True))
+        outcomes = [card.see(r, d, p, idle_days) for _, _, r, d, p in rows]
+        return {"listing_id": [listing] * len(rows), "obs_id": ids, "scraped_at": times, "price": pd.array(prices, dtype="Int64"), "outcome": outcomes}
 
     return _to_files(_with_state(_own(stream, run, delay), classify, OUTCOMES, idle_days), folder, OUTCOMES)
 
@@ -151,15 +175,18 @@ def presence(stream: DataFrame, folder: str, run: Column | None = None, delay: s
     it has repriced, nor for those observed that day before, nor without any price. A run's sightings should come in one batch
     (a heartbeat that was written stays if a later batch reprices the listing)."""
 
-    def beat(card: Card, rows: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        for (r, d), own in rows.assign(price=pd.Series(_prices(rows), index=rows.index, dtype=object)).groupby(["run", "day"], sort=False):
-            for p in own["price"]:
-                card.see(int(r), int(d), p, idle_days)
-            known = [p for p in own["price"] if p]
-            price = card.heartbeat(int(d), known[-1] if known else None)
+    def beat(card: Card, listing: int, rows: list[Sighting]) -> dict[str, list]:
+        by_run: dict[tuple[int, int], list[int | None]] = {}
+        for _, _, r, d, p in rows:
+            by_run.setdefault((r, d), []).append(p)
+        found: list[tuple] = []
+        for (r, d), prices in by_run.items():
+            for p in prices:
+                card.see(r, d, p, idle_days)
+            known = [p for p in prices if p]
+            price = card.heartbeat(d, known[-1] if known else None)
             if price is not None:
-                found.append((rows["listing_id"].iloc[0], pd.Timestamp(int(d), unit="D").date(), price))
-        return pd.DataFrame(found, columns=["listing_id", "d", "price"])
+                found.append((listing, pd.Timestamp(d, unit="D").date(), price))
+        return {name: [x[i] for x in found] for i, name in enumerate(("listing_id", "d", "price"))}
 
     return _to_files(_with_state(_own(stream, run, delay), beat, HEARTBEATS, idle_days), folder, HEARTBEATS)

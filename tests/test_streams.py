@@ -149,3 +149,16 @@ def test_one_writer_at_a_time(spark, tmp_path):
     with files.one_writer(spark, path), files.one_writer(spark, path, stale_hours=0):
         pass  # what a dead writer left is taken over
     shutil.rmtree(path)
+
+
+def test_state_has_no_more_parts_than_keep_the_cores_busy(spark, log, tmp_path):
+    key = "spark.sql.shuffle.partitions"
+    before, folder = spark.conf.get(key), f"{tmp_path}/states"
+    spark.conf.set(key, "100")
+    try:
+        got = outcomes(jobs.card_states(log([(2, 1, day(0, 1), 5), (1, 1, day(0), 5), (3, 2, day(0), None)]), folder))
+        assert spark.conf.get(key) == "100"
+    finally:
+        spark.conf.set(key, before)
+    assert got == {1: "new", 2: "dup", 3: "new"}
+    assert 0 < sum(p.name.isdigit() for p in Path(f"{folder}/checkpoint/state/0").iterdir()) <= 4 * spark.sparkContext.defaultParallelism
