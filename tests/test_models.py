@@ -150,3 +150,13 @@ def test_holdout_is_the_newest_share(spark, known):
     row = metrics.first()
     assert row.n == int(0.2 * known.count()) and row.n_train == known.count() and row.newest == 398 and row.roc_auc > 0.9
     assert t.score(model, known, "y").count() == known.count()
+
+
+def test_simple_models_share_their_features(spark, monkeypatch):
+    from parcelog.ml import training
+    from parcelog.queries import QUERIES
+
+    made, own = [], training.preprocessor
+    monkeypatch.setattr(training, "preprocessor", lambda *x: (made.append(x), own(*x))[1])
+    assert sorted(r.model for r in QUERIES["simple_models"](spark, "/root/testdata/sf0.001").collect()) == ["logistic", "tree"]
+    assert len(made) == 1
