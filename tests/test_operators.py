@@ -334,6 +334,32 @@ def test_many_quantiles_in_one_pass(spark, many_ranges):
     assert all(t.count() == 0 for t in ranks.quantile_tables(df.limit(0), wanted))
 
 
+def test_quantiles_order_only_values_about_the_places(spark, monkeypatch):
+    """Of different values few are dealt into ranges, whatever they are like; the rest is counted by bins."""
+    r = random.Random(7)
+    draw = [lambda: r.uniform(900, 105000), lambda: -r.lognormvariate(0, 6), lambda: r.choice([1e300, -1e300, 0.0]) if r.random() < 0.1 else r.gauss(55, 1e-4)]
+    rows = [(r.choice("abc"), r.randrange(3), *[f() for f in draw]) for _ in range(6000)]
+    rows[5] = ("c", 1, None, float("nan"), float("inf"))
+    df = frame(spark, rows, "g string, k int, even double, wide double, narrow double")
+    ordered = []
+    dealt = ranks._in_ranges
+    monkeypatch.setattr(ranks, "_in_ranges", lambda d, *order: (ordered.append(d.count()), dealt(d, *order))[1])
+    names = ("even", "wide", "narrow")
+    wanted = [ranks.Quantiles(keys, v, {"med": 0.5}) for v in names for keys in (("g", "k"), ("g",), ())]
+    import numpy as np
+
+    for w, table in zip(wanted, ranks.quantile_tables(df, wanted), strict=True):
+        groups = {}
+        for g, k, *values in rows:
+            own = {"g": g, "k": k}
+            v = values[names.index(w.value)]
+            if v is not None:
+                groups.setdefault(tuple(own[x] for x in w.keys), []).append(float("inf") if v != v else v)
+        got = {tuple(x[k] for k in w.keys): (x.n, x.med) for x in table.collect()}
+        assert got == {key: (len(v), pytest.approx(np.median(v), rel=1e-12)) for key, v in groups.items()}
+    assert 0 < ordered[0] < 0.1 * 9 * len(rows)
+
+
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "int", "double"])
 def test_cuts_of_the_newest(spark, kind):
     """Ties, nulls and one huge tie, at every kind of time."""
