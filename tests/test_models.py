@@ -145,6 +145,16 @@ def test_random_search_prefers_what_can_tell(spark, known):
     assert abs(t.random_search(noise, "id", "y", ["z"], ["kind"], spaces[1:], n=1)[0][0] - 0.5) < 0.15
 
 
+def test_random_search_ranks_leaves_by_their_share(spark):
+    """A large leaf with many positive rows ranks below a small one that has only such; all is prepared in one go a fold."""
+    rows = [(i, 0.0 if i < 900 else 1.0, int(i >= 900 or i % 3 == 0)) for i in range(1000)]
+    spaces = [{"model": ["tree"], "maxDepth": [1], "minInstancesPerNode": [1, 2, 3]}]
+    found = t.random_search(spark.createDataFrame(rows, "id int, x double, y int").withColumn("kind", F.lit("a")), "id", "y", ["x"], ["kind"], spaces, n=3)
+    positive = 300 + 100
+    want = (100 * 600 + 300 * 600 / 2) / (positive * 600)
+    assert len(found) == 3 and all(abs(area - want) < 0.02 for area, _ in found)
+
+
 def test_holdout_is_the_newest_share(spark, known):
     model, metrics = t.train_with_holdout(known, "tree", "y", "id", "id", ["x", "z"], ["kind"])
     row = metrics.first()
