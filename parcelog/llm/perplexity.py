@@ -41,6 +41,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from parcelog.llm import word_model
 from parcelog.llm.frames import open_uri
 from parcelog.storage import materialize, scratch_path, small_batches
 
@@ -51,6 +52,7 @@ LEAST_WORDS, MOST_REPEATED, REPEAT_WINDOW = 10, 20, 5
 #: Languages whose arrays a worker keeps (11 MB each at most).
 KEPT_LANGUAGES = 8
 STATS = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_grams long, log_probability double, digest binary"
+WORD_STATS = "doc_id long, lang string, digest long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
 def _symbol(c: int) -> int:
@@ -128,9 +130,7 @@ def _mixed(kind: int, gram: np.ndarray) -> np.ndarray:
 
 def _discounts(counts: np.ndarray) -> np.ndarray:
     """Modified Kneser-Ney discounts for counts of 0, 1, 2 and 3 or more."""
-    n1, n2, n3, n4 = (max(1, int((counts == k).sum())) for k in (1, 2, 3, 4))
-    y = n1 / (n1 + 2 * n2)
-    return np.clip([0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], 0, [0, 1, 2, 3])
+    return word_model.discounts(*(int((counts == k).sum()) for k in (1, 2, 3, 4)))
 
 
 def _level(gram: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -203,6 +203,10 @@ def read_model(path: str) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, "<u8", n, 8), np.frombuffer(data, "<f4", n, 8 + 8 * n)
 
 
+def _base_failed() -> Column:
+    return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
+
+
 def train(docs: DataFrame) -> DataFrame:
     """lang and path: a model file for each language below the shared folder."""
     directory = scratch_path(docs.sparkSession, "models")
@@ -320,11 +324,38 @@ def _blended(own: str, n: str, general: Column, prior: float) -> Column:
     return F.when(F.col(own).isNull(), general).otherwise((F.col(n) * F.col(own) + prior * F.coalesce(general, F.col(own))) / (F.col(n) + prior))
 
 
-def rules(docs: DataFrame, width: float = WIDTH, least_deviation: float = LEAST_DEVIATION, prior_docs: float = PRIOR_DOCS) -> DataFrame:
-    """Counts, base rule, perplexity and verdict of every document."""
-    stats = materialize(statistics(docs, train(docs)), "statistics")
+def word_statistics(docs: DataFrame) -> DataFrame:
+    """Base counts of every document, and the text's key."""
+    small_batches(docs.sparkSession)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = list(zip(*map(base_counts, batch.column(3).to_pylist()), strict=True)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(c, pa.int64()) for c in counts)], names=[x.split()[0] for x in WORD_STATS.split(", ")])
+
+    return docs.mapInArrow(measure, WORD_STATS)
+
+
+def _with_words(docs: DataFrame, **cut: int) -> DataFrame:
+    """Counts and the logarithm of the probability of every document that passes the base rules, by trigrams of words."""
+    lang = F.coalesce("lang", F.lit(""))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang"), F.xxhash64(lang, "text").bitwiseAND(-2).alias("digest"), "text")
+    stats = materialize(word_statistics(keyed), "statistics")
+    sizes = stats.filter(~_base_failed()).groupBy("lang").agg(F.sum(F.col("n_words") + 1).alias("n")).collect()  # a row for each language
+    texts = keyed.filter("text is not null").select(F.col("digest").alias("key"), "lang", "text")
+    passes = lambda words: not base_fails(len(words), repeated_words(words))
+    if not sizes:
+        return stats.withColumns({"n_grams": F.lit(0).cast("long"), "log_probability": F.lit(0.0)})
+    found = word_model.log_probability(texts, {r["lang"]: r["n"] for r in sizes}, passes, **cut).withColumnRenamed("key", "digest")
+    known = F.when(~_base_failed() & F.col("log_probability").isNotNull(), F.col("n_words") + 1).otherwise(0)
+    return materialize(stats.join(found, "digest", "left").withColumn("n_grams", known), "word-statistics")
+
+
+def rules(docs: DataFrame, width: float = WIDTH, least_deviation: float = LEAST_DEVIATION, prior_docs: float = PRIOR_DOCS, words: bool = False, **cut: int) -> DataFrame:
+    """Counts, base rule, perplexity and verdict of every document, by trigrams of symbols or of words; ``cut`` goes to the model of words."""
+    stats = _with_words(docs, **cut) if words else materialize(statistics(docs, train(docs)), "statistics")
     scored = stats.withColumns({
-        "base_failed": (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")),
+        "base_failed": _base_failed(),
         "log_perplexity": F.when(F.col("n_grams") > 0, -F.col("log_probability") / F.col("n_grams")),
         "size": F.floor(F.log2(F.greatest("n_grams", F.lit(1)))).cast("int"),
     })
@@ -336,5 +367,5 @@ def rules(docs: DataFrame, width: float = WIDTH, least_deviation: float = LEAST_
     general = found.filter("size is null").select("lang", *[_blended(c, "docs", F.col(f"of_all.{c}"), prior_docs).alias(f"lang_{c}") for c in ("low", "high")])
     joined = scored.join(F.broadcast(sized), ["lang", "size"], "left").join(F.broadcast(general), "lang", "left")
     low, high = (_blended(c, "docs", F.col(f"lang_{c}"), prior_docs) for c in ("low", "high"))
-    within = F.coalesce(F.col("log_perplexity").between(low, high), F.lit(False))
+    within = F.coalesce(F.col("log_perplexity").between(low, high), F.lit(words))  # by words, texts that no others can measure stay
     return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & within).alias("kept"), F.exp("log_perplexity").alias("perplexity"), "lang")

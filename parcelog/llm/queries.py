@@ -28,7 +28,7 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return perplexity.rules(_table(spark, sf_dir, "documents"))
+    return perplexity.rules(_table(spark, sf_dir, "documents"), words=True)
 
 
 def op4_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
