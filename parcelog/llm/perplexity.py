@@ -343,10 +343,10 @@ def _with_words(docs: DataFrame, **cut: int) -> DataFrame:
     stats = materialize(word_statistics(keyed), "statistics")
     sizes = stats.filter(~_base_failed()).groupBy("lang").agg(F.sum(F.col("n_words") + 1).alias("n")).collect()  # a row for each language
     texts = keyed.filter("text is not null").select(F.col("digest").alias("key"), "lang", "text")
-    passes = lambda words: not base_fails(len(words), repeated_words(words))
+    passes = lambda n, repeat: (n >= LEAST_WORDS) & (100 * repeat <= MOST_REPEATED * n)
     if not sizes:
         return stats.withColumns({"n_grams": F.lit(0).cast("long"), "log_probability": F.lit(0.0)})
-    found = word_model.log_probability(texts, {r["lang"]: r["n"] for r in sizes}, passes, **cut).withColumnRenamed("key", "digest")
+    found = word_model.log_probability(texts, {r["lang"]: r["n"] for r in sizes}, passes, REPEAT_WINDOW, **cut).withColumnRenamed("key", "digest")
     known = F.when(~_base_failed() & F.col("log_probability").isNotNull(), F.col("n_words") + 1).otherwise(0)
     return materialize(stats.join(found, "digest", "left").withColumn("n_grams", known), "word-statistics")
 

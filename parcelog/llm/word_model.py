@@ -29,28 +29,32 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelog.llm.frames import open_uri
 from parcelog.storage import materialize, scratch_path, small_batches
 
-PART_WORDS, ROUNDS = 2_000_000, 4
-#: Words that a task gathers before it sends them.
-BLOCK_WORDS = 2_000_000
+PART_WORDS, ROUNDS = 2_000_000, 3
+#: Bytes of texts that a task gathers before it sends their trigrams.
+BLOCK_BYTES = 1 << 24
 #: One text in so many shows which words are frequent; that only says where they are sent.
 SHOWN = 64
 UNIT = 1e7
-#: Words and texts that a task remembers.
+#: Texts that a task remembers.
 KEPT = 1 << 20
 BEGIN, END = b" ", b"\n"
-BLOCK = "lang string, part int, words array<bigint>, first array<int>, middle array<int>, last array<int>, texts array<bigint>, text array<int>"
+COLUMNS = ["words", "first", "middle", "last", "texts", "text"]
+#: From the numbers of words and of words in repeated windows: whether texts count.
+Passes = Callable[[np.ndarray, np.ndarray], np.ndarray]
 #: kind 3 and 2: n trigrams or pairs of a half have the count a (4: four; more don't matter); 1: word a follows n words; 0: pair (a, b) follows n words.
 COUNTS = "lang string, kind int, half int, a long, b long, n long"
 
@@ -62,18 +66,10 @@ def discounts(*having: int) -> np.ndarray:
     return np.clip([0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], 0, [0, 1, 2, 3])
 
 
-class Codes(dict):
+def codes(lang: str, words: list[bytes]) -> np.ndarray:
     """Hashes of a language's words."""
-
-    def __init__(self, lang: str) -> None:
-        super().__init__()
-        self.seed = xxhash.xxh64_intdigest(lang.encode())
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KEPT:
-            self.clear()
-        code = self[word] = xxhash.xxh64_intdigest(word, self.seed)
-        return code
+    seed = xxhash.xxh64_intdigest(lang.encode())
+    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -82,8 +78,9 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return h ^ h >> np.uint64(29)
 
 
-def half(code: np.ndarray) -> int:
-    return int(_mix(_mix(code[:-2], code[1:-1]), code[2:]).min() >> np.uint64(8)) & 1
+def half(code: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The half of each text, of whose trigrams' hashes the first stand at ``starts``."""
+    return (np.minimum.reduceat(code, starts) >> np.uint64(8)).astype(np.int64) & 1
 
 
 class Places:
@@ -109,70 +106,103 @@ class Places:
         return part
 
 
-def blocks(texts: DataFrame, places: Places, turn: int, passes: Callable[[list[bytes]], bool]) -> DataFrame:
+def repeated(word: np.ndarray, text: np.ndarray, window: int) -> np.ndarray:
+    """Whether each word is within a window of words that its text has twice or more; texts stand one after another."""
+    n = len(word) - window + 1
+    covered = np.zeros(len(word) + 1, np.int64)
+    if n > 1:
+        own = np.flatnonzero(text[:n] == text[window - 1 :])
+        h = text[own].astype(np.uint64)
+        for k in range(window):
+            h = _mix(h, word[own + k])
+        order = np.argsort(h)
+        same = h[order][1:] == h[order][:-1]
+        hit = own[order[np.append(same, False) | np.append(False, same)]]
+        covered += np.bincount(hit, minlength=len(word) + 1) - np.bincount(hit + window, minlength=len(word) + 1)
+    return np.cumsum(covered)[:-1] > 0
+
+
+def packed(values: list[np.ndarray]) -> bytes:
+    """A block's columns, each of its own length, as one row of a compressed Arrow stream."""
+    row = pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v)) for v in values], names=COLUMNS)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, row.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(row)
+    return sink.getvalue().to_pybytes()
+
+
+def blocks(texts: DataFrame, places: Places, turn: int, passes: Passes, window: int) -> DataFrame:
     """The trigrams of ``texts`` (key, lang, text) whose parts' turn it is; keys are even, and bear their text's half from here on."""
     small_batches(texts.sparkSession)
 
-    def sent(lang: str, keys: list[int], words: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        flat = np.concatenate(words)
-        length = np.fromiter(map(len, words), np.int64, len(words))
-        text = np.repeat(np.arange(len(words), dtype=np.int32), length)
-        at = np.flatnonzero(text[2:] == text[:-2])  # each text has three words or more with its marks
-        part = places.of(lang, flat[at], flat[at + 1])
-        now = (part + zlib.crc32(lang.encode())) % places.rounds == turn
+    def sent(lang: str, keys: np.ndarray, texts: pa.Array) -> Iterator[pa.RecordBatch]:
+        lists = pc.ascii_split_whitespace(texts)
+        every = lists.flatten()
+        text = np.repeat(np.arange(len(keys)), np.asarray(lists.value_lengths()))
+        real = np.flatnonzero(np.asarray(pc.binary_length(every)))  # white space at an end leaves an empty word there
+        named = every.dictionary_encode()
+        word, text = np.asarray(named.indices)[real], text[real]
+        code = codes(lang, [*named.dictionary.cast(pa.binary()).to_pylist(), BEGIN, END])
+        n = np.bincount(text, minlength=len(keys))
+        good = passes(n, np.bincount(text, repeated(code[word], text, window), len(keys)).astype(np.int64))
+        own = good[text]
+        word, n, keys = word[own], n[good], keys[good]
+        if not len(keys):
+            return
+        # Each text with two marks before and one behind it; its trigrams begin at all places but its last two.
+        text = np.repeat(np.arange(len(keys), dtype=np.int32), n + 3)
+        flat = np.full(len(text), len(code) - 2, np.int32)
+        flat[np.arange(len(word)) + 3 * np.repeat(np.arange(len(keys)), n) + 2] = word
+        flat[np.cumsum(n + 3) - 1] = len(code) - 1
+        at = np.flatnonzero(text[2:] == text[:-2])
+        first, middle, last = (code[flat[at + k]] for k in range(3))
+        keys = keys | half(_mix(_mix(first, middle), last), np.cumsum(n + 1) - n - 1)
+        part = places.of(lang, first, middle)
+        now = np.flatnonzero((part + zlib.crc32(lang.encode())) % places.rounds == turn)
+        now = now[np.argsort(part[now], kind="stable")]
         at, part = at[now], part[now]
-        order = np.lexsort((flat[at + 1], part))
-        at, part = at[order], part[order]
-        key = np.array(keys, np.int64)
         cut = np.flatnonzero(np.diff(part)) + 1
         for own, p in zip(np.split(at, cut), part[np.append(0, cut)] if len(part) else [], strict=False):  # no blocks of no trigrams
             known, number = np.unique(np.concatenate([flat[own], flat[own + 1], flat[own + 2]]), return_inverse=True)
-            number = number.astype(np.int32).reshape(3, -1)
             held, which = np.unique(text[own], return_inverse=True)
-            values = [known.view(np.int64), *number, key[held], which.astype(np.int32)]
-            columns = [pa.array([lang]), pa.array([int(p)], pa.int32()), *(pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v)) for v in values)]
-            yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in BLOCK.split(", ")])
+            data = packed([code[known].view(np.int64), *number.astype(np.int32).reshape(3, -1), keys[held], which.astype(np.int32)])
+            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([int(p)], pa.int32()), pa.array([data])], names=["lang", "part", "data"])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes: dict[str, Codes] = {}
-        gathered: dict[str, tuple[list[int], list[np.ndarray]]] = {}
         met: set[int] = set()
-        size = 0
+
+        def all_of(gathered: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(gathered).combine_chunks()
+            chosen: dict[str, list[int]] = {}
+            for i, (key, lang) in enumerate(zip(table["key"].to_pylist(), table["lang"].to_pylist(), strict=True)):
+                if key not in met and lang in places.parts:
+                    if len(met) >= KEPT:
+                        met.clear()
+                    met.add(key)
+                    chosen.setdefault(lang, []).append(i)
+            for lang, rows in chosen.items():
+                own = table.take(pa.array(rows)).combine_chunks()
+                yield from sent(lang, np.asarray(own["key"]), own["text"].chunk(0))
+
+        gathered, size = [], 0
         for batch in batches:
-            for key, lang, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                if key in met or lang not in places.parts:
-                    continue
-                words = text.encode().split()
-                if not passes(words):
-                    continue
-                if len(met) >= KEPT:
-                    met.clear()
-                met.add(key)
-                if lang not in codes:
-                    if len(codes) >= 8:
-                        codes.clear()
-                    codes[lang] = Codes(lang)
-                marked = [BEGIN, BEGIN, *words, END]
-                keys, own = gathered.setdefault(lang, ([], []))
-                code = np.fromiter(map(codes[lang].__getitem__, marked), np.uint64, len(marked))
-                keys.append(key | half(code))
-                own.append(code)
-                size += len(marked)
-            if size >= BLOCK_WORDS:
-                for lang, (keys, own) in gathered.items():
-                    yield from sent(lang, keys, own)
-                gathered, size = {}, 0
-        for lang, (keys, own) in gathered.items():
-            yield from sent(lang, keys, own)
-
-    return texts.select("key", "lang", "text").mapInArrow(send, BLOCK)
+            gathered.append(batch)
+            size += batch.nbytes
+            if size >= BLOCK_BYTES:
+                yield from all_of(gathered)
+                gathered, size = [], 0
+        if size:
+            yield from all_of(gathered)
+
+    return texts.select("key", "lang", "text").mapInArrow(send, "lang string, part int, data binary")
 
 
 class Part:
     """The different trigrams and pairs of a part with their counts in each half, and the trigrams of its texts."""
 
     def __init__(self, table: pa.Table) -> None:
-        lists = {c: table[c].combine_chunks() for c in ("words", "first", "middle", "last", "texts", "text")}
+        table = pa.concat_tables([pa.ipc.open_stream(data.as_buffer()).read_all() for data in table["data"]])
+        lists = {c: table[c].combine_chunks() for c in COLUMNS}
         lists = {c: x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for c, x in lists.items()}
         n = {c: np.asarray(x.value_lengths()).astype(np.int64) for c, x in lists.items()}
         flat = {c: np.asarray(x.flatten()) for c, x in lists.items()}
@@ -250,7 +280,19 @@ def followers(folder: str, words: np.ndarray) -> np.ndarray:
     return out
 
 
-def log_probability(texts: DataFrame, words: dict[str, int], passes: Callable[[list[bytes]], bool], part_words: int = PART_WORDS, rounds: int = ROUNDS, shown: int = SHOWN) -> DataFrame:
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go when the action that wrote them ends, so a round's blocks make room for the next."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def log_probability(texts: DataFrame, words: dict[str, int], passes: Passes, window: int, part_words: int = PART_WORDS, rounds: int = ROUNDS, shown: int = SHOWN) -> DataFrame:
     """key and log_probability of each different text of ``texts`` (key: even, lang, text: not null) that ``passes``, by the model of the other
     half of them in its language, if that has any; ``words`` has about as many words as each language has. Arguments say how the work is cut, not what comes out."""
     spark = texts.sparkSession
@@ -260,13 +302,14 @@ def log_probability(texts: DataFrame, words: dict[str, int], passes: Callable[[l
     if total > part_words:
         each = texts.filter(F.pmod("key", F.lit(shown)) == 0).select("lang", F.explode(F.split("text", "[\\x20\\x09-\\x0D]+")).alias("word")).filter("word <> ''")
         often = each.groupBy("lang", "word").count().filter(F.col("count") * shown * 2 > part_words).collect()  # two for each part's words at most
-        frequent = [(r["lang"], Codes(r["lang"])[r["word"].encode()], -(-r["count"] * shown * 2 // part_words)) for r in often if r["lang"] in words]
+        frequent = [(r["lang"], int(codes(r["lang"], [r["word"].encode()])[0]), -(-r["count"] * shown * 2 // part_words)) for r in often if r["lang"] in words]
     places = Places({lang: max(1, -(-n // part_words)) for lang, n in words.items()}, frequent, rounds)
 
     def by_part(turn: int):
-        return blocks(texts, places, turn, passes).groupBy("lang", "part")
+        return blocks(texts, places, turn, passes, window).groupBy("lang", "part")
 
-    counted = [materialize(by_part(turn).applyInArrow(_count(places), COUNTS), "word-counts") for turn in range(rounds)]
+    with shuffles_dropped(spark):
+        counted = [materialize(by_part(turn).applyInArrow(_count(places), COUNTS), "word-counts") for turn in range(rounds)]
     every = reduce(DataFrame.unionByName, counted)
     pairs = materialize(every.filter("kind = 0").groupBy("lang", "half", "a", "b").agg(F.sum("n").alias("n")), "frequent-pairs")
     single = every.filter("kind = 1").select("lang", "half", "a", "n").unionByName(pairs.select("lang", "half", F.col("b").alias("a"), F.lit(1).cast("long").alias("n")))
@@ -316,7 +359,8 @@ def log_probability(texts: DataFrame, words: dict[str, int], passes: Callable[[l
     sent = pairs.join(F.broadcast(at), ["lang", "a"]).select("lang", F.explode(F.expr("sequence(start, start + parts - 1)")).alias("part"), "half", F.col("b").alias("word"), "n")
     turn_of = F.pmod(F.col("part") + F.crc32(F.col("lang").cast("binary")), F.lit(rounds))
     scored = []
-    for turn in range(rounds):
-        logs = by_part(turn).cogroup(sent.filter(turn_of == turn).groupBy("lang", "part")).applyInArrow(score, "key long, log long")
-        scored.append(materialize(logs.groupBy("key").agg(F.sum("log").alias("log")), "word-scores"))
+    with shuffles_dropped(spark):
+        for turn in range(rounds):
+            logs = by_part(turn).cogroup(sent.filter(turn_of == turn).groupBy("lang", "part")).applyInArrow(score, "key long, log long")
+            scored.append(materialize(logs.groupBy("key").agg(F.sum("log").alias("log")), "word-scores"))
     return reduce(DataFrame.unionByName, scored).groupBy(F.col("key").bitwiseAND(-2).alias("key")).agg((F.sum("log") / UNIT).alias("log_probability"))

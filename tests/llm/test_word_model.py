@@ -69,8 +69,8 @@ def test_perplexity_of_words_equals_brute_force(spark, cut):
     rows = corpus()
     halves = {}
     for _, t, lang in rows:
-        codes = word_model.Codes(lang or "")
-        halves[lang or "", t] = word_model.half(np.array([codes[w] for w in [b" ", b" ", *(t or "").encode().split(), b"\n"]], np.uint64))
+        c = word_model.codes(lang or "", [b" ", b" ", *(t or "").encode().split(), b"\n"])
+        halves[lang or "", t] = int(word_model.half(word_model._mix(word_model._mix(c[:-2], c[1:-1]), c[2:]), np.array([0]))[0])
     logs = brute_logs([(d, t, lang or "") for d, t, lang in rows], halves)
     assert {(lang, halves[lang, t]) for t, lang in logs} == {(lang, half) for lang in ("en", "de", "") for half in (0, 1)}
     want = sorted(((d or 0), t or "", math.exp(-logs[t, lang or ""][0] / logs[t, lang or ""][1]) if (t, lang or "") in logs else None) for d, t, lang in rows)
@@ -102,3 +102,12 @@ def test_query_tells_words_apart_where_symbols_are_alike(spark, tmp_path):
 def test_tables_without_texts(spark):
     assert p.rules(docs(spark, []), words=True).count() == 0
     assert [(r.kept, r.n_words) for r in p.rules(docs(spark, [(1, "", "en"), (2, None, None)]), words=True).collect()] == [(False, 0)] * 2
+
+
+def test_repeated_words_of_many_texts():
+    rng = np.random.default_rng(6)
+    texts = [[b"%d" % w for w in rng.integers(0, 1 + i % 4, rng.integers(0, 40))] for i in range(200)]
+    code = word_model.codes("en", [w for t in texts for w in t])
+    text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    got = np.bincount(text, word_model.repeated(code, text, 5), len(texts))
+    assert got.tolist() == [p.repeated_words(t) for t in texts]
