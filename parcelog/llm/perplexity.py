@@ -1,6 +1,10 @@
 """Quality rules: counts of whole texts, and n-gram perplexity bands by language.
 
-The model is a modified Kneser-Ney model of the third order over characters, folded to
+With ``words`` the n-grams are trigrams of words (``word_model``, which op3 uses): texts that fail the base
+rules have no perplexity then, and those that no other texts can measure are kept. What follows
+on symbols is the model without it; bounds are found alike.
+
+The model of symbols is a modified Kneser-Ney model of the third order over characters, folded to
 ``SYMBOLS`` symbols, one for each language. Symbols are white space, digits, the letters a
 to z, capitals (vowels and others), marks, and ``OTHER_LETTERS`` classes of letters beyond
 ASCII, dealt by lower-case code point: letters of alphabets with neighbouring code points

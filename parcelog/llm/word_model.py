@@ -43,9 +43,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from parcelog.llm.frames import open_uri
 from parcelog.storage import materialize, scratch_path, small_batches
 
-PART_WORDS, ROUNDS = 2_000_000, 3
+PART_WORDS, ROUNDS = 1_500_000, 3
 #: Bytes of texts that a task gathers before it sends their trigrams.
-BLOCK_BYTES = 1 << 24
+BLOCK_BYTES = 12 << 20
 #: One text in so many shows which words are frequent; that only says where they are sent.
 SHOWN = 64
 UNIT = 1e7
@@ -112,12 +112,13 @@ def repeated(word: np.ndarray, text: np.ndarray, window: int) -> np.ndarray:
     covered = np.zeros(len(word) + 1, np.int64)
     if n > 1:
         own = np.flatnonzero(text[:n] == text[window - 1 :])
-        h = text[own].astype(np.uint64)
+        h = text[:n].astype(np.uint64)
         for k in range(window):
-            h = _mix(h, word[own + k])
-        order = np.argsort(h)
-        same = h[order][1:] == h[order][:-1]
-        hit = own[order[np.append(same, False) | np.append(False, same)]]
+            h = _mix(h, word[k : k + n])
+        h = h[own]
+        ordered = np.sort(h)
+        twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+        hit = own[twice[np.minimum(np.searchsorted(twice, h), len(twice) - 1)] == h] if len(twice) else own[:0]
         covered += np.bincount(hit, minlength=len(word) + 1) - np.bincount(hit + window, minlength=len(word) + 1)
     return np.cumsum(covered)[:-1] > 0
 
