@@ -43,6 +43,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from parcelog.llm import word_model
@@ -250,15 +251,20 @@ def repeated_words(words: list[bytes], window: int = REPEAT_WINDOW) -> int:
     return int((np.cumsum(cover[: len(words)]) > 0).sum())
 
 
-def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
-    """Words, code points in words, symbols, repeated lines with a word, and words in repeated windows."""
+def character_counts(text: str | None) -> tuple[int, int, int]:
+    """Code points in words, symbols, and repeated lines with a word."""
     text = text or ""
     data = text.encode()
-    words = data.split()
     lines = [x for x in data.split(b"\n") if x.strip()]
     symbols = len(data) - len(data.translate(None, b"#*$%&|<>"))
     blanks = len(data) - len(data.translate(None, b" \t\n\x0b\x0c\r"))
-    return len(words), len(text) - blanks, symbols, len(lines) - len(set(lines)), repeated_words(words)
+    return len(text) - blanks, symbols, len(lines) - len(set(lines))
+
+
+def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
+    """Words, ``character_counts``, and words in repeated windows."""
+    words = (text or "").encode().split()
+    return len(words), *character_counts(text), repeated_words(words)
 
 
 def statistics(docs: DataFrame, models: DataFrame) -> DataFrame:
@@ -328,29 +334,61 @@ def _blended(own: str, n: str, general: Column, prior: float) -> Column:
     return F.when(F.col(own).isNull(), general).otherwise((F.col(n) * F.col(own) + prior * F.coalesce(general, F.col(own))) / (F.col(n) + prior))
 
 
-def word_statistics(docs: DataFrame) -> DataFrame:
-    """Base counts of every document, and the text's key."""
+def word_statistics(docs: DataFrame, ranks: word_model.Numbers) -> DataFrame:
+    """Base counts of every document and the text's key; besides, rows that bear a language's name and a block of its texts that pass the base rules."""
     small_batches(docs.sparkSession)
+    names, kinds = zip(*(x.split() for x in f"{WORD_STATS}, data binary".split(", ")), strict=True)
+    schema = pa.schema([(name, {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[kind]) for name, kind in zip(names, kinds, strict=True)])
+    passes = lambda n, repeat: (n >= LEAST_WORDS) & (100 * repeat <= MOST_REPEATED * n)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = word_model.Coder(ranks, passes, REPEAT_WINDOW)
+
+        def measured(gathered: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(gathered).combine_chunks()
+            places: dict[str, list[int]] = {}
+            for i, lang in enumerate(table["lang"].to_pylist()):
+                places.setdefault(lang, []).append(i)
+            n_words, data = np.zeros((2, table.num_rows), np.int64), []
+            for lang, rows in places.items():
+                own = table.take(pa.array(rows))
+                texts = pc.fill_null(own["text"].combine_chunks(), "")
+                texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
+                n_words[0, rows], n_words[1, rows], block = coder.block(lang, np.asarray(own["digest"]), texts)
+                if block is not None:
+                    data.append((lang, block))
+            rest = [character_counts(t) for t in table["text"].to_pylist()]
+            columns = [table[c].combine_chunks() for c in names[:3]] + [n_words[0], *(np.array(c, np.int64) for c in zip(*rest, strict=True)), n_words[1], pa.nulls(len(rest), pa.binary())]
+            yield from pa.table(columns, schema=schema).to_batches()
+            if data:
+                lang, block = zip(*data, strict=True)
+                own = {"lang": pa.array(lang), "data": pa.array(block, pa.binary())}
+                yield pa.RecordBatch.from_arrays([own.get(f.name, pa.nulls(len(data), f.type)) for f in schema], schema=schema)
+
+        gathered, size = [], 0
         for batch in batches:
-            counts = list(zip(*map(base_counts, batch.column(3).to_pylist()), strict=True)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(c, pa.int64()) for c in counts)], names=[x.split()[0] for x in WORD_STATS.split(", ")])
+            gathered.append(batch)
+            size += batch.nbytes
+            if size >= word_model.BLOCK_BYTES:
+                yield from measured(gathered)
+                gathered, size = [], 0
+        if sum(b.num_rows for b in gathered):
+            yield from measured(gathered)
 
-    return docs.mapInArrow(measure, WORD_STATS)
+    return docs.mapInArrow(measure, f"{WORD_STATS}, data binary")
 
 
-def _with_words(docs: DataFrame, **cut: int) -> DataFrame:
+def _with_words(docs: DataFrame, shown: int = word_model.SHOWN, **cut: int) -> DataFrame:
     """Counts and the logarithm of the probability of every document that passes the base rules, by trigrams of words."""
     lang = F.coalesce("lang", F.lit(""))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang"), F.xxhash64(lang, "text").bitwiseAND(-2).alias("digest"), "text")
-    stats = materialize(word_statistics(keyed), "statistics")
+    frequent = word_model.frequent_words(keyed.filter("text is not null").select(F.col("digest").alias("key"), "lang", "text"), shown)
+    read = materialize(word_statistics(keyed, word_model.numbers(frequent)), "statistics")
+    stats, coded = read.filter("data is null").drop("data"), read.filter("data is not null").select("lang", "data")
     sizes = stats.filter(~_base_failed()).groupBy("lang").agg(F.sum(F.col("n_words") + 1).alias("n")).collect()  # a row for each language
-    texts = keyed.filter("text is not null").select(F.col("digest").alias("key"), "lang", "text")
-    passes = lambda n, repeat: (n >= LEAST_WORDS) & (100 * repeat <= MOST_REPEATED * n)
     if not sizes:
         return stats.withColumns({"n_grams": F.lit(0).cast("long"), "log_probability": F.lit(0.0)})
-    found = word_model.log_probability(texts, {r["lang"]: r["n"] for r in sizes}, passes, REPEAT_WINDOW, **cut).withColumnRenamed("key", "digest")
+    found = word_model.log_probability(coded, frequent, {r["lang"]: r["n"] for r in sizes}, shown=shown, **cut).withColumnRenamed("key", "digest")
     known = F.when(~_base_failed() & F.col("log_probability").isNotNull(), F.col("n_words") + 1).otherwise(0)
     return materialize(stats.join(found, "digest", "left").withColumn("n_grams", known), "word-statistics")
 

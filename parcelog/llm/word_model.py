@@ -16,10 +16,13 @@ The model is as large as its texts, so no task holds it. A trigram goes to the p
 word; the counts of their pairs (middle, last) are then added up by Spark and sent to their
 parts. How many words a single word follows is read in ascending slices.
 
-Tasks send a part's trigrams in blocks (each different word of a block once), Spark groups them.
-The parts are worked on in ``ROUNDS`` rounds, each of which reads the texts again, so that only
-a share of the trigrams lies on disk at a time. A first pass counts, a second one scores.
-A task sends a text once, and a part takes equal texts of several tasks once.
+The texts are read once: their base counts are taken, and texts that pass are written as blocks of
+word numbers (``coded``), of which each step reads. A number is a word's rank among the ``NUMBERED``
+words that are most frequent in one text of ``SHOWN``, or stands for a hash that the block lists; that
+says how a word is written, not what comes out. Tasks send a part's trigrams in such blocks, too, and
+Spark groups them. The parts are worked on in ``ROUNDS`` rounds, so that only a share of the trigrams
+lies on disk at a time. The first rounds count, the others score. A task sends a text once, and
+a part takes equal texts of several tasks once.
 
 Words are known by 64-bit hashes that their language seeds. Logarithms are added as integers
 (units of 1 / ``UNIT``), so sums don't depend on their order.
@@ -43,16 +46,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from parcelog.llm.frames import open_uri
 from parcelog.storage import materialize, scratch_path, small_batches
 
-PART_WORDS, ROUNDS = 1_500_000, 3
-#: Bytes of texts that a task gathers before it sends their trigrams.
-BLOCK_BYTES = 12 << 20
-#: One text in so many shows which words are frequent; that only says where they are sent.
+PART_WORDS, ROUNDS = 1_000_000, 4
+#: Bytes of texts that a task gathers before it writes them, and of blocks that it takes at a time.
+BLOCK_BYTES, BATCH_BYTES = 8 << 20, 8 << 20
+#: One text in so many shows which words are frequent; that only says where they are sent and how they are written.
 SHOWN = 64
+#: Words that have a number of their own, of all languages.
+NUMBERED = 1 << 18
 UNIT = 1e7
-#: Texts that a task remembers.
-KEPT = 1 << 20
+#: Texts that a task remembers, and languages whose places it keeps.
+KEPT, LANGUAGES = 1 << 20, 8
 BEGIN, END = b" ", b"\n"
-COLUMNS = ["words", "first", "middle", "last", "texts", "text"]
 #: From the numbers of words and of words in repeated windows: whether texts count.
 Passes = Callable[[np.ndarray, np.ndarray], np.ndarray]
 #: kind 3 and 2: n trigrams or pairs of a half have the count a (4: four; more don't matter); 1: word a follows n words; 0: pair (a, b) follows n words.
@@ -96,14 +100,13 @@ class Places:
     def rows(self) -> list[tuple[str, int, int, int]]:
         return [(lang, code - (code >> 63 << 64), first, n) for lang, own in self.frequent.items() for code, first, n in own]
 
-    def of(self, lang: str, first: np.ndarray, middle: np.ndarray) -> np.ndarray:
-        part = (_mix(middle, np.uint64(1)) % np.uint64(self.parts[lang])).astype(np.int64)
-        if lang in self.frequent:
-            code, start, n = (np.array(x, t) for x, t in zip(zip(*self.frequent[lang], strict=True), (np.uint64, np.int64, np.uint64), strict=True))
-            at = np.minimum(np.searchsorted(code, middle), len(code) - 1)
-            own = np.flatnonzero(code[at] == middle)
-            part[own] = start[at[own]] + (_mix(first[own], np.uint64(2)) % n[at[own]]).astype(np.int64)
-        return part
+    def of(self, lang: str, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first part and the number of parts of each middle word; among several the first word's hash chooses."""
+        start, parts = (_mix(code, np.uint64(1)) % np.uint64(self.parts[lang])).astype(np.int32), np.ones(len(code), np.int32)
+        for own, first, n in self.frequent.get(lang, []):  # few: each would fill a part
+            at = code == np.uint64(own)
+            start[at], parts[at] = first, n
+        return start, parts
 
 
 def repeated(word: np.ndarray, text: np.ndarray, window: int) -> np.ndarray:
@@ -123,107 +126,209 @@ def repeated(word: np.ndarray, text: np.ndarray, window: int) -> np.ndarray:
     return np.cumsum(covered)[:-1] > 0
 
 
-def packed(values: list[np.ndarray]) -> bytes:
-    """A block's columns, each of its own length, as one row of a compressed Arrow stream."""
-    row = pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v)) for v in values], names=COLUMNS)
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, row.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_batch(row)
-    return sink.getvalue().to_pybytes()
+def packed(*values: np.ndarray) -> bytes:
+    """Arrays as one compressed row, equal bytes of an array's values side by side; upper bytes that are all zero compress to nothing."""
+    raw = b"".join(np.ascontiguousarray(v.view(np.uint8).reshape(-1, v.itemsize).T).tobytes() for v in values)
+    return np.array([len(v) for v in values], np.int64).tobytes() + pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
 
 
-def blocks(texts: DataFrame, places: Places, turn: int, passes: Passes, window: int) -> DataFrame:
-    """The trigrams of ``texts`` (key, lang, text) whose parts' turn it is; keys are even, and bear their text's half from here on."""
-    small_batches(texts.sparkSession)
+def unpacked(data: pa.Buffer, *kinds: type) -> list[np.ndarray]:
+    """The arrays of ``packed``, of these types."""
+    sizes = np.frombuffer(data, np.int64, len(kinds))
+    ends = np.cumsum([0, *(n * np.dtype(kind).itemsize for n, kind in zip(sizes, kinds, strict=True))])
+    raw = np.frombuffer(pa.Codec("zstd").decompress(data[8 * len(kinds) :], int(ends[-1])), np.uint8)
+    return [raw[i:j].reshape(np.dtype(kind).itemsize, -1).T.copy("C").view(kind).ravel() for i, j, kind in zip(ends[:-1], ends[1:], kinds, strict=True)]
 
-    def sent(lang: str, keys: np.ndarray, texts: pa.Array) -> Iterator[pa.RecordBatch]:
+
+class Numbers:
+    """Ranks of each language's frequent words; the marks come first. Other words have higher numbers, which a block's list explains."""
+
+    def __init__(self, words: dict[str, list[int]]) -> None:
+        self.words = words
+
+    def codes(self, lang: str) -> np.ndarray:
+        marks = codes(lang, [BEGIN, END])
+        own = np.array(self.words.get(lang, []), np.uint64)
+        return np.concatenate([marks, own[~np.isin(own, marks)]])
+
+    def of(self, lang: str, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each of different ``code``, and the hashes of those without a rank."""
+        ranked = self.codes(lang)
+        order = np.argsort(ranked)
+        at = order[np.minimum(np.searchsorted(ranked, code, sorter=order), len(ranked) - 1)]
+        known = ranked[at] == code
+        return np.where(known, at, len(ranked) + np.cumsum(~known) - 1).astype(np.int32), code[~known]
+
+
+def frequent_words(texts: DataFrame, shown: int = SHOWN) -> list[tuple[str, int, int]]:
+    """lang, hash and number of the words that are most frequent in one text of ``shown``, in descending order."""
+    each = texts.filter(F.pmod("key", F.lit(2 * shown)) < 2).select("lang", F.explode(F.split("text", "[\\x20\\x09-\\x0D]+")).alias("word")).filter("word <> ''")
+    often = each.groupBy("lang", "word").count().orderBy(F.desc("count"), "lang", "word").limit(NUMBERED).collect()
+    return [(r["lang"], int(codes(r["lang"], [r["word"].encode()])[0]), r["count"]) for r in often]
+
+
+def numbers(frequent: list[tuple[str, int, int]]) -> Numbers:
+    words: dict[str, dict[int, None]] = {}
+    for lang, code, _ in frequent:
+        words.setdefault(lang, {})[code] = None
+    return Numbers({lang: list(own) for lang, own in words.items()})
+
+
+class Coder:
+    """Texts of a task, as blocks of numbers: hashes of words without a rank, numbers of all words, keys and lengths of texts."""
+
+    def __init__(self, ranks: Numbers, passes: Passes, window: int) -> None:
+        self.ranks, self.passes, self.window = ranks, passes, window
+        self.met: set[int] = set()
+
+    def block(self, lang: str, keys: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, bytes | None]:
+        """Words and words in repeated windows of each text; the block of those that pass and weren't met before (even keys, from here on with their text's half)."""
         lists = pc.ascii_split_whitespace(texts)
         every = lists.flatten()
-        text = np.repeat(np.arange(len(keys)), np.asarray(lists.value_lengths()))
+        text = np.repeat(np.arange(len(keys), dtype=np.int32), np.asarray(lists.value_lengths()))
         real = np.flatnonzero(np.asarray(pc.binary_length(every)))  # white space at an end leaves an empty word there
         named = every.dictionary_encode()
         word, text = np.asarray(named.indices)[real], text[real]
-        code = codes(lang, [*named.dictionary.cast(pa.binary()).to_pylist(), BEGIN, END])
+        code = codes(lang, named.dictionary.cast(pa.binary()).to_pylist())
         n = np.bincount(text, minlength=len(keys))
-        good = passes(n, np.bincount(text, repeated(code[word], text, window), len(keys)).astype(np.int64))
-        own = good[text]
-        word, n, keys = word[own], n[good], keys[good]
-        if not len(keys):
+        repeat = np.bincount(text, repeated(code[word], text, self.window), len(keys)).astype(np.int64)
+        new = np.zeros(len(keys), bool)
+        for i in np.flatnonzero(self.passes(n, repeat)):
+            if (key := int(keys[i])) not in self.met:
+                if len(self.met) >= KEPT:
+                    self.met.clear()
+                self.met.add(key)
+                new[i] = True
+        if not new.any():
+            return n, repeat, None
+        word, keys, length = word[new[text]], keys[new], n[new]
+        kinds, number = np.unique(word, return_inverse=True)
+        number_of, others = self.ranks.of(lang, code[kinds])
+        flat = marked(number_of[number], length)
+        of_number = np.concatenate([self.ranks.codes(lang), others])
+        first, middle, last = (of_number[flat[k : len(flat) - 2 + k]] for k in range(3))
+        gram = _mix(_mix(first, middle), last)[begins(length)]
+        keys = keys | half(gram, np.cumsum(length + 1) - length - 1)
+        return n, repeat, packed(others, number_of[number], keys, length.astype(np.int32))
+
+
+def marked(number: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Texts one after another, each with two marks before and one behind it."""
+    flat = np.zeros(len(number) + 3 * len(length), np.int32)
+    flat[np.arange(len(number)) + np.repeat(3 * np.arange(len(length)) + 2, length)] = number
+    flat[np.cumsum(length + 3) - 1] = 1
+    return flat
+
+
+def begins(length: np.ndarray) -> np.ndarray:
+    """Where trigrams begin among marked texts: at all places but a text's last two."""
+    ends = np.cumsum(length + 3)
+    here = np.ones(ends[-1], bool)
+    here[ends - 1] = here[ends - 2] = False
+    return np.flatnonzero(here)
+
+
+def blocks(coded: DataFrame, ranks: Numbers, places: Places, turn: int) -> DataFrame:
+    """The trigrams of the blocks ``coded`` (lang, data) whose parts' turn it is."""
+    small_batches(coded.sparkSession, 512, BATCH_BYTES)
+
+    def sent(lang: str, data: pa.Buffer, code: np.ndarray, start: np.ndarray, parts: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        ranked = len(code)
+        others, number, keys, length = unpacked(data, np.uint64, np.int32, np.int64, np.int32)
+        code = np.concatenate([code, others])
+        start, parts = (np.concatenate(x) for x in zip((start, parts), places.of(lang, others), strict=True))
+        flat = marked(number, length)
+        at = begins(length)
+        text = np.repeat(np.arange(len(keys), dtype=np.int32), length + 1)
+        middle = flat[at + 1]
+        part = start[middle]
+        several = np.flatnonzero(parts[middle] > 1)
+        part[several] += (_mix(code[flat[at[several]]], np.uint64(2)) % parts[middle[several]].astype(np.uint64)).astype(np.int32)
+        now = np.flatnonzero((part + zlib.crc32(lang.encode()) % places.rounds) % places.rounds == turn)
+        if not len(now):
             return
-        # Each text with two marks before and one behind it; its trigrams begin at all places but its last two.
-        text = np.repeat(np.arange(len(keys), dtype=np.int32), n + 3)
-        flat = np.full(len(text), len(code) - 2, np.int32)
-        flat[np.arange(len(word)) + 3 * np.repeat(np.arange(len(keys)), n) + 2] = word
-        flat[np.cumsum(n + 3) - 1] = len(code) - 1
-        at = np.flatnonzero(text[2:] == text[:-2])
-        first, middle, last = (code[flat[at + k]] for k in range(3))
-        keys = keys | half(_mix(_mix(first, middle), last), np.cumsum(n + 1) - n - 1)
-        part = places.of(lang, first, middle)
-        now = np.flatnonzero((part + zlib.crc32(lang.encode())) % places.rounds == turn)
-        now = now[np.argsort(part[now], kind="stable")]
-        at, part = at[now], part[now]
-        cut = np.flatnonzero(np.diff(part)) + 1
-        for own, p in zip(np.split(at, cut), part[np.append(0, cut)] if len(part) else [], strict=False):  # no blocks of no trigrams
-            known, number = np.unique(np.concatenate([flat[own], flat[own + 1], flat[own + 2]]), return_inverse=True)
-            held, which = np.unique(text[own], return_inverse=True)
-            data = packed([code[known].view(np.int64), *number.astype(np.int32).reshape(3, -1), keys[held], which.astype(np.int32)])
-            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([int(p)], pa.int32()), pa.array([data])], names=["lang", "part", "data"])
+        small = part[now].astype(np.uint16) if part.max() < 1 << 16 else part[now]
+        now = now[np.argsort(small, kind="stable")]
+        part, at, text = part[now], at[now], text[now]
+        own = np.stack([flat[at], flat[at + 1], flat[at + 2]])
+        cut = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        for i, j in zip(cut[:-1], cut[1:], strict=True):
+            words = own[:, i:j]
+            rare = words >= ranked
+            known, again = np.unique(words[rare], return_inverse=True)
+            words[rare] = ranked + again
+            held = np.flatnonzero(np.diff(text[i:j], prepend=-1))
+            yield int(part[i]), packed(others[known - ranked], *words, keys[text[i:j][held]], np.diff(held, append=j - i).astype(np.int32))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: set[int] = set()
-
-        def all_of(gathered: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table = pa.Table.from_batches(gathered).combine_chunks()
-            chosen: dict[str, list[int]] = {}
-            for i, (key, lang) in enumerate(zip(table["key"].to_pylist(), table["lang"].to_pylist(), strict=True)):
-                if key not in met and lang in places.parts:
-                    if len(met) >= KEPT:
-                        met.clear()
-                    met.add(key)
-                    chosen.setdefault(lang, []).append(i)
-            for lang, rows in chosen.items():
-                own = table.take(pa.array(rows)).combine_chunks()
-                yield from sent(lang, np.asarray(own["key"]), own["text"].chunk(0))
-
-        gathered, size = [], 0
+        known: dict[str, tuple[np.ndarray, ...]] = {}
         for batch in batches:
-            gathered.append(batch)
-            size += batch.nbytes
-            if size >= BLOCK_BYTES:
-                yield from all_of(gathered)
-                gathered, size = [], 0
-        if size:
-            yield from all_of(gathered)
+            for lang, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if lang not in known:
+                    if len(known) == LANGUAGES:
+                        known.clear()
+                    code = ranks.codes(lang)
+                    known[lang] = (code, *places.of(lang, code))
+                rows = list(sent(lang, data.as_buffer(), *known[lang]))
+                if rows:
+                    part, out = zip(*rows, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(rows)), pa.array(part, pa.int32()), pa.array(out, pa.binary())], names=["lang", "part", "data"])
 
-    return texts.select("key", "lang", "text").mapInArrow(send, "lang string, part int, data binary")
+    return coded.select("lang", "data").mapInArrow(send, "lang string, part int, data binary")
 
 
 class Part:
-    """The different trigrams and pairs of a part with their counts in each half, and the trigrams of its texts."""
-
-    def __init__(self, table: pa.Table) -> None:
-        table = pa.concat_tables([pa.ipc.open_stream(data.as_buffer()).read_all() for data in table["data"]])
-        lists = {c: table[c].combine_chunks() for c in COLUMNS}
-        lists = {c: x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for c, x in lists.items()}
-        n = {c: np.asarray(x.value_lengths()).astype(np.int64) for c, x in lists.items()}
-        flat = {c: np.asarray(x.flatten()) for c, x in lists.items()}
-        start = {c: np.repeat(np.cumsum(n[c]) - n[c], n["first"]) for c in ("words", "texts")}
-        self.texts, chosen = np.unique(flat["texts"], return_index=True)
-        text = flat["text"] + start["texts"]
-        number = np.full(len(flat["texts"]), -1)
-        number[chosen] = np.arange(len(chosen))
-        keep = np.flatnonzero(number[text] >= 0)  # of equal texts that several blocks hold, the first one
-        self.text = number[text[keep]]
-        code = flat["words"].view(np.uint64)
-        first, middle, last = (code[flat[c][keep] + start["words"][keep]] for c in ("first", "middle", "last"))
-        before = _mix(first, middle)
-        _, at, self.gram = np.unique(_mix(before, last), return_index=True, return_inverse=True)
-        self.half = (self.texts & 1)[self.text]  # the key's last bit
-        self.n = np.bincount(2 * self.gram + self.half, minlength=2 * len(at)).reshape(-1, 2).T
-        self.before = before[at]
-        _, first_of_pair, self.pair = np.unique(_mix(middle[at], last[at]), return_index=True, return_inverse=True)
+    """The different trigrams and pairs of a part with their counts in each half, and the trigrams of its texts, all in the order of (middle, last, first)."""
+
+    def __init__(self, lang: str, table: pa.Table, ranks: Numbers) -> None:
+        read = [unpacked(x.as_buffer(), np.uint64, np.int32, np.int32, np.int32, np.int64, np.int32) for x in table["data"]]
+        ranked = ranks.codes(lang)
+        others, number = np.unique(np.concatenate([r[0] for r in read]), return_inverse=True)
+        self.code = np.concatenate([ranked, others])
+        start = 0
+        for r in read:
+            for words in r[1:4]:
+                rare = words >= len(ranked)
+                words[rare] = len(ranked) + number[start + words[rare] - len(ranked)]
+            start += len(r[0])
+        first, middle, last = (np.concatenate([r[k] for r in read]) for k in (1, 2, 3))
+        every, length = (np.concatenate([r[k] for r in read]) for k in (4, 5))
+        del read
+        self.texts, text = np.unique(every, return_inverse=True)
+        if len(self.texts) < len(every):  # of equal texts that several blocks hold, the first one
+            chosen = np.empty(len(self.texts), np.int64)
+            chosen[text[::-1]] = np.arange(len(every))[::-1]
+            keep = np.repeat(chosen[text] == np.arange(len(every)), length)
+            first, middle, last = first[keep], middle[keep], last[keep]
+            text = np.repeat(text, length)[keep]
+        else:
+            text = np.repeat(text, length)
+        bits = int(len(self.code)).bit_length()
+        gram = middle.astype(np.int64) << bits | last
+        kinds = None
+        if 3 * bits > 63:
+            kinds, gram = np.unique(gram, return_inverse=True)
+        gram = gram << bits | first
+        del first, middle, last
+        order = np.argsort(gram)
+        gram, self.text = gram[order], text[order].astype(np.int32)
+        del order, text
+        self.half = (self.texts & 1)[self.text].astype(np.int8)  # the key's last bit
+        new = np.diff(gram, prepend=-1) != 0
+        self.gram = (np.cumsum(new) - 1).astype(np.int32)
+        gram = gram[new]
+        self.n = np.stack([np.bincount(self.gram[self.half == h], minlength=len(gram)) for h in (0, 1)])
+        self.first = gram & (1 << bits) - 1
+        pair = gram >> bits
+        new = np.diff(pair, prepend=-1) != 0
+        self.pair = np.cumsum(new) - 1
+        pair = pair[new] if kinds is None else kinds[pair[new]]
         self.n_pair = _summed(self.pair, self.n > 0)
-        self.middle, self.last = middle[at][first_of_pair], last[at][first_of_pair].view(np.int64)
+        self.middle, self.last = pair >> bits, pair & (1 << bits) - 1
+
+    def before(self) -> np.ndarray:
+        """The number of each trigram's first two words."""
+        return np.unique(self.middle[self.pair] << int(len(self.code)).bit_length() | self.first, return_inverse=True)[1]
 
 
 def _summed(group: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -240,16 +345,16 @@ def _smoothed(n: np.ndarray, context: np.ndarray, discount: list[np.ndarray], sh
     return (n - off) / seen[:, context] + weight[:, context] * shorter
 
 
-def _count(places: Places) -> Callable[[tuple, pa.Table], pa.Table]:
+def _count(places: Places, ranks: Numbers) -> Callable[[tuple, pa.Table], pa.Table]:
     def count(key: tuple, table: pa.Table) -> pa.Table:
         lang, number = key[0].as_py(), key[1].as_py()
-        part = Part(table)
+        part = Part(lang, table, ranks)
+        code = part.code.view(np.int64)
         whole = number < places.parts[lang]  # else other parts hold trigrams of these pairs, too
         if whole:
-            word, group = np.unique(part.last, return_inverse=True)
-            a, b, n = word, np.zeros(len(word), np.int64), _summed(group, part.n_pair > 0)
+            a, b, n = code, np.zeros(len(code), np.int64), np.stack([np.bincount(part.last[own > 0], minlength=len(code)) for own in part.n_pair])
         else:
-            a, b, n = part.middle.view(np.int64), part.last, part.n_pair
+            a, b, n = code[part.middle], code[part.last], part.n_pair
         out = []
         for half in (0, 1):
             own = np.flatnonzero(n[half])
@@ -265,19 +370,22 @@ def _count(places: Places) -> Callable[[tuple, pa.Table], pa.Table]:
 
 
 def followers(folder: str, words: np.ndarray) -> np.ndarray:
-    """How many different words each of ``words`` follows in each half: what the slices below ``folder`` say."""
+    """How many different words each of different ``words`` follows in each half: what the slices below ``folder`` say."""
     fs, path = open_uri(folder)
     out = np.zeros((2, len(words)), np.int64)
+    order = np.argsort(words)
+    words = words[order]
     for file in fs.get_file_info(pafs.FileSelector(path)):
         if file.base_name.startswith("part-"):
             with fs.open_input_file(file.path) as source:
-                slice_ = pq.read_table(source)
+                slice_ = pq.read_table(source, use_threads=False)
             code = np.asarray(slice_["a"])
             if len(code):
-                at = np.minimum(np.searchsorted(code, words), len(code) - 1)
-                own = np.flatnonzero(code[at] == words)
+                i, j = np.searchsorted(words, code[0]), np.searchsorted(words, code[-1], "right")
+                at = np.searchsorted(code, words[i:j])
+                own = np.flatnonzero(code[at] == words[i:j])
                 for half in (0, 1):
-                    out[half, own] = np.asarray(slice_[f"n{half}"])[at[own]]
+                    out[half, order[i + own]] = np.asarray(slice_[f"n{half}"])[at[own]]
     return out
 
 
@@ -293,24 +401,21 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def log_probability(texts: DataFrame, words: dict[str, int], passes: Passes, window: int, part_words: int = PART_WORDS, rounds: int = ROUNDS, shown: int = SHOWN) -> DataFrame:
-    """key and log_probability of each different text of ``texts`` (key: even, lang, text: not null) that ``passes``, by the model of the other
-    half of them in its language, if that has any; ``words`` has about as many words as each language has. Arguments say how the work is cut, not what comes out."""
-    spark = texts.sparkSession
+def log_probability(coded: DataFrame, frequent: list[tuple[str, int, int]], words: dict[str, int], part_words: int = PART_WORDS, rounds: int = ROUNDS, shown: int = SHOWN) -> DataFrame:
+    """key and log_probability of each different text of the blocks ``coded`` (lang, data), by the model of the other half of them in its
+    language, if that has any; ``words`` has about as many words as each language has. Arguments say how the work is cut, not what comes out."""
+    spark = coded.sparkSession
     total = sum(words.values())
     rounds = max(1, min(rounds, -(-total // part_words)))
-    frequent = []
-    if total > part_words:
-        each = texts.filter(F.pmod("key", F.lit(shown)) == 0).select("lang", F.explode(F.split("text", "[\\x20\\x09-\\x0D]+")).alias("word")).filter("word <> ''")
-        often = each.groupBy("lang", "word").count().filter(F.col("count") * shown * 2 > part_words).collect()  # two for each part's words at most
-        frequent = [(r["lang"], int(codes(r["lang"], [r["word"].encode()])[0]), -(-r["count"] * shown * 2 // part_words)) for r in often if r["lang"] in words]
-    places = Places({lang: max(1, -(-n // part_words)) for lang, n in words.items()}, frequent, rounds)
+    ranks = numbers(frequent)
+    often = [(lang, code, -(-n * shown * 2 // part_words)) for lang, code, n in frequent if lang in words and n * shown * 2 > part_words < total]  # two for each part's words at most
+    places = Places({lang: max(1, -(-n // part_words)) for lang, n in words.items()}, often, rounds)
 
     def by_part(turn: int):
-        return blocks(texts, places, turn, passes, window).groupBy("lang", "part")
+        return blocks(coded, ranks, places, turn).groupBy("lang", "part")
 
     with shuffles_dropped(spark):
-        counted = [materialize(by_part(turn).applyInArrow(_count(places), COUNTS), "word-counts") for turn in range(rounds)]
+        counted = [materialize(by_part(turn).applyInArrow(_count(places, ranks), COUNTS), "word-counts") for turn in range(rounds)]
     every = reduce(DataFrame.unionByName, counted)
     pairs = materialize(every.filter("kind = 0").groupBy("lang", "half", "a", "b").agg(F.sum("n").alias("n")), "frequent-pairs")
     single = every.filter("kind = 1").select("lang", "half", "a", "n").unionByName(pairs.select("lang", "half", F.col("b").alias("a"), F.lit(1).cast("long").alias("n")))
@@ -332,25 +437,30 @@ def log_probability(texts: DataFrame, words: dict[str, int], passes: Passes, win
     def score(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return pa.table({"key": pa.array([], pa.int64()), "log": pa.array([], pa.int64())})
-        part, sizes = Part(left), found[left["lang"][0].as_py()]
+        lang = left["lang"][0].as_py()
+        part, sizes = Part(lang, left, ranks), found[lang]
+        code = part.code.view(np.int64)
         d1, d2, d3 = ([discounts(*own[1:5]) for own in sizes[k]] for k in (1, 2, 3))
-        before = followers(folder, part.last)
-        p1 = []
-        for d, own, size, total in zip(d1, before, sizes[1], np.maximum(sizes[0, :, 0], 1), strict=True):
+        asked = np.flatnonzero(np.bincount(part.last, minlength=len(code)))
+        before = followers(folder, code[asked])
+        p1 = np.zeros((2, len(code)))
+        for half, (d, own, size, total) in enumerate(zip(d1, before, sizes[1], np.maximum(sizes[0, :, 0], 1), strict=True)):
             rest = (d[1:4] * [size[1], size[2], size[3:].sum()]).sum() / total
-            p1.append((own - d[np.minimum(own, 3)]) / total + rest / (size.sum() + 1))
+            p1[half, asked] = (own - d[np.minimum(own, 3)]) / total + rest / (size.sum() + 1)
+        p1 = p1[:, part.last]
         if right.num_rows:  # all pairs of the one frequent word of this part, of which other texts may have more
             half, word, n = (np.asarray(right[c]) for c in ("half", "word", "n"))
-            known = np.unique(np.concatenate([word, part.last]))
+            last = code[part.last]
+            known = np.unique(np.concatenate([word, last]))
             counts = np.zeros((2, len(known)), np.int64)
             counts[half, np.searchsorted(known, word)] = n
-            at = np.searchsorted(known, part.last)
+            at = np.searchsorted(known, last)
             lower = np.zeros((2, len(known)))
             lower[:, at] = p1
             p2 = _smoothed(counts, np.zeros(len(known), np.int64), d2, lower)[:, at]
         else:
-            p2 = _smoothed(part.n_pair, np.unique(part.middle, return_inverse=True)[1], d2, np.stack(p1))
-        p3 = _smoothed(part.n, np.unique(part.before, return_inverse=True)[1], d3, p2[:, part.pair])
+            p2 = _smoothed(part.n_pair, np.cumsum(np.diff(part.middle, prepend=-1) != 0) - 1, d2, p1)
+        p3 = _smoothed(part.n, part.before(), d3, p2[:, part.pair])
         other = 1 - part.half
         log = np.rint(np.log(np.maximum(p3, 1e-300)) * UNIT)[other, part.gram]
         some = sizes[0, 1 - (part.texts & 1), 0] > 0
