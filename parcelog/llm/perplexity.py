@@ -383,7 +383,7 @@ def _with_words(docs: DataFrame, shown: int = word_model.SHOWN, **cut: int) -> D
     lang = F.coalesce("lang", F.lit(""))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang"), F.xxhash64(lang, "text").bitwiseAND(-2).alias("digest"), "text")
     frequent = word_model.frequent_words(keyed.filter("text is not null").select(F.col("digest").alias("key"), "lang", "text"), shown)
-    read = materialize(word_statistics(keyed, word_model.numbers(frequent)), "statistics")
+    read = materialize(word_statistics(keyed, word_model.Numbers(frequent)), "statistics")
     stats, coded = read.filter("data is null").drop("data"), read.filter("data is not null").select("lang", "data")
     sizes = stats.filter(~_base_failed()).groupBy("lang").agg(F.sum(F.col("n_words") + 1).alias("n")).collect()  # a row for each language
     if not sizes:

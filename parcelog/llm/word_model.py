@@ -46,12 +46,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from parcelog.llm.frames import open_uri
 from parcelog.storage import materialize, scratch_path, small_batches
 
-PART_WORDS, ROUNDS = 1_000_000, 4
+PART_WORDS, ROUNDS = 900_000, 6
 #: Bytes of texts that a task gathers before it writes them, and of blocks that it takes at a time.
-BLOCK_BYTES, BATCH_BYTES = 8 << 20, 8 << 20
+BLOCK_BYTES, BATCH_BYTES = 4 << 20, 8 << 20
 #: One text in so many shows which words are frequent; that only says where they are sent and how they are written.
-SHOWN = 64
-#: Words that have a number of their own, of all languages.
+SHOWN = 16
+#: Most words that have a number of their own, of all languages.
 NUMBERED = 1 << 18
 UNIT = 1e7
 #: Texts that a task remembers, and languages whose places it keeps.
@@ -59,7 +59,7 @@ KEPT, LANGUAGES = 1 << 20, 8
 BEGIN, END = b" ", b"\n"
 #: From the numbers of words and of words in repeated windows: whether texts count.
 Passes = Callable[[np.ndarray, np.ndarray], np.ndarray]
-#: kind 3 and 2: n trigrams or pairs of a half have the count a (4: four; more don't matter); 1: word a follows n words; 0: pair (a, b) follows n words.
+#: kind 3 and 2: n trigrams or pairs of a half have the count a (4: four; more don't matter); 1: word a follows n words in the first half and b in the second; 0: pair (a, b) follows n words.
 COUNTS = "lang string, kind int, half int, a long, b long, n long"
 
 
@@ -140,16 +140,18 @@ def unpacked(data: pa.Buffer, *kinds: type) -> list[np.ndarray]:
     return [raw[i:j].reshape(np.dtype(kind).itemsize, -1).T.copy("C").view(kind).ravel() for i, j, kind in zip(ends[:-1], ends[1:], kinds, strict=True)]
 
 
+#: Hashes of each language's words that are frequent in the texts shown, and how often they stand there, in descending order.
+Frequent = dict[str, tuple[np.ndarray, np.ndarray]]
+
+
 class Numbers:
     """Ranks of each language's frequent words; the marks come first. Other words have higher numbers, which a block's list explains."""
 
-    def __init__(self, words: dict[str, list[int]]) -> None:
-        self.words = words
+    def __init__(self, frequent: Frequent) -> None:
+        self.ranked = {lang: np.concatenate([marks := codes(lang, [BEGIN, END]), own[~np.isin(own, marks)]]) for lang, (own, _) in frequent.items()}
 
     def codes(self, lang: str) -> np.ndarray:
-        marks = codes(lang, [BEGIN, END])
-        own = np.array(self.words.get(lang, []), np.uint64)
-        return np.concatenate([marks, own[~np.isin(own, marks)]])
+        return self.ranked[lang] if lang in self.ranked else codes(lang, [BEGIN, END])
 
     def of(self, lang: str, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The number of each of different ``code``, and the hashes of those without a rank."""
@@ -160,18 +162,23 @@ class Numbers:
         return np.where(known, at, len(ranked) + np.cumsum(~known) - 1).astype(np.int32), code[~known]
 
 
-def frequent_words(texts: DataFrame, shown: int = SHOWN) -> list[tuple[str, int, int]]:
-    """lang, hash and number of the words that are most frequent in one text of ``shown``, in descending order."""
+def frequent_words(texts: DataFrame, shown: int = SHOWN) -> Frequent:
+    """The at most ``NUMBERED`` words that are most frequent in one text of ``shown`` (key: even, lang, text: not null)."""
     each = texts.filter(F.pmod("key", F.lit(2 * shown)) < 2).select("lang", F.explode(F.split("text", "[\\x20\\x09-\\x0D]+")).alias("word")).filter("word <> ''")
-    often = each.groupBy("lang", "word").count().orderBy(F.desc("count"), "lang", "word").limit(NUMBERED).collect()
-    return [(r["lang"], int(codes(r["lang"], [r["word"].encode()])[0]), r["count"]) for r in often]
-
-
-def numbers(frequent: list[tuple[str, int, int]]) -> Numbers:
-    words: dict[str, dict[int, None]] = {}
-    for lang, code, _ in frequent:
-        words.setdefault(lang, {})[code] = None
-    return Numbers({lang: list(own) for lang, own in words.items()})
+    with dropped(each.sparkSession, "words-shown") as folder:
+        each.groupBy("lang", "word").agg(F.count("*").alias("n")).write.parquet(folder)
+        often = each.sparkSession.read.schema("lang string, word string, n long").parquet(folder)
+        sizes = sorted(often.groupBy(F.least("n", F.lit(NUMBERED)).alias("n")).agg(F.count("*").alias("words")).collect(), reverse=True)  # a row for each number
+        least = min((r["n"] for r, upto in zip(sizes, np.cumsum([r["words"] for r in sizes]), strict=True) if upto <= NUMBERED), default=NUMBERED)
+        table = often.filter(F.col("n") >= least).toArrow()
+    out = {}
+    for lang in pc.unique(table["lang"]).to_pylist():
+        own = table.filter(pc.equal(table["lang"], lang))
+        code, n = codes(lang, own["word"].cast(pa.binary()).to_pylist()), np.asarray(own["n"])
+        code, at = np.unique(code, return_index=True)
+        order = np.argsort(-n[at], kind="stable")
+        out[lang] = code[order], n[at][order]
+    return out
 
 
 class Coder:
@@ -317,7 +324,7 @@ class Part:
         new = np.diff(gram, prepend=-1) != 0
         self.gram = (np.cumsum(new) - 1).astype(np.int32)
         gram = gram[new]
-        self.n = np.stack([np.bincount(self.gram[self.half == h], minlength=len(gram)) for h in (0, 1)])
+        self.n = np.stack([np.bincount(self.gram[self.half == h], minlength=len(gram)).astype(np.int32) for h in (0, 1)])
         self.first = gram & (1 << bits) - 1
         pair = gram >> bits
         new = np.diff(pair, prepend=-1) != 0
@@ -333,16 +340,19 @@ class Part:
 
 def _summed(group: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Sums of both halves' values by group."""
-    return np.stack([np.bincount(group, own) for own in values])
+    return np.stack([np.bincount(group, own).astype(np.int32) for own in values])
 
 
 def _smoothed(n: np.ndarray, context: np.ndarray, discount: list[np.ndarray], shorter: np.ndarray) -> np.ndarray:
     """Probabilities in both halves, from counts behind contexts and the shorter n-grams' probabilities."""
-    off = np.stack([d[np.minimum(own, 3).astype(np.int64)] for d, own in zip(discount, n, strict=True)])
-    total = _summed(context, n)
-    seen = np.maximum(total, 1)
-    weight = np.where(total > 0, _summed(context, off) / seen, 1.0)
-    return (n - off) / seen[:, context] + weight[:, context] * shorter
+    out = np.empty(n.shape)
+    for p, own, d, below in zip(out, n, discount, shorter, strict=True):
+        off = d[np.minimum(own, 3)]
+        total = np.bincount(context, own)
+        seen = np.maximum(total, 1)
+        weight = np.where(total > 0, np.bincount(context, off) / seen, 1.0)
+        p[:] = (own - off) / seen[context] + weight[context] * below
+    return out
 
 
 def _count(places: Places, ranks: Numbers) -> Callable[[tuple, pa.Table], pa.Table]:
@@ -351,18 +361,19 @@ def _count(places: Places, ranks: Numbers) -> Callable[[tuple, pa.Table], pa.Tab
         part = Part(lang, table, ranks)
         code = part.code.view(np.int64)
         whole = number < places.parts[lang]  # else other parts hold trigrams of these pairs, too
-        if whole:
-            a, b, n = code, np.zeros(len(code), np.int64), np.stack([np.bincount(part.last[own > 0], minlength=len(code)) for own in part.n_pair])
-        else:
-            a, b, n = code[part.middle], code[part.last], part.n_pair
         out = []
+        if whole:
+            n = np.stack([np.bincount(part.last[own > 0], minlength=len(code)) for own in part.n_pair])
+            own = np.flatnonzero(n.any(axis=0))
+            out.append((np.ones(len(own)), np.zeros(len(own)), code[own], n[1, own], n[0, own]))
         for half in (0, 1):
-            own = np.flatnonzero(n[half])
-            out.append((np.full(len(own), int(whole)), np.full(len(own), half), a[own], b[own], n[half][own]))
+            if not whole:
+                own = np.flatnonzero(part.n_pair[half])
+                out.append((np.zeros(len(own)), np.full(len(own), half), code[part.middle[own]], code[part.last[own]], part.n_pair[half, own]))
             for kind, counts in [(3, part.n), (2, part.n_pair)][: 1 + whole]:
                 size = np.arange(1, 5)
                 out.append((np.full(4, kind), np.full(4, half), size, size * 0, [(counts[half] == k).sum() for k in size]))
-        columns = [np.concatenate(x).astype(np.int64) for x in zip(*out, strict=True)]
+        columns = [np.concatenate([np.asarray(v).astype(np.int64) for v in x]) for x in zip(*out, strict=True)]
         kind, half = (x.astype(np.int32) for x in columns[:2])
         return pa.table({"lang": pa.array([lang] * len(kind), pa.string()), "kind": kind, "half": half, **dict(zip("abn", columns[2:], strict=True))})
 
@@ -389,6 +400,15 @@ def followers(folder: str, words: np.ndarray) -> np.ndarray:
     return out
 
 
+@contextmanager
+def dropped(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder below the shared one that goes in the end: its tables make room for what comes after."""
+    folder = scratch_path(spark, name)
+    yield folder
+    fs, path = open_uri(folder)
+    fs.delete_dir(path)
+
+
 @contextmanager
 def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
     """Shuffle files go when the action that wrote them ends, so a round's blocks make room for the next."""
@@ -401,38 +421,44 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def log_probability(coded: DataFrame, frequent: list[tuple[str, int, int]], words: dict[str, int], part_words: int = PART_WORDS, rounds: int = ROUNDS, shown: int = SHOWN) -> DataFrame:
+def log_probability(coded: DataFrame, frequent: Frequent, words: dict[str, int], part_words: int = PART_WORDS, rounds: int = ROUNDS, shown: int = SHOWN) -> DataFrame:
     """key and log_probability of each different text of the blocks ``coded`` (lang, data), by the model of the other half of them in its
     language, if that has any; ``words`` has about as many words as each language has. Arguments say how the work is cut, not what comes out."""
     spark = coded.sparkSession
     total = sum(words.values())
     rounds = max(1, min(rounds, -(-total // part_words)))
-    ranks = numbers(frequent)
-    often = [(lang, code, -(-n * shown * 2 // part_words)) for lang, code, n in frequent if lang in words and n * shown * 2 > part_words < total]  # two for each part's words at most
+    ranks = Numbers(frequent)
+    often = []  # two for each part's words at most
+    for lang, (code, n) in frequent.items():
+        own = np.flatnonzero((n * shown * 2 > part_words) & (lang in words) & (total > part_words))
+        often += [(lang, c, -(-k * shown * 2 // part_words)) for c, k in zip(code[own].tolist(), n[own].tolist(), strict=True)]
     places = Places({lang: max(1, -(-n // part_words)) for lang, n in words.items()}, often, rounds)
 
     def by_part(turn: int):
         return blocks(coded, ranks, places, turn).groupBy("lang", "part")
 
-    with shuffles_dropped(spark):
-        counted = [materialize(by_part(turn).applyInArrow(_count(places, ranks), COUNTS), "word-counts") for turn in range(rounds)]
-    every = reduce(DataFrame.unionByName, counted)
-    pairs = materialize(every.filter("kind = 0").groupBy("lang", "half", "a", "b").agg(F.sum("n").alias("n")), "frequent-pairs")
-    single = every.filter("kind = 1").select("lang", "half", "a", "n").unionByName(pairs.select("lang", "half", F.col("b").alias("a"), F.lit(1).cast("long").alias("n")))
-    of_half = [F.sum(F.when(F.col("half") == half, F.col("n")).otherwise(0)).alias(f"n{half}") for half in (0, 1)]
-    summed = materialize(single.groupBy("lang", "a").agg(*of_half), "word-followers")
     folder = scratch_path(spark, "words-before")
-    summed.filter("n0 > 0 and n1 > 0").select("a", "n0", "n1").repartitionByRange("a").sortWithinPartitions("a").write.parquet(folder)  # else no text asks for it
-
-    of_pairs = pairs.filter("n <= 4").groupBy("lang", F.lit(2).alias("kind"), "half", F.col("n").alias("a")).agg(F.count("*").alias("n"))
-    sizes = every.filter("kind >= 2").groupBy("lang", "kind", "half", "a").agg(F.sum("n").alias("n")).unionByName(of_pairs)
-    for half in (0, 1):
-        own = summed.filter(F.col(f"n{half}") > 0).withColumn("n", F.col(f"n{half}"))
-        sizes = sizes.unionByName(own.groupBy("lang", F.lit(1).alias("kind"), F.lit(half).alias("half"), F.least("n", F.lit(5)).alias("a")).agg(F.count("*").alias("n")))
-        sizes = sizes.unionByName(own.groupBy("lang", F.lit(0).alias("kind"), F.lit(half).alias("half"), F.lit(0).cast("long").alias("a")).agg(F.sum("n").alias("n")))
     found: dict[str, np.ndarray] = {}
-    for r in sizes.collect():  # five rows or less for each language, half and length
-        found.setdefault(r["lang"], np.zeros((4, 2, 6), np.int64))[r["kind"], r["half"], r["a"]] += r["n"]
+    with shuffles_dropped(spark), dropped(spark, "word-counts") as counts:
+        for turn in range(rounds):
+            by_part(turn).applyInArrow(_count(places, ranks), COUNTS).write.parquet(f"{counts}/round={turn}")
+        every = spark.read.schema(COUNTS).parquet(counts)
+        pairs = materialize(every.filter("kind = 0").groupBy("lang", "half", "a", "b").agg(F.sum("n").alias("n")), "frequent-pairs")
+        in_half = [F.when(F.col("half") == half, 1).otherwise(0).cast("long").alias(f"n{half}") for half in (0, 1)]
+        single = every.filter("kind = 1").select("lang", "a", F.col("n").alias("n0"), F.col("b").alias("n1")).unionByName(pairs.select("lang", F.col("b").alias("a"), *in_half))
+        with dropped(spark, "word-followers") as sums:
+            single.groupBy("lang", "a").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).write.parquet(sums)
+            summed = spark.read.schema("lang string, a long, n0 long, n1 long").parquet(sums)
+            summed.filter("n0 > 0 and n1 > 0").select("a", "n0", "n1").repartitionByRange("a").sortWithinPartitions("a").write.parquet(folder)  # else no text asks for it
+
+            of_pairs = pairs.filter("n <= 4").groupBy("lang", F.lit(2).alias("kind"), "half", F.col("n").alias("a")).agg(F.count("*").alias("n"))
+            sizes = every.filter("kind >= 2").groupBy("lang", "kind", "half", "a").agg(F.sum("n").alias("n")).unionByName(of_pairs)
+            for half in (0, 1):
+                own = summed.filter(F.col(f"n{half}") > 0).withColumn("n", F.col(f"n{half}"))
+                sizes = sizes.unionByName(own.groupBy("lang", F.lit(1).alias("kind"), F.lit(half).alias("half"), F.least("n", F.lit(5)).alias("a")).agg(F.count("*").alias("n")))
+                sizes = sizes.unionByName(own.groupBy("lang", F.lit(0).alias("kind"), F.lit(half).alias("half"), F.lit(0).cast("long").alias("a")).agg(F.sum("n").alias("n")))
+            for r in sizes.collect():  # five rows or less for each language, half and length
+                found.setdefault(r["lang"], np.zeros((4, 2, 6), np.int64))[r["kind"], r["half"], r["a"]] += r["n"]
 
     def score(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
