@@ -48,11 +48,15 @@ from parcelog.storage import materialize, scratch_path, small_batches
 
 PART_WORDS, ROUNDS = 900_000, 6
 #: Bytes of texts that a task gathers before it writes them, and of blocks that it takes at a time.
-BLOCK_BYTES, BATCH_BYTES = 4 << 20, 8 << 20
+BLOCK_BYTES, BATCH_BYTES = 4 << 20, 4 << 20
 #: One text in so many shows which words are frequent; that only says where they are sent and how they are written.
 SHOWN = 16
 #: Most words that have a number of their own, of all languages.
 NUMBERED = 1 << 18
+#: Words that are more than half of 1 / 2 ** SHARE of all have parts of their own even where they would not fill one.
+SHARE = 7
+#: Slices in which the counts of words are summed.
+SLICES = 3
 UNIT = 1e7
 #: Texts that a task remembers, and languages whose places it keeps.
 KEPT, LANGUAGES = 1 << 20, 8
@@ -428,9 +432,9 @@ def log_probability(coded: DataFrame, frequent: Frequent, words: dict[str, int],
     total = sum(words.values())
     rounds = max(1, min(rounds, -(-total // part_words)))
     ranks = Numbers(frequent)
-    often = []  # two for each part's words at most
+    often, least = [], min(part_words, max(total >> SHARE, part_words >> 4))  # two for each part's words at most
     for lang, (code, n) in frequent.items():
-        own = np.flatnonzero((n * shown * 2 > part_words) & (lang in words) & (total > part_words))
+        own = np.flatnonzero((n * shown * 2 > least) & (lang in words) & (total > part_words))
         often += [(lang, c, -(-k * shown * 2 // part_words)) for c, k in zip(code[own].tolist(), n[own].tolist(), strict=True)]
     places = Places({lang: max(1, -(-n // part_words)) for lang, n in words.items()}, often, rounds)
 
@@ -447,7 +451,9 @@ def log_probability(coded: DataFrame, frequent: Frequent, words: dict[str, int],
         in_half = [F.when(F.col("half") == half, 1).otherwise(0).cast("long").alias(f"n{half}") for half in (0, 1)]
         single = every.filter("kind = 1").select("lang", "a", F.col("n").alias("n0"), F.col("b").alias("n1")).unionByName(pairs.select("lang", F.col("b").alias("a"), *in_half))
         with dropped(spark, "word-followers") as sums:
-            single.groupBy("lang", "a").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).write.parquet(sums)
+            for turn in range(SLICES):  # one shuffle's files at a time
+                own = single.filter(F.pmod("a", F.lit(SLICES)) == turn)
+                own.groupBy("lang", "a").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).write.parquet(f"{sums}/slice={turn}")
             summed = spark.read.schema("lang string, a long, n0 long, n1 long").parquet(sums)
             summed.filter("n0 > 0 and n1 > 0").select("a", "n0", "n1").repartitionByRange("a").sortWithinPartitions("a").write.parquet(folder)  # else no text asks for it
 

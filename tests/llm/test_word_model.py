@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from parcelog.llm import perplexity as p, queries, word_model
@@ -111,3 +112,17 @@ def test_repeated_words_of_many_texts():
     text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
     got = np.bincount(text, word_model.repeated(code, text, 5), len(texts))
     assert got.tolist() == [p.repeated_words(t) for t in texts]
+
+
+def test_blocks_of_numbers_keep_texts_and_half():
+    """Words with and without a rank come back from a block; a text met before isn't written again."""
+    texts = ["one two three four", "two rare words two", "one two three four"]
+    ranked = word_model.codes("en", [b"two", b"one"])
+    coder = word_model.Coder(word_model.Numbers({"en": (ranked, np.array([9, 5]))}), lambda n, repeat: n > 0, 5)
+    n, repeat, block = coder.block("en", np.array([2, 4, 2]), pa.array(texts))
+    assert n.tolist() == [4, 4, 4] and not repeat.any()
+    others, number, keys, length = word_model.unpacked(pa.py_buffer(block), np.uint64, np.int32, np.int64, np.int32)
+    code = np.concatenate([coder.ranks.codes("en"), others])
+    assert code[number].tolist() == word_model.codes("en", " ".join(texts[:2]).encode().split()).tolist()
+    assert (keys & -2).tolist() == [2, 4] and length.tolist() == [4, 4] and len(others) == 4
+    assert coder.block("en", np.array([2]), pa.array(texts[:1]))[2] is None
